@@ -71,6 +71,6 @@ def parse_distractors(c: Column) -> Column:
         .otherwise(F.lit(K.MSG_LIST_INVALID))
     )
     answers = F.when(error.isNull(), F.transform(parsed, lambda e: strip_ws(html_decode(e))))
-    warning = F.when(is_literal, F.lit(K.MSG_LITERAL_WARNING))
+    warning = F.when(is_literal & error.isNull(), F.lit(K.MSG_LITERAL_WARNING))
     return F.struct(answers.alias("answers"), dialect.alias("dialect"),
                     error.alias("error"), warning.alias("warning"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import html
 import html.entities
+import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -66,10 +67,10 @@ def _tables():
 
 
 def _map_literal(d: dict) -> Column:
-    args = []
-    for k, v in d.items():
-        args += [F.lit(k), F.lit(v)]
-    return F.create_map(*args)
+    """A map constant as one JSON text literal; constant folding turns it into a
+    single map literal (a create_map call would add two plan nodes per entry)."""
+    text = json.dumps({str(k): v for k, v in d.items()}, ensure_ascii=False)
+    return F.from_json(F.lit(text), "map<string,string>")
 
 
 def _decode_ref(ref: Column) -> Column:
@@ -77,6 +78,7 @@ def _decode_ref(ref: Column) -> Column:
     named, legacy_max, charrefs, dropped = _tables()
     named_map = _map_literal(named)
     charref_map = _map_literal(charrefs)
+    dropped_arr = F.from_json(F.lit(json.dumps(dropped)), "array<int>")
 
     # numeric references: &#123; &#x7B; (semicolon optional)
     is_hex = ref.rlike("^#[xX]")
@@ -87,10 +89,10 @@ def _decode_ref(ref: Column) -> Column:
     as_char = F.decode(F.unhex(F.lpad(F.hex(num), 8, "0")), "UTF-32")
     numeric = (
         F.when(too_long, F.lit("�"))
-        .when(F.try_element_at(charref_map, num.cast("int")).isNotNull(),
-              F.try_element_at(charref_map, num.cast("int")))
+        .when(F.try_element_at(charref_map, num.cast("string")).isNotNull(),
+              F.try_element_at(charref_map, num.cast("string")))
         .when(((num >= 0xD800) & (num <= 0xDFFF)) | (num > 0x10FFFF), F.lit("�"))
-        .when(F.array_contains(F.array(*[F.lit(x) for x in dropped]), num.cast("int")), F.lit(""))
+        .when(F.array_contains(dropped_arr, num.cast("int")), F.lit(""))
         .otherwise(as_char)
     )
 

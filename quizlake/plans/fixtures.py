@@ -82,15 +82,8 @@ def attempts_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> DataFrame:
-    """Bronze item rows (all text) from ``pages`` and ``part``.
-
-    The question is the page title (it carries HTML entities); answers are part names.
-    Distractor lists use the JSON dialect, the Python-literal dialect or are garbage.
-    With ``with_duplicates`` every item appears a second time later in file order
-    with another difficulty and fetch time (same item key), which keep-first dedupe
-    must drop.
-    """
+def _bronze_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One item per page: title as question, part names as answers (before encoding)."""
     pages = table(spark, sf_dir, "pages")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     n = part.select(F.count(F.lit(1))).scalar()
@@ -105,22 +98,40 @@ def bronze(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> Da
     pa = part.select(F.col("p_partkey").alias("ka"), F.concat("p_name", F.lit(" &amp; co")).alias("inc1"))
     pb = part.select(F.col("p_partkey").alias("kb"), F.col("p_name").alias("inc2"))
     j = base.join(pc, "kc", "left").join(pa, "ka", "left").join(pb, "kb", "left")
-    q = F.lit("'")
-    inc = (
-        F.when(pid % 17 == 5, F.lit("garbage"))
-        .when(pid % 10 == 3, F.concat(F.lit("["), q, "inc1", q, F.lit(", "), q, "inc2", q, F.lit("]")))
-        .otherwise(F.concat(F.lit('["'), "inc1", F.lit('", "'), "inc2", F.lit('"]')))
-    )
-    items = j.select(
+    return j.select(
         pid.alias("ordinal"),
         F.concat(F.lit("cat_"), (pid % 7).cast("string")).alias("category"),
         F.when(pid % 5 == 0, "boolean").otherwise("multiple").alias("type"),
         _difficulty(pid).alias("difficulty"),
         "question",
         F.coalesce("correct_answer", F.lit("")).alias("correct_answer"),
+        F.coalesce("inc1", F.lit("")).alias("inc1"), F.coalesce("inc2", F.lit("")).alias("inc2"),
+        (pid % 7).alias("cat_no"),
+    )
+
+
+def bronze(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> DataFrame:
+    """Bronze item rows (all text) from ``pages`` and ``part``.
+
+    The question is the page title (it carries HTML entities); answers are part names.
+    Distractor lists use the JSON dialect, the Python-literal dialect or are garbage.
+    With ``with_duplicates`` every item appears a second time later in file order
+    with another difficulty and fetch time (same item key), which keep-first dedupe
+    must drop.
+    """
+    b = _bronze_base(spark, sf_dir)
+    pid = F.col("ordinal")
+    q = F.lit("'")
+    inc = (
+        F.when(pid % 17 == 5, F.lit("garbage"))
+        .when(pid % 10 == 3, F.concat(F.lit("["), q, "inc1", q, F.lit(", "), q, "inc2", q, F.lit("]")))
+        .otherwise(F.concat(F.lit('["'), "inc1", F.lit('", "'), "inc2", F.lit('"]')))
+    )
+    items = b.select(
+        "ordinal", "category", "type", "difficulty", "question", "correct_answer",
         inc.alias("incorrect_answers"),
         F.lit("fixture").alias("source"),
-        (pid % 7).cast("string").alias("category_id"),
+        F.col("cat_no").cast("string").alias("category_id"),
         F.lit(FIXTURE_RUN_TS).alias("fetched_at"),
     )
     if not with_duplicates:
@@ -134,6 +145,60 @@ def bronze(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> Da
     return items.unionByName(dups)
 
 
+ITEMS_PER_BLOCK = 7 * K.PAGE_SIZE  # page_id % 7 is the category: 50 items per category
+
+
+def page_response_code(cat_no: F.Column, page_no: F.Column) -> F.Column:
+    """Recorded response code of a page: mostly 0, sometimes 5 (rate limit), 4 (token
+    empty) or 1 (no results)."""
+    h = (page_no * 7 + cat_no) % 23
+    return F.when(h == 5, 5).when(h == 11, 4).when(h == 17, 1).otherwise(0)
+
+
+def payload_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded item-bank API pages: (category_id, page_no, payload JSON text).
+
+    Each page holds at most 50 items of one category, in item order; a page's items
+    are bounded, so gathering them per page never builds an unbounded group.
+    """
+    b = _bronze_base(spark, sf_dir)
+    page_no = (F.col("ordinal") / ITEMS_PER_BLOCK).cast("bigint")
+    item = F.struct(F.col("ordinal").alias("o"), F.struct(
+        "category", "type", "difficulty", "question", "correct_answer",
+        F.array("inc1", "inc2").alias("incorrect_answers")).alias("r"))
+    pages = (b.withColumn("page_no", page_no)
+             .groupBy(F.col("cat_no").alias("category_id"), "page_no")
+             .agg(F.array_sort(F.collect_list(item)).alias("items")))
+    rc = page_response_code(F.col("category_id"), F.col("page_no"))
+    payload = F.to_json(F.struct(rc.alias("response_code"),
+                                 F.when(rc == 0, F.transform("items", lambda x: x["r"]))
+                                 .otherwise(F.array()).alias("results")))
+    return pages.select("category_id", "page_no", payload.alias("payload"))
+
+
+def category_count_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared question count per category (count-endpoint documents)."""
+    b = _bronze_base(spark, sf_dir)
+    counts = b.groupBy(F.col("cat_no").alias("category_id")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("category_id", F.to_json(F.struct(
+        F.col("category_id"),
+        F.struct(F.col("n").alias("total_question_count")).alias("category_question_count"))).alias("payload"))
+
+
+def category_catalog_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The category-list document (one document; its size is the number of categories)."""
+    b = _bronze_base(spark, sf_dir)
+    cats = b.select(F.col("cat_no").alias("id"), F.col("category").alias("name")).distinct()
+    return cats.agg(F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("id", "name")))
+                                       .alias("trivia_categories"))).alias("payload"))
+
+
+def declared_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared totals per category for the page plan: lineitem rows per return flag."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy(F.col("l_returnflag").alias("category")).agg(F.count(F.lit(1)).alias("total"))
+
+
 def responses(items: DataFrame, model: str = FIXTURE_MODEL) -> DataFrame:
     """Recorded model replies for cleaned items, one branch per ``ordinal % 11``.
 
