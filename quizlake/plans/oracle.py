@@ -368,6 +368,8 @@ ORACLE = {
         cleaning_warning FROM graded""",
     "silver_roundtrip": w(*GRADED_ALL) + """SELECT ordinal, question_id, model, status, error, ai_answer, ai_correct,
         response_time, temperature, max_tokens, prompt_version FROM graded""",
+    "stream_incremental": w(*GRADED_ALL) + """SELECT ordinal, question_id, model, status, error, ai_answer, ai_correct,
+        response_time, temperature, max_tokens, prompt_version FROM graded""",
     # ---------------------------------------------------------------- resume
     "checkpoint_compat": w(ATTEMPTS) + f"""SELECT model, (SELECT count(*) FROM attempts) AS rows,
         count(*) FILTER (WHERE coalesce(prompt_version = {lit(K.PROMPT_VERSION)} AND temperature = 0 AND max_tokens = 50, false)) AS matching_rows,
