@@ -7,15 +7,15 @@ DuckDB SQL text for every query that SQL can express.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from quizlake import constants as K
 from quizlake.functions import html_decode, normalize_answer, parse_distractors, question_id
 from quizlake.functions.keys import json_array_text
 from quizlake.operators import clean, gold, grade, report, resume
 from quizlake.plans import fixtures as fx
-from quizlake.session import fresh_dir
+from quizlake.session import fresh_dir, shared_dir
 from quizlake.sources import files, payloads
 
 LIMIT_N = 100  # the --limit run that produced the earlier checkpoint
@@ -34,7 +34,13 @@ def _attempts_filtered(spark, sf):
 
 
 def _items(spark, sf):
-    return clean.clean_items(fx.bronze(spark, sf))
+    """Cleaned items, materialised once (reliable checkpoint in the shared folder):
+    grading reads them twice and the cut lineage keeps later plans small."""
+    shared_dir(spark)
+    items = clean.clean_items(fx.bronze(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK)
+    out = items.checkpoint()  # computed once into the cache, then written from it
+    items.unpersist()
+    return out
 
 
 def _graded(spark, sf):

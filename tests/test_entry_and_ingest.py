@@ -1,6 +1,5 @@
 """Driver contract, ingest payloads, streaming replay."""
 
-import os
 
 from pyspark.sql import functions as F
 

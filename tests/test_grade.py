@@ -2,8 +2,6 @@
 
 import json
 
-import pandas as pd
-from pyspark.sql import functions as F
 
 from quizlake.operators.clean import clean_items
 from quizlake.operators.grade import echo_scorer, grade_responses, score_batch

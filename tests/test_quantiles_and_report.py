@@ -2,7 +2,6 @@
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
 
 from quizlake.operators import gold, report
 from quizlake.operators.quantiles import distributed_quantiles, group_quantiles
