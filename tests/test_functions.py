@@ -107,3 +107,15 @@ def test_deterministic_choices_and_prompt(spark):
     p = df.select(make_prompt(F.lit("Who?"), F.col("c")).alias("p")).first().p
     assert "Question :\nWho?\n\n" in p and "- Leonardo da Vinci\n- Other\n- Third" in p
     assert p.endswith("\n\nRéponse :")
+
+
+def test_iso_utc_matches_isoformat(spark):
+    from datetime import datetime, timezone
+
+    from quizlake.functions.timefmt import iso_utc
+
+    vals = [datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc),
+            datetime(2024, 1, 2, 3, 4, 5, 120, tzinfo=timezone.utc)]
+    df = spark.createDataFrame([(v,) for v in vals], "t timestamp")
+    got = [r.x for r in df.select(iso_utc(F.col("t")).alias("x")).collect()]
+    assert got == [v.isoformat() for v in vals]
