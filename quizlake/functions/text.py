@@ -76,7 +76,11 @@ def _map_literal(d: dict) -> Column:
 def _decode_ref(ref: Column) -> Column:
     """Decode one reference body (the match without its leading '&')."""
     named, legacy_max, charrefs, dropped = _tables()
-    named_map = _map_literal(named)
+    by_letter: dict = {}
+    for k, v in named.items():
+        by_letter.setdefault(k[0], {})[k] = v
+    named_by_letter = F.from_json(F.lit(json.dumps(by_letter, ensure_ascii=False)),
+                                  "map<string,map<string,string>>")
     legacy_map = _map_literal({k: v for k, v in named.items() if not k.endswith(";")})
     charref_map = _map_literal(charrefs)
     dropped_arr = F.from_json(F.lit(json.dumps(dropped)), "array<int>")
@@ -103,7 +107,9 @@ def _decode_ref(ref: Column) -> Column:
     cands = F.array(*[F.struct((ref if k is None else F.substring(ref, 1, k)).alias("k"),
                                (F.length(ref) if k is None else F.lit(k)).alias("n"))
                       for k in lengths])
-    exact = F.try_element_at(named_map, ref)
+    # exact name: two-level lookup (first letter, then name) so each probe scans a
+    # small map instead of the whole table
+    exact = F.try_element_at(F.try_element_at(named_by_letter, F.substring(ref, 1, 1)), ref)
     hits = F.filter(F.transform(F.slice(cands, 2, legacy_max), lambda c: F.struct(
         F.try_element_at(legacy_map, c["k"]).alias("v"), c["n"].alias("n"))), lambda h: h["v"].isNotNull())
     first = F.when(exact.isNotNull(), F.struct(exact.alias("v"), F.length(ref).alias("n"))).otherwise(F.get(hits, 0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from typing import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quizlake import constants as K
@@ -52,6 +52,19 @@ def classify(item_error: Column, has_row: Column, transport_error: Column, r: Co
     )
 
 
+def dedupe_replies(responses: DataFrame) -> DataFrame:
+    """One reply per item of one model, chosen deterministically.
+
+    An at-least-once scorer (task retries, replayed batches) can record an item twice;
+    a delivered reply is preferred to a transport error, then the smallest payload text.
+    Partitioned by ``question_id`` only (the model is fixed), so the scoring join reuses
+    this partitioning, and Spark's partial group limit trims repeats before the shuffle.
+    """
+    w = Window.partitionBy("question_id").orderBy(F.col("transport_error").asc_nulls_first(),
+                                                  F.col("payload").asc_nulls_last())
+    return responses.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
 def grade_responses(items: DataFrame, responses: DataFrame, model: str,
                     run_ts: str, prompt_version: str = K.PROMPT_VERSION,
                     temperature: int = K.TEMPERATURE, max_tokens: int = K.MAX_TOKENS) -> DataFrame:
@@ -60,7 +73,7 @@ def grade_responses(items: DataFrame, responses: DataFrame, model: str,
     A missing reply, a transport error, a malformed payload, an empty or truncated
     answer all give an error row with a null grade; only ``success`` rows are graded.
     """
-    r = (responses.filter(F.col("model") == model)
+    r = (dedupe_replies(responses.filter(F.col("model") == model))
          .select("question_id", "payload", F.col("response_time").alias("_rt"), "transport_error",
                  F.lit(True).alias("_has_row")))
     j = items.join(r, "question_id", "left")

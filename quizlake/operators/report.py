@@ -205,9 +205,8 @@ def latency_histogram(ok: DataFrame, bins: int = 40) -> DataFrame:
     """Counts per difficulty over ``bins`` equal-width bins spanning [min, max]
     (last bin closed; a single-valued range is bin 0). Bounds come from a scalar
     subquery, so no join is needed."""
-    bounds = ok.agg(F.min("response_time").alias("lo"), F.max("response_time").alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
+    bounds = ok.agg(F.struct(F.min("response_time").alias("lo"), F.max("response_time").alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = (hi - lo) / bins
     b = F.when(hi == lo, F.lit(0)).otherwise(
         F.least(F.floor((F.col("response_time") - lo) / width), F.lit(bins - 1))).cast("int")

@@ -203,7 +203,7 @@ def q_duplicate_count(spark, sf):
 
 
 def q_limit_items(spark, sf):
-    return clean.limit_items(_items(spark, sf), LIMIT_N).select("ordinal", "question_id")
+    return clean.limit_items(clean.clean_items(fx.bronze(spark, sf)), LIMIT_N).select("ordinal", "question_id")
 
 
 def q_html_decode(spark, sf):
@@ -228,16 +228,16 @@ def q_parse_distractors(spark, sf):
 
 
 def q_clean_items(spark, sf):
-    return _items(spark, sf).select("ordinal", "question_id", "question_clean", "correct_answer_clean",
+    return clean.clean_items(fx.bronze(spark, sf)).select("ordinal", "question_id", "question_clean", "correct_answer_clean",
                                     "incorrect_answers_clean", "cleaning_warning", "list_dialect", "item_error")
 
 
 def q_build_choices(spark, sf):
-    return _items(spark, sf).select("ordinal", "question_id", "choices")
+    return clean.clean_items(fx.bronze(spark, sf)).select("ordinal", "question_id", "choices")
 
 
 def q_build_prompt(spark, sf):
-    return _items(spark, sf).select("ordinal", "prompt")
+    return clean.clean_items(fx.bronze(spark, sf)).select("ordinal", "prompt")
 
 
 def q_csv_roundtrip(spark, sf):
