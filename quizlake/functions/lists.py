@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quizlake import constants as K
-from quizlake.functions.text import html_decode, is_blank, strip_ws
+from quizlake.functions.text import html_decode_array, is_blank, strip_ws
 
 _JSON_WS = "[ \\t\\n\\r]"
 _JSON_STR = '"[^"\\\\\\x00-\\x1f]*+(?:\\\\(?:["\\\\/bfnrt]|u[0-9A-Fa-f]{4})[^"\\\\\\x00-\\x1f]*+)*+"'
@@ -70,7 +70,7 @@ def parse_distractors(c: Column) -> Column:
         .when(other_json, F.lit(K.MSG_LIST_EMPTY))
         .otherwise(F.lit(K.MSG_LIST_INVALID))
     )
-    answers = F.when(error.isNull(), F.transform(parsed, lambda e: strip_ws(html_decode(e))))
+    answers = F.when(error.isNull(), F.transform(html_decode_array(parsed), strip_ws))
     warning = F.when(is_literal & error.isNull(), F.lit(K.MSG_LITERAL_WARNING))
     return F.struct(answers.alias("answers"), dialect.alias("dialect"),
                     error.alias("error"), warning.alias("warning"))

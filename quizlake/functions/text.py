@@ -1,25 +1,12 @@
-"""Text cleaning: HTML character references, Unicode whitespace, answer normalisation.
-
-The decoder is one pass over the text, like the standard library's ``html.unescape``:
-the text is split on character references, each reference is decoded on its own, and
-the pieces are re-joined, so ``&amp;amp;`` becomes ``&amp;`` and nothing is decoded
-twice. The entity tables come from Python's standard library at import time (the
-HTML5 named references and the numeric-reference rules), so the expression reproduces
-``html.unescape`` without a Python UDF.
-"""
+"""Text cleaning: Unicode whitespace, answer normalisation (HTML decoding lives in
+``htmlref``)."""
 
 from __future__ import annotations
 
-import functools
-import html
-import html.entities
-import json
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Regular expression for one character reference, as used by the standard library.
-CHARREF_PATTERN = html._charref.pattern  # type: ignore[attr-defined]
+from quizlake.functions.htmlref import html_decode, html_decode_array  # noqa: F401
 
 
 def _char_class(chars) -> str:
@@ -57,114 +44,6 @@ def is_blank(c: Column) -> Column:
     return ~c.rlike(_NON_WS_RX)
 
 
-@functools.lru_cache(maxsize=1)
-def _tables():
-    named = html.entities.html5
-    legacy_max = max(len(k) for k in named if not k.endswith(";"))
-    charrefs = html._invalid_charrefs  # type: ignore[attr-defined]
-    dropped = sorted(html._invalid_codepoints)  # type: ignore[attr-defined]
-    return named, legacy_max, charrefs, dropped
-
-
-def _map_literal(d: dict) -> Column:
-    """A map constant as one JSON text literal; constant folding turns it into a
-    single map literal (a create_map call would add two plan nodes per entry)."""
-    text = json.dumps({str(k): v for k, v in d.items()}, ensure_ascii=False)
-    return F.from_json(F.lit(text), "map<string,string>")
-
-
-def _decode_ref(ref: Column) -> Column:
-    """Decode one reference body (the match without its leading '&')."""
-    named, legacy_max, charrefs, dropped = _tables()
-    by_letter: dict = {}
-    for k, v in named.items():
-        by_letter.setdefault(k[0], {})[k] = v
-    named_by_letter = F.from_json(F.lit(json.dumps(by_letter, ensure_ascii=False)),
-                                  "map<string,map<string,string>>")
-    legacy_map = _map_literal({k: v for k, v in named.items() if not k.endswith(";")})
-    charref_map = _map_literal(charrefs)
-    dropped_arr = F.from_json(F.lit(json.dumps(dropped)), "array<int>")
-
-    # numeric references: &#123; &#x7B; (semicolon optional)
-    is_hex = ref.rlike("^#[xX]")
-    digits = F.regexp_replace(F.regexp_extract(ref, "^#[xX]?([0-9a-fA-F]+)", 1), "^0+", "")
-    too_long = F.length(digits) > F.when(is_hex, F.lit(8)).otherwise(F.lit(10))
-    num = F.when(F.length(digits) == 0, F.lit(0).cast("bigint")).when(
-        is_hex, F.conv(digits, 16, 10).cast("bigint")).otherwise(digits.cast("bigint"))
-    as_char = F.decode(F.unhex(F.lpad(F.hex(num), 8, "0")), "UTF-32")
-    numeric = (
-        F.when(too_long, F.lit("�"))
-        .when(F.try_element_at(charref_map, num.cast("string")).isNotNull(),
-              F.try_element_at(charref_map, num.cast("string")))
-        .when(((num >= 0xD800) & (num <= 0xDFFF)) | (num > 0x10FFFF), F.lit("�"))
-        .when(F.array_contains(dropped_arr, num.cast("int")), F.lit(""))
-        .otherwise(as_char)
-    )
-
-    # named references: the exact name, else the longest legacy (semicolon-less)
-    # prefix followed by the rest of the text. One lookup per candidate, one map.
-    lengths = [None] + list(range(legacy_max, 1, -1))
-    cands = F.array(*[F.struct((ref if k is None else F.substring(ref, 1, k)).alias("k"),
-                               (F.length(ref) if k is None else F.lit(k)).alias("n"))
-                      for k in lengths])
-    # exact name: two-level lookup (first letter, then name) so each probe scans a
-    # small map instead of the whole table
-    exact = F.try_element_at(F.try_element_at(named_by_letter, F.substring(ref, 1, 1)), ref)
-    hits = F.filter(F.transform(F.slice(cands, 2, legacy_max), lambda c: F.struct(
-        F.try_element_at(legacy_map, c["k"]).alias("v"), c["n"].alias("n"))), lambda h: h["v"].isNotNull())
-    first = F.when(exact.isNotNull(), F.struct(exact.alias("v"), F.length(ref).alias("n"))).otherwise(F.get(hits, 0))
-    named_val = F.when(first.isNotNull(), F.concat(first["v"], F.substring(ref, first["n"] + 1, 1 << 20))) \
-        .otherwise(F.concat(F.lit("&"), ref))
-    return F.when(ref.startswith("#"), numeric).otherwise(named_val)
-
-
-# Common references decoded by the fast path (names of the HTML5 table, plus the
-# numeric apostrophe forms). Their outputs contain no '&', so when every '&' of a
-# text starts one of them, replacing them one after another -- '&amp;' last -- gives
-# exactly the single-pass result.
-FAST_NAMES = ["quot;", "apos;", "lt;", "gt;", "nbsp;", "copy;", "reg;", "trade;", "middot;",
-              "hellip;", "ndash;", "mdash;", "lsquo;", "rsquo;", "ldquo;", "rdquo;", "laquo;",
-              "raquo;", "deg;", "eacute;", "egrave;", "ecirc;", "agrave;", "aacute;", "acirc;",
-              "ccedil;", "ouml;", "uuml;", "auml;", "iacute;", "oacute;", "uacute;", "ntilde;",
-              "szlig;", "Eacute;", "shy;", "pi;", "times;"]
-FAST_NUMERIC = {"#039;": "'", "#39;": "'", "#034;": '"', "#34;": '"'}
-
-
-def _fast_table():
-    named = html.entities.html5
-    table = [(f"&{k}", named[k]) for k in FAST_NAMES] + [(f"&{k}", v) for k, v in FAST_NUMERIC.items()]
-    return table + [("&amp;", "&")]
-
-
-def _fast_decode(c: Column):
-    table = _fast_table()
-    alternation = "&(?:" + "|".join(t[0][1:] for t in table) + ")"
-    safe = F.instr(F.regexp_replace(c, alternation, ""), "&") == 0
-    out = c
-    for ref, val in table:
-        out = F.replace(out, F.lit(ref), F.lit(val))
-    return safe, out
-
-
-def html_decode(c: Column) -> Column:
-    """``html.unescape``: single-pass decoding of named and numeric references.
-
-    Texts whose references are all common ones take a replace chain (JVM codegen);
-    the rest take the general single-pass decoder.
-    """
-    safe, fast = _fast_decode(c)
-    return F.when(F.instr(c, "&") == 0, c).when(safe, fast).otherwise(_html_decode_general(c))
-
-
-def _html_decode_general(c: Column) -> Column:
-    """General decoder: split on references, decode each, re-join."""
-    pieces = F.split(c, CHARREF_PATTERN, -1)
-    refs = F.regexp_extract_all(c, F.lit(CHARREF_PATTERN), 0)
-    decoded = F.transform(refs, lambda r: _decode_ref(F.substring(r, 2, 1 << 20)))
-    joined = F.array_join(F.zip_with(pieces, decoded, lambda p, d: F.concat(p, F.coalesce(d, F.lit("")))), "")
-    return F.when(F.instr(c, "&") > 0, joined).otherwise(c)
-
-
 def normalize_answer(c: Column) -> Column:
     """Strict comparison key: decode, strip, lower-case, drop one final '.', rstrip.
 

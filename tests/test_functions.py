@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quizlake.functions import (html_decode, json_quote, keyed_shuffle, make_prompt, normalize_answer,
                                 parse_distractors, question_id, strip_ws)
-from quizlake.functions.text import _html_decode_general
+from quizlake.functions.htmlref import html_decode_array, html_decode_general
 
 
 def _py_norm(v):
@@ -35,10 +35,12 @@ def test_html_decode_matches_stdlib(spark):
             "&#99999999999;", "&AElig", "&lt", " ", "é"]
     cases = ["".join(random.choice(toks) for _ in range(random.randint(0, 7))) for _ in range(1500)]
     df = spark.createDataFrame([(c,) for c in cases], "s string")
-    rows = df.select("s", html_decode(F.col("s")).alias("d"), _html_decode_general(F.col("s")).alias("g")).collect()
+    rows = df.select("s", html_decode(F.col("s")).alias("d"), html_decode_general(F.col("s")).alias("g"),
+                     html_decode_array(F.array("s", F.lit("&lt;"))).alias("a")).collect()
     for r in rows:
         assert r.d == html.unescape(r.s), r.s
         assert r.g == html.unescape(r.s), r.s
+        assert list(r.a) == [html.unescape(r.s), "<"], r.s
 
 
 def test_strip_is_unicode_whitespace(spark):
