@@ -35,6 +35,28 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+# Settings for large clusters (~100 TB inputs): many shuffle partitions that AQE
+# coalesces to ~256 MB, skew splitting above 1 GB, broadcast only under a measured
+# 64 MB, Kryo, and a larger Arrow batch cap for the scorer hook.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+}
+
+
+def cluster_session(app_name: str = "quizlake", extra: dict | None = None) -> SparkSession:
+    """Session for a cluster run (master and checkpoint folder come from the launcher)."""
+    builder = SparkSession.builder.appName(app_name)
+    for k, v in {**DEFAULT_CONF, **CLUSTER_CONF, **(extra or {})}.items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
