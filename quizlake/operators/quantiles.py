@@ -52,16 +52,32 @@ def _join_state(v: DataFrame, state: DataFrame, keys) -> DataFrame:
     return v.join(s, cond, "inner").drop(*[f"_s_{k}" for k in kc])
 
 
+def bounded_groups(df: DataFrame, keys, value: str, max_group_rows: int | None = None) -> bool:
+    """True when no group holds more than ``max_group_rows`` (default
+    ``MAX_GROUP_ROWS``) non-null values, so the exact built-in ``percentile`` fits in
+    one task per group."""
+    if max_group_rows is None:
+        max_group_rows = MAX_GROUP_ROWS
+    v = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
+        F.col("_x").isNotNull() & ~F.isnan("_x"))
+    return (v.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) <= max_group_rows
+
+
+def percentile_expr(value: str, p: float):
+    """Exact interpolated quantile of ``value`` (NaN skipped) for bounded groups."""
+    x = F.col(value).cast("double")
+    return F.percentile(F.when(~F.isnan(x), x), float(p))
+
+
 def group_quantiles(df: DataFrame, keys, value: str, probs: dict,
-                    max_group_rows: int = MAX_GROUP_ROWS, buckets: int = BUCKETS,
-                    final_rows: int = FINAL_ROWS) -> DataFrame:
+                    max_group_rows: int | None = None, buckets: int | None = None,
+                    final_rows: int | None = None) -> DataFrame:
     """One row per group of ``keys`` (null keys kept) with a column per ``probs`` entry
     (name -> probability); null when the group has no non-null value."""
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
-    biggest = v.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if biggest <= max_group_rows:
+    if bounded_groups(df, keys, value, max_group_rows):
         aggs = [F.percentile("_x", float(p)).alias(name) for name, p in probs.items()]
         res = v.groupBy(*keys).agg(*aggs)
     else:
@@ -76,8 +92,10 @@ def group_quantiles(df: DataFrame, keys, value: str, probs: dict,
 
 
 def distributed_quantiles(df: DataFrame, keys, value: str, probs: dict,
-                          buckets: int = BUCKETS, final_rows: int = FINAL_ROWS) -> DataFrame:
+                          buckets: int | None = None, final_rows: int | None = None) -> DataFrame:
     """Exact quantiles by iterative bucket refinement (see module doc)."""
+    buckets = buckets or BUCKETS
+    final_rows = final_rows or FINAL_ROWS
     from quizlake.session import shared_dir
 
     keys = list(keys)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizlake import constants as K
-from quizlake.operators.quantiles import group_quantiles
+from quizlake.operators.quantiles import (bounded_groups, distributed_quantiles, group_quantiles,
+                                         percentile_expr)
 from quizlake.schemas import require_columns
 
 LATENCY_DIGITS = 6  # means and quantiles are rounded to 6 decimals (float noise)
@@ -69,21 +70,30 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
 
 def aggregate_results(df: DataFrame, dims) -> DataFrame:
     """Per level: questions, bonnes_reponses, precision (nulls skipped), mean and median
-    latency, precision_pct. Null keys form their own group."""
+    latency, precision_pct. Null keys form their own group.
+
+    With bounded groups the median is one more aggregate of the same pass; otherwise
+    it comes from the distributed selection and is joined on the level keys.
+    """
     dims = list(dims)
     correct_int = F.col("ai_correct").cast("int")
-    base = df.groupBy(*dims).agg(
+    aggs = [
         F.count(F.lit(1)).alias("questions"),
         F.coalesce(F.sum(correct_int), F.lit(0)).cast("bigint").alias("bonnes_reponses"),
         F.avg(correct_int.cast("double")).alias("precision"),
         F.round(F.avg("response_time"), LATENCY_DIGITS).alias("latence_moyenne"),
-    )
-    med = group_quantiles(df, dims, "response_time", {"latence_mediane": 0.5})
-    med = med.withColumn("latence_mediane", F.round("latence_mediane", LATENCY_DIGITS))
-    if dims:
-        out = _null_safe_join(base, med, dims)
-    else:  # one global row: attach the median as a scalar subquery
-        out = base.withColumn("latence_mediane", med.select("latence_mediane").scalar())
+    ]
+    if bounded_groups(df, dims, "response_time"):
+        med = F.round(percentile_expr("response_time", 0.5), LATENCY_DIGITS).alias("latence_mediane")
+        out = df.groupBy(*dims).agg(*aggs, med)
+    else:
+        base = df.groupBy(*dims).agg(*aggs)
+        q = distributed_quantiles(df, dims, "response_time", {"latence_mediane": 0.5})
+        q = q.withColumn("latence_mediane", F.round("latence_mediane", LATENCY_DIGITS))
+        if dims:
+            out = _null_safe_join(base, q, dims)
+        else:  # one global row: attach the median as a scalar subquery
+            out = base.withColumn("latence_mediane", q.select("latence_mediane").scalar())
     return out.withColumn("precision_pct", F.col("precision") * 100)
 
 

@@ -1,6 +1,7 @@
 """Distributed exact quantiles vs brute force; report semantics."""
 
 import numpy as np
+from pyspark.sql import functions as F
 import pandas as pd
 
 from quizlake.operators import gold, report
@@ -61,3 +62,19 @@ def test_pivot_has_fixed_columns(spark):
     assert p.columns == ["category", "easy", "medium", "hard"]
     r = p.first()
     assert r.easy == 100.0 and r.medium is None and r.hard is None
+
+
+def test_report_levels_same_on_distributed_path(spark, monkeypatch):
+    from quizlake.operators import quantiles
+
+    ok = report.successful(report.apply_filters(fx.attempts(spark, SF001)))
+    fast = {r.difficulty: r for r in report.aggregate_results(ok, ["difficulty"]).collect()}
+    monkeypatch.setattr(quantiles, "MAX_GROUP_ROWS", 10)
+    monkeypatch.setattr(quantiles, "FINAL_ROWS", 15)
+    dist = {r.difficulty: r for r in report.aggregate_results(ok, ["difficulty"]).collect()}
+    whole = report.aggregate_results(ok, []).first()
+    assert fast.keys() == dist.keys()
+    for k in fast:
+        assert fast[k].asDict() == dist[k].asDict()
+    assert whole.latence_mediane == round(float(
+        ok.select(F.percentile("response_time", 0.5)).first()[0]), 6)
