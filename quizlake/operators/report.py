@@ -136,18 +136,20 @@ def report_grouping_sets(ok: DataFrame) -> DataFrame:
 
     ``level`` names the grouping set; medians are a separate job (``aggregate_results``).
     """
-    ok.createOrReplaceTempView("_report_ok")
-    sets = ", ".join("(" + ", ".join(v) + ")" for v in REPORT_LEVELS.values())
-    level = "CASE grouping_id(difficulty, type, category, model) " + " ".join(
-        f"WHEN {_gid(v)} THEN '{k}'" for k, v in REPORT_LEVELS.items()) + " END"
-    return ok.sparkSession.sql(f"""
-        SELECT {level} AS level, difficulty, type, category, model,
-               count(*) AS questions,
-               coalesce(sum(cast(ai_correct AS int)), 0) AS bonnes_reponses,
-               avg(cast(ai_correct AS double)) * 100 AS precision_pct,
-               round(avg(response_time), {LATENCY_DIGITS}) AS latence_moyenne
-        FROM _report_ok
-        GROUP BY GROUPING SETS ({sets})""")
+    order = ["difficulty", "type", "category", "model"]
+    gid = F.grouping_id(*order)
+    level = F.lit(None).cast("string")
+    for name, cols in reversed(list(REPORT_LEVELS.items())):
+        level = F.when(gid == _gid(cols), F.lit(name)).otherwise(level)
+    sets = [[F.col(c) for c in cols] for cols in REPORT_LEVELS.values()]
+    correct_int = F.col("ai_correct").cast("int")
+    return (ok.groupingSets(sets, *order)
+            .agg(level.alias("level"),
+                 F.count(F.lit(1)).alias("questions"),
+                 F.coalesce(F.sum(correct_int), F.lit(0)).cast("bigint").alias("bonnes_reponses"),
+                 (F.avg(correct_int.cast("double")) * 100).alias("precision_pct"),
+                 F.round(F.avg("response_time"), LATENCY_DIGITS).alias("latence_moyenne"))
+            .select("level", *order, "questions", "bonnes_reponses", "precision_pct", "latence_moyenne"))
 
 
 def _gid(cols) -> int:
@@ -156,18 +158,28 @@ def _gid(cols) -> int:
 
 
 def report_kpis(filtered: DataFrame) -> DataFrame:
-    """Questions, success rate, accuracy and latency mean / median / P95 (successes)."""
+    """Questions, success rate, accuracy and latency mean / median / P95 (successes).
+
+    When the success rows are few enough for the exact built-in quantile, everything is
+    one aggregate pass; otherwise the quantiles come from the distributed selection.
+    """
     ok = F.col("status") == K.STATUS_SUCCESS
-    base = filtered.agg(
+    aggs = [
         F.count(F.lit(1)).alias("questions"),
         F.count_if(ok).alias("successes"),
         (F.try_divide(F.count_if(ok).cast("double"), F.count(F.lit(1))) * 100).alias("success_rate_pct"),
         (F.avg(F.when(ok, F.col("ai_correct").cast("int").cast("double"))) * 100).alias("accuracy_pct"),
         F.round(F.avg(F.when(ok, F.col("response_time"))), LATENCY_DIGITS).alias("latency_mean"),
-    )
-    q = group_quantiles(successful(filtered), [], "response_time",
-                        {"latency_median": 0.5, "latency_p95": 0.95})
-    return base.withColumns({c: F.round(q.select(c).scalar(), LATENCY_DIGITS) for c in q.columns})
+    ]
+    probs = {"latency_median": 0.5, "latency_p95": 0.95}
+    succ = successful(filtered)
+    if bounded_groups(succ, [], "response_time"):
+        lat = F.when(ok, F.col("response_time"))
+        return filtered.agg(*aggs, *[F.round(F.percentile(F.when(~F.isnan(lat), lat), p), LATENCY_DIGITS).alias(n)
+                                     for n, p in probs.items()])
+    q = distributed_quantiles(succ, [], "response_time", probs)
+    return filtered.agg(*aggs).withColumns(
+        {c: F.round(q.select(c).scalar(), LATENCY_DIGITS) for c in probs})
 
 
 def latency_quantiles(ok: DataFrame, dims=("model",), probs=(0.5, 0.9, 0.95, 0.99)) -> DataFrame:

@@ -78,3 +78,14 @@ def test_report_levels_same_on_distributed_path(spark, monkeypatch):
         assert fast[k].asDict() == dist[k].asDict()
     assert whole.latence_mediane == round(float(
         ok.select(F.percentile("response_time", 0.5)).first()[0]), 6)
+
+
+def test_kpis_same_on_distributed_path(spark, monkeypatch):
+    from quizlake.operators import quantiles
+
+    filtered = report.apply_filters(fx.attempts(spark, SF001))
+    fast = report.report_kpis(filtered).first().asDict()
+    monkeypatch.setattr(quantiles, "MAX_GROUP_ROWS", 10)
+    monkeypatch.setattr(quantiles, "FINAL_ROWS", 25)
+    dist = report.report_kpis(filtered).first().asDict()
+    assert fast == dist
