@@ -9,6 +9,7 @@ from quizlake import constants as K
 from quizlake.functions import (build_choices, html_decode, make_prompt, parse_distractors,
                                 question_id, strip_ws)
 from quizlake.functions.keys import json_array_text
+from quizlake.operators.selection import first_rows
 from quizlake.schemas import BRONZE_COLUMNS, require_columns
 
 
@@ -78,5 +79,9 @@ def clean_items(bronze: DataFrame, dedupe: bool = True) -> DataFrame:
 
 
 def limit_items(items: DataFrame, n: int) -> DataFrame:
-    """``--limit n``: the first n deduplicated items in file order (done ones included)."""
-    return items.orderBy(F.col("ordinal").asc_nulls_last()).limit(n)
+    """``--limit n``: the first n deduplicated items in file order (done ones included).
+
+    Found by selection on ``ordinal`` and kept by a filter (``operators.selection``),
+    so no single task gathers the rows, whatever n and the number of tasks are.
+    """
+    return first_rows(items, "ordinal", n)

@@ -207,9 +207,9 @@ def q_limit_items(spark, sf):
 
 
 def q_html_decode(spark, sf):
+    """Character references decoded over each whole page (every byte of the text)."""
     p = fx.table(spark, sf, "pages")
-    t = F.regexp_extract("html", "<title>(.*?)</title>", 1)
-    return p.select("page_id", html_decode(t).alias("title"))
+    return p.select("page_id", html_decode(F.col("html")).alias("text"))
 
 
 def q_normalize_answer(spark, sf):

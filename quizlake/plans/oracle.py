@@ -2,7 +2,7 @@
 
 The fixtures are re-derived here from the driver's tables in plain SQL; the text
 functions only need what the fixture data contains (the named references found in
-page titles and answers at sf0.001-0.1, ASCII whitespace), which keeps the oracle
+whole pages, titles and answers at sf0.001-0.1, ASCII whitespace), which keeps the oracle
 independent of the Spark expressions it checks.
 """
 
@@ -21,7 +21,7 @@ def lit(s: str) -> str:
 def dec(x: str) -> str:
     """Reference decoding for the forms present in the fixture data: ``&quot;``,
     ``&copy;``, ``&middot;`` and ``&amp;``, plus the semicolon-less legacy forms of
-    ``quot`` / ``amp`` (page titles can end in ``&amp``). ``&amp`` goes last, in one
+    ``quot`` / ``amp`` (pages and titles hold ``&amp`` without ``;``). ``&amp`` goes last, in one
     regex pass, so nothing is decoded twice."""
     return (f"regexp_replace(replace(replace(regexp_replace({x}, '&quot;?', '\"', 'g'), '&copy;', '©'), "
             f"'&middot;', '·'), '&amp;?', '&', 'g')")
@@ -345,7 +345,7 @@ ORACLE = {
     "duplicate_count": w(BRONZE) + """SELECT count(*) - count(DISTINCT question_id) AS duplicates, count(*) AS rows,
         count(DISTINCT question_id) AS distinct_items FROM bq""",
     "limit_items": w(*ITEMS_ALL) + "SELECT ordinal, question_id FROM items ORDER BY ordinal LIMIT 100",
-    "html_decode": "SELECT page_id, " + dec("regexp_extract(html, '<title>(.*?)</title>', 1)") + " AS title FROM pages",
+    "html_decode": "SELECT page_id, " + dec("html") + " AS text FROM pages",
     "normalize_answer": w(BRONZE) + f"SELECT ordinal, {norm('correct_answer')} AS answer_key, {norm('question')} AS question_key FROM bronze0",
     "parse_distractors": w(BRONZE, clean_cte("(SELECT *, '' AS question_id FROM bronze0)", "pd")) + f"""SELECT ordinal, list_dialect,
         CASE WHEN list_dialect <> 'invalid' THEN CAST(len(answers) AS BIGINT) END AS n_answers,
