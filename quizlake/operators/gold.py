@@ -56,13 +56,20 @@ HARDEST_KEYS = ["question_id", "category", "difficulty", "question_clean", "corr
 
 
 def hardest_questions(silver: DataFrame) -> DataFrame:
-    """Groups (item, answer) with at least one non-correct success attempt."""
+    """Groups (item, answer) with at least one non-correct success attempt.
+
+    Ordered by accuracy, then category (the stated order), then the remaining group
+    keys: accuracy is 0 in nearly every group and categories are few, so without the
+    tie-breakers the range partitioning of this (large) result could only use as many
+    sort tasks as there are categories.
+    """
     n = F.count(F.lit(1))
     c = F.count_if(F.col("ai_correct"))
+    ties = [F.col(k).asc_nulls_last() for k in ("question_id", "ai_answer")]
     return (_success(silver).groupBy(*HARDEST_KEYS)
             .agg(n.alias("total_attempts"), c.alias("correct_attempts"), pct(c, n).alias("accuracy_pct"))
             .filter(F.col("correct_attempts") < F.col("total_attempts"))
-            .orderBy(F.col("accuracy_pct").asc_nulls_last(), F.col("category").asc_nulls_last()))
+            .orderBy(F.col("accuracy_pct").asc_nulls_last(), F.col("category").asc_nulls_last(), *ties))
 
 
 def hardest_items(silver: DataFrame) -> DataFrame:

@@ -56,9 +56,14 @@ def compatible_rows(saved: DataFrame, model: str, prompt_version: str = K.PROMPT
 
 
 def resume_kept(saved: DataFrame, source: DataFrame) -> DataFrame:
-    """Saved rows whose item is still in the source, first saved row per item."""
-    kept = saved.join(source.select("question_id").distinct(), "question_id", "left_semi")
-    return keep_first(kept, "question_id")
+    """Saved rows whose item is still in the source, first saved row per item.
+
+    Membership is a property of the item, so keep-first runs before the semi join:
+    an item saved many times is cut to one row per task before the shuffle, and the
+    join reuses the window's partitioning on ``question_id``.
+    """
+    first = keep_first(saved, "question_id")
+    return first.join(source.select("question_id").distinct(), "question_id", "left_semi")
 
 
 def retry_errors(saved: DataFrame, target: DataFrame) -> DataFrame:
