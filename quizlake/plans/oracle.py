@@ -370,6 +370,11 @@ ORACLE = {
         FROM responses""",
     "grade_responses": w(*GRADED_ALL) + """SELECT ordinal, question_id, status, error, ai_answer, ai_correct, response_time,
         cleaning_warning FROM graded""",
+    # offline echo scorer: each sendable item is answered with its first (keyed-shuffled) choice
+    "score_batch": w(*ITEMS_ALL) + f"""SELECT question_id,
+        CASE WHEN item_error IS NULL THEN 'success' ELSE 'error' END AS status,
+        CASE WHEN item_error IS NULL THEN {norm('choice_list[1]')} = {norm('correct_answer_clean')} END AS ai_correct,
+        item_error AS error FROM items""",
     "silver_roundtrip": w(*GRADED_ALL) + """SELECT ordinal, question_id, model, status, error, ai_answer, ai_correct,
         response_time, temperature, max_tokens, prompt_version FROM graded""",
     "stream_incremental": w(*GRADED_ALL) + """SELECT ordinal, question_id, model, status, error, ai_answer, ai_correct,
