@@ -375,6 +375,9 @@ ORACLE = {
         CASE WHEN item_error IS NULL THEN 'success' ELSE 'error' END AS status,
         CASE WHEN item_error IS NULL THEN {norm('choice_list[1]')} = {norm('correct_answer_clean')} END AS ai_correct,
         item_error AS error FROM items""",
+    "iso_timestamps": """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S')
+        || CASE WHEN epoch_us(ts) % 1000000 <> 0 THEN '.' || lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0') ELSE '' END
+        || '+00:00' AS fetched_at FROM events""",
     "silver_roundtrip": w(*GRADED_ALL) + """SELECT ordinal, question_id, model, status, error, ai_answer, ai_correct,
         response_time, temperature, max_tokens, prompt_version FROM graded""",
     "stream_incremental": w(*GRADED_ALL) + """SELECT ordinal, question_id, model, status, error, ai_answer, ai_correct,

@@ -121,3 +121,15 @@ def test_iso_utc_matches_isoformat(spark):
     df = spark.createDataFrame([(v,) for v in vals], "t timestamp")
     got = [r.x for r in df.select(iso_utc(F.col("t")).alias("x")).collect()]
     assert got == [v.isoformat() for v in vals]
+
+
+def test_iso_timestamps_query_matches_isoformat(spark):
+    from datetime import timezone
+
+    import __spark_entry__ as E
+    from tests.conftest import SF001
+
+    got = {r.event_id: r.fetched_at for r in E.queries()["iso_timestamps"](spark, SF001).collect()}
+    src = spark.read.parquet(f"{SF001}/events.parquet").select("event_id", "ts").collect()
+    assert len(got) == len(src) > 0
+    assert all(got[r.event_id] == r.ts.replace(tzinfo=timezone.utc).isoformat() for r in src)
