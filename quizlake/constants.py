@@ -44,7 +44,9 @@ DIFFICULTY_ORDER = ["easy", "medium", "hard"]
 # Statuses.
 STATUS_SUCCESS, STATUS_ERROR = "success", "error"
 
-# Ingest: page size of the item-bank API and its response codes.
+# Ingest: source label written on every Bronze row, page size of the item-bank API and
+# its response codes.
+SOURCE_LABEL = "OpenTDB"
 PAGE_SIZE = 50
 RC_OK, RC_NO_RESULTS, RC_INVALID_PARAM, RC_TOKEN_NOT_FOUND, RC_TOKEN_EMPTY, RC_RATE_LIMIT = 0, 1, 2, 3, 4, 5
 

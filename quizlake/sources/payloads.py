@@ -64,7 +64,7 @@ def payload_disposition(pages: DataFrame) -> DataFrame:
                     F.when(F.col("page_no") > F.col("_stop"), "skipped").otherwise(loose).alias("loose_action")))
 
 
-def ingest_pages(pages: DataFrame, fetched_at: str, source: str = "OpenTDB",
+def ingest_pages(pages: DataFrame, fetched_at: str, source: str = K.SOURCE_LABEL,
                  strict: bool = False) -> DataFrame:
     """Bronze rows from accepted pages, in request order (``ordinal``).
 
