@@ -5,8 +5,9 @@ one task; a group holding a third of a 100 TB table would not fit. Groups of bou
 size use it (fast path). When any group is larger than ``max_group_rows`` the values
 are found by distributed selection instead:
 
-1. one aggregate gives each group's count, min and max; the two ranks around each
-   requested quantile become *targets* with a value range [a, b] known to hold them;
+1. one aggregate gives each group's count, min and max (``group_stats``, shared with
+   the path decision); the two ranks around each requested quantile become *targets*
+   with a value range [a, b] known to hold them;
 2. each pass splits every open range into ``buckets`` equal-width buckets and
    counts rows per (target, bucket) with a partial (map-side) aggregate, so a hot
    group is pre-aggregated in every task before the shuffle; a window over at most
@@ -52,15 +53,40 @@ def _join_state(v: DataFrame, state: DataFrame, keys) -> DataFrame:
     return v.join(s, cond, "inner").drop(*[f"_s_{k}" for k in kc])
 
 
-def bounded_groups(df: DataFrame, keys, value: str, max_group_rows: int | None = None) -> bool:
+def _values(df: DataFrame, keys, value: str) -> DataFrame:
+    """Keys and the non-null, non-NaN values as double ``_x`` (constant ``_g`` key when
+    there are no keys)."""
+    v = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
+        F.col("_x").isNotNull() & ~F.isnan("_x"))
+    return v if keys else v.withColumn("_g", F.lit(0))
+
+
+def group_stats(df: DataFrame, keys, value: str) -> DataFrame:
+    """Per group: count ``_n``, min ``_a`` and max ``_b`` of the values, in one partial
+    aggregate, written as a reliable checkpoint (one small row per group).
+
+    The same table decides the quantile path (``bounded_groups``) and seeds the
+    selection (``distributed_quantiles``), so the input is scanned once for both.
+    """
+    from quizlake.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    kc = _key_cols(list(keys))
+    return (_values(df, list(keys), value).groupBy(*kc)
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_a"), F.max("_x").alias("_b"))
+            .checkpoint())
+
+
+def bounded_groups(df: DataFrame, keys, value: str, max_group_rows: int | None = None,
+                   stats: DataFrame | None = None) -> bool:
     """True when no group holds more than ``max_group_rows`` (default
     ``MAX_GROUP_ROWS``) non-null values, so the exact built-in ``percentile`` fits in
-    one task per group."""
+    one task per group. ``stats`` is a ``group_stats`` table when already computed."""
     if max_group_rows is None:
         max_group_rows = MAX_GROUP_ROWS
-    v = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
-        F.col("_x").isNotNull() & ~F.isnan("_x"))
-    return (v.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) <= max_group_rows
+    if stats is None:
+        stats = group_stats(df, keys, value)
+    return (stats.agg(F.max("_n")).first()[0] or 0) <= max_group_rows
 
 
 def percentile_expr(value: str, p: float):
@@ -77,11 +103,12 @@ def group_quantiles(df: DataFrame, keys, value: str, probs: dict,
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
-    if bounded_groups(df, keys, value, max_group_rows):
+    stats = group_stats(df, keys, value)
+    if bounded_groups(df, keys, value, max_group_rows, stats=stats):
         aggs = [F.percentile("_x", float(p)).alias(name) for name, p in probs.items()]
         res = v.groupBy(*keys).agg(*aggs)
     else:
-        res = distributed_quantiles(v, keys, "_x", probs, buckets, final_rows)
+        res = distributed_quantiles(v, keys, "_x", probs, buckets, final_rows, stats=stats)
     if not keys:
         return res
     # groups whose values are all null still get a row (null quantiles)
@@ -92,22 +119,21 @@ def group_quantiles(df: DataFrame, keys, value: str, probs: dict,
 
 
 def distributed_quantiles(df: DataFrame, keys, value: str, probs: dict,
-                          buckets: int | None = None, final_rows: int | None = None) -> DataFrame:
-    """Exact quantiles by iterative bucket refinement (see module doc)."""
+                          buckets: int | None = None, final_rows: int | None = None,
+                          stats: DataFrame | None = None) -> DataFrame:
+    """Exact quantiles by iterative bucket refinement (see module doc). ``stats`` is the
+    ``group_stats`` table of the same input when the caller has it already."""
     buckets = buckets or BUCKETS
     final_rows = final_rows or FINAL_ROWS
     from quizlake.session import shared_dir
 
     keys = list(keys)
     kc = _key_cols(keys)
-    v = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
-        F.col("_x").isNotNull() & ~F.isnan("_x"))
-    if not keys:
-        v = v.withColumn("_g", F.lit(0))
+    v = _values(df, keys, value)
     shared_dir(v.sparkSession)  # checkpoints go to the shared checkpoint location
 
-    stats = v.groupBy(*kc).agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_a"),
-                               F.max("_x").alias("_b"))
+    if stats is None:
+        stats = group_stats(df, keys, value)
     wanted = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(float(p)).alias("p"))
                        for name, p in probs.items()])
     targets = (stats.select(*kc, "_n", "_a", "_b", F.explode(wanted).alias("_w"))

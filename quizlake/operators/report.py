@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quizlake import constants as K
 from quizlake.operators.quantiles import (bounded_groups, distributed_quantiles, group_quantiles,
-                                         percentile_expr)
+                                         group_stats, percentile_expr)
 from quizlake.schemas import require_columns
 
 LATENCY_DIGITS = 6  # means and quantiles are rounded to 6 decimals (float noise)
@@ -83,12 +83,13 @@ def aggregate_results(df: DataFrame, dims) -> DataFrame:
         F.avg(correct_int.cast("double")).alias("precision"),
         F.round(F.avg("response_time"), LATENCY_DIGITS).alias("latence_moyenne"),
     ]
-    if bounded_groups(df, dims, "response_time"):
+    stats = group_stats(df, dims, "response_time")
+    if bounded_groups(df, dims, "response_time", stats=stats):
         med = F.round(percentile_expr("response_time", 0.5), LATENCY_DIGITS).alias("latence_mediane")
         out = df.groupBy(*dims).agg(*aggs, med)
     else:
         base = df.groupBy(*dims).agg(*aggs)
-        q = distributed_quantiles(df, dims, "response_time", {"latence_mediane": 0.5})
+        q = distributed_quantiles(df, dims, "response_time", {"latence_mediane": 0.5}, stats=stats)
         q = q.withColumn("latence_mediane", F.round("latence_mediane", LATENCY_DIGITS))
         if dims:
             out = _null_safe_join(base, q, dims)
@@ -173,11 +174,12 @@ def report_kpis(filtered: DataFrame) -> DataFrame:
     ]
     probs = {"latency_median": 0.5, "latency_p95": 0.95}
     succ = successful(filtered)
-    if bounded_groups(succ, [], "response_time"):
+    stats = group_stats(succ, [], "response_time")
+    if bounded_groups(succ, [], "response_time", stats=stats):
         lat = F.when(ok, F.col("response_time"))
         return filtered.agg(*aggs, *[F.round(F.percentile(F.when(~F.isnan(lat), lat), p), LATENCY_DIGITS).alias(n)
                                      for n, p in probs.items()])
-    q = distributed_quantiles(succ, [], "response_time", probs)
+    q = distributed_quantiles(succ, [], "response_time", probs, stats=stats)
     return filtered.agg(*aggs).withColumns(
         {c: F.round(q.select(c).scalar(), LATENCY_DIGITS) for c in probs})
 
