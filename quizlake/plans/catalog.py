@@ -326,7 +326,8 @@ def q_run_summary(spark, sf):
 # --------------------------------------------------------------------------- ingest
 
 def q_ingest_payload(spark, sf):
-    return payloads.ingest_pages(fx.payload_pages(spark, sf), fetched_at=fx.FIXTURE_RUN_TS)
+    return payloads.ingest_pages(fx.payload_pages(spark, sf), fetched_at=fx.FIXTURE_RUN_TS,
+                                source=fx.PAYLOAD_SOURCE)
 
 
 def q_ingest_categories(spark, sf):
@@ -354,7 +355,8 @@ def q_payload_disposition(spark, sf):
 
 def q_bronze_completeness(spark, sf):
     declared = payloads.ingest_counts(fx.category_count_payloads(spark, sf))
-    collected = payloads.ingest_pages(fx.payload_pages(spark, sf), fetched_at=fx.FIXTURE_RUN_TS)
+    collected = payloads.ingest_pages(fx.payload_pages(spark, sf), fetched_at=fx.FIXTURE_RUN_TS,
+                                source=fx.PAYLOAD_SOURCE)
     return payloads.bronze_completeness(declared, collected)
 
 

@@ -14,6 +14,7 @@ from quizlake import constants as K
 
 FIXTURE_MODEL = "fixture-model"
 FIXTURE_RUN_TS = "2024-01-01T00:00:00+00:00"
+PAYLOAD_SOURCE = "recorded-api"  # Bronze ``source`` label of the recorded API pages
 DUPLICATE_OFFSET = 1_000_000_000
 
 

@@ -222,7 +222,7 @@ pgrc AS (SELECT cat_no, page_no, {RC} AS response_code FROM (SELECT DISTINCT cat
 INGESTED = f"""ingested AS (
   SELECT cat_no * 1000000000 + page_no * 1000 + pos AS ordinal, category, type, difficulty, question, correct_answer,
     '[' || CAST(to_json(inc1) AS VARCHAR) || ', ' || CAST(to_json(inc2) AS VARCHAR) || ']' AS incorrect_answers,
-    {lit(K.SOURCE_LABEL)} AS source, CAST(cat_no AS VARCHAR) AS category_id, '{RUN_TS}' AS fetched_at
+    'recorded-api' AS source, CAST(cat_no AS VARCHAR) AS category_id, '{RUN_TS}' AS fetched_at
   FROM (SELECT *, row_number() OVER (PARTITION BY cat_no, page_no ORDER BY ordinal) - 1 AS pos FROM pg)
   WHERE {RC} = 0)"""
 

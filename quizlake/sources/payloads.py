@@ -64,11 +64,12 @@ def payload_disposition(pages: DataFrame) -> DataFrame:
                     F.when(F.col("page_no") > F.col("_stop"), "skipped").otherwise(loose).alias("loose_action")))
 
 
-def ingest_pages(pages: DataFrame, fetched_at: str, source: str = K.SOURCE_LABEL,
+def ingest_pages(pages: DataFrame, fetched_at: str, source: str,
                  strict: bool = False) -> DataFrame:
     """Bronze rows from accepted pages, in request order (``ordinal``).
 
-    ``incorrect_answers`` is stored as JSON text exactly as ``json.dumps`` writes it.
+    ``incorrect_answers`` is stored as JSON text exactly as ``json.dumps`` writes it;
+    ``source`` labels where the documents came from (written on every row).
     With ``strict``, any page that is neither accepted nor retried fails the job.
     """
     d = pages.select("category_id", "page_no", F.from_json("payload", PAGE_PAYLOAD_SCHEMA).alias("d"))

@@ -42,7 +42,7 @@ def test_ingest_keeps_json_dumps_dialect(spark):
                                           ' "difficulty": "easy", "question": "Q?", "correct_answer": "A",'
                                           ' "incorrect_answers": ["B \\"x\\"", "C"]}]}')],
                                   "category_id long, page_no long, payload string")
-    r = payloads.ingest_pages(pages, "t").first()
+    r = payloads.ingest_pages(pages, "t", "recorded-api").first()
     assert r.incorrect_answers == '["B \\"x\\"", "C"]' and r.category_id == "3"
 
 
