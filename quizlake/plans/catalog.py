@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quizlake.functions import html_decode, normalize_answer, parse_distractors, question_id
 from quizlake.functions.keys import json_array_text
-from quizlake.functions.timefmt import iso_utc
+from quizlake.functions.timefmt import iso_utc_naive
 from quizlake.operators import clean, gold, grade, report, resume
 from quizlake.plans import fixtures as fx
 from quizlake.session import fresh_dir, shared_dir
@@ -340,9 +340,9 @@ def q_ingest_counts(spark, sf):
 
 def q_iso_timestamps(spark, sf):
     """Fetch times rendered as ``isoformat()`` text (C18) for every event. The stored
-    values are naive UTC wall clocks; the session time zone is UTC (``session``)."""
+    values are naive UTC wall clocks."""
     e = fx.table(spark, sf, "events")
-    return e.select("event_id", iso_utc(F.col("ts").cast("timestamp")).alias("fetched_at"))
+    return e.select("event_id", iso_utc_naive(F.col("ts")).alias("fetched_at"))
 
 
 def q_page_plan(spark, sf):
