@@ -44,14 +44,14 @@ def _items(spark, sf):
     return out
 
 
-def _graded(spark, sf):
-    items = _items(spark, sf)
+def _graded(spark, sf, items=None):
+    items = _items(spark, sf) if items is None else items
     return grade.grade_responses(items, fx.responses(items), fx.FIXTURE_MODEL, fx.FIXTURE_RUN_TS)
 
 
-def _checkpoint(spark, sf):
+def _checkpoint(spark, sf, items=None):
     """Silver saved by an earlier ``--limit`` run over the first items."""
-    items = _items(spark, sf)
+    items = _items(spark, sf) if items is None else items
     first = clean.limit_items(items, LIMIT_N)
     return grade.grade_responses(first, fx.responses(items), fx.FIXTURE_MODEL, fx.FIXTURE_RUN_TS)
 
@@ -292,27 +292,29 @@ def q_checkpoint_compat(spark, sf):
 
 
 def q_resume_pending(spark, sf):
-    return resume.pending(_items(spark, sf), _checkpoint(spark, sf)).select("ordinal", "question_id")
+    items = _items(spark, sf)
+    return resume.pending(items, _checkpoint(spark, sf, items)).select("ordinal", "question_id")
 
 
 def q_resume_retry(spark, sf):
     items = _items(spark, sf)
-    kept = resume.retry_errors(_checkpoint(spark, sf), items)
+    kept = resume.retry_errors(_checkpoint(spark, sf, items), items)
     return resume.pending(items, kept).select("ordinal", "question_id")
 
 
 def q_resume_kept(spark, sf):
     """Checkpoint holding every item twice (original run, then copies) filtered to the
     current source and reduced to the first row per item."""
+    items = _items(spark, sf)
     raw = clean.clean_items(fx.bronze(spark, sf), dedupe=False)
-    saved = grade.grade_responses(raw, fx.responses(_items(spark, sf)), fx.FIXTURE_MODEL, fx.FIXTURE_RUN_TS)
-    source = _items(spark, sf).filter(F.col("item_error").isNull())
+    saved = grade.grade_responses(raw, fx.responses(items), fx.FIXTURE_MODEL, fx.FIXTURE_RUN_TS)
+    source = items.filter(F.col("item_error").isNull())
     return resume.resume_kept(saved, source).select("ordinal", "question_id", "difficulty", "status")
 
 
 def q_resume_merge(spark, sf):
     items = _items(spark, sf)
-    saved = _checkpoint(spark, sf)
+    saved = _checkpoint(spark, sf, items)
     todo = resume.pending(items, saved)
     new = grade.grade_responses(todo, fx.responses(items), fx.FIXTURE_MODEL, fx.FIXTURE_RUN_TS)
     return resume.merge_results(saved, new).select("ordinal", "question_id", "status", "ai_correct")
@@ -320,7 +322,7 @@ def q_resume_merge(spark, sf):
 
 def q_run_summary(spark, sf):
     items = _items(spark, sf)
-    return resume.run_summary(_graded(spark, sf), items)
+    return resume.run_summary(_graded(spark, sf, items), items)
 
 
 # --------------------------------------------------------------------------- ingest
