@@ -135,7 +135,11 @@ REPORT_LEVELS = {
 def report_grouping_sets(ok: DataFrame) -> DataFrame:
     """All report levels in one scan (one Expand + one aggregate instead of 5 jobs).
 
-    ``level`` names the grouping set; medians are a separate job (``aggregate_results``).
+    ``level`` names the grouping set. The ``all`` level holds every row, so it is the
+    largest group: when it is small enough for the exact built-in quantile, the median
+    latency is one more aggregate of the same pass. Otherwise the medians come from the
+    distributed selection over the rows expanded per level (keyed by the level and its
+    columns) and are joined on those keys.
     """
     order = ["difficulty", "type", "category", "model"]
     gid = F.grouping_id(*order)
@@ -144,13 +148,27 @@ def report_grouping_sets(ok: DataFrame) -> DataFrame:
         level = F.when(gid == _gid(cols), F.lit(name)).otherwise(level)
     sets = [[F.col(c) for c in cols] for cols in REPORT_LEVELS.values()]
     correct_int = F.col("ai_correct").cast("int")
-    return (ok.groupingSets(sets, *order)
-            .agg(level.alias("level"),
-                 F.count(F.lit(1)).alias("questions"),
-                 F.coalesce(F.sum(correct_int), F.lit(0)).cast("bigint").alias("bonnes_reponses"),
-                 (F.avg(correct_int.cast("double")) * 100).alias("precision_pct"),
-                 F.round(F.avg("response_time"), LATENCY_DIGITS).alias("latence_moyenne"))
-            .select("level", *order, "questions", "bonnes_reponses", "precision_pct", "latence_moyenne"))
+    aggs = [level.alias("level"),
+            F.count(F.lit(1)).alias("questions"),
+            F.coalesce(F.sum(correct_int), F.lit(0)).cast("bigint").alias("bonnes_reponses"),
+            (F.avg(correct_int.cast("double")) * 100).alias("precision_pct"),
+            F.round(F.avg("response_time"), LATENCY_DIGITS).alias("latence_moyenne")]
+    cols = ["level", *order, "questions", "bonnes_reponses", "precision_pct", "latence_moyenne", "latence_mediane"]
+    stats = group_stats(ok, [], "response_time")
+    if bounded_groups(ok, [], "response_time", stats=stats):
+        med = F.round(percentile_expr("response_time", 0.5), LATENCY_DIGITS).alias("latence_mediane")
+        return ok.groupingSets(sets, *order).agg(*aggs, med).select(*cols)
+    base = ok.groupingSets(sets, *order).agg(*aggs)
+    types = dict(ok.dtypes)
+    per_level = F.array(*[
+        F.struct(F.lit(name).alias("level"),
+                 *[(F.col(c) if c in lcols else F.lit(None).cast(types[c])).alias(c) for c in order],
+                 F.col("response_time").alias("response_time"))
+        for name, lcols in REPORT_LEVELS.items()])
+    expanded = ok.select(F.explode(per_level).alias("_e")).select("_e.*")
+    q = distributed_quantiles(expanded, ["level", *order], "response_time", {"latence_mediane": 0.5})
+    q = q.withColumn("latence_mediane", F.round("latence_mediane", LATENCY_DIGITS))
+    return _null_safe_join(base, q, ["level", *order]).select(*cols)
 
 
 def _gid(cols) -> int:

@@ -89,3 +89,21 @@ def test_kpis_same_on_distributed_path(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "FINAL_ROWS", 25)
     dist = report.report_kpis(filtered).first().asDict()
     assert fast == dist
+
+
+def test_grouping_sets_same_on_distributed_path(spark, monkeypatch):
+    from quizlake.operators import quantiles
+
+    ok = report.successful(report.apply_filters(fx.attempts(spark, SF001)))
+    key = ("level", "difficulty", "type", "category", "model")
+
+    def rows():
+        return {tuple(r[k] for k in key): r.asDict() for r in report.report_grouping_sets(ok).collect()}
+
+    fast = rows()
+    monkeypatch.setattr(quantiles, "MAX_GROUP_ROWS", 10)
+    monkeypatch.setattr(quantiles, "FINAL_ROWS", 15)
+    dist = rows()
+    assert fast == dist and len(fast) > 10
+    by_model = {r.model: r.latence_mediane for r in report.aggregate_results(ok, ["model"]).collect()}
+    assert {k[4]: v["latence_mediane"] for k, v in fast.items() if k[0] == "model"} == by_model
