@@ -132,21 +132,23 @@ REPORT_LEVELS = {
 }
 
 
-def report_grouping_sets(ok: DataFrame) -> DataFrame:
+def report_grouping_sets(ok: DataFrame, levels=None, with_median: bool = True) -> DataFrame:
     """All report levels in one scan (one Expand + one aggregate instead of 5 jobs).
 
     ``level`` names the grouping set. The ``all`` level holds every row, so it is the
     largest group: when it is small enough for the exact built-in quantile, the median
     latency is one more aggregate of the same pass. Otherwise the medians come from the
     distributed selection over the rows expanded per level (keyed by the level and its
-    columns) and are joined on those keys.
+    columns) and are joined on those keys. ``levels`` picks some of ``REPORT_LEVELS``
+    (all by default).
     """
+    chosen = {n: REPORT_LEVELS[n] for n in (levels or REPORT_LEVELS)}
     order = ["difficulty", "type", "category", "model"]
     gid = F.grouping_id(*order)
     level = F.lit(None).cast("string")
-    for name, cols in reversed(list(REPORT_LEVELS.items())):
+    for name, cols in reversed(list(chosen.items())):
         level = F.when(gid == _gid(cols), F.lit(name)).otherwise(level)
-    sets = [[F.col(c) for c in cols] for cols in REPORT_LEVELS.values()]
+    sets = [[F.col(c) for c in cols] for cols in chosen.values()]
     correct_int = F.col("ai_correct").cast("int")
     aggs = [level.alias("level"),
             F.count(F.lit(1)).alias("questions"),
@@ -154,6 +156,8 @@ def report_grouping_sets(ok: DataFrame) -> DataFrame:
             (F.avg(correct_int.cast("double")) * 100).alias("precision_pct"),
             F.round(F.avg("response_time"), LATENCY_DIGITS).alias("latence_moyenne")]
     cols = ["level", *order, "questions", "bonnes_reponses", "precision_pct", "latence_moyenne", "latence_mediane"]
+    if not with_median:
+        return ok.groupingSets(sets, *order).agg(*aggs).select(*cols[:-1])
     stats = group_stats(ok, [], "response_time")
     if bounded_groups(ok, [], "response_time", stats=stats):
         med = F.round(percentile_expr("response_time", 0.5), LATENCY_DIGITS).alias("latence_mediane")
@@ -164,7 +168,7 @@ def report_grouping_sets(ok: DataFrame) -> DataFrame:
         F.struct(F.lit(name).alias("level"),
                  *[(F.col(c) if c in lcols else F.lit(None).cast(types[c])).alias(c) for c in order],
                  F.col("response_time").alias("response_time"))
-        for name, lcols in REPORT_LEVELS.items()])
+        for name, lcols in chosen.items()])
     expanded = ok.select(F.explode(per_level).alias("_e")).select("_e.*")
     q = distributed_quantiles(expanded, ["level", *order], "response_time", {"latence_mediane": 0.5})
     q = q.withColumn("latence_mediane", F.round("latence_mediane", LATENCY_DIGITS))
@@ -266,11 +270,8 @@ def latency_histogram(ok: DataFrame, bins: int = 40) -> DataFrame:
 
 
 def speed_accuracy(ok: DataFrame) -> DataFrame:
-    """Points (mean latency, precision, size) per category and per model."""
-    cat = aggregate_results(ok, ["category"]).select(
-        F.lit("category").alias("level"), F.col("category").alias("name"),
-        "latence_moyenne", "precision_pct", "questions")
-    mod = aggregate_results(ok, ["model"]).select(
-        F.lit("model").alias("level"), F.col("model").alias("name"),
-        "latence_moyenne", "precision_pct", "questions")
-    return cat.unionByName(mod)
+    """Points (mean latency, precision, size) per category and per model, from one
+    grouping-sets pass over the two levels (no median needed)."""
+    g = report_grouping_sets(ok, levels=["category", "model"], with_median=False)
+    name = F.when(F.col("level") == "category", F.col("category")).otherwise(F.col("model"))
+    return g.select("level", name.alias("name"), "latence_moyenne", "precision_pct", "questions")
