@@ -33,11 +33,12 @@ def prepare_report_input(df: DataFrame) -> DataFrame:
 def filter_options(df: DataFrame) -> DataFrame:
     """Selectable values per filter: distinct non-null models and categories, sorted;
     difficulties restricted to the fixed order. Columns: filter, value, position."""
-    models = df.select(F.lit("model").alias("filter"), F.col("model").alias("value")).distinct()
-    cats = df.select(F.lit("category").alias("filter"), F.col("category").alias("value")).distinct()
-    diffs = (df.select(F.lit("difficulty").alias("filter"), F.col("difficulty").alias("value"))
-             .filter(F.col("value").isin(K.DIFFICULTY_ORDER)).distinct())
-    out = models.unionByName(cats).unionByName(diffs).filter(F.col("value").isNotNull())
+    pairs = F.array(*[F.struct(F.lit(c).alias("filter"), F.col(c).cast("string").alias("value"))
+                      for c in ("model", "category", "difficulty")])
+    out = (df.select(F.explode(pairs).alias("_p")).select("_p.*")  # one scan, one distinct
+           .filter(F.col("value").isNotNull()
+                   & ((F.col("filter") != "difficulty") | F.col("value").isin(K.DIFFICULTY_ORDER)))
+           .distinct())
     pos = F.when(F.col("filter") == "difficulty",
                  F.array_position(F.array(*[F.lit(d) for d in K.DIFFICULTY_ORDER]), F.col("value")) - 1)
     return out.withColumn("position", pos.cast("bigint")).orderBy("filter", "position", "value")
