@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quizlake import constants as K
 from quizlake.operators.clean import keep_first
 from quizlake.operators.gold import pct
-from quizlake.operators.quantiles import group_quantiles
+from quizlake.operators.quantiles import bounded_groups, distributed_quantiles, group_stats
 
 
 def _params_match(model, prompt_version, temperature, max_tokens):
@@ -89,7 +89,7 @@ def run_summary(results: DataFrame, target: DataFrame) -> DataFrame:
     wrong, accuracy, mean and median latency of valid answers."""
     r = results.join(target.select("question_id").distinct(), "question_id", "left_semi")
     ok = F.col("status") == K.STATUS_SUCCESS
-    base = r.agg(
+    aggs = [
         F.count(F.lit(1)).alias("processed"),
         F.count_if(ok).alias("valid"),
         (F.count(F.lit(1)) - F.count_if(ok)).alias("errors"),
@@ -97,6 +97,11 @@ def run_summary(results: DataFrame, target: DataFrame) -> DataFrame:
         (F.count_if(ok) - F.count_if(ok & F.coalesce(F.col("ai_correct"), F.lit(False)))).alias("wrong"),
         pct(F.count_if(ok & F.coalesce(F.col("ai_correct"), F.lit(False))), F.count_if(ok)).alias("accuracy_pct"),
         F.round(F.avg(F.when(ok, F.col("response_time"))), 6).alias("mean_time"),
-    )
-    med = group_quantiles(r.filter(ok), [], "response_time", {"median_time": 0.5})
-    return base.withColumn("median_time", F.round(med.select("median_time").scalar(), 6))
+    ]
+    valid = r.filter(ok)
+    stats = group_stats(valid, [], "response_time")
+    if bounded_groups(valid, [], "response_time", stats=stats):  # median in the same pass
+        lat = F.when(ok, F.col("response_time"))
+        return r.agg(*aggs, F.round(F.percentile(F.when(~F.isnan(lat), lat), 0.5), 6).alias("median_time"))
+    med = distributed_quantiles(valid, [], "response_time", {"median_time": 0.5}, stats=stats)
+    return r.agg(*aggs).withColumn("median_time", F.round(med.select("median_time").scalar(), 6))
