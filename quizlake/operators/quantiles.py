@@ -62,8 +62,9 @@ def _values(df: DataFrame, keys, value: str) -> DataFrame:
 
 
 def group_stats(df: DataFrame, keys, value: str) -> DataFrame:
-    """Per group: count ``_n``, min ``_a`` and max ``_b`` of the values, in one partial
-    aggregate, written as a reliable checkpoint (one small row per group).
+    """Per group: count ``_n``, min ``_a`` and max ``_b`` of the non-null, non-NaN values,
+    in one partial aggregate, written as a reliable checkpoint (one small row per group,
+    groups without values included).
 
     The same table decides the quantile path (``bounded_groups``) and seeds the
     selection (``distributed_quantiles``), so the input is scanned once for both.
@@ -71,9 +72,15 @@ def group_stats(df: DataFrame, keys, value: str) -> DataFrame:
     from quizlake.session import shared_dir
 
     shared_dir(df.sparkSession)
-    kc = _key_cols(list(keys))
-    return (_values(df, list(keys), value).groupBy(*kc)
-            .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_a"), F.max("_x").alias("_b"))
+    keys = list(keys)
+    kc = _key_cols(keys)
+    x = F.col(value).cast("double")
+    v = df.select(*keys, F.when(x.isNotNull() & ~F.isnan(x), x).alias("_x"))
+    if not keys:
+        v = v.withColumn("_g", F.lit(0))
+    # every group gets a row, also one without any value (``_n`` = 0, bounds null)
+    return (v.groupBy(*kc)
+            .agg(F.count("_x").alias("_n"), F.min("_x").alias("_a"), F.max("_x").alias("_b"))
             .checkpoint())
 
 
@@ -111,8 +118,9 @@ def group_quantiles(df: DataFrame, keys, value: str, probs: dict,
         res = distributed_quantiles(v, keys, "_x", probs, buckets, final_rows, stats=stats)
     if not keys:
         return res
-    # groups whose values are all null still get a row (null quantiles)
-    groups = df.select(*keys).distinct()
+    # groups whose values are all null still get a row (null quantiles); the stats table
+    # lists every group, so no other pass over the input is needed
+    groups = stats.select(*keys)
     s = res.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *probs.keys())
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
     return groups.join(s, cond, "left").drop(*[f"_s_{k}" for k in keys])
@@ -134,6 +142,7 @@ def distributed_quantiles(df: DataFrame, keys, value: str, probs: dict,
 
     if stats is None:
         stats = group_stats(df, keys, value)
+    stats = stats.filter(F.col("_n") > 0)
     wanted = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(float(p)).alias("p"))
                        for name, p in probs.items()])
     targets = (stats.select(*kc, "_n", "_a", "_b", F.explode(wanted).alias("_w"))

@@ -107,3 +107,15 @@ def test_grouping_sets_same_on_distributed_path(spark, monkeypatch):
     assert fast == dist and len(fast) > 10
     by_model = {r.model: r.latence_mediane for r in report.aggregate_results(ok, ["model"]).collect()}
     assert {k[4]: v["latence_mediane"] for k, v in fast.items() if k[0] == "model"} == by_model
+
+
+def test_group_without_values_keeps_a_null_row(spark, monkeypatch):
+    from quizlake.operators import quantiles
+
+    rows = [("a", float(i)) for i in range(30)] + [("b", None), ("b", float("nan")), (None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    fast = {r.g: r.m for r in quantiles.group_quantiles(df, ["g"], "x", {"m": 0.5}).collect()}
+    monkeypatch.setattr(quantiles, "MAX_GROUP_ROWS", 5)
+    dist = {r.g: r.m for r in quantiles.group_quantiles(df, ["g"], "x", {"m": 0.5}, buckets=4,
+                                                          final_rows=6).collect()}
+    assert fast == dist == {"a": 14.5, "b": None, None: 4.0}
