@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,8 +64,9 @@ def _values(df: DataFrame, keys, value: str) -> DataFrame:
 
 def group_stats(df: DataFrame, keys, value: str) -> DataFrame:
     """Per group: count ``_n``, min ``_a`` and max ``_b`` of the non-null, non-NaN values,
-    in one partial aggregate, written as a reliable checkpoint (one small row per group,
-    groups without values included).
+    in one partial aggregate (one small row per group, groups without values included),
+    kept in Spark's cache (memory and disk; rebuilt from lineage if an executor is lost).
+    The distributed path writes it as a reliable checkpoint before its passes.
 
     The same table decides the quantile path (``bounded_groups``) and seeds the
     selection (``distributed_quantiles``), so the input is scanned once for both.
@@ -81,7 +83,7 @@ def group_stats(df: DataFrame, keys, value: str) -> DataFrame:
     # every group gets a row, also one without any value (``_n`` = 0, bounds null)
     return (v.groupBy(*kc)
             .agg(F.count("_x").alias("_n"), F.min("_x").alias("_a"), F.max("_x").alias("_b"))
-            .checkpoint())
+            .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def bounded_groups(df: DataFrame, keys, value: str, max_group_rows: int | None = None,
@@ -142,7 +144,9 @@ def distributed_quantiles(df: DataFrame, keys, value: str, probs: dict,
 
     if stats is None:
         stats = group_stats(df, keys, value)
-    stats = stats.filter(F.col("_n") > 0)
+    # the selection runs many passes: cut the stats' lineage once (a reliable checkpoint of
+    # one small row per group, written from the cache), so no pass or retry rescans the input
+    stats = stats.checkpoint().filter(F.col("_n") > 0)
     wanted = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(float(p)).alias("p"))
                        for name, p in probs.items()])
     targets = (stats.select(*kc, "_n", "_a", "_b", F.explode(wanted).alias("_w"))
