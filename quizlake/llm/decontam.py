@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizlake.llm.tokens import alnum_words, chunks, table
+from quizlake.llm.store import table
+from quizlake.llm.tokens import alnum_words, chunks
 
 BLOCK_WORDS = 200_000
 WINDOW = 10

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from quizlake.llm.decontam import op7_decontamination
+from quizlake.llm.quality import op1_quality_classifier
+from quizlake.llm.sketch_join import op9_jaccard_join
 
 QUERIES = {f.__name__: f for f in (
+    op1_quality_classifier,
     op7_decontamination,
+    op9_jaccard_join,
 )}
 
 ORACLE: dict[str, str] = {}

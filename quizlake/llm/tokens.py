@@ -164,6 +164,3 @@ def held_out(doc_id: str = "doc_id", folds: int = 3) -> Column:
     """True for the fold kept out of learning (crc32 of the id's text, remainder 1); null id: false."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 1, F.lit(False))
 
-
-def table(spark, sf_dir: str, name: str):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
