@@ -180,9 +180,6 @@ def _blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Suf
         yield SuffixAutomaton(items, window)
 
 
-HITS = "__spans array<int>, __items array<string>, __n_words bigint"
-
-
 def _scan(automaton, column: str):
     """mapInArrow function: merge one block's hits into __spans (flat word spans) and __items."""
     def run(batches):

@@ -16,9 +16,11 @@ shortens the symmetric difference, so it costs no pair and keeps shared passages
 large groups.
 
 Equal sets are one entry throughout. Documents under one key are compared with the smallest of
-them first (a star, linear in the group), verified exactly on the full sets, and merged; then
-every pair of a key whose two sides are still in different components is verified as well, so
-the components are those of all links.
+them first (a star, linear in the group): pairs whose whole sketches differ in more bits than the
+bound are out, the others are verified exactly on their full sets, and links are merged. Then
+every pair of a key whose two sides are still in different components goes the same way, so the
+components are those of all links. Whole sketches hold two to four bits a shingle; the longer one
+of a pair is folded onto the shorter.
 
 Cases: null or empty texts and texts of separators have an empty set and are linked with
 nothing (their own component); copies share a component; several rows with one doc_id are rows
@@ -71,14 +73,29 @@ def _set_ids(counts: np.ndarray, h: np.ndarray) -> np.ndarray:
     return sid
 
 
+def sketch_bits(n: int) -> int:
+    """Bits of the whole sketch of a set of n shingles: a power of two, 64 at least."""
+    return max(64, 2 << int(n).bit_length())
+
+
+def parity_sketch(h: np.ndarray) -> bytes:
+    """The packed sketch: every shingle flips the bit of its hash."""
+    bits = sketch_bits(len(h))
+    flips = np.bincount((h & U64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
+
+
 def _describe(batches):
     for batch in batches:
         n = np.zeros(batch.num_rows, np.int64)
         sid = np.zeros(batch.num_rows, np.int64)
+        sketch = []
         for lo, hi, counts, h in _sets(batch.column("text")):
             n[lo:hi], sid[lo:hi] = counts, _set_ids(counts, h)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(sid)],
-                                         names=["doc_id", "n", "sid"])
+            at = np.concatenate([[0], np.cumsum(counts)]).tolist()
+            sketch += [parity_sketch(h[a:b]) for a, b in zip(at, at[1:])]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(sid), pa.array(sketch, pa.binary())],
+                                         names=["doc_id", "n", "sid", "sketch"])
 
 
 def _common_shingles(docs: DataFrame) -> np.ndarray:
@@ -112,12 +129,10 @@ def band_plan(n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     for cls in (own, own - 1):
         high = (np.int64(1) << np.maximum(cls + 1, 0)) - 1
         bands = (2 * high + 4) // 5 + 1
-        differ = (n + high) // 7
         if cls is own:
-            differ = np.minimum(differ, n // 3)
-            fits = n > 0
+            differ, fits = n // 3, n > 0  # a partner has at most n / 0.75 shingles
         else:
-            fits = (cls >= 0) & (100 * high >= PERCENT * n)
+            differ, fits = (n + high) // 7, (cls >= 0) & (100 * high >= PERCENT * n)
         out.append((np.where(fits, cls, -1), bands, differ))
     return out
 
@@ -257,7 +272,7 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def _set_rows(bits):
-    """mapInArrow: (sid, n, packed shingles) of the texts whose doc_id passes the filter."""
+    """mapInArrow: (sid, packed shingles) of the texts whose doc_id passes the filter."""
     def run(batches):
         b = bits.value
         for batch in batches:
@@ -267,9 +282,8 @@ def _set_rows(bits):
             for _, _, counts, h in _sets(batch.column("text")):
                 at = np.concatenate([[0], np.cumsum(counts)]).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_set_ids(counts, h)), pa.array(counts),
-                     pa.array([h[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())],
-                    names=["sid", "n", "shingles"])
+                    [pa.array(_set_ids(counts, h)), pa.array([h[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())],
+                    names=["sid", "shingles"])
     return run
 
 
@@ -290,15 +304,41 @@ def _linked(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are linked."""
+def _near_sketches(batches):
+    """mapInArrow over candidate pairs with sizes and sketches: those within the Hamming bound."""
+    for batch in batches:
+        n = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        keep = []
+        for bound, x, y in zip((n // 7).tolist(), batch.column("sketch_a"), batch.column("sketch_b")):
+            a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            while len(a) != len(b):  # bit numbers modulo the shorter length: halves are XORed
+                a, b = (a, b) if len(a) > len(b) else (b, a)
+                a = a[:len(a) // 2] ^ a[len(a) // 2:]
+            keep.append(int(np.bitwise_count(a ^ b).sum()) <= bound)
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _likely(pairs: DataFrame, info: DataFrame) -> DataFrame:
+    """The pairs whose sizes and whole sketches allow a link."""
+    def side(x):
+        return info.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+
+    sized = pairs.join(side("a"), "a").join(side("b"), "b")
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
+    return sized.where(fits).mapInArrow(_near_sketches, "a bigint, b bigint")
+
+
+def _verify(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are linked; only texts that occur in a pair are read into sets."""
+    sids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    ids = sids.join(info.select("sid", "rep"), "sid").select(F.col("rep").alias("doc_id"))
+    bits = docs.sparkSession.sparkContext.broadcast(_id_filter(ids))
+    slot = F.expr(f"xxhash64(doc_id) & {(1 << FILTER_BITS) - 1}").alias("slot")
+    sets = docs.select(slot, "text").mapInArrow(_set_rows(bits), "sid bigint, shingles binary")
+    sets = saved(sets.join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "candidate-sets")
     left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("set_b"))
-    small = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT
-    sizes = sets.select("sid", "n")
-    likely = (pairs.join(sizes.select(F.col("sid").alias("a"), F.col("n").alias("n_a")), "a")
-              .join(sizes.select(F.col("sid").alias("b"), F.col("n").alias("n_b")), "b").where(small).select("a", "b"))
-    return likely.join(left, "a").join(right, "b").mapInArrow(_linked, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(_linked, "a bigint, b bigint")
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -331,7 +371,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     sc = spark.sparkContext
     docs = docs.select("doc_id", "text")
-    described = T.StructType([docs.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("sid", T.LongType())])
+    described = T.StructType([docs.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("sid", T.LongType()),
+                              T.StructField("sketch", T.BinaryType())])
     rows = saved(docs.mapInArrow(_describe, described), "sets-described")
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * BUCKET_BANDS)))
@@ -340,17 +381,13 @@ def _grouped(docs: DataFrame) -> DataFrame:
     shared = saved(emitted.repartition(buckets, "bucket").sortWithinPartitions("bucket")
                    .mapInArrow(_same_key, "key bigint, sid bigint"), "shared-bands")
     reps = rows.where("sid <> 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
-
-    candidates = shared.select("sid").distinct()
-    ids = candidates.join(reps, "sid").select(F.col("rep").alias("doc_id"))
-    bits = sc.broadcast(_id_filter(ids))
-    slot = F.expr(f"xxhash64(doc_id) & {(1 << FILTER_BITS) - 1}").alias("slot")
-    sets = docs.select(slot, "text").mapInArrow(_set_rows(bits), "sid bigint, n bigint, shingles binary")
-    sets = saved(sets.join(candidates, "sid", "left_semi").dropDuplicates(["sid"]), "candidate-sets")
+    met = shared.select("sid").distinct()
+    info = saved(rows.join(met, "sid", "left_semi").groupBy("sid").agg(
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "candidates")
 
     hub = shared.groupBy("key").agg(F.min("sid").alias("b"))
     star = saved(shared.join(hub, "key").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct(), "star-pairs")
-    links = saved(_verify(star, sets), "star-links")
+    links = saved(_verify(saved(_likely(star, info), "star-likely"), info, docs), "star-links")
     label = saved(components(links), "star-components")
 
     marked = shared.join(label, shared.sid == label.node, "left").select(
@@ -361,8 +398,10 @@ def _grouped(docs: DataFrame) -> DataFrame:
     pairs = (open_.withColumnRenamed("sid", "a").join(other, "key").where("label < label_b")
              .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
              .join(star, ["a", "b"], "left_anti"))
-    more = saved(_verify(pairs, sets), "cross-links")
-    label = components(links.union(more), "all-components")
+    cross = saved(_likely(pairs, info), "cross-likely")
+    if not cross.isEmpty():
+        more = saved(_verify(cross, info, docs), "cross-links")
+        label = components(links.union(more), "all-components")
 
     group = (reps.join(label, reps.sid == label.node, "left")
              .select("sid", "rep", F.coalesce("label", "sid").alias("label")))
@@ -392,16 +431,16 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: its smallest doc_id (repeated rows: one of them;
     several sets under that id: the one with the smallest set number, then the smallest text).
     Documents with an empty set all stay, one row each doc_id."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     found = _grouped(docs)
     first = found.where("sid <> 0").groupBy("component_id").agg(F.min(F.struct("doc_id", "sid")).alias("x"))
-    keep = first.select("x.*").union(found.where("sid = 0").select("doc_id", "sid").distinct())
-    keep = keep.select(F.col("doc_id").alias("__keep"), F.col("sid").alias("__keep_sid"))
+    keep = first.select("x.*").union(found.where("sid = 0").select("doc_id", "sid"))
+    keep = keep.select(key.alias("__key"), F.col("sid").alias("__sid"))
     schema = T.StructType([*docs.schema.fields, T.StructField("__sid", T.LongType())])
-    marked = docs.mapInArrow(_with_set_id(docs.columns), schema)
-    kept = marked.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")) & (F.col("__sid") == F.col("__keep_sid")),
-                       "left_semi")
-    one = Window.partitionBy("doc_id", "__sid").orderBy("text")
-    return kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").drop("__n", "__sid")
+    marked = docs.mapInArrow(_with_set_id(docs.columns), schema).withColumn("__key", key)
+    kept = marked.join(keep, ["__key", "__sid"], "left_semi")
+    one = Window.partitionBy("__key", "__sid").orderBy("text")  # the join's partitioning serves the window too
+    return kept.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*docs.columns)
 
 
 def op9_jaccard_join(spark, sf_dir: str) -> DataFrame:
