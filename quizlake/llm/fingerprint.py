@@ -29,6 +29,11 @@ SHINGLE, K = 5, 128
 BUCKET_DOCS, MAX_BUCKETS = 2000, 20_000
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often the expression repeats it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
     """Hashes of the shingles, in text order; empty without words."""
     clean = F.btrim(F.lower(F.coalesce(text, F.lit(""))), F.lit(" \t\n\u000b\f\r"))
@@ -38,8 +43,7 @@ def shingle_hashes(text: Column, shingle: int = SHINGLE) -> Column:
         at = F.sequence(F.lit(0), F.greatest(F.size(h) - shingle, F.lit(0)))
         return F.transform(at, lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(shingle)]))
 
-    # a one-element array binds the word hashes once for the whole inner expression
-    return F.when(F.length(clean) > 0, F.element_at(F.transform(F.array(words), hashes), 1)).otherwise(
+    return F.when(F.length(clean) > 0, bound(words, hashes)).otherwise(
         F.expr("cast(array() as array<bigint>)"))
 
 
@@ -73,9 +77,11 @@ def distinct_count(s: Column, k: int = K) -> Column:
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
     """Estimated Jaccard similarity of the sketched sets."""
-    union = merge(a, b, k)
-    both = F.size(F.array_intersect(union, F.array_intersect(a, b)))
-    return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union))
+    def share(union):
+        both = F.size(F.array_intersect(union, F.array_intersect(a, b)))
+        return F.when(F.size(union) == 0, F.lit(1.0)).otherwise(both / F.size(union))
+
+    return bound(merge(a, b, k), share)
 
 
 def containment(a: Column, b: Column, k: int = K) -> Column:

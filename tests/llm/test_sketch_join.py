@@ -41,9 +41,8 @@ def corpus(seed, groups=25):
     passage = [f"p{i}" for i in range(60)]
     docs = []
     for g in range(groups):
-        words = [f"v{rng.randrange(400)}" for _ in range(rng.choice([1, 3, 5, 6, 8, 12, 20, 40, 90, 200]))]
-        if g % 3 == 0:
-            words = words + passage
+        sizes = [1, 3, 5, 6, 8, 12, 20, 40, 90, 200] if g % 3 else [90, 120, 200]
+        words = [f"v{rng.randrange(400)}" for _ in range(rng.choice(sizes))] + passage * (g % 3 == 0)
         for _ in range(rng.choice([1, 1, 2, 5])):
             docs.append(" ".join(edited(rng, words, rng.randint(0, max(1, len(words) // 30)))))
     docs += ["junk line here again " * n for n in (3, 4, 50)]
@@ -61,7 +60,7 @@ def test_components_equal_brute_force(spark, monkeypatch):
 
 def test_leaving_out_common_shingles_loses_nothing(spark, monkeypatch):
     monkeypatch.setattr(S, "COMMON_SHARE", 1)
-    monkeypatch.setattr(S, "COMMON_COUNT", 3)
+    monkeypatch.setattr(S, "COMMON_COUNT", 8)
     docs = corpus(11, 30)
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert len(S._common_shingles(df)) > 0
