@@ -7,20 +7,22 @@ the symmetric difference of their sets, which for a Jaccard similarity of 0.75 i
 64-bit codes of its set bits. Size bands are powers of two; a document belongs to its own and,
 where a partner can be there, to the next smaller one, which fixes the number of bands.
 
-Pigeonhole: with at most d differing bands, of d + 1 non-empty bands of a document one is equal
-in both. So each document emits its first d + 1 non-empty bands in band order (of two linked
-documents the one whose emission ends earlier supplies the argument), or, having fewer, all
-bands, empty ones too. Shingles that are very common among otherwise unlike documents (found on
-a hashed share of the documents) flip no bit: leaving them out for all documents alike only
-shortens the symmetric difference, so it costs no pair and keeps shared passages from making
-large groups.
-
-Equal sets are one entry throughout. Documents under one key are compared with the smallest of
-them first (a star, linear in the group): pairs whose whole sketches differ in more bits than the
-bound are out, the others are verified exactly on their full sets, and links are merged. Then
-every pair of a key whose two sides are still in different components goes the same way, so the
-components are those of all links. Whole sketches hold two to four bits a shingle; the longer one
-of a pair is folded onto the shorter.
+Pigeonhole: with at most d differing bands, of d + s non-empty bands of a document at least s are
+equal in both. So each document emits its first d + s non-empty bands in band order (of two
+linked documents the one whose emission ends earlier supplies the argument), or, having fewer,
+all bands, empty ones too. As linked documents share s keys, each may drop its s - 1 most
+frequent ones (one order for all): the rarest shared key is never among them. This is what keeps
+passages that many documents share from joining them. Shingles that are very common among
+otherwise unlike documents (found on a hashed share of the documents) flip no bit: leaving them
+out for all documents alike only shortens the symmetric difference, so it costs no pair.
+
+Equal sets are one entry throughout. Documents under one key are compared with one of them (a
+star, linear in the group): pairs whose whole sketches differ in more bits than the bound are
+out, the others are verified exactly on their full sets, and links are merged. A few rounds with
+other centres follow for keys that still hold several components. What is left is compared pair
+by pair inside the tasks on whole sketches, and only pairs within the bound are handed on and
+verified, so the components are those of all links. Whole sketches hold two to four bits a
+shingle; the longer one of a pair is folded onto the shorter.
 
 Cases: null or empty texts and texts of separators have an empty set and are linked with
 nothing (their own component); copies share a component; several rows with one doc_id are rows
@@ -44,9 +46,13 @@ SHINGLE = 5
 PERCENT = 75
 #: Share of documents (one in) searched for common shingles, their count there, and how many are
 #: kept: these change the cost only, never the result.
-COMMON_SHARE, COMMON_COUNT, COMMON_MAX = 32, 16, 1 << 18
+COMMON_SHARE, COMMON_COUNT, COMMON_MAX = 16, 8, 1 << 18
+#: Linked documents share at least one key in so many of a size band's largest set.
+SHARED = 10
 #: Emitted bands gathered before they are handed on, and bands per reducer bucket.
 FLUSH, BUCKET_BANDS = 1 << 20, 1 << 20
+#: Rounds with other centres before the rest is compared pair by pair (cost only, not the result).
+ROUNDS = 2
 #: Bits of the map that keeps non-candidates out of the second reading of the texts.
 FILTER_BITS = 23
 _EMPTY = 0xD6E8FEB86659FD93
@@ -121,6 +127,11 @@ def _common_shingles(docs: DataFrame) -> np.ndarray:
     return np.sort(found.view(np.uint64))
 
 
+def shared_keys(cls):
+    """Keys that two linked documents of a size band share at least."""
+    return np.maximum(1, ((np.int64(2) << np.asarray(cls, dtype=np.int64)) - 1) // SHARED)
+
+
 def band_plan(n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For the own and the next smaller size band: (size band or -1, bands, most differing bands)."""
     n = np.asarray(n, dtype=np.int64)
@@ -128,7 +139,7 @@ def band_plan(n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     out = []
     for cls in (own, own - 1):
         high = (np.int64(1) << np.maximum(cls + 1, 0)) - 1
-        bands = (2 * high + 4) // 5 + 1
+        bands = (11 * high + 19) // 20 + 2
         if cls is own:
             differ, fits = n // 3, n > 0  # a partner has at most n / 0.75 shingles
         else:
@@ -137,20 +148,21 @@ def band_plan(n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     return out
 
 
-def band_keys(counts: np.ndarray, h: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(set number, key) of the emitted bands of a chunk's sets."""
+def band_keys(counts: np.ndarray, h: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set number, key, size band) of the emitted bands of a chunk's sets."""
     doc = np.repeat(np.arange(len(counts)), counts)
     if len(common) and len(h):
         at = np.minimum(np.searchsorted(common, h), len(common) - 1)
         light = common[at] != h
         doc, h = doc[light], h[light]
     code = mix(h + U64(0x2545F4914F6CDD1D))
-    docs, keys = [], []
+    docs, keys, owners = [], [], []
     for cls, bands, differ in band_plan(counts):
         use = cls[doc] >= 0
         d, x, c = doc[use], h[use], code[use]
         salt = mix((cls + 1).astype(np.uint64) * U64(0xBF58476D1CE4E5B9))
         wanted = np.flatnonzero(cls >= 0)
+        most = differ + shared_keys(np.maximum(cls, 0))
         emitted = np.zeros(len(counts), dtype=np.int64)
         if len(d):
             band = ((x >> U64(32)) * bands[d].astype(np.uint64)) >> U64(32)
@@ -161,36 +173,37 @@ def band_keys(counts: np.ndarray, h: np.ndarray, common: np.ndarray) -> tuple[np
             d, band = d[start], band[start]
             emitted = np.bincount(d, minlength=len(counts))
             rank = np.arange(len(d)) - (np.cumsum(emitted) - emitted)[d]
-            keep = rank <= differ[d]
+            keep = rank < most[d]
             docs.append(d[keep])
             keys.append(mix(value[keep] ^ mix(band[keep] + salt[d[keep]])))
-        for i in wanted[emitted[wanted] <= differ[wanted]].tolist():  # too few non-empty bands: all
+            owners.append(cls[d[keep]])
+        for i in wanted[emitted[wanted] < most[wanted]].tolist():  # too few non-empty bands: all
             have = band[d == i] if len(d) else np.zeros(0, np.uint64)
             empty = np.setdiff1d(np.arange(bands[i], dtype=np.uint64), have)
             docs.append(np.full(len(empty), i))
             keys.append(mix(U64(_EMPTY) ^ mix(empty + salt[i])))
+            owners.append(np.full(len(empty), cls[i]))
     if not docs:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(docs), np.concatenate(keys)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(docs), np.concatenate(keys), np.concatenate(owners)
 
 
 def _emit(buckets: int, common):
-    """mapInArrow: (bucket, keys, sids) with packed arrays; one entry a set and task."""
-    def rows(sids, keys):
-        sid, key = np.concatenate(sids), np.concatenate(keys)
+    """mapInArrow: (bucket, keys, size bands, sids) with packed arrays; one entry a set and task."""
+    def rows(parts):
+        sid, key, cls = (np.concatenate(x) for x in zip(*parts))
         bucket = ((key >> U64(32)) * U64(buckets)) >> U64(32)
         order = np.argsort(bucket, kind="stable")
-        sid, low, bucket = sid[order], key[order].astype(np.uint32), bucket[order].astype(np.int64)
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))
+        packed = key[order].astype(np.uint32), cls[order].astype(np.uint8), sid[order]
+        cut = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
         full = np.flatnonzero(np.diff(cut))
         return pa.RecordBatch.from_arrays(
             [pa.array(full.astype(np.int64)),
-             pa.array([low[cut[b]:cut[b + 1]].tobytes() for b in full], pa.binary()),
-             pa.array([sid[cut[b]:cut[b + 1]].tobytes() for b in full], pa.binary())],
-            names=["bucket", "keys", "sids"])
+             *(pa.array([x[cut[b]:cut[b + 1]].tobytes() for b in full], pa.binary()) for x in packed)],
+            names=["bucket", "keys", "bands", "sids"])
 
     def run(batches):
-        heavy, seen, sids, keys, size = common.value, set(), [], [], 0
+        heavy, seen, parts, size = common.value, set(), [], 0
         for batch in batches:
             for _, _, counts, h in _sets(batch.column("text")):
                 sid = _set_ids(counts, h)
@@ -199,15 +212,14 @@ def _emit(buckets: int, common):
                     if s and s not in seen:
                         seen.add(s)
                         new[i] = True
-                d, k = band_keys(counts[new], h[np.repeat(new, counts)], heavy)
-                sids.append(sid[new][d])
-                keys.append(k)
+                d, k, c = band_keys(counts[new], h[np.repeat(new, counts)], heavy)
+                parts.append((sid[new][d], k, c))
                 size += len(k)
                 if size >= FLUSH:
-                    yield rows(sids, keys)
-                    sids, keys, size = [], [], 0
+                    yield rows(parts)
+                    parts, size = [], 0
         if size:
-            yield rows(sids, keys)
+            yield rows(parts)
     return run
 
 
@@ -229,7 +241,7 @@ def _same_key(batches):
         size = np.diff(np.append(start, len(low)))
         several = np.repeat(size, size) > 1
         out = several & ~shared
-        key = low[out].astype(np.int64) | (np.int64(bucket) << 32)
+        key = low[out] | (np.int64(bucket) << 40)
         batch = pa.RecordBatch.from_arrays([pa.array(key), pa.array(sid[out])], names=["key", "sid"])
         if last:
             return batch, None
@@ -245,22 +257,32 @@ def _same_key(batches):
 
     bucket, lows, sids, size, kept = None, [], [], 0, None
     for batch in batches:
-        for b, k, s in zip(batch.column("bucket").to_pylist(), batch.column("keys"), batch.column("sids")):
+        for b, k, c, s in zip(batch.column("bucket").to_pylist(), *(batch.column(x) for x in ("keys", "bands", "sids"))):
             if b != bucket:
                 if bucket is not None:
                     yield flush(bucket, lows, sids, kept, True)[0]
                 bucket, lows, sids, size, kept = b, [], [], 0, None
-            lows.append(np.frombuffer(k.as_buffer(), np.uint32))
+            low = np.frombuffer(k.as_buffer(), np.uint32).astype(np.int64) << 8
+            lows.append(low | np.frombuffer(c.as_buffer(), np.uint8))
             sids.append(np.frombuffer(s.as_buffer(), np.int64))
             size += len(lows[-1])
             if size >= 4 * FLUSH:
                 out, kept = flush(bucket, lows, sids, kept, False)
-                lows, sids, size = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0
+                lows, sids, size = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
                 yield out
     if bucket is not None:
         yield flush(bucket, lows, sids, kept, True)[0]
 
 
+def _without_hottest(shared: DataFrame) -> DataFrame:
+    """Drops each document's most frequent keys in a size band, one fewer than linked ones share."""
+    often = shared.groupBy("key").agg(F.count("*").alias("often"))
+    spare = F.expr(f"greatest(1, ((2L << cast(key & 255 as int)) - 1) div {SHARED}) - 1")
+    order = Window.partitionBy("sid", F.expr("key & 255")).orderBy(F.desc("often"), "key")
+    ranked = shared.join(often, "key").withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") > spare).select("key", "sid")
+
+
 def _id_filter(ids: DataFrame) -> np.ndarray:
     """Bits of the hashed doc_ids (fixed size; with more ids it only lets more rows pass)."""
     slot = F.expr(f"xxhash64(doc_id) & {(1 << FILTER_BITS) - 1}")
@@ -304,6 +326,14 @@ def _linked(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (last axis: 64-bit words) on fewer words: bit numbers modulo the shorter length."""
+    while sketch.shape[-1] > words:
+        half = sketch.shape[-1] // 2
+        sketch = sketch[..., :half] ^ sketch[..., half:]
+    return sketch
+
+
 def _near_sketches(batches):
     """mapInArrow over candidate pairs with sizes and sketches: those within the Hamming bound."""
     for batch in batches:
@@ -311,10 +341,8 @@ def _near_sketches(batches):
         keep = []
         for bound, x, y in zip((n // 7).tolist(), batch.column("sketch_a"), batch.column("sketch_b")):
             a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            while len(a) != len(b):  # bit numbers modulo the shorter length: halves are XORed
-                a, b = (a, b) if len(a) > len(b) else (b, a)
-                a = a[:len(a) // 2] ^ a[len(a) // 2:]
-            keep.append(int(np.bitwise_count(a ^ b).sum()) <= bound)
+            words = min(len(a), len(b))
+            keep.append(int(np.bitwise_count(_folded(a, words) ^ _folded(b, words)).sum()) <= bound)
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -328,17 +356,88 @@ def _likely(pairs: DataFrame, info: DataFrame) -> DataFrame:
     return sized.where(fits).mapInArrow(_near_sketches, "a bigint, b bigint")
 
 
-def _verify(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are linked; only texts that occur in a pair are read into sets."""
-    sids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    ids = sids.join(info.select("sid", "rep"), "sid").select(F.col("rep").alias("doc_id"))
-    bits = docs.sparkSession.sparkContext.broadcast(_id_filter(ids))
-    slot = F.expr(f"xxhash64(doc_id) & {(1 << FILTER_BITS) - 1}").alias("slot")
-    sets = docs.select(slot, "text").mapInArrow(_set_rows(bits), "sid bigint, shingles binary")
-    sets = saved(sets.join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "candidate-sets")
-    left = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_linked, "a bigint, b bigint")
+def _near_in_groups(batches):
+    """mapInArrow over rows sorted by key: pairs of a key in different components whose sizes and
+    whole sketches allow a link, each pair at its first key in the task."""
+    told: set[tuple[int, int]] = set()
+
+    def pairs(rows):
+        rows.sort(key=lambda r: r[2])  # by size
+        sid, label, n = (np.array(x, dtype=np.int64) for x in zip(*(r[:3] for r in rows)))
+        found = []
+        words = min(len(r[3]) for r in rows) // 8  # sizes of one size band: a few lengths
+        sketch = np.stack([_folded(np.frombuffer(r[3], np.uint64), words) for r in rows])
+        for i in range(len(rows) - 1):
+            top = int(np.searchsorted(n, 100 * n[i] // PERCENT, side="right"))
+            j = np.arange(i + 1, top)[label[i + 1:top] != label[i]]
+            if len(j):
+                far = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+                found += [(max(a, b), min(a, b)) for a, b in ((int(sid[i]), int(x)) for x in sid[j[far <= (n[j] + n[i]) // 7]])]
+        new = [p for p in found if p not in told]
+        if len(told) < FLUSH:
+            told.update(new)
+        return new
+
+    def batch_of(out):
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    key, rows, out = None, [], []
+    for batch in batches:
+        for k, sid, label, n, sketch in zip(*(batch.column(c).to_pylist() for c in ("key", "sid", "label", "n", "sketch"))):
+            if k != key:
+                out += pairs(rows) if len(rows) > 1 else []
+                key, rows = k, []
+                if len(out) >= 10_000:
+                    yield batch_of(out)
+                    out = []
+            rows.append((sid, label, n, sketch))
+    out += pairs(rows) if len(rows) > 1 else []
+    yield batch_of(out)
+
+
+class _Sets:
+    """Shingle sets of candidate documents, read from the texts once for each set."""
+
+    def __init__(self, docs: DataFrame, info: DataFrame):
+        self.docs, self.info, self.tables = docs, info, []
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sets are linked."""
+        sids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+        for known in self.tables:
+            sids = sids.join(known.select("sid"), "sid", "left_anti")
+        sids = saved(sids, "sets-wanted")
+        if not sids.isEmpty():
+            ids = sids.join(self.info.select("sid", "rep"), "sid").select(F.col("rep").alias("doc_id"))
+            bits = self.docs.sparkSession.sparkContext.broadcast(_id_filter(ids))
+            slot = F.expr(f"xxhash64(doc_id) & {(1 << FILTER_BITS) - 1}").alias("slot")
+            sets = self.docs.select(slot, "text").mapInArrow(_set_rows(bits), "sid bigint, shingles binary")
+            self.tables.append(saved(sets.join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "candidate-sets"))
+        if not self.tables:
+            return pairs
+        every = self.tables[0]
+        for more in self.tables[1:]:
+            every = every.union(more)
+        left = every.select(F.col("sid").alias("a"), F.col("shingles").alias("set_a"))
+        right = every.select(F.col("sid").alias("b"), F.col("shingles").alias("set_b"))
+        return pairs.join(left, "a").join(right, "b").mapInArrow(_linked, "a bigint, b bigint")
+
+
+def _open_keys(shared: DataFrame, label: DataFrame) -> DataFrame:
+    """(key, sid, label) of the keys that hold several components."""
+    marked = shared.join(label, shared.sid == label.node, "left").select(
+        "key", "sid", F.coalesce("label", "sid").alias("label"))
+    mixed = marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    return marked.join(mixed, "key", "left_semi")
+
+
+def _star(open_: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each open key's entries with one of them (another one each turn)."""
+    first = F.struct(F.xxhash64("sid", "key", F.lit(turn)), "sid", "label")
+    hub = open_.groupBy("key").agg(F.min(first).alias("hub")).select(
+        "key", F.col("hub.sid").alias("hub"), F.col("hub.label").alias("hub_label"))
+    pairs = open_.join(hub, "key").where("label <> hub_label")
+    return pairs.select(F.greatest("sid", "hub").alias("a"), F.least("sid", "hub").alias("b")).distinct()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -377,31 +476,36 @@ def _grouped(docs: DataFrame) -> DataFrame:
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (2 * BUCKET_BANDS)))
     common = sc.broadcast(_common_shingles(docs))
-    emitted = docs.select("text").mapInArrow(_emit(buckets, common), "bucket bigint, keys binary, sids binary")
+    emitted = docs.select("text").mapInArrow(_emit(buckets, common), "bucket bigint, keys binary, bands binary, sids binary")
     shared = saved(emitted.repartition(buckets, "bucket").sortWithinPartitions("bucket")
                    .mapInArrow(_same_key, "key bigint, sid bigint"), "shared-bands")
+    shared = saved(_without_hottest(shared), "kept-bands")
     reps = rows.where("sid <> 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
     met = shared.select("sid").distinct()
     info = saved(rows.join(met, "sid", "left_semi").groupBy("sid").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "candidates")
 
+    sets = _Sets(docs, info)
     hub = shared.groupBy("key").agg(F.min("sid").alias("b"))
-    star = saved(shared.join(hub, "key").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct(), "star-pairs")
-    links = saved(_verify(saved(_likely(star, info), "star-likely"), info, docs), "star-links")
+    pairs = shared.join(hub, "key").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct()
+    links = saved(sets.links(saved(_likely(pairs, info), "star-likely")), "star-links")
     label = saved(components(links), "star-components")
-
-    marked = shared.join(label, shared.sid == label.node, "left").select(
-        "key", "sid", F.coalesce("label", "sid").alias("label"))
-    mixed = marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    open_ = saved(marked.join(mixed, "key", "left_semi"), "open-bands")
-    other = open_.select("key", F.col("sid").alias("b"), F.col("label").alias("label_b"))
-    pairs = (open_.withColumnRenamed("sid", "a").join(other, "key").where("label < label_b")
-             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    cross = saved(_likely(pairs, info), "cross-likely")
-    if not cross.isEmpty():
-        more = saved(_verify(cross, info, docs), "cross-links")
-        label = components(links.union(more), "all-components")
+    rounds = shared
+    for turn in range(ROUNDS):
+        rounds = saved(_open_keys(rounds, label).select("key", "sid"), "open-bands")
+        pairs = _star(_open_keys(rounds, label), turn)
+        new = saved(sets.links(saved(_likely(pairs, info), "turn-likely")), "turn-links")
+        if new.isEmpty():
+            break
+        links = links.union(new)
+        label = saved(components(links), "turn-components")
+    rest = _open_keys(rounds, label).join(info.select("sid", "n", "sketch"), "sid")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rest = rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near_in_groups, "a bigint, b bigint").distinct()
+    rest = saved(rest, "rest-likely")
+    if not rest.isEmpty():
+        links = links.union(saved(sets.links(rest), "rest-links"))
+        label = components(links, "all-components")
 
     group = (reps.join(label, reps.sid == label.node, "left")
              .select("sid", "rep", F.coalesce("label", "sid").alias("label")))

@@ -81,8 +81,11 @@ def test_linked_sets_share_a_band_and_near_sketches():
         if not len(b) or 100 * same < 75 * (len(a) + len(b) - same):
             continue
         common = np.sort(rng.choice(a, int(rng.integers(0, len(a) + 1)), replace=False)) if trial % 3 == 0 else none
-        doc, key = S.band_keys(np.array([len(a), len(b)]), np.concatenate([a, b]), common)
-        assert set(key[doc == 0].tolist()) & set(key[doc == 1].tolist())
+        doc, key, cls = S.band_keys(np.array([len(a), len(b)]), np.concatenate([a, b]), common)
+        both = [set(zip(cls[doc == i].tolist(), key[doc == i].tolist())) for i in (0, 1)]
+        assert len(both[0]) == (doc == 0).sum()
+        sizes = [c for c, _ in both[0] & both[1]]
+        assert any(sizes.count(c) >= S.shared_keys(c) for c in set(sizes))
 
 
 def test_one_of_each_keeps_one_row_a_component(spark):
