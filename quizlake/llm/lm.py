@@ -37,8 +37,10 @@ CLASS_BITS, ENDING_BITS, LEFT_BITS = 5, 11, 6
 CLASSES, ENDINGS, LEFTS = 1 << CLASS_BITS, 1 << ENDING_BITS, 1 << LEFT_BITS
 HISTORIES = CLASSES ** 3
 FEATURE_BITS = 13
-#: Gradient updates, their damping (seven features share each error) and the prior's strength.
-UPDATES, RATE, PRIOR = 12, 0.25, 1.0
+#: Gradient updates; their rate (a gradient over expected plus observed counts moves a weight by
+#: about half its error, and seven features share each error); the prior's strength; the share of
+#: a uniform choice mixed into the softmax.
+UPDATES, RATE, PRIOR, UNIFORM = 8, 2 / 7, 1.0, 1e-4
 BUCKET_WORDS = 500_000
 END_CLASS = 0
 
@@ -174,7 +176,7 @@ def _softmax(w: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
 
 
 def _gradients(model):
-    """mapInArrow: one row with this part's gradient and curvature of every weight."""
+    """mapInArrow: one row with this part's gradient (expected less observed counts) and their sum."""
     def run(batches):
         w, bias = model.value
         g, h = np.zeros_like(w), np.zeros_like(w)
@@ -183,13 +185,13 @@ def _gradients(model):
             f = features(batch.column("history").to_numpy().astype(np.int64))
             p = _softmax(w, bias, f)
             total = n.sum(axis=1, keepdims=True)
-            error, bend = total * p - n, total * p * (1 - p)
+            error, both = total * p - n, total * p + n
             for j in range(f.shape[1]):
                 order = np.argsort(f[:, j], kind="stable")
                 key = f[order, j]
                 start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
                 g[key[start]] += np.add.reduceat(error[order], start, axis=0)
-                h[key[start]] += np.add.reduceat(bend[order], start, axis=0)
+                h[key[start]] += np.add.reduceat(both[order], start, axis=0)
         yield pa.RecordBatch.from_arrays([pa.array([x.astype(np.float32).tobytes()], pa.binary()) for x in (g, h)],
                                          names=["g", "h"])
     return run
@@ -215,7 +217,8 @@ def train_classes(cells: DataFrame, updates: int = UPDATES) -> np.ndarray:
             model.unpersist()
     out = np.empty((HISTORIES, CLASSES), dtype=np.float32)
     for i in range(0, HISTORIES, 4096):
-        out[i:i + 4096] = np.log10(_softmax(w, bias, features(np.arange(i, i + 4096))))
+        p = _softmax(w, bias, features(np.arange(i, i + 4096)))
+        out[i:i + 4096] = np.log10((1 - UNIFORM) * p + UNIFORM / CLASSES)
     return out
 
 
