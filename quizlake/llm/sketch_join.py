@@ -18,11 +18,11 @@ out for all documents alike only shortens the symmetric difference, so it costs
 
 Equal sets are one entry throughout. Documents under one key are compared with one of them (a
 star, linear in the group): pairs whose whole sketches differ in more bits than the bound are
-out, the others are verified exactly on their full sets, and links are merged. A few rounds with
-other centres follow for keys that still hold several components. What is left is compared pair
-by pair inside the tasks on whole sketches, and only pairs within the bound are handed on and
-verified, so the components are those of all links. Whole sketches hold two to four bits a
-shingle; the longer one of a pair is folded onto the shorter.
+out, the others are verified exactly on their full sets, and links are merged. Keys that still
+hold several components are compared inside the tasks on whole sketches, and only pairs of
+different components within the bound are handed on and verified, so the components are those of
+all links. Whole sketches hold two to four bits a shingle; the longer one of a pair is folded
+onto the shorter.
 
 Cases: null or empty texts and texts of separators have an empty set and are linked with
 nothing (their own component); copies share a component; several rows with one doc_id are rows
@@ -51,8 +51,8 @@ COMMON_SHARE, COMMON_COUNT, COMMON_MAX = 16, 8, 1 << 18
 SHARED = 10
 #: Emitted bands gathered before they are handed on, and bands per reducer bucket.
 FLUSH, BUCKET_BANDS = 1 << 20, 1 << 20
-#: Rounds with other centres before the rest is compared pair by pair (cost only, not the result).
-ROUNDS = 2
+#: Frequency that stands for that of a key with more entries than a task gathers.
+VERY_OFTEN = 1 << 40
 #: Bits of the map that keeps non-candidates out of the second reading of the texts.
 FILTER_BITS = 23
 _EMPTY = 0xD6E8FEB86659FD93
@@ -224,10 +224,12 @@ def _emit(buckets: int, common):
 
 
 def _same_key(batches):
-    """mapInArrow over rows sorted by bucket: (key, sid) of keys that two or more sets emitted.
+    """mapInArrow over rows sorted by bucket: (key, sid, often) of keys that two or more sets
+    emitted, with the number of those sets.
 
     Entries beyond ``4 * FLUSH`` are compacted: of a key seen more than once all entries but one
-    are handed on at once, so a key with very many entries keeps one in memory."""
+    are handed on at once, so a key with very many entries keeps one in memory; its frequency is
+    VERY_OFTEN for all of them."""
     def groups(bucket, low, sid, shared, last):
         order = np.lexsort((shared, sid, low))
         low, sid, shared = low[order], sid[order], shared[order]
@@ -240,9 +242,11 @@ def _same_key(batches):
         start = np.flatnonzero(head)
         size = np.diff(np.append(start, len(low)))
         several = np.repeat(size, size) > 1
+        early = np.repeat(np.logical_or.reduceat(shared, start), size) if len(low) else shared
         out = several & ~shared
+        often = np.where(early | (not last), VERY_OFTEN, np.repeat(size, size))[out]
         key = low[out] | (np.int64(bucket) << 40)
-        batch = pa.RecordBatch.from_arrays([pa.array(key), pa.array(sid[out])], names=["key", "sid"])
+        batch = pa.RecordBatch.from_arrays([pa.array(key), pa.array(sid[out]), pa.array(often)], names=["key", "sid", "often"])
         if last:
             return batch, None
         return batch, (low[start], sid[start], shared[start] | (size > 1))
@@ -276,11 +280,28 @@ def _same_key(batches):
 
 def _without_hottest(shared: DataFrame) -> DataFrame:
     """Drops each document's most frequent keys in a size band, one fewer than linked ones share."""
-    often = shared.groupBy("key").agg(F.count("*").alias("often"))
     spare = F.expr(f"greatest(1, ((2L << cast(key & 255 as int)) - 1) div {SHARED}) - 1")
     order = Window.partitionBy("sid", F.expr("key & 255")).orderBy(F.desc("often"), "key")
-    ranked = shared.join(often, "key").withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") > spare).select("key", "sid")
+    return shared.withColumn("rank", F.row_number().over(order)).where(F.col("rank") > spare).select("key", "sid")
+
+
+def _star(batches):
+    """mapInArrow over rows sorted by (key, sid): each entry with the first of its key."""
+    key = hub = None
+    for batch in batches:
+        k, sid = batch.column("key").to_numpy(), batch.column("sid").to_numpy()
+        if not len(k):
+            continue
+        head = np.ones(len(k), dtype=bool)
+        head[1:] = k[1:] != k[:-1]
+        head[0] = k[0] != key
+        first = np.where(head, np.arange(len(k)), -1)
+        at = np.maximum.accumulate(first)
+        hubs = np.where(at < 0, hub if hub is not None else 0, sid[np.maximum(at, 0)])
+        key, hub = k[-1], hubs[-1]
+        pair = hubs != sid
+        found = np.unique(np.stack([sid[pair], hubs[pair]], axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
 
 def _id_filter(ids: DataFrame) -> np.ndarray:
@@ -431,13 +452,22 @@ def _open_keys(shared: DataFrame, label: DataFrame) -> DataFrame:
     return marked.join(mixed, "key", "left_semi")
 
 
-def _star(open_: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each open key's entries with one of them (another one each turn)."""
-    first = F.struct(F.xxhash64("sid", "key", F.lit(turn)), "sid", "label")
-    hub = open_.groupBy("key").agg(F.min(first).alias("hub")).select(
-        "key", F.col("hub.sid").alias("hub"), F.col("hub.label").alias("hub_label"))
-    pairs = open_.join(hub, "key").where("label <> hub_label")
-    return pairs.select(F.greatest("sid", "hub").alias("a"), F.least("sid", "hub").alias("b")).distinct()
+def _local_stars(batches):
+    """mapInArrow: a task's edges (a, b) as edges (u, v) from each node to the smallest one it reaches."""
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    found = [(x, find(x)) for x in list(root)]
+    found = [f for f in found if f[0] != f[1]]
+    yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -445,8 +475,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Alternating star contraction: every node points its larger neighbours, then its smaller
     ones, at the smallest neighbour; rounds grow with the logarithm of the longest path."""
-    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = saved(e, name)
+    e = saved(edges.where("a <> b").select("a", "b").mapInArrow(_local_stars, "u bigint, v bigint"), name)
     last = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -478,7 +507,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     common = sc.broadcast(_common_shingles(docs))
     emitted = docs.select("text").mapInArrow(_emit(buckets, common), "bucket bigint, keys binary, bands binary, sids binary")
     shared = saved(emitted.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-                   .mapInArrow(_same_key, "key bigint, sid bigint"), "shared-bands")
+                   .mapInArrow(_same_key, "key bigint, sid bigint, often bigint"), "shared-bands")
     shared = saved(_without_hottest(shared), "kept-bands")
     reps = rows.where("sid <> 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
     met = shared.select("sid").distinct()
@@ -486,21 +515,12 @@ def _grouped(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "candidates")
 
     sets = _Sets(docs, info)
-    hub = shared.groupBy("key").agg(F.min("sid").alias("b"))
-    pairs = shared.join(hub, "key").where("sid <> b").select(F.col("sid").alias("a"), "b").distinct()
-    links = saved(sets.links(saved(_likely(pairs, info), "star-likely")), "star-links")
-    label = saved(components(links), "star-components")
-    rounds = shared
-    for turn in range(ROUNDS):
-        rounds = saved(_open_keys(rounds, label).select("key", "sid"), "open-bands")
-        pairs = _star(_open_keys(rounds, label), turn)
-        new = saved(sets.links(saved(_likely(pairs, info), "turn-likely")), "turn-links")
-        if new.isEmpty():
-            break
-        links = links.union(new)
-        label = saved(components(links), "turn-components")
-    rest = _open_keys(rounds, label).join(info.select("sid", "n", "sketch"), "sid")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    star = (shared.repartition(parts, "key").sortWithinPartitions("key", "sid")
+            .mapInArrow(_star, "a bigint, b bigint").distinct())
+    links = saved(sets.links(saved(_likely(star, info), "star-likely")), "star-links")
+    label = saved(components(links), "star-components")
+    rest = _open_keys(shared, label).join(info.select("sid", "n", "sketch"), "sid")
     rest = rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near_in_groups, "a bigint, b bigint").distinct()
     rest = saved(rest, "rest-likely")
     if not rest.isEmpty():
