@@ -30,6 +30,7 @@ MSG_EMPTY_ITEM = "Question ou bonne réponse vide"
 MSG_LIST_INVALID = "incorrect_answers : liste JSON invalide"
 MSG_LIST_EMPTY = "incorrect_answers doit être une liste non vide"
 MSG_LIST_BAD_ELEMENT = "incorrect_answers contient une réponse vide ou non textuelle"
+MSG_UNEXPECTED_JSON = "L'API a renvoyé un JSON inattendu"
 MSG_EMPTY_REPLY = "Réponse du modèle vide ou non textuelle"
 MSG_TRUNCATED = "Réponse tronquée : limite max_tokens atteinte"
 MSG_LITERAL_WARNING = "Liste non JSON récupérée avec ast.literal_eval."

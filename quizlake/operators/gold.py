@@ -80,3 +80,15 @@ def hardest_items(silver: DataFrame) -> DataFrame:
             .agg(n.alias("total_attempts"), c.alias("correct_attempts"), pct(c, n).alias("accuracy_pct"))
             .filter(F.col("correct_attempts") < F.col("total_attempts"))
             .orderBy(F.col("accuracy_pct").asc_nulls_last(), "category", "question_id"))
+
+
+GOLD_VIEWS = {"accuracy_overall": accuracy_overall, "accuracy_by_category": accuracy_by_category,
+              "accuracy_by_difficulty": accuracy_by_difficulty, "error_rate": error_rate,
+              "hardest_questions": hardest_questions}
+
+
+def create_views(staging: DataFrame, prefix: str = "gold_") -> list[str]:
+    """The metrics as temporary views over the staging view, by name."""
+    for name, metric in GOLD_VIEWS.items():
+        metric(staging).createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in GOLD_VIEWS]

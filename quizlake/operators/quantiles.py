@@ -1,198 +1,103 @@
-"""Exact quantiles (linear interpolation, like pandas / numpy) per group, at any skew.
-
-Spark's exact ``percentile`` keeps every distinct value of a group in one map inside
-one task; a group holding a third of a 100 TB table would not fit. Groups of bounded
-size use it (fast path). When any group is larger than ``max_group_rows`` the values
-are found by distributed selection instead:
-
-1. one aggregate gives each group's count, min and max (``group_stats``, shared with
-   the path decision); the two ranks around each requested quantile become *targets*
-   with a value range [a, b] known to hold them;
-2. each pass splits every open range into ``buckets`` equal-width buckets and
-   counts rows per (target, bucket) with a partial (map-side) aggregate, so a hot
-   group is pre-aggregated in every task before the shuffle; a window over at most
-   ``buckets`` rows per target finds the bucket that holds the wanted rank;
-3. a target closes when its bucket holds one distinct value, or holds few enough
-   rows (``final_rows``) to be ranked exactly with a bounded window.
-
-Every pass shrinks each open range strictly (bucket 0 holds ``a`` and the last bucket
-holds ``b``), so the loop ends; the state is a small table, checkpointed each pass.
+"""Exact quantiles (linear interpolation) per group, one path at every size and skew.
+
+1. One pass over the input adds up each (group, value): row counts and any further sums the
+   caller needs (partial aggregation, so a value or group with a third of the rows is one row a
+   task before anything moves).
+2. These value counts are range-partitioned by (group, value): a group of any size spreads over
+   as many partitions as it needs, and a partition holds one stretch of its values in order. The
+   table is checkpointed, so every later step (and every retry) sees the same partitions.
+3. Rows per (group, partition) give each partition's first rank; the partitions that hold a
+   wanted rank are ranked on their own, and the two neighbouring values are interpolated.
+
+Counts, means and quantiles of a report come from the same table: the input is read once.
+Nulls and NaN are no values; infinities are. A group without values has null quantiles.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_GROUP_ROWS = 2_000_000
-BUCKETS = 4096
-FINAL_ROWS = 200_000
-MAX_PASSES = 40
+GLOBAL = "_g"  # stands for the one group of a table without group columns
 
 
-BROADCAST_STATE_ROWS = 100_000
+def _keys(keys) -> list[str]:
+    return list(keys) or [GLOBAL]
 
 
-def _key_cols(keys):
-    return keys if keys else ["_g"]
+def null_safe(keys, prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
-def _join_state(v: DataFrame, state: DataFrame, keys) -> DataFrame:
-    """Rows of ``v`` joined to their group's open targets (null-safe on the keys).
+def prefixed(df: DataFrame, keys, prefix: str) -> DataFrame:
+    """``df`` with its key columns renamed, for a null-safe join on them."""
+    return df.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], *[c for c in df.columns if c not in keys])
 
-    The state is one row per (group, target); it is broadcast only when counted small,
-    otherwise a shuffle join is used (AQE splits a hot group's partition).
-    """
-    kc = _key_cols(keys)
-    s = state.select(*[F.col(k).alias(f"_s_{k}") for k in kc], *[c for c in state.columns if c not in kc])
-    if state.count() <= BROADCAST_STATE_ROWS:
-        s = F.broadcast(s)
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in kc])
-    return v.join(s, cond, "inner").drop(*[f"_s_{k}" for k in kc])
 
+def value_counts(df: DataFrame, keys, value: Column, sums: dict[str, Column] | None = None) -> DataFrame:
+    """Range-partitioned, checkpointed rows (group, ``_x``, ``_n``, sums..., ``_p``).
 
-def _values(df: DataFrame, keys, value: str) -> DataFrame:
-    """Keys and the non-null, non-NaN values as double ``_x`` (constant ``_g`` key when
-    there are no keys)."""
-    v = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
-        F.col("_x").isNotNull() & ~F.isnan("_x"))
-    return v if keys else v.withColumn("_g", F.lit(0))
-
-
-def group_stats(df: DataFrame, keys, value: str) -> DataFrame:
-    """Per group: count ``_n``, min ``_a`` and max ``_b`` of the non-null, non-NaN values,
-    in one partial aggregate (one small row per group, groups without values included),
-    kept in Spark's cache (memory and disk; rebuilt from lineage if an executor is lost).
-    The distributed path writes it as a reliable checkpoint before its passes.
-
-    The same table decides the quantile path (``bounded_groups``) and seeds the
-    selection (``distributed_quantiles``), so the input is scanned once for both.
-    """
-    from quizlake.session import shared_dir
-
-    shared_dir(df.sparkSession)
-    keys = list(keys)
-    kc = _key_cols(keys)
-    x = F.col(value).cast("double")
-    v = df.select(*keys, F.when(x.isNotNull() & ~F.isnan(x), x).alias("_x"))
-    if not keys:
-        v = v.withColumn("_g", F.lit(0))
-    # every group gets a row, also one without any value (``_n`` = 0, bounds null)
-    return (v.groupBy(*kc)
-            .agg(F.count("_x").alias("_n"), F.min("_x").alias("_a"), F.max("_x").alias("_b"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-
-
-def bounded_groups(df: DataFrame, keys, value: str, max_group_rows: int | None = None,
-                   stats: DataFrame | None = None) -> bool:
-    """True when no group holds more than ``max_group_rows`` (default
-    ``MAX_GROUP_ROWS``) non-null values, so the exact built-in ``percentile`` fits in
-    one task per group. ``stats`` is a ``group_stats`` table when already computed."""
-    if max_group_rows is None:
-        max_group_rows = MAX_GROUP_ROWS
-    if stats is None:
-        stats = group_stats(df, keys, value)
-    return (stats.agg(F.max("_n")).first()[0] or 0) <= max_group_rows
-
-
-def percentile_expr(value: str, p: float):
-    """Exact interpolated quantile of ``value`` (NaN skipped) for bounded groups."""
-    x = F.col(value).cast("double")
-    return F.percentile(F.when(~F.isnan(x), x), float(p))
-
-
-def group_quantiles(df: DataFrame, keys, value: str, probs: dict,
-                    max_group_rows: int | None = None, buckets: int | None = None,
-                    final_rows: int | None = None) -> DataFrame:
-    """One row per group of ``keys`` (null keys kept) with a column per ``probs`` entry
-    (name -> probability); null when the group has no non-null value."""
-    keys = list(keys)
-    v = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(
-        F.col("_x").isNotNull() & ~F.isnan("_x"))
-    stats = group_stats(df, keys, value)
-    if bounded_groups(df, keys, value, max_group_rows, stats=stats):
-        aggs = [F.percentile("_x", float(p)).alias(name) for name, p in probs.items()]
-        res = v.groupBy(*keys).agg(*aggs)
-    else:
-        res = distributed_quantiles(v, keys, "_x", probs, buckets, final_rows, stats=stats)
-    if not keys:
-        return res
-    # groups whose values are all null still get a row (null quantiles); the stats table
-    # lists every group, so no other pass over the input is needed
-    groups = stats.select(*keys)
-    s = res.select(*[F.col(k).alias(f"_s_{k}") for k in keys], *probs.keys())
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys])
-    return groups.join(s, cond, "left").drop(*[f"_s_{k}" for k in keys])
-
-
-def distributed_quantiles(df: DataFrame, keys, value: str, probs: dict,
-                          buckets: int | None = None, final_rows: int | None = None,
-                          stats: DataFrame | None = None) -> DataFrame:
-    """Exact quantiles by iterative bucket refinement (see module doc). ``stats`` is the
-    ``group_stats`` table of the same input when the caller has it already."""
-    buckets = buckets or BUCKETS
-    final_rows = final_rows or FINAL_ROWS
+    ``_x`` is the value (null for null and NaN), ``_n`` the rows that have it, ``_p`` the range
+    partition. ``sums`` are further aggregates of the same rows, by name."""
     from quizlake.session import shared_dir
 
-    keys = list(keys)
-    kc = _key_cols(keys)
-    v = _values(df, keys, value)
-    shared_dir(v.sparkSession)  # checkpoints go to the shared checkpoint location
-
-    if stats is None:
-        stats = group_stats(df, keys, value)
-    # the selection runs many passes: cut the stats' lineage once (a reliable checkpoint of
-    # one small row per group, written from the cache), so no pass or retry rescans the input
-    stats = stats.checkpoint().filter(F.col("_n") > 0)
-    wanted = F.array(*[F.struct(F.lit(name).alias("q"), F.lit(float(p)).alias("p"))
-                       for name, p in probs.items()])
-    targets = (stats.select(*kc, "_n", "_a", "_b", F.explode(wanted).alias("_w"))
-               .select(*kc, "_a", "_b", F.col("_w.q").alias("_q"),
-                       ((F.col("_n") - 1) * F.col("_w.p")).alias("_h")))
-    state = (targets.select(*kc, "_q", "_a", "_b",
-                            F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))).alias("_r"))
-             .select(*kc, "_q", F.col("_r").cast("bigint").alias("_r"), "_a", "_b",
-                     F.lit(0).cast("bigint").alias("_c"), F.lit(None).cast("bigint").alias("_cnt"),
-                     F.when(F.col("_a") == F.col("_b"), F.col("_a")).alias("_val"))
-             .checkpoint())
-    is_open = F.col("_val").isNull() & (F.col("_cnt").isNull() | (F.col("_cnt") > final_rows))
-    part = [*kc, "_q", "_r"]
-    for _ in range(MAX_PASSES):
-        open_ = state.filter(is_open)
-        if open_.isEmpty():
-            break
-        j = _join_state(v, open_, keys).filter(F.col("_x").between(F.col("_a"), F.col("_b")))
-        bucket = F.least(F.floor((F.col("_x") - F.col("_a")) / (F.col("_b") - F.col("_a")) * buckets),
-                         F.lit(buckets - 1)).cast("int")
-        h = (j.withColumn("_k", bucket)
-             .groupBy(*part, "_c", "_k")
-             .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_x").alias("_a"), F.max("_x").alias("_b")))
-        w = Window.partitionBy(*part).orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        h = h.withColumn("_below", F.col("_c") + F.sum("_cnt").over(w) - F.col("_cnt"))
-        nxt = (h.filter((F.col("_below") <= F.col("_r")) & (F.col("_r") < F.col("_below") + F.col("_cnt")))
-               .select(*part, "_a", "_b", F.col("_below").alias("_c"), "_cnt",
-                       F.when(F.col("_a") == F.col("_b"), F.col("_a")).alias("_val")))
-        state = state.filter(~is_open).unionByName(nxt).checkpoint()
-
-    # exact ranking inside the remaining small ranges (at most final_rows rows each)
-    small = state.filter(F.col("_val").isNull())
-    j = _join_state(v, small, keys).filter(F.col("_x").between(F.col("_a"), F.col("_b")))
-    w = Window.partitionBy(*part).orderBy("_x")
-    exact = (j.withColumn("_i", F.row_number().over(w) - 1)
-             .filter(F.col("_i") == F.col("_r") - F.col("_c"))
-             .select(*part, F.col("_x").alias("_val")))
-    vals = state.filter(F.col("_val").isNotNull()).select(*part, "_val").unionByName(exact)
-
-    # linear interpolation between the ranks floor(h) and ceil(h)
-    tt = targets.select(*[F.col(k).alias(f"_t_{k}") for k in kc], F.col("_q").alias("_tq"), "_h")
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in kc]) \
-        & (F.col("_q") == F.col("_tq"))
-    res = (vals.join(tt, cond)
-           .groupBy(*kc, "_q", "_h")
-           .agg(F.min_by("_val", "_r").alias("_lo"), F.max_by("_val", "_r").alias("_hi"))
-           .withColumn("_v", F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo"))))
-    out = res.groupBy(*kc).pivot("_q", list(probs.keys())).agg(F.first("_v"))
-    return out.drop("_g") if not keys else out
+    spark = df.sparkSession
+    shared_dir(spark)  # checkpoints go to the shared location
+    x = value.cast("double")
+    rows = df.withColumn("_x", F.when(~F.isnan(x), x))
+    if not list(keys):
+        rows = rows.withColumn(GLOBAL, F.lit(0))
+    counts = rows.groupBy(*_keys(keys), "_x").agg(
+        F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in (sums or {}).items()])
+    return ranged(counts, keys)
+
+
+def ranged(counts: DataFrame, keys) -> DataFrame:
+    """Value counts spread by (group, value) and written, with their range partition ``_p``."""
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (counts.repartitionByRange(parts, *_keys(keys), "_x")
+            .withColumn("_p", F.spark_partition_id()).checkpoint())
+
+
+def quantiles_of(counts: DataFrame, keys, probs: dict[str, float]) -> DataFrame:
+    """One row per group with a value: the keys and a column per ``probs`` entry."""
+    kc = _keys(keys)
+    values = counts.filter(F.col("_x").isNotNull()).select(*kc, "_p", "_x", "_n")
+    parts = values.groupBy(*kc, "_p").agg(F.sum("_n").alias("_m"))
+    group = Window.partitionBy(*kc)
+    before = group.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumns({"_below": F.coalesce(F.sum("_m").over(before), F.lit(0)),
+                               "_total": F.sum("_m").over(group)})
+    wanted = F.array(*[F.struct(F.lit(q).alias("q"), ((F.col("_total") - 1) * F.lit(float(p))).alias("h"))
+                       for q, p in probs.items()])
+    ranks = (parts.select(*kc, "_p", "_below", "_m", F.explode(wanted).alias("_w"))
+             .select(*kc, "_p", "_below", "_m", F.col("_w.q").alias("_q"), F.col("_w.h").alias("_h"),
+                     F.explode(F.array_distinct(F.array(F.floor("_w.h"), F.ceil("_w.h")))).alias("_r"))
+             .filter("_below <= _r and _r < _below + _m").drop("_m"))
+    near = values.join(prefixed(ranks, [*kc, "_p"], "_w_"), null_safe([*kc, "_p"], "_w_"))
+    upto = Window.partitionBy(*kc, "_p", "_q", "_r").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.col("_below") + F.sum("_n").over(upto)
+    hit = near.withColumn("_reach", reach).filter("_reach - _n <= _r and _r < _reach")
+    ends = hit.groupBy(*kc, "_q", "_h").agg(F.min_by("_x", "_r").alias("_lo"), F.max_by("_x", "_r").alias("_hi"))
+    between = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
+        F.col("_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_hi") - F.col("_lo")))
+    return ends.groupBy(*kc).agg(*[F.max(F.when(F.col("_q") == q, between)).alias(q) for q in probs])
+
+
+def attach_quantiles(base: DataFrame, counts: DataFrame, keys, probs: dict[str, float]) -> DataFrame:
+    """``base`` (one row per group, with the group columns) plus the quantile columns."""
+    kc = _keys(keys)
+    found = prefixed(quantiles_of(counts, keys, probs), kc, "_q_")
+    return base.join(found, null_safe(kc, "_q_"), "left").drop(*[f"_q_{k}" for k in kc])
+
+
+def group_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float]) -> DataFrame:
+    """One row per group of ``keys`` (null keys kept, groups without values too) with a column
+    per ``probs`` entry; without keys one row."""
+    counts = value_counts(df, keys, F.col(value))
+    if list(keys):
+        return attach_quantiles(counts.select(*keys).distinct(), counts, keys, probs)
+    found = quantiles_of(counts, keys, probs)
+    return counts.agg(F.count(F.lit(1)).alias("_n")).select(*[found.select(q).scalar().alias(q) for q in probs])

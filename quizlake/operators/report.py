@@ -7,27 +7,36 @@ aggregate; nothing is pulled to the driver.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizlake import constants as K
-from quizlake.operators.quantiles import (bounded_groups, distributed_quantiles, group_quantiles,
-                                         group_stats, percentile_expr)
+from quizlake.operators.quantiles import (attach_quantiles, group_quantiles, quantiles_of, ranged,
+                                          value_counts)
 from quizlake.schemas import require_columns
 
 LATENCY_DIGITS = 6  # means and quantiles are rounded to 6 decimals (float noise)
+ROUND_UP_FROM = 1e-9  # a mean this close below a tie counts as the tie (sums differ in their last bits)
+
+
+#: Texts that are numbers: decimal notation with an optional exponent, or an infinity.
+NUMBER = r"(?i)\A\s*[+-]?(?:(?:\d++\.?\d*+|\.\d++)(?:e[+-]?\d++)?|inf(?:inity)?)\s*\z"
+
+
+def coerce_number(c: Column) -> Column:
+    """Text to double; anything that is not a number (``nan``, ``12f``, hexadecimal) is missing."""
+    return F.when(c.rlike(NUMBER), F.trim(c).try_cast("double"))
 
 
 def prepare_report_input(df: DataFrame) -> DataFrame:
-    """Required columns checked; grade cast to boolean, latency coerced (bad -> null)."""
+    """Required columns checked; grade cast to boolean, latency coerced (bad or NaN -> null)."""
     require_columns(df, K.REPORT_REQUIRED_COLUMNS, "benchmark")
-    return df.withColumns({
-        "ai_correct": F.col("ai_correct").cast("boolean"),
-        "response_time": F.col("response_time").cast("string").try_cast("double")
-        if dict(df.dtypes).get("response_time") == "string" else F.col("response_time").cast("double"),
-    })
+    time = F.col("response_time")
+    if dict(df.dtypes)["response_time"] == "string":
+        time = coerce_number(time)
+    time = time.cast("double")
+    return df.withColumns({"ai_correct": F.col("ai_correct").cast("boolean"),
+                           "response_time": F.when(~F.isnan(time), time)})
 
 
 def filter_options(df: DataFrame) -> DataFrame:
@@ -62,41 +71,44 @@ def failed(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("status").eqNullSafe(K.STATUS_SUCCESS))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
+def _graded_sums() -> dict[str, Column]:
+    """Sums kept beside the value counts: right answers and graded rows."""
+    correct = F.col("ai_correct").cast("int")
+    return {"_c": F.sum(correct), "_k": F.count(correct)}
+
+
+def mean_value() -> Column:
+    """Rounded mean of the values, from value counts."""
+    timed = F.when(F.col("_x").isNotNull(), F.col("_n"))
+    return F.round(F.try_divide(F.sum(F.col("_x") * F.col("_n")), F.sum(timed)) + ROUND_UP_FROM, LATENCY_DIGITS)
+
+
+def _level_metrics() -> list[Column]:
+    """Counts, accuracy and mean latency of a level, from value counts."""
+    return [
+        F.sum("_n").alias("questions"),
+        F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("bonnes_reponses"),
+        F.try_divide(F.sum("_c").cast("double"), F.sum("_k")).alias("precision"),
+        mean_value().alias("latence_moyenne"),
+    ]
 
 
 def aggregate_results(df: DataFrame, dims) -> DataFrame:
     """Per level: questions, bonnes_reponses, precision (nulls skipped), mean and median
-    latency, precision_pct. Null keys form their own group.
+    latency, precision_pct. Null keys form their own group; no columns: one row.
 
-    With bounded groups the median is one more aggregate of the same pass; otherwise
-    it comes from the distributed selection and is joined on the level keys.
+    The input is read once, into value counts from which all metrics follow.
     """
     dims = list(dims)
-    correct_int = F.col("ai_correct").cast("int")
-    aggs = [
-        F.count(F.lit(1)).alias("questions"),
-        F.coalesce(F.sum(correct_int), F.lit(0)).cast("bigint").alias("bonnes_reponses"),
-        F.avg(correct_int.cast("double")).alias("precision"),
-        F.round(F.avg("response_time"), LATENCY_DIGITS).alias("latence_moyenne"),
-    ]
-    stats = group_stats(df, dims, "response_time")
-    if bounded_groups(df, dims, "response_time", stats=stats):
-        med = F.round(percentile_expr("response_time", 0.5), LATENCY_DIGITS).alias("latence_mediane")
-        out = df.groupBy(*dims).agg(*aggs, med)
+    counts = value_counts(df, dims, F.col("response_time"), _graded_sums())
+    if dims:
+        out = attach_quantiles(counts.groupBy(*dims).agg(*_level_metrics()), counts, dims, {"latence_mediane": 0.5})
     else:
-        base = df.groupBy(*dims).agg(*aggs)
-        q = distributed_quantiles(df, dims, "response_time", {"latence_mediane": 0.5}, stats=stats)
-        q = q.withColumn("latence_mediane", F.round("latence_mediane", LATENCY_DIGITS))
-        if dims:
-            out = _null_safe_join(base, q, dims)
-        else:  # one global row: attach the median as a scalar subquery
-            out = base.withColumn("latence_mediane", q.select("latence_mediane").scalar())
-    return out.withColumn("precision_pct", F.col("precision") * 100)
+        median = quantiles_of(counts, dims, {"latence_mediane": 0.5}).select("latence_mediane")
+        out = counts.agg(*_level_metrics()).withColumn("latence_mediane", median.scalar())
+        out = out.withColumn("questions", F.coalesce("questions", F.lit(0)))
+    return out.withColumns({"latence_mediane": F.round("latence_mediane", LATENCY_DIGITS),
+                            "precision_pct": F.col("precision") * 100})
 
 
 def difficulty_rank(c: Column) -> Column:
@@ -134,77 +146,47 @@ REPORT_LEVELS = {
 
 
 def report_grouping_sets(ok: DataFrame, levels=None, with_median: bool = True) -> DataFrame:
-    """All report levels in one scan (one Expand + one aggregate instead of 5 jobs).
-
-    ``level`` names the grouping set. The ``all`` level holds every row, so it is the
-    largest group: when it is small enough for the exact built-in quantile, the median
-    latency is one more aggregate of the same pass. Otherwise the medians come from the
-    distributed selection over the rows expanded per level (keyed by the level and its
-    columns) and are joined on those keys. ``levels`` picks some of ``REPORT_LEVELS``
-    (all by default).
+    """All report levels from one scan.
+
+    ``level`` names the grouping set. The rows are added up by the four columns and latency
+    first; these value counts, not the rows, are expanded to the levels and ranked there.
+    ``levels`` picks some of ``REPORT_LEVELS`` (all by default).
     """
     chosen = {n: REPORT_LEVELS[n] for n in (levels or REPORT_LEVELS)}
     order = ["difficulty", "type", "category", "model"]
-    gid = F.grouping_id(*order)
-    level = F.lit(None).cast("string")
-    for name, cols in reversed(list(chosen.items())):
-        level = F.when(gid == _gid(cols), F.lit(name)).otherwise(level)
-    sets = [[F.col(c) for c in cols] for cols in chosen.values()]
-    correct_int = F.col("ai_correct").cast("int")
-    aggs = [level.alias("level"),
-            F.count(F.lit(1)).alias("questions"),
-            F.coalesce(F.sum(correct_int), F.lit(0)).cast("bigint").alias("bonnes_reponses"),
-            (F.avg(correct_int.cast("double")) * 100).alias("precision_pct"),
-            F.round(F.avg("response_time"), LATENCY_DIGITS).alias("latence_moyenne")]
-    cols = ["level", *order, "questions", "bonnes_reponses", "precision_pct", "latence_moyenne", "latence_mediane"]
-    if not with_median:
-        return ok.groupingSets(sets, *order).agg(*aggs).select(*cols[:-1])
-    stats = group_stats(ok, [], "response_time")
-    if bounded_groups(ok, [], "response_time", stats=stats):
-        med = F.round(percentile_expr("response_time", 0.5), LATENCY_DIGITS).alias("latence_mediane")
-        return ok.groupingSets(sets, *order).agg(*aggs, med).select(*cols)
-    base = ok.groupingSets(sets, *order).agg(*aggs)
+    time = F.col("response_time").cast("double")
+    fine = (ok.withColumn("_x", F.when(~F.isnan(time), time)).groupBy(*order, "_x")
+            .agg(F.count(F.lit(1)).alias("_n"), *[c.alias(n) for n, c in _graded_sums().items()]))
     types = dict(ok.dtypes)
     per_level = F.array(*[
         F.struct(F.lit(name).alias("level"),
-                 *[(F.col(c) if c in lcols else F.lit(None).cast(types[c])).alias(c) for c in order],
-                 F.col("response_time").alias("response_time"))
-        for name, lcols in chosen.items()])
-    expanded = ok.select(F.explode(per_level).alias("_e")).select("_e.*")
-    q = distributed_quantiles(expanded, ["level", *order], "response_time", {"latence_mediane": 0.5})
-    q = q.withColumn("latence_mediane", F.round("latence_mediane", LATENCY_DIGITS))
-    return _null_safe_join(base, q, ["level", *order]).select(*cols)
-
-
-def _gid(cols) -> int:
-    order = ["difficulty", "type", "category", "model"]
-    return sum(1 << (len(order) - 1 - i) for i, c in enumerate(order) if c not in cols)
+                 *[(F.col(c) if c in cols else F.lit(None).cast(types[c])).alias(c) for c in order])
+        for name, cols in chosen.items()])
+    keys = ["level", *order]
+    counts = (fine.select(F.explode(per_level).alias("_l"), "_x", "_n", "_c", "_k").select("_l.*", "_x", "_n", "_c", "_k")
+              .groupBy(*keys, "_x").agg(*[F.sum(c).alias(c) for c in ("_n", "_c", "_k")]))
+    cols = [*keys, "questions", "bonnes_reponses", (F.col("precision") * 100).alias("precision_pct"), "latence_moyenne"]
+    if not with_median:
+        return counts.groupBy(*keys).agg(*_level_metrics()).select(*cols)
+    counts = ranged(counts, keys)
+    out = attach_quantiles(counts.groupBy(*keys).agg(*_level_metrics()), counts, keys, {"latence_mediane": 0.5})
+    return out.select(*cols, F.round("latence_mediane", LATENCY_DIGITS).alias("latence_mediane"))
 
 
 def report_kpis(filtered: DataFrame) -> DataFrame:
-    """Questions, success rate, accuracy and latency mean / median / P95 (successes).
-
-    When the success rows are few enough for the exact built-in quantile, everything is
-    one aggregate pass; otherwise the quantiles come from the distributed selection.
-    """
+    """Questions, success rate, accuracy and latency mean / median / P95 (successes), one scan."""
     ok = F.col("status") == K.STATUS_SUCCESS
-    aggs = [
-        F.count(F.lit(1)).alias("questions"),
-        F.count_if(ok).alias("successes"),
-        (F.try_divide(F.count_if(ok).cast("double"), F.count(F.lit(1))) * 100).alias("success_rate_pct"),
-        (F.avg(F.when(ok, F.col("ai_correct").cast("int").cast("double"))) * 100).alias("accuracy_pct"),
-        F.round(F.avg(F.when(ok, F.col("response_time"))), LATENCY_DIGITS).alias("latency_mean"),
-    ]
-    probs = {"latency_median": 0.5, "latency_p95": 0.95}
-    succ = successful(filtered)
-    stats = group_stats(succ, [], "response_time")
-    if bounded_groups(succ, [], "response_time", stats=stats):
-        lat = F.when(ok, F.col("response_time"))
-        return filtered.agg(*aggs, *[F.round(F.percentile(F.when(~F.isnan(lat), lat), p), LATENCY_DIGITS).alias(n)
-                                     for n, p in probs.items()])
-    q = distributed_quantiles(succ, [], "response_time", probs, stats=stats)
-    return filtered.agg(*aggs).withColumns(
-        {c: F.round(q.select(c).scalar(), LATENCY_DIGITS) for c in probs})
+    correct = F.when(ok, F.col("ai_correct").cast("int"))
+    counts = value_counts(filtered, [], F.when(ok, F.col("response_time")),
+                          {"_s": F.count_if(ok), "_c": F.sum(correct), "_k": F.count(correct)})
+    found = quantiles_of(counts, [], {"latency_median": 0.5, "latency_p95": 0.95})
+    n, s = F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum("_s"), F.lit(0))
+    out = counts.agg(
+        n.alias("questions"), s.alias("successes"),
+        (F.try_divide(s.cast("double"), n) * 100).alias("success_rate_pct"),
+        (F.try_divide(F.sum("_c").cast("double"), F.sum("_k")) * 100).alias("accuracy_pct"),
+        mean_value().alias("latency_mean"))
+    return out.withColumns({c: F.round(found.select(c).scalar(), LATENCY_DIGITS) for c in ("latency_median", "latency_p95")})
 
 
 def latency_quantiles(ok: DataFrame, dims=("model",), probs=(0.5, 0.9, 0.95, 0.99)) -> DataFrame:
@@ -256,7 +238,8 @@ def pivot_category_difficulty(ok: DataFrame) -> DataFrame:
 def latency_histogram(ok: DataFrame, bins: int = 40) -> DataFrame:
     """Counts per difficulty over ``bins`` equal-width bins spanning [min, max]
     (last bin closed; a single-valued range is bin 0). Bounds come from a scalar
-    subquery, so no join is needed."""
+    subquery, so no join is needed. NaN latencies are missing; infinite ones have no bin."""
+    ok = ok.filter(~F.col("response_time").isin(float("inf"), float("-inf")) & ~F.isnan("response_time"))
     bounds = ok.agg(F.struct(F.min("response_time").alias("lo"), F.max("response_time").alias("hi"))).scalar()
     lo, hi = bounds["lo"], bounds["hi"]
     width = (hi - lo) / bins

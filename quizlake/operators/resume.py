@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from quizlake import constants as K
 from quizlake.operators.clean import keep_first
 from quizlake.operators.gold import pct
-from quizlake.operators.quantiles import bounded_groups, distributed_quantiles, group_stats
+from quizlake.operators.quantiles import quantiles_of, value_counts
+from quizlake.operators.report import mean_value
+from quizlake.schemas import SILVER_SCHEMA, conform
+from quizlake.sources.files import load_checkpoint
 
 
 def _params_match(model, prompt_version, temperature, max_tokens):
@@ -48,11 +51,35 @@ def assert_compatible(saved: DataFrame, model: str, prompt_version: str = K.PROM
         raise ValueError("checkpoint was produced by another model or other parameters; use restart")
 
 
-def compatible_rows(saved: DataFrame, model: str, prompt_version: str = K.PROMPT_VERSION,
-                    temperature: int = K.TEMPERATURE, max_tokens: int = K.MAX_TOKENS) -> DataFrame:
-    """The part of a multi-model Silver table that a run of ``model`` resumes from."""
-    return saved.filter(_params_match(F.lit(model), F.lit(prompt_version), F.lit(temperature),
-                                      F.lit(max_tokens)))
+class RunStore:
+    """A run's results on shared storage: a partial table while it lasts, the final one after.
+
+    Loading prefers the partial table, refuses results of another model or other parameters,
+    and keeps the first saved row of each item that is still in the source. Committing writes
+    the final table first; only then does the partial one become obsolete (``committed`` marks
+    it), so a run that is killed in between resumes from complete results."""
+
+    def __init__(self, path: str):
+        self.partial, self.final = f"{path}/partial", f"{path}/final"
+
+    def load(self, spark, source: DataFrame, model: str, restart: bool = False, **parameters) -> DataFrame:
+        saved = load_checkpoint(spark, self.partial, restart)
+        if restart or saved is None or "committed" in saved.columns:
+            saved = load_checkpoint(spark, self.final, restart)
+        if saved is None:
+            return spark.createDataFrame([], SILVER_SCHEMA)
+        assert_compatible(saved, model, **parameters)
+        return resume_kept(saved, source)
+
+    def save_partial(self, results: DataFrame) -> None:
+        """Results are checkpointed before the table they may have been read from is replaced."""
+        conform(results, SILVER_SCHEMA).checkpoint().write.mode("overwrite").parquet(self.partial)
+
+    def commit(self, results: DataFrame) -> None:
+        results = conform(results, SILVER_SCHEMA).checkpoint()
+        results.write.mode("overwrite").parquet(self.final)
+        done = results.limit(0).withColumn("committed", F.lit(True))
+        done.write.mode("overwrite").parquet(self.partial)
 
 
 def resume_kept(saved: DataFrame, source: DataFrame) -> DataFrame:
@@ -89,19 +116,10 @@ def run_summary(results: DataFrame, target: DataFrame) -> DataFrame:
     wrong, accuracy, mean and median latency of valid answers."""
     r = results.join(target.select("question_id").distinct(), "question_id", "left_semi")
     ok = F.col("status") == K.STATUS_SUCCESS
-    aggs = [
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(ok).alias("valid"),
-        (F.count(F.lit(1)) - F.count_if(ok)).alias("errors"),
-        F.count_if(ok & F.coalesce(F.col("ai_correct"), F.lit(False))).alias("correct"),
-        (F.count_if(ok) - F.count_if(ok & F.coalesce(F.col("ai_correct"), F.lit(False)))).alias("wrong"),
-        pct(F.count_if(ok & F.coalesce(F.col("ai_correct"), F.lit(False))), F.count_if(ok)).alias("accuracy_pct"),
-        F.round(F.avg(F.when(ok, F.col("response_time"))), 6).alias("mean_time"),
-    ]
-    valid = r.filter(ok)
-    stats = group_stats(valid, [], "response_time")
-    if bounded_groups(valid, [], "response_time", stats=stats):  # median in the same pass
-        lat = F.when(ok, F.col("response_time"))
-        return r.agg(*aggs, F.round(F.percentile(F.when(~F.isnan(lat), lat), 0.5), 6).alias("median_time"))
-    med = distributed_quantiles(valid, [], "response_time", {"median_time": 0.5}, stats=stats)
-    return r.agg(*aggs).withColumn("median_time", F.round(med.select("median_time").scalar(), 6))
+    right = ok & F.coalesce(F.col("ai_correct"), F.lit(False))
+    counts = value_counts(r, [], F.when(ok, F.col("response_time")), {"_s": F.count_if(ok), "_c": F.count_if(right)})
+    n, s, c = [F.coalesce(F.sum(x), F.lit(0)) for x in ("_n", "_s", "_c")]
+    out = counts.agg(n.alias("processed"), s.alias("valid"), (n - s).alias("errors"), c.alias("correct"),
+                     (s - c).alias("wrong"), pct(c, s).alias("accuracy_pct"),
+                     mean_value().alias("mean_time"))
+    return out.withColumn("median_time", F.round(quantiles_of(counts, [], {"m": 0.5}).select("m").scalar(), 6))

@@ -19,7 +19,7 @@ from quizlake.plans import fixtures as fx
 from quizlake.session import fresh_dir, shared_dir
 from quizlake.sources import files, payloads
 
-LIMIT_N = 100  # the --limit run that produced the earlier checkpoint
+LIMIT_N = 100  # rows of the --limit query (a limit is its feature)
 FILTER_SELECTION = {"models": ["model_1"], "difficulties": ["medium", "hard"],
                     "categories": ["click", "view", "purchase"]}
 
@@ -50,10 +50,13 @@ def _graded(spark, sf, items=None):
 
 
 def _checkpoint(spark, sf, items=None):
-    """Silver saved by an earlier ``--limit`` run over the first items."""
+    """Silver saved by an earlier run over the first half of the items, read from its files."""
     items = _items(spark, sf) if items is None else items
-    first = clean.limit_items(items, LIMIT_N)
-    return grade.grade_responses(first, fx.responses(items), fx.FIXTURE_MODEL, fx.FIXTURE_RUN_TS)
+    first = clean.limit_items(items, items.count() // 2)
+    graded = grade.grade_responses(first, fx.responses(items), fx.FIXTURE_MODEL, fx.FIXTURE_RUN_TS)
+    run = resume.RunStore(fresh_dir(spark, "run"))
+    run.save_partial(graded)
+    return run.load(spark, items, fx.FIXTURE_MODEL)
 
 
 # --------------------------------------------------------------------------- gold
@@ -177,8 +180,9 @@ def q_detail_listing(spark, sf):
 
 def q_coerce_latency(spark, sf):
     a = fx.attempts(spark, sf)
-    a = a.withColumn("response_time", F.when(F.col("ordinal") % 13 == 0, F.lit("n/a"))
-                     .otherwise(F.col("response_time").cast("string")))
+    r = F.col("ordinal") % 13
+    text = F.when(r == 0, "n/a").when(r == 1, "nan").when(r == 2, "12f").when(r == 3, "0x10p0").when(r == 4, " 12.5e2 ")
+    a = a.withColumn("response_time", text.otherwise(F.col("response_time").cast("string")))
     return report.prepare_report_input(a).select("question_id", "response_time", "ai_correct")
 
 
@@ -278,9 +282,44 @@ def q_silver_roundtrip(spark, sf):
                       "response_time", "temperature", "max_tokens", "prompt_version")
 
 
+def _staged_attempts(spark, sf):
+    """The attempts written as Silver files (one folder a model) and staged as a view."""
+    path = fresh_dir(spark, "silver-attempts")
+    files.write_silver(fx.attempts(spark, sf), path)
+    return files.stage_view(spark, path)
+
+
+def q_stg_attempts(spark, sf):
+    return _staged_attempts(spark, sf).select("question_id", "model", "category", "type", "difficulty", "status", "error",
+                                              "ai_answer", "ai_correct", "response_time", "prompt_version")
+
+
+def q_gold_views(spark, sf):
+    """Gold views over the staging view of the Silver files."""
+    gold.create_views(_staged_attempts(spark, sf))
+    by = spark.table("gold_accuracy_by_category")
+    rate = spark.table("gold_error_rate").select(F.col("category").alias("_c"), "error_rate_pct")
+    return by.join(rate, by.category.eqNullSafe(F.col("_c")), "left").drop("_c")
+
+
+def q_report_on_silver(spark, sf):
+    staged = report.apply_filters(report.prepare_report_input(_staged_attempts(spark, sf)), models=["model_1"])
+    return report.report_by_category_difficulty(report.successful(staged))
+
+
+def q_detail_export(spark, sf):
+    """The wrong answers of the staged attempts, exported as CSV and read back."""
+    path = fresh_dir(spark, "detail-csv")
+    ok = report.successful(report.apply_filters(report.prepare_report_input(_staged_attempts(spark, sf))))
+    files.write_detail_csv(report.detail_listing(ok, only_incorrect=True), path)
+    return spark.read.options(**files.CSV_OPTIONS).schema(
+        "model string, category string, difficulty string, question_clean string, ai_answer string, "
+        "correct_answer_clean string, ai_correct boolean, response_time double").csv(path)
+
+
 def q_score_batch(spark, sf):
     items = _items(spark, sf)
-    resp = grade.score_batch(items, grade.echo_scorer, "echo-model", partitions=8)
+    resp = grade.score_batch(items, grade.echo_scorer, "echo-model")
     return grade.grade_responses(items, resp, "echo-model", fx.FIXTURE_RUN_TS).select(
         "question_id", "status", "ai_correct", "error")
 
@@ -288,7 +327,13 @@ def q_score_batch(spark, sf):
 # --------------------------------------------------------------------------- resume
 
 def q_checkpoint_compat(spark, sf):
-    return resume.checkpoint_compat(fx.attempts(spark, sf))
+    """Three saved files: mixed models (none can resume), one model, one model with a null parameter."""
+    a = fx.attempts(spark, sf)
+    one = a.filter("model = 'model_1'")
+    nulls = one.withColumn("temperature", F.when(F.col("ordinal") % 50 != 1, F.col("temperature")))
+    found = [resume.checkpoint_compat(df).withColumn("saved", F.lit(name))
+             for name, df in (("mixed", a), ("one model", one), ("null parameter", nulls))]
+    return found[0].union(found[1]).union(found[2])
 
 
 def q_resume_pending(spark, sf):
@@ -328,8 +373,11 @@ def q_run_summary(spark, sf):
 # --------------------------------------------------------------------------- ingest
 
 def q_ingest_payload(spark, sf):
-    return payloads.ingest_pages(fx.payload_pages(spark, sf), fetched_at=fx.FIXTURE_RUN_TS,
-                                source=fx.PAYLOAD_SOURCE)
+    """Recorded pages written as files, read back and ingested under the loose policy."""
+    path = fresh_dir(spark, "payloads")
+    payloads.write_payload_files(fx.payload_pages(spark, sf), path)
+    return payloads.ingest_pages(payloads.read_payload_files(spark, path), fetched_at=fx.FIXTURE_RUN_TS,
+                                 source=fx.PAYLOAD_SOURCE)
 
 
 def q_ingest_categories(spark, sf):

@@ -15,7 +15,7 @@ from quizlake import constants as K
 FIXTURE_MODEL = "fixture-model"
 FIXTURE_RUN_TS = "2024-01-01T00:00:00+00:00"
 PAYLOAD_SOURCE = "recorded-api"  # Bronze ``source`` label of the recorded API pages
-DUPLICATE_OFFSET = 1_000_000_000
+DUPLICATE_OFFSET = 1 << 52  # the copy flag of an ordinal: copies come after all originals
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,8 @@ def _difficulty(n: F.Column) -> F.Column:
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver-shaped graded attempts from ``events`` (one attempt per event)."""
+    """Silver-shaped graded attempts from ``events`` (one attempt per event), with null models,
+    categories and statuses, an unlisted difficulty, and successes without a grade."""
     e = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     return (
@@ -35,10 +36,10 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("event_id").cast("string").alias("question_id"),
             F.col("event_id").alias("ordinal"),
-            F.col("event_type").alias("category"),
+            F.when(F.col("event_id") % 89 != 3, F.col("event_type")).alias("category"),
             F.when(F.col("event_id") % 5 == 0, "boolean").otherwise("multiple").alias("type"),
-            _difficulty(F.col("user_id")).alias("difficulty"),
-            F.concat(F.lit("model_"), (F.col("user_id") % 2).cast("string")).alias("model"),
+            F.when(F.col("event_id") % 83 == 5, "expert").otherwise(_difficulty(F.col("user_id"))).alias("difficulty"),
+            F.when(F.col("event_id") % 97 != 7, F.concat(F.lit("model_"), (F.col("user_id") % 2).cast("string"))).alias("model"),
             F.lit(K.PROMPT_VERSION).alias("prompt_version"),
             F.lit(K.TEMPERATURE).cast("bigint").alias("temperature"),
             F.lit(K.MAX_TOKENS).cast("bigint").alias("max_tokens"),
@@ -47,10 +48,11 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("k") % 10 == 0, F.lit(None).cast("string"))
             .when(F.col("k") % 3 == 0, F.concat(F.lit("Answer "), (F.col("k") % 4).cast("string")))
             .otherwise(F.concat(F.lit("Answer "), ((F.col("k") + 1) % 4).cast("string"))).alias("ai_answer"),
-            F.when(F.col("k") % 10 == 0, F.lit(None).cast("boolean"))
+            F.when((F.col("k") % 10 == 0) | (F.col("event_id") % 73 == 9), F.lit(None).cast("boolean"))
             .otherwise(F.col("k") % 3 == 0).alias("ai_correct"),
             F.col("value").alias("response_time"),
-            F.when(F.col("k") % 10 == 0, K.STATUS_ERROR).otherwise(K.STATUS_SUCCESS).alias("status"),
+            F.when(F.col("event_id") % 79 == 11, F.lit(None).cast("string"))
+            .when(F.col("k") % 10 == 0, K.STATUS_ERROR).otherwise(K.STATUS_SUCCESS).alias("status"),
             F.when(F.col("k") % 20 == 0, F.lit("Timeout: timeout")).alias("error"),
         )
     )
@@ -84,14 +86,15 @@ def attempts_big(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bronze_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One item per page: title as question, part names as answers (before encoding)."""
+    """One item per page: the whole page as question, part names as answers (before encoding).
+    Some questions are blank and some answers empty."""
     pages = table(spark, sf_dir, "pages")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     n = part.select(F.count(F.lit(1))).scalar()
     pid = F.col("page_id")
     base = pages.select(
         pid,
-        F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("question"),
+        F.when(pid % 31 == 3, F.lit("  ")).otherwise(F.col("html")).alias("question"),
         (pid % n).alias("kc"), ((pid * 7 + 1) % n).alias("ka"), ((pid * 13 + 2) % n).alias("kb"),
     )
     pc = part.select(F.col("p_partkey").alias("kc"),
@@ -105,7 +108,7 @@ def _bronze_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(pid % 5 == 0, "boolean").otherwise("multiple").alias("type"),
         _difficulty(pid).alias("difficulty"),
         "question",
-        F.coalesce("correct_answer", F.lit("")).alias("correct_answer"),
+        F.when(pid % 29 == 7, F.lit("")).otherwise(F.coalesce("correct_answer", F.lit(""))).alias("correct_answer"),
         F.coalesce("inc1", F.lit("")).alias("inc1"), F.coalesce("inc2", F.lit("")).alias("inc2"),
         (pid % 7).alias("cat_no"),
     )
@@ -114,8 +117,9 @@ def _bronze_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> DataFrame:
     """Bronze item rows (all text) from ``pages`` and ``part``.
 
-    The question is the page title (it carries HTML entities); answers are part names.
-    Distractor lists use the JSON dialect, the Python-literal dialect or are garbage.
+    The question is the whole page (it carries HTML entities); answers are part names.
+    Distractor lists use the JSON dialect, the Python-literal dialect (with escapes), are
+    tuples, hold a non-text element or are garbage.
     With ``with_duplicates`` every item appears a second time later in file order
     with another difficulty and fetch time (same item key), which keep-first dedupe
     must drop.
@@ -125,6 +129,9 @@ def bronze(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> Da
     q = F.lit("'")
     inc = (
         F.when(pid % 17 == 5, F.lit("garbage"))
+        .when(pid % 17 == 9, F.concat(F.lit("("), q, "inc1", q, F.lit(",)")))
+        .when(pid % 17 == 13, F.concat(F.lit("["), q, "inc1", q, F.lit(", None]")))
+        .when(pid % 10 == 7, F.concat(F.lit("["), q, "inc1", F.lit("\\xa0"), q, F.lit(", u"), q, F.lit("\\u00e9 "), "inc2", q, F.lit("]")))
         .when(pid % 10 == 3, F.concat(F.lit("["), q, "inc1", q, F.lit(", "), q, "inc2", q, F.lit("]")))
         .otherwise(F.concat(F.lit('["'), "inc1", F.lit('", "'), "inc2", F.lit('"]')))
     )
@@ -146,20 +153,20 @@ def bronze(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> Da
     return items.unionByName(dups)
 
 
-ITEMS_PER_BLOCK = 7 * K.PAGE_SIZE  # page_id % 7 is the category: 50 items per category
+ITEMS_PER_BLOCK = 7 * 10  # page_id % 7 is the category: ten items a recorded page
 
 
 def page_response_code(cat_no: F.Column, page_no: F.Column) -> F.Column:
     """Recorded response code of a page: mostly 0, sometimes 5 (rate limit), 4 (token
-    empty) or 1 (no results)."""
+    empty), 1 (no results), or null (the page is not JSON)."""
     h = (page_no * 7 + cat_no) % 23
-    return F.when(h == 5, 5).when(h == 11, 4).when(h == 17, 1).otherwise(0)
+    return F.when(h == 20, F.lit(None).cast("int")).when(h == 5, 5).when(h == 11, 4).when(h == 17, 1).otherwise(0)
 
 
 def payload_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recorded item-bank API pages: (category_id, page_no, payload JSON text).
 
-    Each page holds at most 50 items of one category, in item order; a page's items
+    Each page holds at most ten items of one category, in item order; a page's items
     are bounded, so gathering them per page never builds an unbounded group.
     """
     b = _bronze_base(spark, sf_dir)
@@ -174,6 +181,7 @@ def payload_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.to_json(F.struct(rc.alias("response_code"),
                                  F.when(rc == 0, F.transform("items", lambda x: x["r"]))
                                  .otherwise(F.array()).alias("results")))
+    payload = F.when(rc.isNull(), F.lit("<html>busy</html>")).otherwise(payload)
     return pages.select("category_id", "page_no", payload.alias("payload"))
 
 
@@ -195,15 +203,24 @@ def category_catalog_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def declared_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared totals per category for the page plan: lineitem rows per return flag."""
+    """Declared totals per category for the page plan: lineitem rows per return flag, and one
+    empty category per region."""
     li = table(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_returnflag").alias("category")).agg(F.count(F.lit(1)).alias("total"))
+    none = table(spark, sf_dir, "region").select(F.col("r_name").alias("category"), F.lit(0).cast("bigint").alias("total"))
+    return li.groupBy(F.col("l_returnflag").alias("category")).agg(F.count(F.lit(1)).alias("total")).union(none)
+
+
+#: Malformed replies; ``None`` stands for a good one followed by other text.
+MALFORMED = ['{"choices": [', '{"choices": []}', '{"error": "overloaded"}', "[1, 2]", None,
+             '{"choices": [{"message": {"content": 42}, "finish_reason": "stop"}]}',
+             '{"choices": [{"message": {"content": {"a": 1}}, "finish_reason": "stop"}]}',
+             '{"choices": [{"message": {}, "finish_reason": "stop"}]}']
 
 
 def responses(items: DataFrame, model: str = FIXTURE_MODEL) -> DataFrame:
     """Recorded model replies for cleaned items, one branch per ``ordinal % 11``.
 
-    0 no reply, 1 transport error, 2 malformed payload (3 kinds), 3 blank content,
+    0 no reply, 1 transport error, 2 malformed payload (8 kinds), 3 blank content,
     4 truncated, 5 upper-cased answer with spaces and a dot, 6 unrelated text,
     7 sentence containing the answer, 8 answer with an entity, 9-10 exact answer.
     """
@@ -220,10 +237,11 @@ def responses(items: DataFrame, model: str = FIXTURE_MODEL) -> DataFrame:
     finish = F.when(b == 4, "length").otherwise("stop")
     good = F.to_json(F.struct(F.array(F.struct(F.struct(content.alias("content")).alias("message"),
                                                  finish.alias("finish_reason"))).alias("choices")))
-    kind = (F.col("ordinal") / 11).cast("bigint") % 3
-    malformed = (F.when(kind == 0, F.lit('{"choices": ['))
-                 .when(kind == 1, F.lit('{"choices": []}'))
-                 .otherwise(F.lit('{"error": "overloaded"}')))
+    kind = F.floor(F.col("ordinal") / 11) % len(MALFORMED)
+    malformed = F.concat(good, F.lit(" trailing"))
+    for i, text in enumerate(MALFORMED):
+        if text is not None:
+            malformed = F.when(kind == i, F.lit(text)).otherwise(malformed)
     return items.filter(b != 0).select(
         F.lit(model).alias("model"),
         "question_id",

@@ -9,8 +9,9 @@ independent of the Spark expressions it checks.
 from __future__ import annotations
 
 from quizlake import constants as K
+from quizlake.plans.fixtures import MALFORMED
 
-DUP = 1_000_000_000
+DUP = 1 << 52
 RUN_TS = "2024-01-01T00:00:00+00:00"
 
 
@@ -44,18 +45,19 @@ def jlist(x: str) -> str:
 
 
 ATTEMPTS = f"""attempts AS (
-  SELECT CAST(event_id AS VARCHAR) AS question_id, event_id AS ordinal, event_type AS category,
+  SELECT CAST(event_id AS VARCHAR) AS question_id, event_id AS ordinal,
+    CASE WHEN event_id % 89 <> 3 THEN event_type END AS category,
     CASE WHEN event_id % 5 = 0 THEN 'boolean' ELSE 'multiple' END AS type,
-    {diff('user_id')} AS difficulty,
-    'model_' || CAST(user_id % 2 AS VARCHAR) AS model,
+    CASE WHEN event_id % 83 = 5 THEN 'expert' ELSE {diff('user_id')} END AS difficulty,
+    CASE WHEN event_id % 97 <> 7 THEN 'model_' || CAST(user_id % 2 AS VARCHAR) END AS model,
     {lit(K.PROMPT_VERSION)} AS prompt_version, CAST(0 AS BIGINT) AS temperature, CAST(50 AS BIGINT) AS max_tokens,
     'Question ' || CAST(event_id AS VARCHAR) AS question_clean,
     'Answer ' || CAST(k % 4 AS VARCHAR) AS correct_answer_clean,
     CASE WHEN k % 10 = 0 THEN NULL WHEN k % 3 = 0 THEN 'Answer ' || CAST(k % 4 AS VARCHAR)
          ELSE 'Answer ' || CAST((k + 1) % 4 AS VARCHAR) END AS ai_answer,
-    CASE WHEN k % 10 = 0 THEN NULL ELSE k % 3 = 0 END AS ai_correct,
+    CASE WHEN k % 10 = 0 OR event_id % 73 = 9 THEN NULL ELSE k % 3 = 0 END AS ai_correct,
     value AS response_time,
-    CASE WHEN k % 10 = 0 THEN 'error' ELSE 'success' END AS status,
+    CASE WHEN event_id % 79 = 11 THEN NULL WHEN k % 10 = 0 THEN 'error' ELSE 'success' END AS status,
     CASE WHEN k % 20 = 0 THEN 'Timeout: timeout' END AS error
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) e)"""
 
@@ -78,8 +80,8 @@ bbase AS (
   SELECT p.page_id AS ordinal, 'cat_' || CAST(p.page_id % 7 AS VARCHAR) AS category,
     CASE WHEN p.page_id % 5 = 0 THEN 'boolean' ELSE 'multiple' END AS type,
     {diff('p.page_id')} AS difficulty,
-    regexp_extract(p.html, '<title>(.*?)</title>', 1) AS question,
-    coalesce(a.p_name || ' &amp; ' || a.p_brand, '') AS correct_answer,
+    CASE WHEN p.page_id % 31 = 3 THEN '  ' ELSE p.html END AS question,
+    CASE WHEN p.page_id % 29 = 7 THEN '' ELSE coalesce(a.p_name || ' &amp; ' || a.p_brand, '') END AS correct_answer,
     coalesce(b.p_name || ' &amp; co', '') AS inc1, coalesce(c.p_name, '') AS inc2,
     p.page_id % 7 AS cat_no
   FROM pages p CROSS JOIN nparts
@@ -89,6 +91,9 @@ bbase AS (
 bronze0 AS (
   SELECT ordinal, category, type, difficulty, question, correct_answer,
     CASE WHEN ordinal % 17 = 5 THEN 'garbage'
+         WHEN ordinal % 17 = 9 THEN '(' || chr(39) || inc1 || chr(39) || ',)'
+         WHEN ordinal % 17 = 13 THEN '[' || chr(39) || inc1 || chr(39) || ', None]'
+         WHEN ordinal % 10 = 7 THEN '[' || chr(39) || inc1 || '\\xa0' || chr(39) || ', u' || chr(39) || '\\u00e9 ' || inc2 || chr(39) || ']'
          WHEN ordinal % 10 = 3 THEN '[' || chr(39) || inc1 || chr(39) || ', ' || chr(39) || inc2 || chr(39) || ']'
          ELSE '["' || inc1 || '", "' || inc2 || '"]' END AS incorrect_answers,
     'fixture' AS source, CAST(cat_no AS VARCHAR) AS category_id, '{RUN_TS}' AS fetched_at
@@ -107,18 +112,26 @@ items0 AS (
     SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY ordinal) AS rn FROM bq) WHERE rn = 1)"""
 
 
+# the literal lists of the fixture: single quotes, a no-break space (stripped at the end of an
+# element) and an accented letter written as escapes, one u prefix
+LITERAL_AS_JSON = "replace(replace(replace(incorrect_answers, '\\xa0', ''), ', u' || chr(39), ', ' || chr(39)), chr(39), '\"')"
+LIST_ERROR = f"""CASE (ordinal % {DUP}) % 17 WHEN 5 THEN {lit(K.MSG_LIST_INVALID)} WHEN 9 THEN {lit(K.MSG_LIST_EMPTY)}
+      WHEN 13 THEN {lit(K.MSG_LIST_BAD_ELEMENT)} END"""
+
+
 def clean_cte(src: str, name: str) -> str:
     return f"""{name}_p AS (
   SELECT *, {strip(dec('question'))} AS question_clean, {strip(dec('correct_answer'))} AS correct_answer_clean,
     CASE WHEN json_valid(incorrect_answers) THEN 'json'
-         WHEN json_valid(replace(incorrect_answers, chr(39), '"')) THEN 'literal' ELSE 'invalid' END AS list_dialect
+         WHEN json_valid({LITERAL_AS_JSON}) THEN 'literal' ELSE 'invalid' END AS list_dialect,
+    {LIST_ERROR} AS list_error
   FROM {src}),
 {name}_l AS (
   SELECT *,
     CASE WHEN question_clean = '' OR correct_answer_clean = '' THEN {lit('ValueError: ' + K.MSG_EMPTY_ITEM)}
-         WHEN list_dialect = 'invalid' THEN {lit('ValueError: ' + K.MSG_LIST_INVALID)} END AS item_error,
+         WHEN list_error IS NOT NULL THEN 'ValueError: ' || list_error END AS item_error,
     list_transform(CASE list_dialect WHEN 'json' THEN from_json(incorrect_answers, '["VARCHAR"]')
-                                     WHEN 'literal' THEN from_json(replace(incorrect_answers, chr(39), '"'), '["VARCHAR"]') END,
+                                     WHEN 'literal' THEN from_json({LITERAL_AS_JSON}, '["VARCHAR"]') END,
                    lambda e: {strip(dec('e'))}) AS answers
   FROM {name}_p),
 {name} AS (
@@ -140,11 +153,13 @@ PROMPT = (f"{lit(K.PROMPT_HEADER)} || question_clean || {lit(K.PROMPT_CHOICES_HE
 
 
 def responses_cte(src: str = "items") -> str:
+    good = ("CAST(to_json({'choices': [{'message': {'content': content}, 'finish_reason': 'stop'}]}) AS VARCHAR)"
+            " || ' trailing'")
+    malformed = " ".join(f"WHEN {i} THEN {good if t is None else lit(t)}" for i, t in enumerate(MALFORMED))
     return f"""responses AS (
   SELECT 'fixture-model' AS model, question_id,
     CASE WHEN b = 1 THEN NULL
-         WHEN b = 2 THEN CASE (ordinal // 11) % 3 WHEN 0 THEN '{{"choices": ['
-                                                  WHEN 1 THEN '{{"choices": []}}' ELSE '{{"error": "overloaded"}}' END
+         WHEN b = 2 THEN CASE (ordinal // 11) % 8 {malformed} END
          ELSE CAST(to_json({{'choices': [{{'message': {{'content': content}},
                               'finish_reason': CASE WHEN b = 4 THEN 'length' ELSE 'stop' END}}]}}) AS VARCHAR) END AS payload,
     CAST(ordinal % 7 AS DOUBLE) / 4 AS response_time,
@@ -168,7 +183,9 @@ def graded_cte(src: str = "items", name: str = "graded") -> str:
     CASE WHEN vj THEN json_extract(payload, '$.choices') END AS ch,
     CASE WHEN vj THEN json_array_length(payload, '$.choices') END AS nch,
     CASE WHEN vj THEN json_extract(payload, '$.choices[0].message') END AS msg,
-    CASE WHEN vj THEN json_extract_string(payload, '$.choices[0].message.content') END AS content,
+    CASE WHEN vj THEN json_type(payload, '$.choices[0].message.content') END AS ctype,
+    CASE WHEN vj AND json_type(payload, '$.choices[0].message.content') = 'VARCHAR'
+         THEN json_extract_string(payload, '$.choices[0].message.content') END AS content,
     CASE WHEN vj THEN json_extract_string(payload, '$.choices[0].finish_reason') END AS fr
   FROM {name}_r),
 {name}_e AS (
@@ -177,9 +194,11 @@ def graded_cte(src: str = "items", name: str = "graded") -> str:
     WHEN NOT has_row THEN 'RequestException: no recorded response'
     WHEN transport_error IS NOT NULL THEN transport_error
     WHEN NOT vj THEN 'JSONDecodeError: reply is not valid JSON'
+    WHEN json_type(payload) <> 'OBJECT' THEN {lit('ValueError: ' + K.MSG_UNEXPECTED_JSON)}
     WHEN ch IS NULL THEN 'KeyError: ''choices'''
     WHEN nch = 0 THEN 'IndexError: list index out of range'
     WHEN msg IS NULL THEN 'KeyError: ''message'''
+    WHEN ctype IS NULL THEN 'KeyError: ''content'''
     WHEN content IS NULL OR {blank} THEN {lit('ValueError: ' + K.MSG_EMPTY_REPLY)}
     WHEN fr = 'length' THEN {lit('ValueError: ' + K.MSG_TRUNCATED)}
   END AS error
@@ -210,22 +229,30 @@ GOLD_AGG = """count(*) AS total_questions,
 REPORT_AGG = """count(*) AS questions,
   CAST(coalesce(sum(CAST(ai_correct AS INTEGER)), 0) AS BIGINT) AS bonnes_reponses,
   avg(CAST(ai_correct AS DOUBLE)) AS "precision",
-  round(avg(response_time), 6) AS latence_moyenne,
+  round(avg(response_time) + 1e-9, 6) AS latence_moyenne,
   round(quantile_cont(response_time, 0.5), 6) AS latence_mediane,
   avg(CAST(ai_correct AS DOUBLE)) * 100 AS precision_pct"""
 
 REP = (ATTEMPTS, FILTERED, OK)
 
-RC = "CASE (page_no * 7 + cat_no) % 23 WHEN 5 THEN 5 WHEN 11 THEN 4 WHEN 17 THEN 1 ELSE 0 END"
-PAGES = f"""pg AS (SELECT *, ordinal // 350 AS page_no FROM bbase),
-pgrc AS (SELECT cat_no, page_no, {RC} AS response_code FROM (SELECT DISTINCT cat_no, page_no FROM pg))"""
+RC = "CASE (page_no * 7 + cat_no) % 23 WHEN 5 THEN 5 WHEN 11 THEN 4 WHEN 17 THEN 1 WHEN 20 THEN NULL ELSE 0 END"
+# loose policy: a category ends at its first page that is neither accepted nor retried
+PAGES = f"""pg AS (SELECT *, ordinal // 70 AS page_no FROM bbase),
+pgrc AS (SELECT cat_no, page_no, {RC} AS response_code FROM (SELECT DISTINCT cat_no, page_no FROM pg)),
+fs AS (SELECT cat_no, min(page_no) AS stop FROM pgrc
+       WHERE response_code IS NULL OR response_code NOT IN (0, 5) GROUP BY cat_no)"""
 INGESTED = f"""ingested AS (
-  SELECT cat_no * 1000000000 + page_no * 1000 + pos AS ordinal, category, type, difficulty, question, correct_answer,
+  SELECT cat_no * 8796093022208 + page_no * 64 + pos AS ordinal, category, type, difficulty, question, correct_answer,
     '[' || CAST(to_json(inc1) AS VARCHAR) || ', ' || CAST(to_json(inc2) AS VARCHAR) || ']' AS incorrect_answers,
     'recorded-api' AS source, CAST(cat_no AS VARCHAR) AS category_id, '{RUN_TS}' AS fetched_at
   FROM (SELECT *, row_number() OVER (PARTITION BY cat_no, page_no ORDER BY ordinal) - 1 AS pos FROM pg)
-  WHERE {RC} = 0)"""
+  LEFT JOIN fs USING (cat_no)
+  WHERE {RC} = 0 AND (stop IS NULL OR page_no < stop))"""
+
 
+# the earlier run's items: the first half in file order
+HALF = """(SELECT question_id FROM (SELECT question_id, row_number() OVER (ORDER BY ordinal) AS rn, count(*) OVER () AS n
+          FROM items) WHERE rn <= n // 2)"""
 
 ORACLE = {
     # ---------------------------------------------------------------- gold
@@ -265,21 +292,21 @@ ORACLE = {
     "report_by_category_difficulty": w(*REP) + f"SELECT category, difficulty, {REPORT_AGG} FROM ok GROUP BY category, difficulty",
     "report_by_model": w(*REP) + """SELECT model, count(*) AS questions,
         CAST(coalesce(sum(CAST(ai_correct AS INTEGER)), 0) AS BIGINT) AS bonnes_reponses,
-        avg(CAST(ai_correct AS DOUBLE)) * 100 AS precision_pct, round(avg(response_time), 6) AS latence_moyenne,
+        avg(CAST(ai_correct AS DOUBLE)) * 100 AS precision_pct, round(avg(response_time) + 1e-9, 6) AS latence_moyenne,
         round(quantile_cont(response_time, 0.5), 6) AS latence_mediane FROM ok GROUP BY model""",
     "report_grouping_sets": w(*REP) + """SELECT CASE grouping(difficulty, type, category, model)
           WHEN 15 THEN 'all' WHEN 7 THEN 'difficulty' WHEN 11 THEN 'type' WHEN 13 THEN 'category'
           WHEN 5 THEN 'category_difficulty' WHEN 14 THEN 'model' END AS level,
         difficulty, type, category, model, count(*) AS questions,
         CAST(coalesce(sum(CAST(ai_correct AS INTEGER)), 0) AS BIGINT) AS bonnes_reponses,
-        avg(CAST(ai_correct AS DOUBLE)) * 100 AS precision_pct, round(avg(response_time), 6) AS latence_moyenne,
+        avg(CAST(ai_correct AS DOUBLE)) * 100 AS precision_pct, round(avg(response_time) + 1e-9, 6) AS latence_moyenne,
         round(quantile_cont(response_time, 0.5), 6) AS latence_mediane
         FROM ok GROUP BY GROUPING SETS ((), (difficulty), (type), (category), (category, difficulty), (model))""",
     "report_kpis": w(ATTEMPTS, FILTERED) + """SELECT count(*) AS questions,
         count(*) FILTER (WHERE status = 'success') AS successes,
         CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) / count(*) * 100 AS success_rate_pct,
         avg(CASE WHEN status = 'success' THEN CAST(CAST(ai_correct AS INTEGER) AS DOUBLE) END) * 100 AS accuracy_pct,
-        round(avg(CASE WHEN status = 'success' THEN response_time END), 6) AS latency_mean,
+        round(avg(CASE WHEN status = 'success' THEN response_time END) + 1e-9, 6) AS latency_mean,
         round(quantile_cont(response_time, 0.5) FILTER (WHERE status = 'success'), 6) AS latency_median,
         round(quantile_cont(response_time, 0.95) FILTER (WHERE status = 'success'), 6) AS latency_p95
         FROM filtered""",
@@ -289,13 +316,13 @@ ORACLE = {
         count(*) FILTER (WHERE status = 'success') AS successes,
         CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) / count(*) * 100 AS success_rate_pct,
         avg(CASE WHEN status = 'success' THEN CAST(CAST(ai_correct AS INTEGER) AS DOUBLE) END) * 100 AS accuracy_pct,
-        round(avg(CASE WHEN status = 'success' THEN response_time END), 6) AS latency_mean,
+        round(avg(CASE WHEN status = 'success' THEN response_time END) + 1e-9, 6) AS latency_mean,
         round(quantile_cont(response_time, 0.5) FILTER (WHERE status = 'success'), 6) AS latency_median,
         round(quantile_cont(response_time, 0.95) FILTER (WHERE status = 'success'), 6) AS latency_p95
         FROM fb""",
     "report_by_model_big": w(ATTEMPTS_BIG) + """SELECT model, count(*) AS questions,
         CAST(coalesce(sum(CAST(ai_correct AS INTEGER)), 0) AS BIGINT) AS bonnes_reponses,
-        avg(CAST(ai_correct AS DOUBLE)) * 100 AS precision_pct, round(avg(response_time), 6) AS latence_moyenne,
+        avg(CAST(ai_correct AS DOUBLE)) * 100 AS precision_pct, round(avg(response_time) + 1e-9, 6) AS latence_moyenne,
         round(quantile_cont(response_time, 0.5), 6) AS latence_mediane
         FROM attempts_big WHERE status = 'success' AND model IS NOT NULL
           AND difficulty IN ('easy', 'medium', 'hard') AND category IS NOT NULL GROUP BY model""",
@@ -318,10 +345,10 @@ ORACLE = {
               FROM ok CROSS JOIN b WHERE response_time IS NOT NULL)
         SELECT difficulty, bin, count(*) AS questions, round(any_value(lo) + bin * any_value(width), 6) AS bin_start,
           round(any_value(lo) + (bin + 1) * any_value(width), 6) AS bin_end FROM h GROUP BY difficulty, bin""",
-    "speed_accuracy": w(*REP) + """SELECT 'category' AS level, category AS name, round(avg(response_time), 6) AS latence_moyenne,
+    "speed_accuracy": w(*REP) + """SELECT 'category' AS level, category AS name, round(avg(response_time) + 1e-9, 6) AS latence_moyenne,
           avg(CAST(ai_correct AS DOUBLE)) * 100 AS precision_pct, count(*) AS questions FROM ok GROUP BY category
         UNION ALL
-        SELECT 'model', model, round(avg(response_time), 6), avg(CAST(ai_correct AS DOUBLE)) * 100, count(*) FROM ok GROUP BY model""",
+        SELECT 'model', model, round(avg(response_time) + 1e-9, 6), avg(CAST(ai_correct AS DOUBLE)) * 100, count(*) FROM ok GROUP BY model""",
     "filter_options": w(ATTEMPTS) + """SELECT 'model' AS filter, model AS value, CAST(NULL AS BIGINT) AS position
           FROM (SELECT DISTINCT model FROM attempts WHERE model IS NOT NULL)
         UNION ALL SELECT 'category', category, NULL FROM (SELECT DISTINCT category FROM attempts WHERE category IS NOT NULL)
@@ -335,7 +362,7 @@ ORACLE = {
     "detail_listing": w(*REP) + """SELECT model, category, difficulty, question_clean, ai_answer, correct_answer_clean,
         ai_correct, response_time FROM ok ORDER BY response_time DESC NULLS LAST""",
     "coerce_latency": w(ATTEMPTS) + """SELECT question_id,
-        TRY_CAST(CASE WHEN ordinal % 13 = 0 THEN 'n/a' ELSE CAST(response_time AS VARCHAR) END AS DOUBLE) AS response_time,
+        CASE WHEN ordinal % 13 > 4 THEN response_time WHEN ordinal % 13 = 4 THEN 1250.0 END AS response_time,
         ai_correct FROM attempts""",
     "attempt_label": w(ATTEMPTS) + """SELECT model, question_id,
         CASE WHEN status = 'error' THEN 'ERREUR' WHEN ai_correct THEN 'OK' ELSE 'FAUX' END AS label,
@@ -351,7 +378,7 @@ ORACLE = {
     "parse_distractors": w(BRONZE, clean_cte("(SELECT *, '' AS question_id FROM bronze0)", "pd")) + f"""SELECT ordinal, list_dialect,
         CASE WHEN list_dialect <> 'invalid' THEN CAST(len(answers) AS BIGINT) END AS n_answers,
         CASE WHEN list_dialect <> 'invalid' THEN {jlist('answers')} END AS answers_json,
-        CASE WHEN list_dialect = 'invalid' THEN {lit(K.MSG_LIST_INVALID)} END AS list_error,
+        list_error,
         CASE WHEN list_dialect = 'literal' THEN {lit(K.MSG_LITERAL_WARNING)} END AS list_warning FROM pd""",
     "clean_items": w(*ITEMS_ALL) + """SELECT ordinal, question_id, question_clean, correct_answer_clean,
         incorrect_answers_clean, cleaning_warning, list_dialect, item_error FROM items""",
@@ -366,7 +393,8 @@ ORACLE = {
     # ---------------------------------------------------------------- grade
     "extract_reply": w(*ITEMS_ALL, responses_cte()) + """SELECT question_id, coalesce(json_valid(payload), false) AS valid_json,
         CAST(CASE WHEN json_valid(payload) THEN coalesce(json_array_length(payload, '$.choices'), 0) ELSE 0 END AS BIGINT) AS n_choices,
-        CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.choices[0].message.content') END AS content,
+        CASE WHEN json_valid(payload) AND json_type(payload, '$.choices[0].message.content') = 'VARCHAR'
+             THEN json_extract_string(payload, '$.choices[0].message.content') END AS content,
         CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.choices[0].finish_reason') END AS finish_reason
         FROM responses""",
     "grade_responses": w(*GRADED_ALL) + """SELECT ordinal, question_id, status, error, ai_answer, ai_correct, response_time,
@@ -381,21 +409,33 @@ ORACLE = {
         || '+00:00' AS fetched_at FROM events""",
     "silver_roundtrip": w(*GRADED_ALL) + """SELECT ordinal, question_id, model, status, error, ai_answer, ai_correct,
         response_time, temperature, max_tokens, prompt_version FROM graded""",
+    "stg_attempts": w(ATTEMPTS) + """SELECT question_id, model, category, type, difficulty, status, error, ai_answer,
+        ai_correct, response_time, prompt_version FROM attempts""",
+    "gold_views": w(ATTEMPTS) + f"""SELECT g.*, r.error_rate_pct FROM
+        (SELECT category, difficulty, {GOLD_AGG} FROM attempts WHERE status = 'success' GROUP BY category, difficulty) g
+        LEFT JOIN (SELECT category, round(100.0 * CAST(sum(CASE WHEN status = 'error' THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 2)
+          AS error_rate_pct FROM attempts GROUP BY category) r ON g.category IS NOT DISTINCT FROM r.category""",
+    "report_on_silver": w(*REP) + f"""SELECT category, difficulty, {REPORT_AGG} FROM ok WHERE model = 'model_1'
+        GROUP BY category, difficulty""",
+    "detail_export": w(*REP) + """SELECT model, category, difficulty, question_clean, ai_answer, correct_answer_clean,
+        ai_correct, response_time FROM ok WHERE NOT coalesce(ai_correct, false)""",
     "stream_incremental": w(*GRADED_ALL) + """SELECT ordinal, question_id, model, status, error, ai_answer, ai_correct,
         response_time, temperature, max_tokens, prompt_version FROM graded""",
     # ---------------------------------------------------------------- resume
-    "checkpoint_compat": w(ATTEMPTS) + f"""SELECT model, (SELECT count(*) FROM attempts) AS rows,
-        count(*) FILTER (WHERE coalesce(prompt_version = {lit(K.PROMPT_VERSION)} AND temperature = 0 AND max_tokens = 50, false)) AS matching_rows,
-        (SELECT count(*) FROM attempts) - count(*) FILTER (WHERE coalesce(prompt_version = {lit(K.PROMPT_VERSION)}
-          AND temperature = 0 AND max_tokens = 50, false)) AS incompatible_rows,
-        count(*) FILTER (WHERE coalesce(prompt_version = {lit(K.PROMPT_VERSION)} AND temperature = 0 AND max_tokens = 50, false))
-          = (SELECT count(*) FROM attempts) AS compatible
-        FROM attempts WHERE model IS NOT NULL GROUP BY model""",
+    "checkpoint_compat": w(ATTEMPTS) + """, saved AS (
+          SELECT 'mixed' AS saved, model, true AS same FROM attempts
+          UNION ALL SELECT 'one model', model, true FROM attempts WHERE model = 'model_1'
+          UNION ALL SELECT 'null parameter', model, ordinal % 50 <> 1 FROM attempts WHERE model = 'model_1'),
+        total AS (SELECT saved, count(*) AS rows FROM saved GROUP BY saved),
+        per AS (SELECT saved, model, count(*) FILTER (WHERE same) AS matching_rows FROM saved
+                WHERE model IS NOT NULL GROUP BY saved, model)
+        SELECT saved, model, rows, matching_rows, rows - matching_rows AS incompatible_rows,
+          matching_rows = rows AS compatible FROM per JOIN total USING (saved)""",
     "resume_pending": w(*ITEMS_ALL) + """SELECT ordinal, question_id FROM items
-        WHERE question_id NOT IN (SELECT question_id FROM items ORDER BY ordinal LIMIT 100)""",
+        WHERE question_id NOT IN """ + HALF,
     "resume_retry": w(*GRADED_ALL) + """SELECT ordinal, question_id FROM items WHERE question_id NOT IN (
         SELECT question_id FROM graded WHERE status = 'success'
-          AND question_id IN (SELECT question_id FROM items ORDER BY ordinal LIMIT 100))""",
+          AND question_id IN """ + HALF + ")",
     "resume_kept": w(*GRADED_ALL) + "SELECT ordinal, question_id, difficulty, status FROM graded WHERE item_error IS NULL",
     "resume_merge": w(*GRADED_ALL) + "SELECT ordinal, question_id, status, ai_correct FROM graded",
     "run_summary": w(*GRADED_ALL) + """SELECT count(*) AS processed, count(*) FILTER (WHERE status = 'success') AS valid,
@@ -404,7 +444,7 @@ ORACLE = {
         count(*) FILTER (WHERE status = 'success' AND NOT coalesce(ai_correct, false)) AS wrong,
         round(100.0 * CAST(count(*) FILTER (WHERE status = 'success' AND coalesce(ai_correct, false)) AS DOUBLE)
           / count(*) FILTER (WHERE status = 'success'), 2) AS accuracy_pct,
-        round(avg(response_time) FILTER (WHERE status = 'success'), 6) AS mean_time,
+        round(avg(response_time) FILTER (WHERE status = 'success') + 1e-9, 6) AS mean_time,
         round(quantile_cont(response_time, 0.5) FILTER (WHERE status = 'success'), 6) AS median_time FROM graded""",
     # ---------------------------------------------------------------- ingest
     "ingest_payload": w(BRONZE, PAGES, INGESTED) + "SELECT * FROM ingested",
@@ -413,9 +453,7 @@ ORACLE = {
     "page_plan": """WITH c AS (SELECT l_returnflag AS category, count(*) AS total FROM lineitem GROUP BY 1),
         p AS (SELECT category, total, unnest(generate_series(0, (total - 1) // 50)) AS page FROM c WHERE total > 0)
         SELECT category, total, page, least(50, total - page * 50) AS amount FROM p""",
-    "payload_disposition": w(BRONZE, PAGES) + """, fs AS (SELECT cat_no, min(page_no) AS stop FROM pgrc
-          WHERE response_code NOT IN (0, 5) GROUP BY cat_no)
-        SELECT p.cat_no AS category_id, p.page_no, CAST(p.response_code AS INTEGER) AS response_code,
+    "payload_disposition": w(BRONZE, PAGES) + """SELECT p.cat_no AS category_id, p.page_no, CAST(p.response_code AS INTEGER) AS response_code,
           CASE p.response_code WHEN 0 THEN 'accept' WHEN 5 THEN 'retry' ELSE 'fail' END AS strict_action,
           CASE WHEN p.page_no > fs.stop THEN 'skipped' WHEN p.response_code = 0 THEN 'accept'
                WHEN p.response_code = 5 THEN 'retry' ELSE 'stop' END AS loose_action

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Column names of the layers.
 BRONZE_COLUMNS = ["category", "type", "difficulty", "question", "correct_answer",
                   "incorrect_answers", "source", "category_id", "fetched_at"]
 
@@ -42,14 +43,6 @@ SILVER_SCHEMA = T.StructType(
     ]
 )
 
-# A model reply as recorded by the scorer (chat-completions shape).
-REPLY_SCHEMA = T.StructType([
-    T.StructField("choices", T.ArrayType(T.StructType([
-        T.StructField("message", T.StructType([T.StructField("content", T.StringType(), True)]), True),
-        T.StructField("finish_reason", T.StringType(), True),
-    ])), True),
-])
-
 RESPONSE_SCHEMA = T.StructType([
     T.StructField("model", T.StringType(), True),
     T.StructField("question_id", T.StringType(), True),

@@ -61,13 +61,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
     The location comes from ``spark.checkpoint.dir``. Only when the session has
-    none (a local test run) is a private scratch folder created and registered,
-    so cluster runs never write to a machine-local path.
+    none and is local (a test run) is a private scratch folder created and registered;
+    a cluster without one is an error, so nothing is written to a machine-local path.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="quizlake-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         try:

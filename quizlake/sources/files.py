@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -15,6 +15,10 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+def missing_path(exc: AnalysisException) -> bool:
+    return exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def write_bronze_csv(df: DataFrame, path: str) -> None:
     """Bronze sink: header, UTF-8, quoted multi-line fields, overwrite (atomic commit)."""
     cols = (["ordinal"] if "ordinal" in df.columns else []) + [c for c in BRONZE_COLUMNS if c in df.columns]
@@ -26,11 +30,14 @@ def read_bronze_csv(spark: SparkSession, path: str) -> DataFrame:
 
     The header decides which columns exist; required ones are checked, missing label
     columns are defaulted to ``''`` later (``prepare_bronze``). Without an ``ordinal``
-    column the file order is taken from the scan order (single file).
+    column rows are numbered by file path and position in the file. Values may span lines, so
+    one file is read by one task: large banks come as many files.
     """
     try:
         header = spark.read.options(**CSV_OPTIONS).csv(path).columns
     except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         raise ValueError(f"Bronze not found: {path}") from exc
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField(c, T.LongType() if c == "ordinal" else T.StringType(), True)
@@ -39,10 +46,22 @@ def read_bronze_csv(spark: SparkSession, path: str) -> DataFrame:
     require_columns(df, K.BRONZE_REQUIRED_COLUMNS, "bronze")
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in header if c != "ordinal"})
     if "ordinal" not in header:
-        df = df.withColumn("ordinal", F.monotonically_increasing_id())
+        df = _numbered(df)
     return df
 
 
+FILE_BITS = 40  # rows of one file that an ordinal can tell apart
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Adds ``ordinal``: files by path (one row a file is numbered in one place), rows by position."""
+    rows = df.withColumns({"_file": F.col("_metadata.file_path"), "_at": F.monotonically_increasing_id()})
+    files = rows.groupBy("_file").agg(F.min("_at").alias("_first"))
+    files = files.withColumn("_no", F.row_number().over(Window.orderBy("_file")) - 1)
+    ordinal = F.col("_no").cast("bigint") * (1 << FILE_BITS) + F.col("_at") - F.col("_first")
+    return rows.join(files, "_file").withColumn("ordinal", ordinal).drop("_file", "_at", "_first", "_no")
+
+
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Silver sink: stable schema, one folder per model.
 
@@ -53,12 +72,23 @@ def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("model").parquet(path))
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    """Staging scan of Silver with the fixed schema (no inference)."""
+def _own_schema(spark: SparkSession, path: str, required, what: str) -> DataFrame | None:
+    """The table at ``path`` with its own columns checked; None where there is none."""
     try:
-        df = spark.read.schema(SILVER_SCHEMA).parquet(path)
+        df = spark.read.parquet(path)
     except AnalysisException as exc:
-        raise ValueError(f"Silver not found: {path}") from exc
+        if not missing_path(exc):
+            raise
+        return None
+    require_columns(df, required, what)
+    return df
+
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """Staging scan of Silver: the files' own columns are checked, then read as the fixed schema."""
+    if _own_schema(spark, path, [f.name for f in SILVER_SCHEMA.fields], "silver") is None:
+        raise ValueError(f"Silver not found: {path}")
+    df = spark.read.schema(SILVER_SCHEMA).parquet(path)
     return df.select(*[f.name for f in SILVER_SCHEMA.fields])
 
 
@@ -69,14 +99,13 @@ def stage_view(spark: SparkSession, path: str, name: str = "stg_questions_enrich
     return spark.table(name)
 
 
-def load_checkpoint(spark: SparkSession, path: str | None, restart: bool = False) -> DataFrame:
-    """Saved results of earlier runs, or an empty Silver frame on restart / first run."""
-    empty = spark.createDataFrame([], SILVER_SCHEMA)
+def load_checkpoint(spark: SparkSession, path: str | None, restart: bool = False) -> DataFrame | None:
+    """Saved results of earlier runs with their own columns checked, or None on restart / first run."""
     if restart or not path:
-        return empty
-    try:
-        df = spark.read.schema(SILVER_SCHEMA).parquet(path)
-    except AnalysisException:
-        return empty
-    require_columns(df, K.CHECKPOINT_REQUIRED_COLUMNS, "checkpoint")
-    return df
+        return None
+    return _own_schema(spark, path, K.CHECKPOINT_REQUIRED_COLUMNS, "checkpoint")
+
+
+def write_detail_csv(listing: DataFrame, path: str) -> None:
+    """The detail listing as CSV, in its order (files are numbered in order of their rows)."""
+    listing.write.mode("overwrite").options(**CSV_OPTIONS).option("emptyValue", '""').csv(path)

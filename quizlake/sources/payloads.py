@@ -15,10 +15,17 @@ from quizlake.schemas import (CATEGORIES_PAYLOAD_SCHEMA, COUNT_PAYLOAD_SCHEMA,
                               PAGE_PAYLOAD_SCHEMA)
 
 
+PAGE_FILE_SCHEMA = "category_id bigint, page_no bigint, payload string"
+
+
+def write_payload_files(pages: DataFrame, path: str) -> None:
+    """Recorded pages as JSON-lines files: category, page number and the document's text."""
+    pages.select("category_id", "page_no", "payload").write.json(path)
+
+
 def read_payload_files(spark, path: str) -> DataFrame:
-    """Recorded pages stored as JSON-lines files: one document per line."""
-    return spark.read.text(path).select(F.col("value").alias("payload"),
-                                        F.input_file_name().alias("source_file"))
+    """Recorded pages as ``write_payload_files`` wrote them."""
+    return spark.read.schema(PAGE_FILE_SCHEMA).json(path)
 
 
 def ingest_categories(docs: DataFrame) -> DataFrame:
@@ -34,12 +41,19 @@ def ingest_counts(docs: DataFrame) -> DataFrame:
                     F.col("d.category_question_count.total_question_count").alias("total_question_count"))
 
 
+PLAN_BLOCK = 1 << 16  # pages planned from one row
+
+
 def page_plan(counts: DataFrame, total_col: str = "total", page_size: int = K.PAGE_SIZE) -> DataFrame:
     """Requests needed per category: ``min(page_size, remaining)`` items each; a
     category with no questions needs none."""
     t = F.col(total_col)
-    return (counts.filter(t > 0)
-            .withColumn("page", F.explode(F.sequence(F.lit(0).cast("bigint"), ((t - 1) / page_size).cast("bigint"))))
+    last = F.expr(f"({total_col} - 1) div {page_size}")
+    block = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(({total_col} - 1) div {page_size}) div {PLAN_BLOCK}"))
+    # blocks of pages first, dealt over the tasks, then the pages of each block
+    blocks = counts.filter(t > 0).withColumn("_b", F.explode(block)).repartition(*counts.columns, "_b")
+    pages = F.sequence(F.col("_b") * PLAN_BLOCK, F.least(last, (F.col("_b") + 1) * PLAN_BLOCK - 1))
+    return (blocks.withColumn("page", F.explode(pages)).drop("_b")
             .withColumn("amount", F.least(F.lit(page_size).cast("bigint"), t - F.col("page") * page_size)))
 
 
@@ -51,36 +65,59 @@ def disposition(rc: Column) -> tuple[Column, Column]:
     return strict, loose
 
 
+def _with_stop(pages: DataFrame) -> DataFrame:
+    """Adds ``_stop``: the category's first page that is neither accepted nor retried (an
+    unreadable page has no response code and stops too)."""
+    bad = ~F.coalesce(F.col("response_code").isin(K.RC_OK, K.RC_RATE_LIMIT), F.lit(False))
+    stop = pages.filter(bad).groupBy("category_id").agg(F.min("page_no").alias("_stop"))
+    return pages.join(stop, "category_id", "left")
+
+
 def payload_disposition(pages: DataFrame) -> DataFrame:
     """Per recorded page: response code, strict and loose action. Under the loose
     policy the pages after a category's first stop are never requested ("skipped")."""
     rc = F.get_json_object("payload", "$.response_code").cast("int")
     d = pages.select("category_id", "page_no", rc.alias("response_code"))
     strict, loose = disposition(F.col("response_code"))
-    first_stop = (d.filter(~F.col("response_code").isin(K.RC_OK, K.RC_RATE_LIMIT))
-                  .groupBy("category_id").agg(F.min("page_no").alias("_stop")))
-    return (d.join(first_stop, "category_id", "left")
+    return (_with_stop(d)
             .select("category_id", "page_no", "response_code", strict.alias("strict_action"),
                     F.when(F.col("page_no") > F.col("_stop"), "skipped").otherwise(loose).alias("loose_action")))
 
 
+PAGE_BITS, ITEM_BITS = 37, 6  # pages of a category and items of a page that an ordinal can tell apart
+
+
+def page_ordinal(category: Column, page: Column, pos: Column) -> Column:
+    """Request order as one number; parts that do not fit their bits fail the job."""
+    fits = ((category >= 0) & (category < 1 << (63 - PAGE_BITS - ITEM_BITS)) & (page >= 0) & (page < 1 << PAGE_BITS)
+            & (pos < 1 << ITEM_BITS))
+    packed = category * (1 << (PAGE_BITS + ITEM_BITS)) + page * (1 << ITEM_BITS) + pos
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("category, page or item number out of range")).cast("bigint"))
+
+
 def ingest_pages(pages: DataFrame, fetched_at: str, source: str,
                  strict: bool = False) -> DataFrame:
     """Bronze rows from accepted pages, in request order (``ordinal``).
 
     ``incorrect_answers`` is stored as JSON text exactly as ``json.dumps`` writes it;
     ``source`` labels where the documents came from (written on every row).
-    With ``strict``, any page that is neither accepted nor retried fails the job.
+    Loose policy: a category ends at its first page that is neither accepted nor retried, later
+    pages are never requested. With ``strict`` such a page fails the job. ``payload_disposition``
+    reports every page, unreadable ones too.
     """
     d = pages.select("category_id", "page_no", F.from_json("payload", PAGE_PAYLOAD_SCHEMA).alias("d"))
+    d = d.withColumn("response_code", F.col("d.response_code"))
     if strict:
-        d = d.withColumn("d", F.when(F.col("d.response_code").isin(K.RC_OK, K.RC_RATE_LIMIT), F.col("d"))
-                         .otherwise(F.raise_error(F.concat(F.lit("item bank error: response_code="),
-                                                           F.col("d.response_code").cast("string")))))
-    ok = d.filter(F.col("d.response_code") == K.RC_OK)
+        known = F.coalesce(F.col("response_code").isin(K.RC_OK, K.RC_RATE_LIMIT), F.lit(False))
+        code = F.coalesce(F.col("response_code").cast("string"), F.lit("none (unreadable page)"))
+        ok = d.filter(F.when(known, F.col("response_code") == K.RC_OK).otherwise(
+            F.raise_error(F.concat(F.lit("item bank error: response_code="), code)).cast("boolean")))
+    else:
+        ok = _with_stop(d).filter((F.col("response_code") == K.RC_OK)
+                                  & (F.col("_stop").isNull() | (F.col("page_no") < F.col("_stop"))))
     rows = ok.select("category_id", "page_no", F.posexplode("d.results").alias("pos", "r"))
     return rows.select(
-        (F.col("category_id") * 1_000_000_000 + F.col("page_no") * 1000 + F.col("pos")).alias("ordinal"),
+        page_ordinal(F.col("category_id"), F.col("page_no"), F.col("pos")).alias("ordinal"),
         F.col("r.category").alias("category"), F.col("r.type").alias("type"),
         F.col("r.difficulty").alias("difficulty"), F.col("r.question").alias("question"),
         F.col("r.correct_answer").alias("correct_answer"),

@@ -3,12 +3,13 @@
 The original tool resumes a long scoring loop from a checkpoint file written every
 ten rows. Here new Bronze files are the stream; each micro-batch is cleaned,
 deduplicated against everything already committed (anti join on the item key),
-graded and written as one partition per ``batch_id``. The stream checkpoint and the
+graded and written as one partition per parameters and ``batch_id``. The stream checkpoint and the
 sink live under the cluster's shared checkpoint location, so a restarted or replayed
 query neither loses nor duplicates rows:
 
-* a replayed batch overwrites its own ``batch_id`` partition (dynamic overwrite), and
-  its done-set excludes that partition, so it cannot anti-join against itself;
+* a replayed batch overwrites its own ``batch_id`` partition (dynamic overwrite) below its
+  model's and parameters' partition, and its done-set excludes that partition, so it cannot
+  anti-join against itself, and other parameters score everything anew;
 * items repeated in a later batch are skipped (first arrival wins); within a batch
   the first row in file order wins;
 * the history of committed keys is scanned (one column), never shuffled whole: it is
@@ -17,33 +18,53 @@ query neither loses nor duplicates rows:
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from quizlake import constants as K
 from quizlake.operators.clean import clean_items
-from quizlake.operators.grade import grade_responses
+from quizlake.operators.grade import Scorer, grade_responses, score_batch
 from quizlake.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from quizlake.session import fresh_dir
+from quizlake.sources.files import missing_path
 
 BRONZE_FILE_SCHEMA = T.StructType([T.StructField("ordinal", T.LongType(), True), *BRONZE_SCHEMA.fields])
-SINK_SCHEMA = T.StructType([*SILVER_SCHEMA.fields, T.StructField("batch_id", T.LongType(), True)])
+SINK_SCHEMA = T.StructType([*SILVER_SCHEMA.fields, T.StructField("run", T.StringType(), True),
+                            T.StructField("batch_id", T.LongType(), True)])
+
 
+def run_key(parameters: dict) -> str:
+    """Names the model and generation parameters: the sink's outer partition."""
+    return hashlib.sha256(json.dumps(parameters, sort_keys=True).encode()).hexdigest()[:16]
 
-def _committed(spark: SparkSession, sink_dir: str, model: str, batch_id: int) -> DataFrame:
+
+def _committed(spark: SparkSession, sink_dir: str, parameters: dict, batch_id: int) -> DataFrame:
+    """Items that earlier batches scored with the same model and parameters."""
     try:
         done = spark.read.schema(SINK_SCHEMA).parquet(sink_dir)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         return spark.createDataFrame([], SINK_SCHEMA).select("question_id")
-    return done.filter((F.col("batch_id") != batch_id) & (F.col("model") == model)).select("question_id")
+    return done.filter((F.col("run") == run_key(parameters)) & (F.col("batch_id") != batch_id)).select("question_id")
 
 
-def start_incremental_scoring(spark: SparkSession, source_dir: str, responses: DataFrame, model: str,
+def start_incremental_scoring(spark: SparkSession, source_dir: str, responses: DataFrame | None, model: str,
                               run_ts: str, sink_dir: str, checkpoint_dir: str,
-                              max_files_per_trigger: int = 1):
-    """Start the query (``availableNow``: process what has arrived, then stop)."""
+                              max_files_per_trigger: int | None = None, scorer: Scorer | None = None,
+                              prompt_version: str = K.PROMPT_VERSION, temperature: int = K.TEMPERATURE,
+                              max_tokens: int = K.MAX_TOKENS):
+    """Start the query (``availableNow``: process what has arrived, then stop).
+
+    Items are graded from recorded ``responses``, or by ``scorer`` when one is given. An item is
+    done when it was scored with the same model, prompt version and generation parameters."""
+    parameters = {"model": model, "prompt_version": prompt_version, "temperature": temperature, "max_tokens": max_tokens}
 
     def process(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
@@ -52,18 +73,24 @@ def start_incremental_scoring(spark: SparkSession, source_dir: str, responses: D
             # The committed key set grows with history: cut it to this batch's keys first
             # (a semi join whose small side AQE can broadcast from its measured size), so
             # each batch scans one column of the history instead of shuffling all of it.
-            done = _committed(s, sink_dir, model, batch_id).join(items.select("question_id"), "question_id",
+            done = _committed(s, sink_dir, parameters, batch_id).join(items.select("question_id"), "question_id",
                                                                   "left_semi")
             todo = items.join(done, "question_id", "left_anti")
-            graded = grade_responses(todo, responses, model, run_ts).withColumn(
-                "batch_id", F.lit(batch_id).cast("long"))
+            if scorer is not None:
+                replies = score_batch(todo, scorer, model)
+            else:  # only this batch's replies are deduplicated
+                replies = responses.join(todo.select("question_id"), "question_id", "left_semi")
+            graded = grade_responses(todo, replies, run_ts=run_ts, **parameters).withColumns({
+                "run": F.lit(run_key(parameters)), "batch_id": F.lit(batch_id).cast("long")})
             (graded.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(sink_dir))
+             .partitionBy("run", "batch_id").parquet(sink_dir))
         finally:
             items.unpersist()
 
-    stream = (spark.readStream.schema(BRONZE_FILE_SCHEMA)
-              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
+    reader = spark.readStream.schema(BRONZE_FILE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(source_dir)
     return (stream.writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint_dir)
             .trigger(availableNow=True).start())
@@ -85,7 +112,7 @@ def run_incremental_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = F.col("ordinal") < fx.DUPLICATE_OFFSET
     responses = fx.responses(clean_items(bronze))
     for arrival in (bronze.filter(cut), bronze.filter(~cut)):
-        arrival.repartitionByRange(2, "ordinal").write.mode("append").parquet(src)
+        arrival.write.mode("append").parquet(src)
         q = start_incremental_scoring(spark, src, responses, fx.FIXTURE_MODEL, fx.FIXTURE_RUN_TS, sink, ckpt)
         q.awaitTermination()
     return read_sink(spark, sink).select("ordinal", "question_id", "model", "status", "error", "ai_answer",

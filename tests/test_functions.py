@@ -48,40 +48,34 @@ def test_strip_is_unicode_whitespace(spark):
         assert _one(spark, strip_ws, v) == v.strip()
 
 
-def _py_parse(v):
-    import ast
-    warning = None
-    try:
-        a = json.loads(v)
-    except (ValueError, TypeError):
-        try:
-            a = ast.literal_eval(v)
-            warning = "w"
-        except (ValueError, SyntaxError, TypeError):
-            return "invalid", None, None
-    if not isinstance(a, list) or not a:
-        return "empty", None, None
-    if any(not isinstance(x, str) or not x.strip() for x in a):
-        return "bad", None, None
-    return None, [html.unescape(x).strip() for x in a], warning
-
-
-def test_fallback_and_invalid_list(spark):
-    cases = ['["Other"]', "['A &amp; B']", "garbage", "{}", "[]", "[1]", '["a",1]', '["a",null]',
-             '["a"," "]', "[\"It's\", 'b']", "['It\\'s']", '["a",]', "", '  [ "x" , "y" ]  ',
-             '["\\u00e9\\n"]', "[\"say 'hi'\", 'say \"yo\"']", "{\"a\": 1}", '"text"', "[[\"a\"]]"]
-    df = spark.createDataFrame([(c,) for c in cases], "s string")
-    rows = df.select("s", parse_distractors(F.col("s")).alias("p")).collect()
-    kinds = {"invalid": "liste JSON invalide", "empty": "non vide", "bad": "non textuelle"}
-    for r in rows:
-        err, answers, warning = _py_parse(r.s)
-        if err:
-            assert r.p.answers is None and kinds[err] in r.p.error, (r.s, r.p)
+INVALID, EMPTY, BAD = "JSON invalide", "non vide", "non textuelle"
+
+#: Distractor lists and what they give: the answers, or a part of the error text.
+LISTS = [
+    ('["North"]', ["North"]), ("['Salt &amp; Pepper']", ["Salt & Pepper"]), ('  [ "x" , "y" ]  ', ["x", "y"]),
+    ('["\\u00e9\\n"]', ["é"]), ("[\"It's\", 'b']", ["It's", "b"]), ("['It\\'s']", ["It's"]), ('["a",]', ["a"]),
+    ("[\"say 'hi'\", 'say \"yo\"']", ["say 'hi'", 'say "yo"']), ("['caf\\xa0']", ["caf"]), ("['x\\u200b y']", ["x\u200b y"]),
+    ("['a' 'b']", ["ab"]), ("['\\U0001F600', '\\101\\t.']", ["\U0001F600", "A\t."]), ("[u'x', 'a\\qb']", ["x", "a\\qb"]),
+    ("plain words", INVALID), ("", INVALID), ("[1, 2", INVALID), ("['a'] x", INVALID), ('["a"] x', INVALID), ("[a]", INVALID),
+    ("['a\nb']", INVALID),
+    ("{}", EMPTY), ("[]", EMPTY), ("[ ]", EMPTY), ("()", EMPTY), ('{"a": 1}', EMPTY), ('"text"', EMPTY), ("'text'", EMPTY),
+    ("('a','b')", EMPTY), ("{'a': 1}", EMPTY), ("{'a', 'b'}", EMPTY), ("None", EMPTY), ("12", EMPTY), ("'a', 'b'", EMPTY),
+    ("{'k': ['v', {'w': (1, 2)}]}", EMPTY),
+    ("[7]", BAD), ('["a",1]', BAD), ('["a",null]', BAD), ('["a"," "]', BAD), ('[["a"]]', BAD), ("['ok', None]", BAD),
+    ("['a', 1.5, -2]", BAD), ("[['a'], ('b',)]", BAD), ("[True]", BAD), ("['']", BAD), ("['\\n']", BAD),
+]
+
+
+def test_distractor_lists(spark):
+    df = spark.createDataFrame([(c,) for c, _ in LISTS], "s string")
+    got = {r.s: r.p for r in df.select("s", parse_distractors(F.col("s")).alias("p")).collect()}
+    for text, want in LISTS:
+        p = got[text]
+        if isinstance(want, list):
+            assert p.error is None and list(p.answers) == want, (text, p)
+            assert (p.warning is not None) == (p.dialect == "literal"), text
         else:
-            assert r.p.error is None and list(r.p.answers) == answers, (r.s, r.p)
-            assert (r.p.warning is not None) == (warning is not None), r.s
-    single = [r for r in rows if r.s == "['A &amp; B']"][0]
-    assert list(single.p.answers) == ["A & B"] and single.p.warning
+            assert p.answers is None and want in p.error and p.warning is None, (text, p)
 
 
 def test_question_id_matches_python_json_dumps(spark):

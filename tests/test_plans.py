@@ -1,7 +1,7 @@
 """Plan guards over every registered query: no cartesian products, no nested-loop
 joins, no row-at-a-time Python UDFs; Python only in the scorer hook (Arrow batches)."""
 
-import __spark_entry__ as E
+from quizlake.plans.catalog import QUERIES
 from tests.conftest import SF001
 from tools.plan_audit import audit
 
@@ -10,7 +10,7 @@ PYTHON_ALLOWED = {"score_batch"}
 
 
 def test_no_forbidden_plan_nodes(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in SKIP:
             continue
         row = audit(fn(spark, SF001))
@@ -20,5 +20,22 @@ def test_no_forbidden_plan_nodes(spark):
 
 
 def test_keep_first_limits_groups_before_the_shuffle(spark):
-    row = audit(E.queries()["dedupe_items"](spark, SF001))
+    row = audit(QUERIES["dedupe_items"](spark, SF001))
     assert row["group_limit"] == 2 and row["hash"] == 1  # partial limit, exchange, final limit
+
+
+def test_silver_is_read_narrowly_with_pushed_filters(spark):
+    from quizlake.operators import gold, report
+    from quizlake.plans import fixtures as fx
+    from quizlake.session import fresh_dir
+    from quizlake.sources import files
+
+    path = fresh_dir(spark, "plan-silver")
+    files.write_silver(fx.attempts(spark, SF001), path)
+    staged = files.stage_view(spark, path)
+    one = report.apply_filters(staged, models=["model_1"])
+    plan = gold.accuracy_by_difficulty(one)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(status,success)" in plan
+    assert "PartitionFilters: [" in plan and "model" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
+    assert "prompt" not in schema and "choices" not in schema and "question_clean" not in schema

@@ -17,18 +17,52 @@ def _graded(spark, items=None):
     return grade.grade_responses(items, fx.responses(items), fx.FIXTURE_MODEL, fx.FIXTURE_RUN_TS)
 
 
-def test_parquet_and_resume_compatibility(spark):
+def test_silver_files_keep_types_and_nulls(spark):
     path = tempfile.mkdtemp(prefix="silver-")
     g = _graded(spark)
     files.write_silver(g, path)
     back = files.read_silver(spark, path)
-    assert dict(back.dtypes)["ai_correct"] == "boolean"
-    assert back.filter(F.col("ai_correct").isNull()).count() == g.filter(F.col("ai_correct").isNull()).count()
-    resume.assert_compatible(back, fx.FIXTURE_MODEL)
+    types = dict(back.dtypes)
+    assert (types["ai_correct"], types["temperature"], types["response_time"]) == ("boolean", "bigint", "double")
+    grades = [{r[0]: r[1] for r in df.groupBy("ai_correct").count().collect()} for df in (g, back)]
+    assert grades[0] == grades[1] and grades[0][None] > 0
+    with pytest.raises(ValueError, match="not found"):
+        files.read_silver(spark, os.path.join(path, "absent"))
+    narrow = tempfile.mkdtemp(prefix="silver-narrow-") + "/t"
+    g.select("question_id", "model").write.parquet(narrow)
+    with pytest.raises(ValueError, match="ai_correct"):
+        files.read_silver(spark, narrow)
+
+
+def test_run_store_resumes_from_what_was_saved(spark):
+    items = clean.clean_items(fx.bronze(spark, SF001))
+    resp = fx.responses(items)
+
+    def run(some):
+        return grade.grade_responses(some, resp, fx.FIXTURE_MODEL, "t")
+
+    store = resume.RunStore(tempfile.mkdtemp(prefix="run-"))
+    assert store.load(spark, items, fx.FIXTURE_MODEL).count() == 0
+    first = run(clean.limit_items(items, items.count() // 2))
+    store.save_partial(first)
+    saved = store.load(spark, items, fx.FIXTURE_MODEL)
+    assert saved.count() == first.count() > 0
+    with pytest.raises(ValueError, match="parameters"):
+        store.load(spark, items, "someone else")
     with pytest.raises(ValueError, match="parameters"):
-        resume.assert_compatible(back, "other-model")
-    assert files.load_checkpoint(spark, path, restart=True).count() == 0
-    assert files.load_checkpoint(spark, os.path.join(path, "missing")).count() == 0
+        store.load(spark, items, fx.FIXTURE_MODEL, max_tokens=7)
+    assert store.load(spark, items, fx.FIXTURE_MODEL, restart=True).count() == 0
+    merged = resume.merge_results(saved, run(resume.pending(items, saved)))
+    store.commit(merged)
+    assert store.load(spark, items, fx.FIXTURE_MODEL).count() == items.count()
+    store.save_partial(first)  # a later run under way is preferred to the final table
+    assert store.load(spark, items, fx.FIXTURE_MODEL).count() == first.count()
+    one = items.limit(1)
+    assert store.load(spark, one, fx.FIXTURE_MODEL).join(one, "question_id", "left_anti").count() == 0
+    other = resume.RunStore(tempfile.mkdtemp(prefix="run-"))
+    spark.createDataFrame([("q",)], "question_id string").write.parquet(other.partial)
+    with pytest.raises(ValueError, match="missing required columns"):
+        other.load(spark, items, fx.FIXTURE_MODEL)
 
 
 def test_null_params_are_incompatible(spark):
@@ -83,14 +117,28 @@ def test_keep_first_under_shuffled_input(spark):
     assert first.count() == mins.count()
 
 
-def test_missing_columns(spark):
-    d = tempfile.mkdtemp(prefix="bronze-")
-    with open(os.path.join(d, "bronze.csv"), "w", encoding="utf-8") as f:
-        f.write("question\nExample\n")
-    with pytest.raises(ValueError, match="correct_answer, incorrect_answers"):
-        files.read_bronze_csv(spark, d)
+def test_incomplete_bronze_files(spark):
+    folder = tempfile.mkdtemp(prefix="bronze-")
+    with open(os.path.join(folder, "items.csv"), "w", encoding="utf-8") as f:
+        f.write("category,correct_answer\nGeo,Nile\n")
+    with pytest.raises(ValueError, match="missing required columns: incorrect_answers, question"):
+        files.read_bronze_csv(spark, folder)
     with pytest.raises(ValueError, match="not found"):
-        files.read_bronze_csv(spark, os.path.join(d, "nope"))
+        files.read_bronze_csv(spark, folder + "-absent")
+
+
+def test_keep_first_follows_file_order(spark):
+    folder = tempfile.mkdtemp(prefix="bronze-order-")
+    head = "question,correct_answer,incorrect_answers,difficulty\n"
+    for name, rows in (("a_first.csv", 3), ("b_second.csv", 400)):  # larger files are scheduled first
+        with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
+            f.write(head + "".join(f"Q{i},A,\"[\"\"B\"\"]\",{name}\n" for i in range(rows)))
+    bronze = files.read_bronze_csv(spark, folder)
+    first = clean.keep_first(clean.prepare_bronze(bronze), "question_id").collect()
+    assert len(first) == 400
+    assert sorted(r.question for r in first if r.difficulty == "a_first.csv") == ["Q0", "Q1", "Q2"]
+    order = [r.question for r in bronze.orderBy("ordinal").collect()]
+    assert order == [f"Q{i}" for i in range(3)] + [f"Q{i}" for i in range(400)]
 
 
 def test_csv_keeps_text_exactly(spark):
