@@ -379,40 +379,38 @@ def _likely(pairs: DataFrame, info: DataFrame) -> DataFrame:
 
 def _near_in_groups(batches):
     """mapInArrow over rows sorted by key: pairs of a key in different components whose sizes and
-    whole sketches allow a link, each pair at its first key in the task."""
-    told: set[tuple[int, int]] = set()
-
-    def pairs(rows):
+    whole sketches allow a link, each pair only at the smallest key that both have."""
+    def pairs(key, rows):
         rows.sort(key=lambda r: r[2])  # by size
         sid, label, n = (np.array(x, dtype=np.int64) for x in zip(*(r[:3] for r in rows)))
         found = []
         words = min(len(r[3]) for r in rows) // 8  # sizes of one size band: a few lengths
         sketch = np.stack([_folded(np.frombuffer(r[3], np.uint64), words) for r in rows])
+        smaller = [frozenset(k for k in r[4] if k < key) for r in rows]
         for i in range(len(rows) - 1):
             top = int(np.searchsorted(n, 100 * n[i] // PERCENT, side="right"))
             j = np.arange(i + 1, top)[label[i + 1:top] != label[i]]
             if len(j):
                 far = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-                found += [(max(a, b), min(a, b)) for a, b in ((int(sid[i]), int(x)) for x in sid[j[far <= (n[j] + n[i]) // 7]])]
-        new = [p for p in found if p not in told]
-        if len(told) < FLUSH:
-            told.update(new)
-        return new
+                for x in j[far <= (n[j] + n[i]) // 7].tolist():
+                    if smaller[i].isdisjoint(smaller[x]):
+                        found.append((int(max(sid[i], sid[x])), int(min(sid[i], sid[x]))))
+        return found
 
     def batch_of(out):
         return pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     key, rows, out = None, [], []
     for batch in batches:
-        for k, sid, label, n, sketch in zip(*(batch.column(c).to_pylist() for c in ("key", "sid", "label", "n", "sketch"))):
+        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "sid", "label", "n", "sketch", "keys"))):
             if k != key:
-                out += pairs(rows) if len(rows) > 1 else []
+                out += pairs(key, rows) if len(rows) > 1 else []
                 key, rows = k, []
                 if len(out) >= 10_000:
                     yield batch_of(out)
                     out = []
-            rows.append((sid, label, n, sketch))
-    out += pairs(rows) if len(rows) > 1 else []
+            rows.append(row)
+    out += pairs(key, rows) if len(rows) > 1 else []
     yield batch_of(out)
 
 
@@ -520,8 +518,11 @@ def _grouped(docs: DataFrame) -> DataFrame:
             .mapInArrow(_star, "a bigint, b bigint").distinct())
     links = saved(sets.links(saved(_likely(star, info), "star-likely")), "star-links")
     label = saved(components(links), "star-components")
-    rest = _open_keys(shared, label).join(info.select("sid", "n", "sketch"), "sid")
-    rest = rest.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near_in_groups, "a bigint, b bigint").distinct()
+    open_ = saved(_open_keys(shared, label), "open-keys")
+    keys = open_.groupBy("sid").agg(F.collect_list("key").alias("keys"))  # at most a document's bands
+    rest = open_.join(info.select("sid", "n", "sketch"), "sid").join(keys, "sid")
+    rest = (rest.select("key", "sid", "label", "n", "sketch", "keys").repartition(parts, "key")
+            .sortWithinPartitions("key").mapInArrow(_near_in_groups, "a bigint, b bigint"))
     rest = saved(rest, "rest-likely")
     if not rest.isEmpty():
         links = links.union(saved(sets.links(rest), "rest-links"))
