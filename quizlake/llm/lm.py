@@ -32,7 +32,7 @@ from quizlake.llm.store import saved, table
 from quizlake.llm.tokens import U64, chunks, held_out, mix, spaced_words
 
 FOLDS = 5
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 CLASS_BITS, ENDING_BITS, LEFT_BITS = 5, 11, 6
 CLASSES, ENDINGS, LEFTS = 1 << CLASS_BITS, 1 << ENDING_BITS, 1 << LEFT_BITS
 HISTORIES = CLASSES ** 3

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quizlake.session import fresh_dir
 
+#: Bytes of a row group: what a writing task holds back.
+ROW_GROUP = 32 << 20
+
 _SHIPPED: set[str] = set()
 
 
@@ -38,5 +41,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table below ``spark.checkpoint.dir``; every later read uses those files."""
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
