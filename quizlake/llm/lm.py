@@ -68,7 +68,8 @@ def _blocks(batches):
                 [pa.array([(part << 32) | number], pa.int64()),
                  pa.array([batch.column("doc_id").slice(lo, hi - lo).to_pylist()], pa.list_(batch.schema.field("doc_id").type)),
                  *(pa.array([x.tobytes()], pa.binary()) for x in (
-                     held[lo:hi], w.count.astype(np.int32), at.astype(np.uint32), words, train.astype(np.int32), ending))],
+                     held[lo:hi], w.count.astype(np.int32), at.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32),
+                     words, train.astype(np.int32), ending))],
                 names=["block", "doc_ids", "held", "counts", "tokens", "words", "train", "endings"])
             number += 1
 
@@ -77,10 +78,15 @@ def _bytes(col, i: int, kind) -> np.ndarray:
     return np.frombuffer(col[i].as_buffer(), dtype=kind)
 
 
+def _tokens(col, i: int, count: np.ndarray) -> np.ndarray:
+    """Word numbers of a block: two bytes each where its dictionary is small, else four."""
+    return _bytes(col, i, np.uint16 if len(col[i].as_buffer()) == 2 * int(count.sum()) else np.uint32)
+
+
 def _training_tokens(batch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(dictionary number, position in its text, text) of a block's training tokens."""
     held, count = _bytes(batch.column("held"), i, bool), _bytes(batch.column("counts"), i, np.int32)
-    token = _bytes(batch.column("tokens"), i, np.uint32)
+    token = _tokens(batch.column("tokens"), i, count)
     doc = np.repeat(np.arange(len(count)), count)
     at = np.arange(len(token)) - np.repeat(np.cumsum(count) - count, count)
     use = ~held[doc]
@@ -262,7 +268,7 @@ def _score(model, kind: str):
         m = model.value
         block, answers = block.combine_chunks(), answers.sort_by("bucket")
         held, count = _bytes(block.column("held"), 0, bool), _bytes(block.column("counts"), 0, np.int32)
-        token = _bytes(block.column("tokens"), 0, np.uint32)
+        token = _tokens(block.column("tokens"), 0, count)
         ending = _bytes(block.column("endings"), 0, np.uint16)
         c = (np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in answers.column("counts")])
              if answers.num_rows else np.zeros(0, np.int64))
