@@ -34,6 +34,7 @@ def test_silver_is_read_narrowly_with_pushed_filters(spark):
     files.write_silver(fx.attempts(spark, SF001), path)
     staged = files.stage_view(spark, path)
     one = report.apply_filters(staged, models=["model_1"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")  # else the plan's text is cut
     plan = gold.accuracy_by_difficulty(one)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(status,success)" in plan
     assert "PartitionFilters: [" in plan and "model" in plan.split("PartitionFilters: [")[1].split("]")[0]
