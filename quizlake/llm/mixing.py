@@ -1,16 +1,17 @@
-"""Mixing sources to target weights by Sainte-Lague apportionment of equal-word blocks.
+"""Mixing sources to target weights by Sainte-Lague apportionment of words.
 
 Sources, ordered by code point with null last, weigh 5, 2, 1, repeating. Their targets share all
 words of the input by weight; a target stops at ``MAX_REPEATS`` times its source's size and the
 excess is shared again by weight among the others until none is above.
 
-Documents are dealt to shards by a seeded hash of their id. A shard's words (the sources' targets
-in proportion to what the shard holds of them) are blocks of ``BLOCK`` words, given to the
-sources by highest quotients claim / (2 q + 1), which gives each source an integer quota in each
-shard. A source then lays its documents of the shard end to end in seeded order and takes its
-quota of blocks from there, whole rounds first; so every document is taken either r or r + 1
-times, but for the one where the quota ends. Work per shard is bounded by the shard's size,
-whatever a source's share.
+Sainte-Lague apportionment (highest quotients claim / (2 q + 1)) turns the targets into whole words
+once for the whole input, within each source's repeats. Documents are dealt to shards by a seeded
+hash of their id, and a source's quota is spread over its shards in proportion to what they hold of
+it: shard after shard gets the whole words of the claim added up so far less those already given,
+so the remainder is carried on and the shards' quotas add up to the source's. A source then lays its
+documents of the shard end to end in seeded order and takes its quota of words from there, whole
+rounds first; so every document is taken either r or r + 1 times, but for the one where the quota
+ends. Work per shard is bounded by the shard's size, whatever a source's share.
 
 Cases: null, empty and blank texts have size 0 and are taken 0 times; a null source is a source;
 copies and repeated rows are documents of their own (ties in the seeded order are broken by size,
@@ -22,7 +23,6 @@ from __future__ import annotations
 
 import heapq
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,9 +31,9 @@ from quizlake.llm.store import saved, table
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-#: Words of a block, documents of a shard (on average), and the seed of shards and orders.
-BLOCK, SHARD_DOCS, SEED = 64, 4000, 20240611
-
+#: Documents of a shard (on average), the seed of shards and orders, and neighbouring shards whose
+#: claims are added up together.
+SHARD_DOCS, SEED, RUN = 4000, 20240611, 1024
 
 
 def word_count() -> Column:
@@ -83,23 +83,50 @@ def sainte_lague(claims: list[float], seats: int) -> list[int]:
     return quota
 
 
-def _quotas(shard: pd.DataFrame) -> pd.DataFrame:
-    """Words that each source takes in one shard: its quota of blocks, within its repeats."""
-    shard = shard.sort_values("rank").reset_index(drop=True)
-    claims = (shard["target"] * shard["held"] / shard["source_size"].clip(lower=1)).tolist()
-    quota = sainte_lague(claims, int(round(sum(claims) / BLOCK)))
-    take = [min(q * BLOCK, MAX_REPEATS * int(h)) for q, h in zip(quota, shard["held"])]
-    return shard[["shard", "rank"]].assign(take=take)
+def quotas(goal: list[float], sizes: list[int], most: int = MAX_REPEATS) -> list[int]:
+    """Whole words of the sources: the targets apportioned, none above ``most`` times its size."""
+    out, free, left = [0] * len(sizes), list(range(len(sizes))), sum(sizes)
+    while free:
+        seats = sainte_lague([goal[i] for i in free], left)
+        over = [i for i, q in zip(free, seats) if q >= most * sizes[i]]
+        if not over:
+            for i, q in zip(free, seats):
+                out[i] = q
+            break
+        for i in over:
+            out[i] = most * sizes[i]
+            left -= out[i]
+        free = [i for i in free if i not in set(over)]
+    return out
+
+
+def _spread(held: DataFrame) -> DataFrame:
+    """(shard, rank, held, take): each source's quota over its shards, the remainder carried on."""
+    at = held.withColumn("run", F.expr(f"shard div {RUN}"))
+    by_run = at.groupBy("rank", "run").agg(F.sum("held").alias("words"))
+    earlier = Window.partitionBy("rank").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    by_run = by_run.select("rank", "run", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("earlier"))
+    inside = Window.partitionBy("rank", "run").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
+    at = at.withColumn("inside", F.sum("held").over(inside)).join(by_run, ["rank", "run"]).withColumn("upto", F.expr("earlier + inside"))
+
+    def given(words: str) -> str:
+        return (f"cast(quota as decimal(18,0)) * cast({words} as decimal(18,0)) "
+                "div cast(greatest(source_size, 1) as decimal(18,0))")
+
+    return at.select("shard", "rank", "held", F.expr(f"({given('upto')}) - ({given('(upto - held)')})").alias("take"))
 
 
 def source_targets(sized: DataFrame) -> DataFrame:
-    """(source, rank, source_size, target): one row a source."""
+    """(source, rank, source_size, target, quota): one row a source."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("size")).collect()  # one row a source
     rows = sorted(((r["source"], int(r["size"] or 0)) for r in sums), key=lambda r: (r[0] is None, r[0] or ""))
-    goal = targets([n for _, n in rows])
+    sizes = [n for _, n in rows]
+    goal = targets(sizes)
     schema = T.StructType([T.StructField("source", sized.schema["source"].dataType), T.StructField("rank", T.IntegerType()),
-                           T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())])
-    return sized.sparkSession.createDataFrame([(s, i, n, t) for i, ((s, n), t) in enumerate(zip(rows, goal))], schema)
+                           T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()),
+                           T.StructField("quota", T.LongType())])
+    return sized.sparkSession.createDataFrame([(s, i, n, t, q) for i, ((s, n), t, q) in enumerate(
+        zip(rows, goal, quotas(goal, sizes)))], schema)
 
 
 def _dealt(sized: DataFrame, n_docs: int) -> DataFrame:
@@ -109,9 +136,7 @@ def _dealt(sized: DataFrame, n_docs: int) -> DataFrame:
     where = F.pmod(F.xxhash64("doc_id", "size", F.lit(SEED)), F.lit(shards)).cast("int")
     docs = (sized.withColumn("shard", where)
             .join(plan, F.col("source").eqNullSafe(F.col("__source"))).drop("__source"))
-    held = docs.groupBy("shard", "rank", "source_size", "target").agg(F.sum("size").alias("held"))
-    quota = held.groupBy("shard").applyInPandas(_quotas, "shard int, rank int, take bigint")
-    held = held.select("shard", "rank", "held").join(quota, ["shard", "rank"])
+    held = _spread(docs.groupBy("shard", "rank", "source_size", "quota").agg(F.sum("size").alias("held")))
     order = Window.partitionBy("shard", "rank").orderBy(F.xxhash64("doc_id", F.lit(SEED + 1)), "doc_id", "size")
     before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     laid = docs.withColumn("before", before).join(held, ["shard", "rank"])

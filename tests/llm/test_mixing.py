@@ -69,3 +69,27 @@ def test_awkward_rows(spark):
     assert M.mix_sources(docs.where("false")).count() == 0 and M.mixed(docs.where("false")).count() == 0
     blank = docs.withColumn("text", F.lit(" "))
     assert {(r["target"], r["taken"]) for r in M.mix_sources(blank).collect()} == {(0.0, 0)}
+
+
+def test_rare_source_of_short_documents_reaches_its_target(spark, monkeypatch):
+    # about one five-word document of the rare source a shard, claimed three times over
+    monkeypatch.setattr(M, "SHARD_DOCS", 20)
+    monkeypatch.setattr(M, "RUN", 16)
+    rows = [(i, "a" if i % 20 == 0 else "b" if i % 2 else "c", " ".join(["w"] * (5 if i % 20 == 0 else 40))) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = M.mix_sources(docs).cache()
+    sums = got.join(docs.select("doc_id", "source"), "doc_id").groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("size")).collect()
+    assert {r["source"]: (r["size"], r["target"]) for r in sums}["a"] == (1000, 3000.0)
+    assert all(abs(r["taken"] - r["target"]) <= 1 for r in sums)
+    assert got.where("taken < 0 or taken > 3 * size").count() == 0
+    assert M.mixed(docs).where("source = 'a'").agg(F.sum("taken")).first()[0] == 3000
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 10 ** 13), min_size=1, max_size=12))
+def test_quotas_are_whole_words_within_the_repeats(sizes):
+    goal = M.targets(sizes)
+    q = M.quotas(goal, sizes)
+    assert sum(q) == sum(sizes) and all(0 <= x <= 3 * n for x, n in zip(q, sizes))
+    assert all(abs(x - g) <= len(sizes) + 1e-9 * g for x, g in zip(q, goal))
