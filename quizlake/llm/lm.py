@@ -7,10 +7,19 @@ second, third, 1+2, 1+3, 2+3, 1+2+3). P(word | class) is a softmax over the clas
 indicator each, whose smoothed optimum has closed form; words never seen in training share one
 further place in their class.
 
+On top stand hashed word features of the history: the word before the last (skip), the last word,
+and both together (bigram). In this order each multiplies P(word | history) by
+exp(weight(feature, word)), the weight being its closed-form optimum under a prior of
+``PRIORS[j]`` words drawn from the model without the feature:
+P_j = (n(feature, word) + prior P_{j-1}) / (n(feature) + prior), which stays normalised for every
+history. Only the class softmax is fitted by gradients.
+
 Everything learned comes from all training texts. Texts are read once into blocks (word numbers
 plus the block's dictionary of word hashes), which are written; word counts are added up by
 hash bucket and handed back to the blocks that hold the word, so no task and no broadcast ever
-holds the vocabulary. Class histories are counted over all training tokens (32^3 histories at
+holds the vocabulary. Word features are counted the same way over all training tokens: a block
+adds up its own (feature, word) pairs first, buckets grow in number with the tokens, and a pair
+is told apart by its bucket and 32 further bits. Class histories are counted over all training tokens (32^3 histories at
 most, whatever the corpus) and the weights follow by gradient updates: tasks compute the
 gradients of their histories, the driver adds them up and steps. Blocks are scored as arrays.
 
@@ -22,8 +31,11 @@ gives an empty result.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +54,12 @@ FEATURE_BITS = 13
 #: a uniform choice mixed into the softmax.
 UPDATES, RATE, PRIOR, UNIFORM = 8, 2 / 7, 1.0, 1e-4
 BUCKET_WORDS = 500_000
+#: Pairs of a bucket at most (on average); strengths of the priors of skip, last word and bigram.
+BUCKET_PAIRS, PRIORS = 2_000_000, (100_000.0, 5_000.0, 20.0)
+#: Kinds of pairs (rows of ``_pairs``) counted together; each round's shuffle ends before the next.
+ROUNDS = ((0, 3), (1,), (2,))
+#: Hashes that stand before and after a text.
+START, END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 END_CLASS = 0
 
 
@@ -262,11 +280,75 @@ def _answer(asked: pa.Table) -> pa.Table:
         "counts": pa.array([at[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])] + [sums.tobytes()], pa.binary())})
 
 
+def _pairs(words: np.ndarray, token: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Hashes [4, tokens with ends]: (skip, word), (last, word), (skip, last, word), (skip)."""
+    ends = np.cumsum(count)
+    w = np.insert(words[token], ends, END)
+    at = np.arange(len(w)) - np.repeat(ends - count + np.arange(len(count)), count + 1)
+    last, skip = np.full(len(w), START), np.full(len(w), START)
+    last[1:], skip[2:] = w[:-1], w[:-2]
+    last[at < 1], skip[at < 2] = START, START
+    a, b = mix(skip + U64(1)), mix(last + U64(2))
+    return np.stack([mix(a + w), mix(b + w), mix(mix(a ^ (b * U64(3))) + w), mix(a + U64(5))])
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes of the width that the largest needs, after width and count."""
+    width = next(k for k in (1, 2, 4, 8) if k == 8 or int(x.max(initial=0)) < 1 << 8 * k)
+    planes = np.ascontiguousarray(x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + len(x).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data) -> np.ndarray:
+    head = bytes(data[:9])
+    width, n = head[0], int.from_bytes(head[1:], "little")
+    raw = np.frombuffer(pa.decompress(data[9:], decompressed_size=width * n, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
+
+
+def _ask_pairs(kinds: tuple[int, ...], buckets: int):
+    """mapInArrow: a block's distinct pairs of ``kinds`` with their training counts, cut by hash bucket."""
+    wide = U64((1 << 64) // buckets + 1) if buckets > 1 else U64((1 << 64) - 1)
+    drop = U64(max(int(wide).bit_length() - 32, 0))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                held, count = _bytes(batch.column("held"), i, bool), _bytes(batch.column("counts"), i, np.int32)
+                token = _tokens(batch.column("tokens"), i, count)
+                pairs = _pairs(_bytes(batch.column("words"), i, np.uint64), token, count)[list(kinds)].ravel()
+                known, at = np.unique(pairs, return_inverse=True)
+                use = np.tile(np.repeat(~held, count + 1), len(kinds))
+                n = np.bincount(at, weights=use, minlength=len(known)).astype(np.int64)
+                bucket = known // wide
+                slot = ((known - bucket * wide) >> drop).astype(np.int64)  # ascending inside a bucket
+                cut = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+                full = np.flatnonzero(np.diff(cut))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full), pa.array([batch.column("block")[i].as_py()] * len(full), pa.int64()),
+                     pa.array([_pack(np.diff(slot[cut[b]:cut[b + 1]], prepend=0)) for b in full], pa.binary()),
+                     pa.array([_pack(n[cut[b]:cut[b + 1]]) for b in full], pa.binary())],
+                    names=["bucket", "block", "slots", "train"])
+    return run
+
+
+def _answer_pairs(asked: pa.Table) -> pa.Table:
+    """Training counts of one bucket's pairs for every block that asked."""
+    slots = [np.cumsum(_unpack(x.as_buffer())).astype(np.uint32) for x in asked.column("slots")]
+    _, at = np.unique(np.concatenate(slots), return_inverse=True)
+    count = np.bincount(at, weights=np.concatenate([_unpack(x.as_buffer()) for x in asked.column("train")])).astype(np.int64)[at]
+    cut = np.concatenate([[0], np.cumsum([len(x) for x in slots])])
+    return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"),
+                     "counts": pa.array([_pack(count[a:b]) for a, b in zip(cut[:-1], cut[1:])], pa.binary())})
+
+
 def _score(model, kind: str):
     """cogroup function: the documents of one block, with the counts of its dictionary."""
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         m = model.value
         block, answers = block.combine_chunks(), answers.sort_by("bucket")
+        paired = [answers.filter(pc.equal(answers.column("round"), r)) for r in range(len(ROUNDS))]
+        answers = answers.filter(pc.equal(answers.column("round"), -1))
         held, count = _bytes(block.column("held"), 0, bool), _bytes(block.column("counts"), 0, np.int32)
         token = _tokens(block.column("tokens"), 0, count)
         ending = _bytes(block.column("endings"), 0, np.uint16)
@@ -279,10 +361,27 @@ def _score(model, kind: str):
         at = np.arange(len(token)) - np.repeat(np.cumsum(count) - count, count)
         seq, pos = _with_ends(cls[token], at, count)
         owner = np.repeat(np.arange(len(count)), count + 1)
-        path = m["log_class"][_histories(seq, pos), seq]
+        path = m["log_class"][_histories(seq, pos), seq].astype(np.float64)
+        ends = np.cumsum(count)
+        p = 10.0 ** (path + np.insert(inside[token], ends, 0.0))  # the end is alone in its class
+        pairs = _pairs(_bytes(block.column("words"), 0, np.uint64), token, count)
+        found = np.empty(pairs.shape, dtype=np.int64)
+        for kinds, part in zip(ROUNDS, paired):
+            n = np.concatenate([_unpack(x.as_buffer()) for x in part.column("counts")])
+            at = np.unique(pairs[list(kinds)].ravel(), return_inverse=True)[1]
+            found[list(kinds)] = n[at].reshape(len(kinds), -1)
+        skipped, followed, both, skips = found
+        last = np.empty(len(p), dtype=np.int64)  # how often the last word is followed by anything
+        last[pos > 0], last[pos == 0] = c[token], m["ends"]
+        bigrams = np.empty(len(p), dtype=np.int64)
+        bigrams[1:] = followed[:-1]
+        bigrams[pos == 0] = m["ends"]
+        for prior, (seen, of) in zip(PRIORS, ((skipped, skips), (followed, last), (both, bigrams))):
+            p = (seen + prior * p) / (of + prior)
+        path = np.log10(p)
         size = len(count)
         known = np.bincount(doc, weights=(c > 0)[token], minlength=size).astype(np.int64) + (m["ends"] > 0)
-        score = np.bincount(owner, weights=path, minlength=size) + np.bincount(doc, weights=inside[token], minlength=size)
+        score = np.bincount(owner, weights=path, minlength=size)
         plain = np.bincount(doc, weights=base[token], minlength=size) + np.log10((m["ends"] + 0.5) / m["base_total"])
         return pa.table({"doc_id": block.column("doc_ids").combine_chunks().flatten(), "held_out": pa.array(held),
                          "n_tokens": pa.array(count.astype(np.int64) + 1), "n_known": pa.array(known),
@@ -291,6 +390,12 @@ def _score(model, kind: str):
     return run
 
 
+def _free_shuffles(spark) -> None:
+    """Let Spark delete the shuffle files of finished steps now, whose results are saved."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def score_texts(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -325,7 +430,17 @@ def score_texts(docs: DataFrame) -> DataFrame:
     model = sc.broadcast({
         "class_of": class_of, "log_class": log_class, "ends": learning, "tokens": tokens,
         "base_total": tokens + 0.5 * (distinct + 1), "class_total": by_class[0] + 0.5 * (by_class[1] + 1)})
-    return blocks.groupBy("block").cogroup(answers.where("block is not null").groupBy("block")).applyInArrow(
+    tokens_at_most = blocks.agg(F.sum(F.length("tokens")) + F.sum(F.length("counts"))).first()[0] or 0
+    answers = answers.where("block is not null").withColumn("round", F.lit(-1))
+    for r, kinds in enumerate(ROUNDS):
+        _free_shuffles(spark)
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-len(kinds) * tokens_at_most // (2 * BUCKET_PAIRS)))
+        counted = saved(blocks.select("block", "held", "counts", "tokens", "words")
+                        .mapInArrow(_ask_pairs(kinds, buckets), "bucket bigint, block bigint, slots binary, train binary")
+                        .groupBy("bucket").applyInArrow(_answer_pairs, "block bigint, bucket bigint, counts binary"), "pair-counts")
+        answers = answers.unionByName(counted.withColumn("round", F.lit(r)))
+    _free_shuffles(spark)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score(model, kind), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                              "base_score double, score double")
 

@@ -197,3 +197,43 @@ def test_lm_class_softmax(spark):
     assert np.allclose((10.0 ** log_class).sum(axis=1), 1, atol=1e-3)
     assert log_class[5, 3] > log_class[5, 4] > log_class[5, 9]
     assert lm.score_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def lm_scores(spark, rows):
+    got = lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r["doc_id"]: r["score"] for r in got}
+
+
+def test_lm_word_features_follow_the_history(spark, monkeypatch):
+    # every noun has the ending, class and count of the others: only the words before tell them apart
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 2000)
+    train = [i for i in range(2000) if not fold(i, 5)]
+    test = [i for i in range(2000) if fold(i, 5)]
+    verbs, nouns = [f"v{k}ing" for k in range(10)], [f"n{k}ess" for k in range(10)]
+    rows = [(d, f"{verbs[i % 10]} xx {nouns[i % 10]} {verbs[(i + 3) % 10]} {nouns[(i + 3) % 10]}") for i, d in enumerate(train)]
+    seen, skip, last = test[:3]
+    rows += [(seen, "v4ing xx n4ess v7ing n7ess"), (skip, "v4ing xx n5ess v7ing n7ess"), (last, "v4ing xx n4ess v7ing n6ess")]
+    score = lm_scores(spark, rows)
+    assert score[seen] > score[skip] + 1 and score[seen] > score[last] + 1
+
+
+def test_lm_word_features_against_counts(spark, monkeypatch):
+    # a prior near 0 leaves the counted share of one feature, a huge one leaves the feature out
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(lm, "BUCKET_PAIRS", 50)
+    rows = [(d, " ".join(f"w{(d * k + k) % 7}" for k in range(d % 6))) for d in range(300) if not fold(d, 5)]
+    count = Counter()
+    for _, text in rows:
+        words = ["<", "<", *text.split(), ">"]
+        for a, b, w in zip(words, words[1:], words[2:]):
+            count.update([("skip", a, w), ("skip", a), ("last", b, w), ("last", b), ("both", a, b, w), ("both", a, b)])
+    for j, name in enumerate(("skip", "last", "both")):
+        monkeypatch.setattr(lm, "PRIORS", tuple(1e-9 if i == j else 1e15 for i in range(3)))
+        got = lm_scores(spark, rows)
+        for d, text in rows:
+            words = ["<", "<", *text.split(), ">"]
+            want = 0.0
+            for a, b, w in zip(words, words[1:], words[2:]):
+                key = {"skip": (a,), "last": (b,), "both": (a, b)}[name]
+                want += math.log10(count[(name, *key, w)] / count[(name, *key)])
+            assert got[d] == pytest.approx(want, abs=1e-6)
