@@ -5,6 +5,7 @@ from __future__ import annotations
 from quizlake.llm.chat import op5_prefix_targets
 from quizlake.llm.decontam import op7_decontamination
 from quizlake.llm.fingerprint import op8_bottom_k_fingerprints
+from quizlake.llm.huffman import op13_huffman_ids
 from quizlake.llm.langid import op3_language_id
 from quizlake.llm.lm import op2_maxent_lm
 from quizlake.llm.mixing import op4_sainte_lague_mix
@@ -16,6 +17,7 @@ from quizlake.llm.warc import op6_warc_derivatives
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_maxent_lm, op3_language_id, op4_sainte_lague_mix, op5_prefix_targets,
     op6_warc_derivatives, op7_decontamination, op8_bottom_k_fingerprints, op9_jaccard_join, op10_toxicity,
+    op13_huffman_ids,
 )}
 
 ORACLE: dict[str, str] = {}
