@@ -10,6 +10,7 @@ from quizlake.llm.langid import op3_language_id
 from quizlake.llm.lm import op2_maxent_lm
 from quizlake.llm.mixing import op4_sainte_lague_mix
 from quizlake.llm.periods import op12_periodic_runs
+from quizlake.llm.phrases import OP11_SQL, op11_phrase_collocations
 from quizlake.llm.quality import op1_quality_classifier
 from quizlake.llm.sketch_join import op9_jaccard_join
 from quizlake.llm.toxicity import op10_toxicity
@@ -18,7 +19,7 @@ from quizlake.llm.warc import op6_warc_derivatives
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_maxent_lm, op3_language_id, op4_sainte_lague_mix, op5_prefix_targets,
     op6_warc_derivatives, op7_decontamination, op8_bottom_k_fingerprints, op9_jaccard_join, op10_toxicity,
-    op12_periodic_runs, op13_huffman_ids,
+    op11_phrase_collocations, op12_periodic_runs, op13_huffman_ids,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_phrase_collocations": OP11_SQL}
