@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizlake import constants as K
-from quizlake.operators.clean import keep_first
+from quizlake.operators.clean import keep_first, limit_items
 from quizlake.operators.gold import pct
+from quizlake.operators.grade import Scorer, grade_responses, score_batch
 from quizlake.operators.quantiles import quantiles_of, value_counts
 from quizlake.operators.report import mean_value
-from quizlake.schemas import SILVER_SCHEMA, conform
-from quizlake.sources.files import load_checkpoint
+from quizlake.schemas import SILVER_SCHEMA, conform, require_columns
+from quizlake.sources.versions import VersionLog
 
 
 def _params_match(model, prompt_version, temperature, max_tokens):
@@ -54,32 +55,74 @@ def assert_compatible(saved: DataFrame, model: str, prompt_version: str = K.PROM
 class RunStore:
     """A run's results on shared storage: a partial table while it lasts, the final one after.
 
-    Loading prefers the partial table, refuses results of another model or other parameters,
-    and keeps the first saved row of each item that is still in the source. Committing writes
-    the final table first; only then does the partial one become obsolete (``committed`` marks
-    it), so a run that is killed in between resumes from complete results."""
+    Both are targets of one ``VersionLog``: saving and committing write new folders and then one log
+    entry, so a run that dies at any moment resumes from exactly what its last entry names, and the
+    final table replaces the partial one in a single step. Loading prefers the partial table, refuses
+    results of another model or other parameters, and keeps the first saved row of each item that is
+    still in the source. Results that the log names but that are gone are an error."""
+
+    PARTIAL, FINAL = "partial", "final"
 
     def __init__(self, path: str):
-        self.partial, self.final = f"{path}/partial", f"{path}/final"
+        self.path = path
+
+    def log(self, spark) -> VersionLog:
+        return VersionLog(spark, self.path)
 
     def load(self, spark, source: DataFrame, model: str, restart: bool = False, **parameters) -> DataFrame:
-        saved = load_checkpoint(spark, self.partial, restart)
-        if restart or saved is None or "committed" in saved.columns:
-            saved = load_checkpoint(spark, self.final, restart)
+        log = self.log(spark)
+        saved = None
+        if not restart:
+            held = log.targets()
+            saved = log.read(self.PARTIAL if self.PARTIAL in held else self.FINAL)
         if saved is None:
             return spark.createDataFrame([], SILVER_SCHEMA)
+        require_columns(saved, K.CHECKPOINT_REQUIRED_COLUMNS, "checkpoint")
         assert_compatible(saved, model, **parameters)
         return resume_kept(saved, source)
 
     def save_partial(self, results: DataFrame) -> None:
-        """Results are checkpointed before the table they may have been read from is replaced."""
-        conform(results, SILVER_SCHEMA).checkpoint().write.mode("overwrite").parquet(self.partial)
+        """All results so far (they may have been read from the table that they replace)."""
+        self.log(results.sparkSession).commit(replace={self.PARTIAL: conform(results, SILVER_SCHEMA)})
+
+    def add_partial(self, results: DataFrame) -> None:
+        """Further results next to the saved ones, which are not written again."""
+        self.log(results.sparkSession).commit(append={self.PARTIAL: conform(results, SILVER_SCHEMA)})
 
     def commit(self, results: DataFrame) -> None:
-        results = conform(results, SILVER_SCHEMA).checkpoint()
-        results.write.mode("overwrite").parquet(self.final)
-        done = results.limit(0).withColumn("committed", F.lit(True))
-        done.write.mode("overwrite").parquet(self.partial)
+        """The final table; the partial one goes in the same step."""
+        self.log(results.sparkSession).commit(
+            replace={self.FINAL: conform(results, SILVER_SCHEMA), self.PARTIAL: None})
+
+
+def score_in_rounds(store: RunStore, items: DataFrame, scorer: Scorer, model: str, run_ts: str, rows_per_round: int,
+                    limit: int | None = None, retry: bool = False, max_rounds: int | None = None,
+                    partitions: int | None = None, **parameters) -> DataFrame:
+    """Score what is not done yet, ``rows_per_round`` items at a time in file order, each round saved.
+
+    A run that is stopped loses at most the round under way; started again it goes on with the items
+    that are not saved. ``limit`` targets the first items in file order, ``retry`` scores their saved
+    errors again. After the last round the results become final. ``max_rounds`` ends the call earlier
+    (the saved rounds stay partial). Returns all saved results.
+    """
+    spark = items.sparkSession
+    selected = items if limit is None else limit_items(items, limit)
+    done = store.load(spark, items, model, **parameters)
+    if retry:
+        store.save_partial(retry_errors(done, selected))
+    elif store.PARTIAL not in store.log(spark).targets():
+        store.save_partial(done)
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        done = store.load(spark, items, model, **parameters)
+        todo = limit_items(pending(selected, done), rows_per_round)
+        if todo.isEmpty():
+            store.commit(done)
+            break
+        replies = score_batch(todo, scorer, model, partitions)
+        store.add_partial(grade_responses(todo, replies, model, run_ts, **parameters))
+        rounds += 1
+    return store.load(spark, items, model, **parameters)
 
 
 def resume_kept(saved: DataFrame, source: DataFrame) -> DataFrame:

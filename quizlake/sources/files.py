@@ -16,7 +16,9 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
 
 
 def missing_path(exc: AnalysisException) -> bool:
-    return exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+    """The path does not exist. A folder that exists without readable files (a write that did not end)
+    is not missing: reading it stays an error."""
+    return exc.getCondition() == "PATH_NOT_FOUND"
 
 
 def write_bronze_csv(df: DataFrame, path: str) -> None:

@@ -90,8 +90,8 @@ def test_scorer_rows_are_isolated(spark):
     assert len(replies) == 6 and not any(r.transport_error for r in replies)
 
 
-def test_bad_row_does_not_call_model(spark):
-    items = _items(spark, incorrect_answers="bad")
+def test_item_errors_are_never_sent(spark):
+    items = _items(spark, incorrect_answers="{not a list")
     seen = []
 
     def scorer(pdf):

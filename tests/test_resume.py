@@ -60,7 +60,7 @@ def test_run_store_resumes_from_what_was_saved(spark):
     one = items.limit(1)
     assert store.load(spark, one, fx.FIXTURE_MODEL).join(one, "question_id", "left_anti").count() == 0
     other = resume.RunStore(tempfile.mkdtemp(prefix="run-"))
-    spark.createDataFrame([("q",)], "question_id string").write.parquet(other.partial)
+    other.log(spark).commit(replace={other.FINAL: spark.createDataFrame([("q",)], "question_id string")})
     with pytest.raises(ValueError, match="missing required columns"):
         other.load(spark, items, fx.FIXTURE_MODEL)
 
