@@ -20,7 +20,7 @@ runs in every task where the data already is:
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
@@ -54,6 +54,24 @@ def kth_smallest(df: DataFrame, col: str, k: int) -> tuple[int | None, int, int]
         x.unpersist()
 
 
+def dense_numbers(df: DataFrame, col: str, name: str) -> DataFrame:
+    """Adds ``name``: 0, 1, 2, ... in order of ``col`` (distinct values), without gathering the rows.
+
+    Rows are range-partitioned and written once; a running sum over the partitions (one small row
+    each) gives the first number of each, and the rows of a partition are numbered on their own."""
+    from quizlake.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(parts, col).withColumn("_p", F.spark_partition_id()).checkpoint()
+    sizes = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_p").orderBy(col)) - 1
+    return (rows.join(F.broadcast(sizes), "_p").withColumn(name, F.col("_before") + within.cast("bigint"))
+            .drop("_p", "_before"))
+
+
 def _take_any(df: DataFrame, m: int) -> DataFrame:
     """Exactly ``m`` rows of ``df`` (any; all when it holds fewer).
 

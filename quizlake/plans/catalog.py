@@ -17,7 +17,7 @@ from quizlake.functions.timefmt import iso_utc_naive
 from quizlake.operators import clean, gold, grade, report, resume
 from quizlake.plans import fixtures as fx
 from quizlake.session import fresh_dir, shared_dir
-from quizlake.sources import files, payloads
+from quizlake.sources import files, payloads, queue
 
 LIMIT_N = 100  # rows of the --limit query (a limit is its feature)
 FILTER_SELECTION = {"models": ["model_1"], "difficulties": ["medium", "hard"],
@@ -370,6 +370,15 @@ def q_run_summary(spark, sf):
     return resume.run_summary(_graded(spark, sf, items), items)
 
 
+def q_resume_rounds(spark, sf):
+    """Scored in saved rounds, stopped after two of them and started again."""
+    items = _items(spark, sf)
+    run, n = resume.RunStore(fresh_dir(spark, "run-rounds")), items.count() // 4 + 1
+    for most in (2, None):
+        saved = resume.score_in_rounds(run, items, grade.echo_scorer, "echo-model", fx.FIXTURE_RUN_TS, n, max_rounds=most)
+    return saved.select("question_id", "status", "ai_correct", "error")
+
+
 # --------------------------------------------------------------------------- ingest
 
 def q_ingest_payload(spark, sf):
@@ -410,6 +419,30 @@ def q_bronze_completeness(spark, sf):
     return payloads.bronze_completeness(declared, collected)
 
 
+def _page_queue(spark, sf):
+    """The planned pages asked for until they are answered, from recorded attempts."""
+    run = queue.PageQueue(spark, fresh_dir(spark, "page-queue"), fx.RECORDED_ATTEMPTS)
+    counts = payloads.ingest_counts(fx.category_count_payloads(spark, sf))
+    plan = payloads.page_plan(counts, "total_question_count", fx.PAGE_ITEMS).select(
+        "category_id", F.col("page").alias("page_no"))
+    run.run(plan, queue.recorded_transport(fx.recorded_attempts(spark, sf)))
+    return run
+
+
+def q_retry_pages(spark, sf):
+    """What became of each planned page, and after how many attempts."""
+    return _page_queue(spark, sf).status()
+
+
+def q_retry_ingest(spark, sf):
+    return _page_queue(spark, sf).ingest(fx.FIXTURE_RUN_TS, fx.PAYLOAD_SOURCE)
+
+
+def q_retry_completeness(spark, sf):
+    declared = payloads.ingest_counts(fx.category_count_payloads(spark, sf))
+    return payloads.bronze_completeness(declared, q_retry_ingest(spark, sf))
+
+
 # --------------------------------------------------------------------------- streaming
 
 def q_stream_incremental(spark, sf):

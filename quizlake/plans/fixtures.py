@@ -153,7 +153,8 @@ def bronze(spark: SparkSession, sf_dir: str, with_duplicates: bool = True) -> Da
     return items.unionByName(dups)
 
 
-ITEMS_PER_BLOCK = 7 * 10  # page_id % 7 is the category: ten items a recorded page
+PAGE_ITEMS = 10
+ITEMS_PER_BLOCK = 7 * PAGE_ITEMS  # page_id % 7 is the category: ten items a recorded page
 
 
 def page_response_code(cat_no: F.Column, page_no: F.Column) -> F.Column:
@@ -169,14 +170,7 @@ def payload_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Each page holds at most ten items of one category, in item order; a page's items
     are bounded, so gathering them per page never builds an unbounded group.
     """
-    b = _bronze_base(spark, sf_dir)
-    page_no = (F.col("ordinal") / ITEMS_PER_BLOCK).cast("bigint")
-    item = F.struct(F.col("ordinal").alias("o"), F.struct(
-        "category", "type", "difficulty", "question", "correct_answer",
-        F.array("inc1", "inc2").alias("incorrect_answers")).alias("r"))
-    pages = (b.withColumn("page_no", page_no)
-             .groupBy(F.col("cat_no").alias("category_id"), "page_no")
-             .agg(F.array_sort(F.collect_list(item)).alias("items")))
+    pages = _item_pages(spark, sf_dir)
     rc = page_response_code(F.col("category_id"), F.col("page_no"))
     payload = F.to_json(F.struct(rc.alias("response_code"),
                                  F.when(rc == 0, F.transform("items", lambda x: x["r"]))
@@ -185,6 +179,40 @@ def payload_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("category_id", "page_no", payload.alias("payload"))
 
 
+def _item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(category_id, page_no, items): the item bank in pages of at most ten items."""
+    b = _bronze_base(spark, sf_dir)
+    item = F.struct(F.col("ordinal").alias("o"), F.struct(
+        "category", "type", "difficulty", "question", "correct_answer",
+        F.array("inc1", "inc2").alias("incorrect_answers")).alias("r"))
+    return (b.groupBy(F.col("cat_no").alias("category_id"), (F.col("ordinal") / ITEMS_PER_BLOCK).cast("bigint").alias("page_no"))
+            .agg(F.array_sort(F.collect_list(item)).alias("items")))
+
+
+RECORDED_ATTEMPTS = 4  # attempts that the retry queries make
+
+
+def recorded_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded answers per attempt: (category_id, page_no, attempt, payload).
+
+    Every third page is rate limited for its first 1 to 5 attempts, so some need more attempts than
+    are made; some of them are not answered at all the first time. The others answer at once, a few
+    with another code."""
+    pages = _item_pages(spark, sf_dir)
+    page, cat = F.col("page_no"), F.col("category_id")
+    limited = (page + cat) % 3 == 1
+    waits = F.when(limited, 1 + (page * 2 + cat) % 5).otherwise(0)
+    pages = pages.select("*", waits.alias("waits")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("waits").cast("int"))).alias("attempt"))
+    silent = (F.col("attempt") == 0) & limited & ((page + 3 * cat) % 4 == 0)
+    rc = F.when(F.col("attempt") < F.col("waits"), 5).when(~limited & ((page * 7 + cat) % 23 == 11), 4) \
+        .when(~limited & ((page * 7 + cat) % 23 == 20), F.lit(None).cast("int")).otherwise(0)
+    payload = F.to_json(F.struct(rc.alias("response_code"),
+                                 F.when(rc == 0, F.transform("items", lambda x: x["r"])).otherwise(F.array()).alias("results")))
+    payload = F.when(rc.isNull(), F.lit("<html>busy</html>")).otherwise(payload)
+    return pages.filter(~silent).select("category_id", "page_no", "attempt", payload.alias("payload"))
+
+
 def category_count_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared question count per category (count-endpoint documents)."""
     b = _bronze_base(spark, sf_dir)

@@ -254,6 +254,30 @@ INGESTED = f"""ingested AS (
 HALF = """(SELECT question_id FROM (SELECT question_id, row_number() OVER (ORDER BY ordinal) AS rn, count(*) OVER () AS n
           FROM items) WHERE rn <= n // 2)"""
 
+# offline echo scorer: each sendable item is answered with its first (keyed-shuffled) choice
+ECHOED = f"""SELECT question_id,
+        CASE WHEN item_error IS NULL THEN 'success' ELSE 'error' END AS status,
+        CASE WHEN item_error IS NULL THEN {norm('choice_list[1]')} = {norm('correct_answer_clean')} END AS ai_correct,
+        item_error AS error FROM items"""
+
+# recorded attempts: the rate-limited pages, how many attempts they are refused, and the silent first ones
+RETRIES = """rp AS (SELECT DISTINCT cat_no, ordinal // 70 AS page_no FROM bbase),
+rw AS (SELECT *, (page_no + cat_no) % 3 = 1 AS limited,
+    CASE WHEN (page_no + cat_no) % 3 = 1 THEN 1 + (page_no * 2 + cat_no) % 5 ELSE 0 END AS waits,
+    (page_no * 7 + cat_no) % 23 AS h FROM rp),
+rl AS (SELECT *, CASE WHEN limited THEN 0 WHEN h = 11 THEN 4 WHEN h = 20 THEN NULL ELSE 0 END AS rc, NOT limited AND h IN (11, 20) AS ends
+  FROM rw),
+-- a page behind the end of its category is asked until the round in which that end is known (the first)
+re AS (SELECT cat_no, min(page_no) AS stop FROM rl WHERE ends GROUP BY cat_no),
+rs AS (SELECT rl.*, stop, CASE WHEN page_no > stop THEN 1 ELSE least(waits + 1, 4) END AS attempts FROM rl LEFT JOIN re USING (cat_no)),
+rf AS (SELECT *, attempts <= waits AS refused FROM rs)"""
+RETRY_INGESTED = f"""ingested AS (
+  SELECT cat_no * 8796093022208 + page_no * 64 + pos AS ordinal, category, type, difficulty, question, correct_answer,
+    '[' || CAST(to_json(inc1) AS VARCHAR) || ', ' || CAST(to_json(inc2) AS VARCHAR) || ']' AS incorrect_answers,
+    'recorded-api' AS source, CAST(cat_no AS VARCHAR) AS category_id, '{RUN_TS}' AS fetched_at
+  FROM (SELECT *, ordinal // 70 AS page_no, row_number() OVER (PARTITION BY cat_no, ordinal // 70 ORDER BY ordinal) - 1 AS pos FROM bbase)
+  JOIN rf USING (cat_no, page_no) WHERE NOT refused AND rc = 0 AND (stop IS NULL OR page_no < stop))"""
+
 ORACLE = {
     # ---------------------------------------------------------------- gold
     "gold_accuracy_overall": w(ATTEMPTS) + f"SELECT {GOLD_AGG} FROM attempts WHERE status = 'success'",
@@ -400,10 +424,7 @@ ORACLE = {
     "grade_responses": w(*GRADED_ALL) + """SELECT ordinal, question_id, status, error, ai_answer, ai_correct, response_time,
         cleaning_warning FROM graded""",
     # offline echo scorer: each sendable item is answered with its first (keyed-shuffled) choice
-    "score_batch": w(*ITEMS_ALL) + f"""SELECT question_id,
-        CASE WHEN item_error IS NULL THEN 'success' ELSE 'error' END AS status,
-        CASE WHEN item_error IS NULL THEN {norm('choice_list[1]')} = {norm('correct_answer_clean')} END AS ai_correct,
-        item_error AS error FROM items""",
+    "score_batch": w(*ITEMS_ALL) + ECHOED,
     "iso_timestamps": """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S')
         || CASE WHEN epoch_us(ts) % 1000000 <> 0 THEN '.' || lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0') ELSE '' END
         || '+00:00' AS fetched_at FROM events""",
@@ -446,6 +467,7 @@ ORACLE = {
           / count(*) FILTER (WHERE status = 'success'), 2) AS accuracy_pct,
         round(avg(response_time) FILTER (WHERE status = 'success') + 1e-9, 6) AS mean_time,
         round(quantile_cont(response_time, 0.5) FILTER (WHERE status = 'success'), 6) AS median_time FROM graded""",
+    "resume_rounds": w(*ITEMS_ALL) + ECHOED,
     # ---------------------------------------------------------------- ingest
     "ingest_payload": w(BRONZE, PAGES, INGESTED) + "SELECT * FROM ingested",
     "ingest_categories": w(BRONZE) + "SELECT DISTINCT cat_no AS id, category AS name FROM bbase",
@@ -464,4 +486,14 @@ ORACLE = {
         SELECT coalesce(d.category_id, c.category_id) AS category_id, coalesce(declared, 0) AS declared,
           coalesce(collected, 0) AS collected, coalesce(declared, 0) - coalesce(collected, 0) AS missing
         FROM d FULL OUTER JOIN c ON d.category_id = c.category_id""",
+    "retry_pages": w(BRONZE, RETRIES) + """SELECT cat_no AS category_id, page_no, CAST(attempts AS BIGINT) AS attempts,
+          CASE WHEN refused AND attempts = 1 AND (page_no + 3 * cat_no) % 4 = 0 THEN NULL WHEN refused THEN 5 ELSE CAST(rc AS INTEGER) END AS response_code,
+          CASE WHEN page_no > stop THEN 'skipped' WHEN refused THEN 'gave_up' WHEN ends THEN 'stop' ELSE 'accept' END AS action FROM rf""",
+    "retry_ingest": w(BRONZE, RETRIES, RETRY_INGESTED) + "SELECT * FROM ingested",
+    "retry_completeness": w(BRONZE, RETRIES, RETRY_INGESTED) + """, d AS (SELECT CAST(cat_no AS VARCHAR) AS category_id,
+          count(*) AS declared FROM bbase GROUP BY 1),
+        c AS (SELECT category_id, count(*) AS collected FROM ingested GROUP BY 1)
+        SELECT coalesce(d.category_id, c.category_id) AS category_id, coalesce(declared, 0) AS declared,
+          coalesce(collected, 0) AS collected, coalesce(declared, 0) - coalesce(collected, 0) AS missing
+        FROM d FULL OUTER JOIN c ON d.category_id = c.category_id""",
 }

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from quizlake import constants as K
+from quizlake.operators.selection import dense_numbers
 from quizlake.schemas import BRONZE_COLUMNS, SILVER_SCHEMA, conform, require_columns
+from quizlake.sources import csvlines
 
 # Text is kept byte for byte: no whitespace trimming (Spark trims by default), fields
 # quoted with '"' and quotes doubled, multi-line values allowed.
@@ -30,10 +32,10 @@ def write_bronze_csv(df: DataFrame, path: str) -> None:
 def read_bronze_csv(spark: SparkSession, path: str) -> DataFrame:
     """Bronze scan: all columns as text, empty fields as ``''`` (never null).
 
-    The header decides which columns exist; required ones are checked, missing label
-    columns are defaulted to ``''`` later (``prepare_bronze``). Without an ``ordinal``
-    column rows are numbered by file path and position in the file. Values may span lines, so
-    one file is read by one task: large banks come as many files.
+    The header decides which columns exist (every file has the same one); required ones are checked,
+    missing label columns are defaulted to ``''`` later (``prepare_bronze``). Files are read by byte
+    ranges (``csvlines``), so one large file is read by many tasks although values may span lines.
+    Without an ``ordinal`` column rows are numbered by file path and position in the file.
     """
     try:
         header = spark.read.options(**CSV_OPTIONS).csv(path).columns
@@ -41,27 +43,24 @@ def read_bronze_csv(spark: SparkSession, path: str) -> DataFrame:
         if not missing_path(exc):
             raise
         raise ValueError(f"Bronze not found: {path}") from exc
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField(c, T.LongType() if c == "ordinal" else T.StringType(), True)
-                           for c in header])
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    records, splits = csvlines.records(spark, path)
+    df = csvlines.parsed(records, header, {k: v for k, v in CSV_OPTIONS.items() if k != "header"})
     require_columns(df, K.BRONZE_REQUIRED_COLUMNS, "bronze")
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in header if c != "ordinal"})
-    if "ordinal" not in header:
-        df = _numbered(df)
-    return df
+    if "ordinal" in header:
+        df = df.withColumn("ordinal", F.col("ordinal").cast("bigint"))
+    else:
+        df = _numbered(df, splits)
+    return df.select(*(header if "ordinal" in header else [*header, "ordinal"]))
 
 
-FILE_BITS = 40  # rows of one file that an ordinal can tell apart
+FILE_BITS = 40  # bytes of one file that an ordinal can tell apart
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """Adds ``ordinal``: files by path (one row a file is numbered in one place), rows by position."""
-    rows = df.withColumns({"_file": F.col("_metadata.file_path"), "_at": F.monotonically_increasing_id()})
-    files = rows.groupBy("_file").agg(F.min("_at").alias("_first"))
-    files = files.withColumn("_no", F.row_number().over(Window.orderBy("_file")) - 1)
-    ordinal = F.col("_no").cast("bigint") * (1 << FILE_BITS) + F.col("_at") - F.col("_first")
-    return rows.join(files, "_file").withColumn("ordinal", ordinal).drop("_file", "_at", "_first", "_no")
+def _numbered(df: DataFrame, splits: DataFrame) -> DataFrame:
+    """Adds ``ordinal``: files by path, records by position (their split's first byte and line)."""
+    files = dense_numbers(splits.select("file").distinct(), "file", "_no")
+    return df.join(files, "file").withColumn("ordinal", F.col("_no") * (1 << FILE_BITS) + F.col("block") + F.col("line"))
 
 
 def write_silver(df: DataFrame, path: str, mode: str = "overwrite") -> None:
