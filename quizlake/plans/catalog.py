@@ -7,6 +7,7 @@ DuckDB SQL text for every query that SQL can express.
 
 from __future__ import annotations
 
+import os
 
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
@@ -14,11 +15,13 @@ from pyspark.sql import functions as F
 from quizlake.functions import html_decode, normalize_answer, parse_distractors, question_id
 from quizlake.functions.keys import json_array_text
 from quizlake.functions.timefmt import iso_utc_naive
-from quizlake.operators import clean, gold, grade, report, resume
+from quizlake.operators import clean, gold, grade, materialized, report, resume, sketches
 from quizlake.plans import fixtures as fx
 from quizlake.session import fresh_dir, shared_dir
-from quizlake.sources import files, payloads, queue
+from quizlake.sources import bucketed, files, payloads, queue
 
+LATENCY_PROBS = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+SAVED_BUCKETS = 16  # of the bucketed saved results
 LIMIT_N = 100  # rows of the --limit query (a limit is its feature)
 FILTER_SELECTION = {"models": ["model_1"], "difficulties": ["medium", "hard"],
                     "categories": ["click", "view", "purchase"]}
@@ -379,6 +382,46 @@ def q_resume_rounds(spark, sf):
     return saved.select("question_id", "status", "ai_correct", "error")
 
 
+def q_resume_bucketed(spark, sf):
+    """Pending items against saved results that are bucketed by item (the saved side is not moved)."""
+    items = _items(spark, sf)
+    path = fresh_dir(spark, "saved")
+    done = bucketed.write_saved(_checkpoint(spark, sf, items), os.path.basename(path).replace("-", "_"), SAVED_BUCKETS, path)
+    return resume.pending(items, done).select("ordinal", "question_id")
+
+
+# --------------------------------------------------------------------------- materialised Gold
+
+def _gold_store(spark, sf):
+    """Gold rows over a growing Silver: one model first, then the others, then the first one replaced."""
+    a, silver = fx.attempts(spark, sf), fresh_dir(spark, "silver-gold")
+    store = materialized.GoldStore(spark, fresh_dir(spark, "gold"))
+    one = F.col("model") == "model_1"
+    for part in (a.filter(one & (F.col("ordinal") % 2 == 0)), a.filter(F.col("model").isNull() | ~one), a.filter(one)):
+        files.write_silver(part, silver)
+        store.refresh(silver)
+    return store.parts()
+
+
+def q_gold_materialised(spark, sf):
+    return materialized.accuracy_by_category(_gold_store(spark, sf))
+
+
+def q_gold_materialised_errors(spark, sf):
+    return materialized.error_rate(_gold_store(spark, sf))
+
+
+def q_latency_sketch(spark, sf):
+    """Approximate latency quantiles per model from merged sketches: rows sketched, and whether every
+    quantile's rank lies within the stated error of the exact one."""
+    ok = _attempts_ok(spark, sf)
+    found = sketches.quantiles_from(sketches.merged(sketches.sketches(ok, ["model", "category"], "response_time"), ["model"]),
+                                    LATENCY_PROBS)
+    errors = sketches.rank_errors(ok, ["model"], "response_time", found, LATENCY_PROBS)
+    within = errors.groupBy("model").agg((F.max("error") <= sketches.rank_error()).alias("within_error"))
+    return within.join(found.select("model", "rows"), "model")
+
+
 # --------------------------------------------------------------------------- ingest
 
 def q_ingest_payload(spark, sf):
@@ -450,4 +493,18 @@ def q_stream_incremental(spark, sf):
     return run_incremental_demo(spark, sf)
 
 
+def q_stream_dedupe(spark, sf):
+    """First arrivals of the bank's items from the state store: originals, later their copies, then both
+    again as new files."""
+    from quizlake.streaming.dedupe import start_dedupe
+
+    base = fresh_dir(spark, "stream-dedupe")
+    bronze = fx.bronze(spark, sf)
+    cut = F.col("ordinal") < fx.DUPLICATE_OFFSET
+    for arrival in (bronze.filter(cut), bronze.filter(~cut), bronze):
+        arrival.write.mode("append").parquet(f"{base}/source")
+        start_dedupe(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", "7 days").awaitTermination()
+    return spark.read.parquet(f"{base}/sink").select("question_id", "category", "correct_answer")
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -454,6 +454,17 @@ ORACLE = {
           matching_rows = rows AS compatible FROM per JOIN total USING (saved)""",
     "resume_pending": w(*ITEMS_ALL) + """SELECT ordinal, question_id FROM items
         WHERE question_id NOT IN """ + HALF,
+    "resume_bucketed": w(*ITEMS_ALL) + """SELECT ordinal, question_id FROM items
+        WHERE question_id NOT IN """ + HALF,
+    "gold_materialised": w(ATTEMPTS) + f"""SELECT category, difficulty, {GOLD_AGG}
+        FROM attempts WHERE status = 'success' GROUP BY category, difficulty""",
+    "gold_materialised_errors": w(ATTEMPTS) + """SELECT category, count(*) AS total_questions,
+        CAST(sum(CASE WHEN status = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS technical_errors,
+        round(100.0 * CAST(sum(CASE WHEN status = 'error' THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 2) AS error_rate_pct
+        FROM attempts GROUP BY category""",
+    "latency_sketch": w(*REP) + """SELECT model, true AS within_error,
+        count(*) FILTER (WHERE response_time IS NOT NULL AND NOT isnan(response_time)) AS rows FROM ok GROUP BY model""",
+    "stream_dedupe": w(BRONZE) + "SELECT question_id, category, correct_answer FROM items0",
     "resume_retry": w(*GRADED_ALL) + """SELECT ordinal, question_id FROM items WHERE question_id NOT IN (
         SELECT question_id FROM graded WHERE status = 'success'
           AND question_id IN """ + HALF + ")",
