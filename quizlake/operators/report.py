@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizlake import constants as K
+from quizlake.operators.selection import first_sorted
 from quizlake.operators.quantiles import (attach_quantiles, group_quantiles, quantiles_of, ranged,
                                           value_counts)
 from quizlake.schemas import require_columns
@@ -217,15 +218,20 @@ def wrong_answers(ok: DataFrame) -> DataFrame:
     return ok.filter(~F.coalesce(F.col("ai_correct"), F.lit(False)))
 
 
-def detail_listing(ok: DataFrame, only_incorrect: bool = False) -> DataFrame:
-    """The explorer table: fixed columns, slowest first.
+def detail_listing(ok: DataFrame, only_incorrect: bool = False, limit: int | None = None) -> DataFrame:
+    """The explorer table: fixed columns, slowest first; the first ``limit`` rows if given (found by
+    selection, so no task merges the best rows of all tasks).
 
     Equal latencies are ordered by the other listed columns, so a latency shared by a
     large share of the rows is split across sort tasks by the range partitioner.
     """
     d = wrong_answers(ok) if only_incorrect else ok
     ties = [F.col(c).asc_nulls_last() for c in K.DETAIL_COLUMNS if c != "response_time"]
-    return d.select(*K.DETAIL_COLUMNS).orderBy(F.col("response_time").desc_nulls_last(), *ties)
+    d = d.select(*K.DETAIL_COLUMNS)
+    if limit is not None:
+        others = [(c, False) for c in K.DETAIL_COLUMNS if c != "response_time"]
+        d = first_sorted(d, [("response_time", True), *others], limit)
+    return d.orderBy(F.col("response_time").desc_nulls_last(), *ties)
 
 
 def pivot_category_difficulty(ok: DataFrame) -> DataFrame:

@@ -72,6 +72,78 @@ def dense_numbers(df: DataFrame, col: str, name: str) -> DataFrame:
             .drop("_p", "_before"))
 
 
+def _kth_double(x: DataFrame, k: int, n: int) -> float:
+    """The ``k``-th smallest (0-based) of the ``n`` finite doubles ``_x``. Each pass keeps the bucket of
+    the wanted rank between its own smallest and largest value, so the range shrinks every time."""
+    a, b = x.agg(F.min("_x"), F.max("_x")).first()
+    below = 0
+    while a != b:
+        span = b / 2 - a / 2  # halves: the difference of two doubles can overflow
+        share = (F.col("_x") / 2 - a / 2) / span if span > 0 else F.when(F.col("_x") > a, 1.0).otherwise(0.0)
+        bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1))
+        counts = (x.filter(F.col("_x").between(a, b)).groupBy(bucket.alias("_k"))
+                  .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_a"), F.max("_x").alias("_b"))
+                  .collect())  # at most BUCKETS rows
+        for row in sorted(counts, key=lambda r: r["_k"]):
+            if below + row["_n"] > k:
+                a, b = row["_a"], row["_b"]
+                break
+            below += row["_n"]
+    return a
+
+
+def first_sorted(df: DataFrame, keys: list[tuple[str, bool]], n: int) -> DataFrame:
+    """The first ``n`` rows of ``df`` in the order of ``keys`` ((column, descending) pairs, nulls last),
+    as ``orderBy(...).limit(n)`` gives them; rows that tie in all keys are taken in any order.
+
+    The leading key (a number) is cut by selection, so all other rows are dropped where they are. What
+    is left, the rows up to the cut with all its ties, is range-partitioned by all keys and written
+    once; whole partitions before the cut are kept and only the one that holds it is numbered. However
+    many rows share the leading value, no task gathers them."""
+    from quizlake.session import shared_dir
+
+    if n <= 0:
+        return df.limit(0)
+    lead, descending = keys[0]
+    x = F.col(lead).cast("double")
+    inf = float("inf")
+    kind = F.when(x.isNull(), 4).when(F.isnan(x), 3).when(x == inf, 2).when(x == -inf, 0).otherwise(1)
+    place = F.when(x.isNull(), 4).otherwise(3 - kind) if descending else kind  # in sort order
+    sizes = {r["k"]: r["n"] for r in df.groupBy(place.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, cut = 0, None
+    for k in sorted(sizes):
+        if before + sizes[k] >= n:
+            cut = k
+            break
+        before += sizes[k]
+    if cut is None:
+        return df  # not more than n rows
+    finite = 3 - 1 if descending else 1
+    signed = -x if descending else x
+    if cut == finite:
+        own = df.filter(place == cut).select(signed.alias("_x")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            edge = _kth_double(own, n - before - 1, sizes[cut])
+        finally:
+            own.unpersist()
+        kept = df.filter((place < cut) | ((place == cut) & (signed <= F.lit(edge))))
+    else:
+        kept = df.filter(place <= cut)
+    order = [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in keys]
+    shared_dir(df.sparkSession)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (kept.withColumn("_u", F.monotonically_increasing_id()).repartitionByRange(parts, *order, "_u")
+            .withColumn("_p", F.spark_partition_id()).checkpoint())
+    upto = 0
+    for p, size in sorted((r["_p"], r["count"]) for r in rows.groupBy("_p").count().collect()):  # one row a partition
+        if upto + size >= n:
+            break
+        upto += size
+    number = F.row_number().over(Window.partitionBy("_p").orderBy(*order, "_u"))
+    last = rows.filter(F.col("_p") == p).withColumn("_n", number).filter(F.col("_n") <= n - upto).drop("_n")
+    return rows.filter(F.col("_p") < p).unionByName(last).drop("_p", "_u")
+
+
 def _take_any(df: DataFrame, m: int) -> DataFrame:
     """Exactly ``m`` rows of ``df`` (any; all when it holds fewer).
 

@@ -22,6 +22,7 @@ from quizlake.sources import bucketed, files, payloads, queue
 
 LATENCY_PROBS = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 SAVED_BUCKETS = 16  # of the bucketed saved results
+LISTING_N = 250  # rows of the bounded listing
 LIMIT_N = 100  # rows of the --limit query (a limit is its feature)
 FILTER_SELECTION = {"models": ["model_1"], "difficulties": ["medium", "hard"],
                     "categories": ["click", "view", "purchase"]}
@@ -181,6 +182,11 @@ def q_detail_listing(spark, sf):
     return report.detail_listing(_attempts_ok(spark, sf))
 
 
+def q_detail_listing_top(spark, sf):
+    """The slowest attempts (a bounded listing; ties at the cut follow the other columns)."""
+    return report.detail_listing(_attempts_ok(spark, sf), limit=LISTING_N)
+
+
 def q_coerce_latency(spark, sf):
     a = fx.attempts(spark, sf)
     r = F.col("ordinal") % 13

@@ -385,6 +385,10 @@ ORACLE = {
         FROM ok WHERE NOT coalesce(ai_correct, false)""",
     "detail_listing": w(*REP) + """SELECT model, category, difficulty, question_clean, ai_answer, correct_answer_clean,
         ai_correct, response_time FROM ok ORDER BY response_time DESC NULLS LAST""",
+    "detail_listing_top": w(*REP) + """SELECT model, category, difficulty, question_clean, ai_answer, correct_answer_clean,
+        ai_correct, response_time FROM ok ORDER BY response_time DESC NULLS LAST, model NULLS LAST, category NULLS LAST,
+        difficulty NULLS LAST, question_clean NULLS LAST, ai_answer NULLS LAST, correct_answer_clean NULLS LAST,
+        ai_correct NULLS LAST LIMIT 250""",
     "coerce_latency": w(ATTEMPTS) + """SELECT question_id,
         CASE WHEN ordinal % 13 > 4 THEN response_time WHEN ordinal % 13 = 4 THEN 1250.0 END AS response_time,
         ai_correct FROM attempts""",

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quizlake.operators import clean, selection
@@ -55,3 +57,24 @@ def test_limit_items_keeps_file_order_prefix(spark):
     assert _ids(clean.limit_items(items, 60), "ordinal") == want
     assert clean.limit_items(items, 10**9).count() == items.count()
     assert clean.limit_items(items.filter(F.lit(False)), 5).count() == 0
+
+
+LISTED = [(None, "a"), (float("nan"), "b"), (float("inf"), "c"), (float("-inf"), "d"), (1e308, "e"), (-1e308, "f"), (5e-324, "g"),
+          (0.0, "h"), (-0.0, "i"), (2.5, None)] + [(7.0, f"t{i % 40:02d}") for i in range(300)] + [(i / 7, "z") for i in range(60)]
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_first_sorted_equals_limit_with_ties(spark, descending):
+    df = spark.createDataFrame(LISTED, "x double, s string").repartition(5)
+    order = [F.col("x").desc_nulls_last() if descending else F.col("x").asc_nulls_last(), F.col("s").asc_nulls_last()]
+    for n in (0, 1, 2, 3, 4, 9, 40, 70, 200, 365, 369, 370, 500):
+        got = selection.first_sorted(df, [("x", descending), ("s", False)], n).collect()
+        want = df.orderBy(*order).limit(n).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)), n
+    assert selection.first_sorted(df.limit(0), [("x", descending)], 3).count() == 0
+
+
+def test_dense_numbers_follow_the_order(spark):
+    df = spark.createDataFrame([(f"f{i * 7919 % 1000:04d}",) for i in range(1000)], "s string").repartition(6)
+    got = {r.s: r.n for r in selection.dense_numbers(df, "s", "n").collect()}
+    assert got == {s: i for i, s in enumerate(sorted(got))}
