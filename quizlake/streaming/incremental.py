@@ -12,8 +12,9 @@ query neither loses nor duplicates rows:
   anti-join against itself, and other parameters score everything anew;
 * items repeated in a later batch are skipped (first arrival wins); within a batch
   the first row in file order wins;
-* the history of committed keys is scanned (one column), never shuffled whole: it is
-  first cut to the keys of the current batch by a semi join.
+* of the history of committed keys only the partitions that may hold a key of the batch are read
+  (``streaming.keyindex``), one column of them, and never shuffled whole: it is first cut to the
+  keys of the current batch by a semi join.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from quizlake.operators.grade import Scorer, grade_responses, score_batch
 from quizlake.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from quizlake.session import fresh_dir
 from quizlake.sources.files import missing_path
+from quizlake.streaming.keyindex import possible_batches, write_filter
 
 BRONZE_FILE_SCHEMA = T.StructType([T.StructField("ordinal", T.LongType(), True), *BRONZE_SCHEMA.fields])
 SINK_SCHEMA = T.StructType([*SILVER_SCHEMA.fields, T.StructField("run", T.StringType(), True),
@@ -44,15 +46,26 @@ def run_key(parameters: dict) -> str:
     return hashlib.sha256(json.dumps(parameters, sort_keys=True).encode()).hexdigest()[:16]
 
 
-def _committed(spark: SparkSession, sink_dir: str, parameters: dict, batch_id: int) -> DataFrame:
-    """Items that earlier batches scored with the same model and parameters."""
+def index_of(sink_dir: str) -> str:
+    """Folder of the committed-key index of a sink."""
+    return f"{sink_dir.rstrip('/')}-keys"
+
+
+def committed(spark: SparkSession, sink_dir: str, parameters: dict, batch_id: int, keys: DataFrame) -> DataFrame:
+    """Items that earlier batches scored with the same model and parameters, as far as they may be
+    among ``keys``: batches that the key index rules out are not read."""
     try:
         done = spark.read.schema(SINK_SCHEMA).parquet(sink_dir)
     except AnalysisException as exc:
         if not missing_path(exc):
             raise
         return spark.createDataFrame([], SINK_SCHEMA).select("question_id")
-    return done.filter((F.col("run") == run_key(parameters)) & (F.col("batch_id") != batch_id)).select("question_id")
+    run = run_key(parameters)
+    done = done.filter((F.col("run") == run) & (F.col("batch_id") != batch_id))
+    batches = possible_batches(spark, index_of(sink_dir), run, keys)
+    if batches is not None:
+        done = done.filter(F.col("batch_id").isin(batches) if batches else F.lit(False))
+    return done.select("question_id")
 
 
 def start_incremental_scoring(spark: SparkSession, source_dir: str, responses: DataFrame | None, model: str,
@@ -73,9 +86,10 @@ def start_incremental_scoring(spark: SparkSession, source_dir: str, responses: D
             # The committed key set grows with history: cut it to this batch's keys first
             # (a semi join whose small side AQE can broadcast from its measured size), so
             # each batch scans one column of the history instead of shuffling all of it.
-            done = _committed(s, sink_dir, parameters, batch_id).join(items.select("question_id"), "question_id",
-                                                                  "left_semi")
+            keys = items.select("question_id")
+            done = committed(s, sink_dir, parameters, batch_id, keys).join(keys, "question_id", "left_semi")
             todo = items.join(done, "question_id", "left_anti")
+            write_filter(todo, index_of(sink_dir), run_key(parameters), batch_id)  # before the rows
             if scorer is not None:
                 replies = score_batch(todo, scorer, model)
             else:  # only this batch's replies are deduplicated
