@@ -86,3 +86,19 @@ def op5_prefix_targets(spark, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")],
                                   "conv_id long, turn long, role string, text string")
     return digest(expand(rows.unionByName(probe)))
+
+
+#: The same digests in DuckDB SQL, from the turns themselves (lengths of the written turns added up).
+OP5_SQL = f"""WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, '{ASSISTANT}', '</s>[INST] ok [/INST]')),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC, text DESC) = 1 AS last,
+    {len(TURN + TEXT + END)} + length(replace(replace(role, '&', '&amp;'), '<', '&lt;'))
+      + length(replace(replace(text, '&', '&amp;'), '<', '&lt;')) AS written FROM c),
+p AS (SELECT *, sum(written) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM o)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = '{ASSISTANT}'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = '{ASSISTANT}'), '')) AS loss_sha256,
+  CAST(coalesce(sum(upto) FILTER (WHERE role = '{ASSISTANT}' OR last), 0) AS BIGINT) AS formatted_chars
+FROM p GROUP BY conv_id"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quizlake.llm.chat import op5_prefix_targets
+from quizlake.llm.chat import OP5_SQL, op5_prefix_targets
 from quizlake.llm.decontam import op7_decontamination
 from quizlake.llm.fingerprint import op8_bottom_k_fingerprints
 from quizlake.llm.huffman import op13_huffman_ids
@@ -22,4 +22,4 @@ QUERIES = {f.__name__: f for f in (
     op11_phrase_collocations, op12_periodic_runs, op13_huffman_ids,
 )}
 
-ORACLE: dict[str, str] = {"op11_phrase_collocations": OP11_SQL}
+ORACLE: dict[str, str] = {"op5_prefix_targets": OP5_SQL, "op11_phrase_collocations": OP11_SQL}

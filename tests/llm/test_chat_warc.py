@@ -102,3 +102,12 @@ def test_altered_payload_is_marked(spark):
     rows = warc.derivatives(raw)
     assert [r["digest_ok"] for r in rows] == [False, False]
     assert warc.derive(spark.createDataFrame([], "page_id long, response binary")).count() == 0
+
+
+def test_digests_equal_sql(spark):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF01}/conversations.parquet'")
+    want = {r[0]: r for r in con.execute(chat.OP5_SQL).fetchall()}
+    got = {r[0]: tuple(r) for r in chat.op5_prefix_targets(spark, SF01).collect()}
+    assert got == want and len(got) > 50
