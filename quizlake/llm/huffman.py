@@ -15,7 +15,7 @@ Defined cases: a null text is empty; every document has the end id, so none is w
 rows and repeated ids are kept as documents of their own; an empty table gives no blocks and no
 code. Bounds: the code has one entry per vocabulary id, on the driver and in each task; the manifest
 one row per file, at most ``MAX_FILES``. The provisional code that keeps the temporary table small is
-fitted on ``SAMPLE_DOCS`` documents and changes no result.
+fitted on the beginnings of ``SAMPLE_DOCS`` documents and changes no result.
 """
 
 from __future__ import annotations
@@ -38,11 +38,13 @@ from quizlake.session import fresh_dir
 END_ID = 2
 LIMIT = 20  # longest code, bits (more only where the alphabet needs it)
 BLOCK_TOKENS = 1 << 15
-INTERVAL = 256  # ids between two bit-offset checkpoints
+INTERVAL = 128  # ids between two bit-offset checkpoints
+DECODED = 1 << 20  # ids decoded at once from the temporary table
+TEMPORARY_INTERVAL = 64  # the same in the temporary table
 TOKENS_PER_FILE = 1 << 22
 MAX_FILES = 20_000  # beyond this many, files grow instead
-SAMPLE_DOCS = 2_000
-UNITS_KEPT = 1 << 20  # distinct words a task remembers at most
+SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 4_000
+UNITS_KEPT = 1 << 19  # distinct words a task remembers at most
 JOINED = 256  # new words encoded as one text
 
 MAGIC = b"QHB1"
@@ -106,15 +108,19 @@ class Code:
         return self._table
 
 
-def pack(ids: np.ndarray, code: Code) -> tuple[bytes, np.ndarray]:
-    """Bits of ``ids`` (most significant first, whole bytes) and each id's first bit."""
+def pack(ids: np.ndarray, code: Code, sizes: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Bits of ``ids`` (most significant first), each id's first bit, and the byte after each part;
+    parts of ``sizes`` ids start at whole bytes."""
     size = code.lengths[ids]
     if len(size) and not size.all():
         raise ValueError("id without a code")
-    end = np.cumsum(size)
-    start = end - size
-    total = int(end[-1]) if len(end) else 0
-    words = np.zeros(total // 64 + 2, np.uint64)
+    upto = np.concatenate([[0], np.cumsum(size)])
+    edge = np.cumsum(sizes)
+    used = upto[edge] - upto[edge - sizes]
+    ends = np.cumsum(-(-used // 8))
+    start = upto[:-1] + np.repeat(8 * np.concatenate([[0], ends[:-1]]) - upto[edge - sizes], sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    words = np.zeros(total // 8 + 2, np.uint64)
     if len(ids):
         value = code.codes[ids]
         word, room = start >> 6, 64 - (start & 63) - size
@@ -124,16 +130,32 @@ def pack(ids: np.ndarray, code: Code) -> tuple[bytes, np.ndarray]:
         words[word[heads]] = np.bitwise_or.reduceat(high, heads)
         over = np.flatnonzero(room < 0)
         words[word[over] + 1] |= value[over] << (64 + room[over]).astype(np.uint64)
-    return words.astype(">u8").tobytes()[:(total + 7) // 8], start
+    return words.astype(">u8").tobytes()[:total], start, ends
 
 
 def frame(ids: np.ndarray, code: Code, interval: int = INTERVAL) -> bytes:
     """One self-contained block: header, checkpoints, bits, CRC32."""
-    bits, start = pack(ids, code)
-    marks = start[::interval].astype("<u4")
-    head = np.array([(MAGIC, len(ids), interval, len(marks))], _HEAD).tobytes()
-    body = head + marks.tobytes() + bits
-    return body + zlib.crc32(body).to_bytes(4, "little")
+    return frames(ids, np.array([len(ids)]), code, interval)[0]
+
+
+def frames(ids: np.ndarray, sizes: np.ndarray, code: Code, interval: int = INTERVAL) -> list[bytes]:
+    """Blocks of the given sizes from one run of ids, packed together (each starts at a whole byte)."""
+    bits, start, ends = pack(ids, code, sizes)
+    first = np.cumsum(sizes) - sizes
+    n_marks = -(-sizes // interval)
+    which = np.repeat(np.arange(len(sizes)), n_marks)
+    step = np.arange(len(which)) - np.repeat(np.cumsum(n_marks) - n_marks, n_marks)
+    byte = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    marks = (start[first[which] + step * interval] - 8 * byte[which]).astype("<u4").tobytes()
+    head = np.zeros(len(sizes), _HEAD)
+    head["magic"], head["n"], head["interval"], head["marks"] = MAGIC, sizes, interval, n_marks
+    heads, h = head.tobytes(), _HEAD.itemsize
+    out, m = [], 0
+    for k, (a, b, n) in enumerate(zip(byte.tolist(), ends.tolist(), n_marks.tolist())):
+        body = heads[k * h:(k + 1) * h] + marks[4 * m:4 * (m + n)] + bits[a:b]
+        m += n
+        out.append(body + zlib.crc32(body).to_bytes(4, "little"))
+    return out
 
 
 def unframe(frames: list[bytes], code: Code) -> list[np.ndarray]:
@@ -224,14 +246,14 @@ class Tokenizer:
         self.flat = np.concatenate([self.flat, ids, np.array(list(itertools.chain.from_iterable(alone)), np.int64)])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str], end: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of each); ``end`` follows each text."""
         if len(self.of) > UNITS_KEPT:
             self._reset()
-        out: list = [None] * len(texts)
-        todo, plain = [], []
-        of = self.of
+        of, parts, plain = self.of, [], []
         new, starts = set(), set()
         for i, t in enumerate(texts):
+            parts.append(None)
             if not self.splits or any(a in t for a in self.added):
                 plain.append(i)
                 continue
@@ -239,7 +261,7 @@ class Tokenizer:
             words[0] = " " + words[0]
             unknown = set(words[1:]).difference(of, new)
             if all(w and ("!" <= w[0] <= "~" or w[0].isalnum()) for w in unknown):
-                todo.append((i, words))
+                parts[i] = words
                 new |= unknown
                 if words[0] not in of:
                     starts.add(words[0])
@@ -247,15 +269,25 @@ class Tokenizer:
                 plain.append(i)
         if new or starts:
             self._learn(list(new), list(starts))
-        flat, first = self.flat, self.first
-        for i, words in todo:
-            unit = np.fromiter(map(of.__getitem__, words), np.int64, len(words))
-            n = first[unit + 1] - first[unit]
-            at = np.repeat(first[unit] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            out[i] = flat[at]
-        for i, ids in zip(plain, self._ids([texts[i] for i in plain])):
-            out[i] = np.array(ids, np.int64)
-        return out
+        # texts encoded whole, and the end, are further units, for this call only
+        whole = [*self._ids([texts[i] for i in plain]), list(end)]
+        known = len(self.first) - 1
+        flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(whole), np.int64)])
+        first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in whole], dtype=np.int64)])
+        number = {i: known + k for k, i in enumerate(plain)}
+        count = np.array([1 + len(w or "-") for w in parts], np.int64)
+        unit = np.empty(int(count.sum()), np.int64)
+        upto = np.cumsum(count)
+        unit[upto - 1] = known + len(plain)
+        texted = np.ones(len(unit), bool)
+        texted[upto - 1] = False
+        unit[texted] = np.fromiter(itertools.chain.from_iterable(
+            map(of.__getitem__, w) if w is not None else (number[i],) for i, w in enumerate(parts)),
+            np.int64, len(unit) - len(parts))
+        n = first[unit + 1] - first[unit]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(first[unit] - (ends - n), n) + np.arange(int(n.sum()))]
+        return ids, np.diff(ends[upto - 1], prepend=0)
 
 
 _TOKENIZERS: dict[int, Tokenizer] = {}
@@ -306,16 +338,11 @@ def tokens(docs: DataFrame, definition: str, end_id: int, lengths: np.ndarray) -
         for batch in batches:
             texts = batch.column("text").fill_null("").to_pylist()
             for lo, hi in _slices(texts):
-                n, frames = [], []
-                for ids in tok.encode(texts[lo:hi]):
-                    ids = np.append(ids, end_id)
-                    np.add(seen, np.bincount(ids, minlength=vocabulary), out=seen) if len(ids) > 4096 else \
-                        np.add.at(seen, ids, 1)
-                    n.append(len(ids))
-                    frames.append(frame(ids, code))
+                ids, n = tok.encode(texts[lo:hi], (end_id,))
+                seen += np.bincount(ids, minlength=vocabulary)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(frames, pa.binary()),
-                     pa.array([False] * len(n))], schema=_ARROW)
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()),
+                     pa.array(frames(ids, n, code, TEMPORARY_INTERVAL), pa.binary()), pa.array([False] * len(n))], schema=_ARROW)
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()),
                                           pa.array([seen.astype("<i8").tobytes()], pa.binary()), pa.array([True])],
                                          schema=_ARROW)
@@ -342,10 +369,15 @@ def _id_counts(found: DataFrame, vocabulary: int) -> np.ndarray:
 
 
 def _sample_lengths(docs: DataFrame, definition: str, end_id: int, vocabulary: int) -> np.ndarray:
-    """Code lengths for the temporary table: ids of a bounded sample, each id counted once more."""
-    flat = np.ones(vocabulary, np.int64)
-    found = tokens(docs.limit(SAMPLE_DOCS), definition, end_id, code_lengths(flat))
-    return code_lengths(16 * _id_counts(found, vocabulary) + 1)
+    """Code lengths for the temporary table: ids of a bounded sample, each id counted once more.
+
+    The first ``SAMPLE_DOCS`` rows that Spark finds, ``SAMPLE_CHARS`` of each (a read of one or a few
+    splits); they decide how small the temporary table is and nothing else."""
+    texts = [r[0] or "" for r in docs.select(F.substring(F.col("text").cast("string"), 1, SAMPLE_CHARS)).take(SAMPLE_DOCS)]
+    counts = np.ones(vocabulary, np.int64)
+    for lo, hi in _slices(texts):
+        counts += 16 * np.bincount(_tokenizer(definition).encode(texts[lo:hi], (end_id,))[0], minlength=vocabulary)
+    return code_lengths(counts)
 
 
 BLOCKS = ("file int, first bigint, n bigint, frame binary, doc_ids array<bigint>, doc_starts array<bigint>, "
@@ -369,14 +401,16 @@ def _blocks(lengths: np.ndarray, provisional: np.ndarray, sc):
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _BLOCK_TYPES)], _BLOCK_NAMES)
 
         for batch in batches:
-            frames, names = batch.column("frame"), batch.column("doc_id").to_pylist()
+            coded, names = batch.column("frame"), batch.column("doc_id").to_pylist()
             sizes = batch.column("n").to_pylist()
-            for lo in range(0, len(names), 256):
-                hi = min(lo + 256, len(names))
+            upto = np.cumsum(sizes)
+            hi = 0
+            while hi < len(names):
+                lo, hi = hi, max(int(np.searchsorted(upto, (upto[hi - 1] if hi else 0) + DECODED, side="right")), hi + 1)
                 for name, size in zip(names[lo:hi], sizes[lo:hi]):
                     docs.append((name, end, size))
                     end += size
-                held.extend(unframe(frames.slice(lo, hi - lo).to_pylist(), temporary))
+                held.extend(unframe(coded.slice(lo, hi - lo).to_pylist(), temporary))
                 if end - first < BLOCK_TOKENS:
                     continue
                 ids, at = np.concatenate(held), 0
@@ -444,8 +478,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         code = Code(shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 16):
-                rows = batch.slice(lo, 16)
+            for lo in range(0, batch.num_rows, 32):
+                rows = batch.slice(lo, 32)
                 ids = unframe(rows.column("frame").to_pylist(), code)
                 out = []
                 for r, got in zip(rows.drop_columns(["frame"]).to_pylist(), ids):
