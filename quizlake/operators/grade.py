@@ -192,8 +192,9 @@ def score_batch(items: DataFrame, scorer: Scorer, model: str, partitions: int |
     before the request are not sent. ``partitions`` sets the number of concurrent scorer tasks.
     The replies are checkpointed, so nothing that reads them calls the scorer again.
     """
-    from quizlake.session import shared_dir
+    from quizlake.session import shared_dir, ship_modules
 
+    ship_modules(items.sparkSession)
     todo = items.filter(F.col("item_error").isNull()).select("question_id", "prompt")
     if partitions:
         todo = todo.repartition(partitions, "question_id")

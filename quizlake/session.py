@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -82,6 +83,25 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_modules(spark: SparkSession) -> None:
+    """Hand the package's modules to the Python workers, once per application (they need no install)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(), "quizlake_core.zip")  # the driver serves it to the executors
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared location (one per run)."""
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -93,9 +93,10 @@ class _Split:
 def records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(file, block, line, text) of every record below ``path``, and the splits. (block, line) ascend
     in file order; ``block + line`` does too, and is below the file's size."""
-    from quizlake.session import shared_dir
+    from quizlake.session import shared_dir, ship_modules
 
     shared_dir(spark)
+    ship_modules(spark)
     lines = _lines(spark, path)
     known = splits(lines).checkpoint()
     odd = known.where("inside").select(F.xxhash64("file", "block").alias("h")).toPandas()["h"].to_numpy(np.int64)

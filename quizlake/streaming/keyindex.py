@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from quizlake.session import ship_modules
 from quizlake.sources.files import missing_path
 
 BITS_PER_KEY, PROBES = 32, 8
@@ -45,6 +46,7 @@ def _segment_of(h: np.ndarray, segments: int) -> np.ndarray:
 
 def write_filter(keys: DataFrame, index_dir: str, run: str, batch_id: int) -> None:
     """The filter of one committed partition from its keys (column ``question_id``)."""
+    ship_modules(keys.sparkSession)
     n = keys.count()
     segments = max(-(-n // SEGMENT_KEYS), 1)
 
@@ -76,6 +78,7 @@ def possible_batches(spark: SparkSession, index_dir: str, run: str, keys: DataFr
         if not missing_path(exc):
             raise
         return None
+    ship_modules(spark)
     h = keys.select(F.xxhash64("question_id").alias("h"))
     if h.limit(MAX_KEYS + 1).count() > MAX_KEYS:
         return None
