@@ -8,9 +8,12 @@ count; its phrases are grown from their prefixes and counted over all documents:
 
 1. pairs that start with an open word (both words frequent);
 2. phrases of 3 to 5 words whose first pair is frequent and whose first and last words are open;
-3. for the frequent ones: text, neighbours on both sides, keys of their parts;
+3. for the frequent ones: neighbours on both sides, keys of their parts;
 4. counts of the parts that are not known yet.
 
+The words are counted once; then the frequent ones are written as numbers, and the waves read only
+those. The text is looked up for the result alone.
+
 After a wave each language has its 2000th surviving score (or fewer survivors). Words whose bound
 is below it cannot matter; if any word with a bound as high (ties included) is still closed, the
 next wave opens exactly those, or all where there are fewer than 2000 survivors. What was grown
@@ -32,6 +35,8 @@ columns are not looked at. Very long texts are handled whole in one task.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,6 +49,7 @@ MIN_COUNT, TOP, LONGEST = 100, 2000, 5
 FIRST_SHARE = 0.25  # of a language's word occurrences: what the first wave opens
 MAX_BITS = 1 << 28
 HELD = 1 << 21  # counted phrases a task holds before it hands them on
+HELD_DETAILS = 1 << 19  # phrases whose details a task holds
 STEPS = 4  # histogram steps per octave of counts, scores
 
 _WORD = np.ones(256, bool)
@@ -56,40 +62,37 @@ _BASE = U64(0x9E3779B97F4A7C15)
 
 # --------------------------------------------------------------------------- phrases of a chunk
 
-class Chunk:
-    """Words of some texts: hash, language, and how many further words their piece has."""
+class Phrases:
+    """Word hashes in order, and how many further words each word's piece has."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, salt: np.ndarray):
-        w = self.words = Words(LOWER[data], offsets, _WORD)
-        n = self.n = len(w)
-        self.salt = salt[w.doc]
-        self.hash = w.hashes()
-        cuts = np.concatenate([[0], np.cumsum(_CUT[w.data])])
-        self.linked = np.zeros(n, bool)  # the next word is in the same piece
-        if n > 1:
-            self.linked[:-1] = (w.doc[1:] == w.doc[:-1]) & (cuts[w.start[1:]] == cuts[w.end[:-1]])
-        if n:
-            ends = np.flatnonzero(~self.linked)
-            self.room = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
-        else:
-            self.room = np.zeros(0, np.int64)
-
-    def sums(self, size: int) -> np.ndarray:
-        """Polynomial of the hashes of ``size`` words from each position (only valid inside pieces)."""
-        acc = np.zeros(self.n, np.uint64)
-        for k in range(size):
-            part = np.zeros(self.n, np.uint64)
-            part[:self.n - k] = self.hash[k:]
-            acc = acc * _BASE + part
-        return acc
+    def __init__(self, hashes: np.ndarray, linked: np.ndarray, salt):
+        n = self.n = len(hashes)
+        self.hash, self.linked, self.salt = hashes, linked, salt  # linked: the next word is in the same piece
+        ends = np.flatnonzero(~linked)
+        self.room = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) if n else np.zeros(0, np.int64)
 
     def keys(self, size: int, at: np.ndarray | None = None) -> np.ndarray:
-        """Keys of the phrases of ``size`` words that start at ``at`` (all positions if None)."""
-        acc, salt = self.sums(size), self.salt
-        if at is not None:
-            acc, salt = acc[at], salt[at]
+        """Keys of the phrases of ``size`` words that start at ``at`` (all positions if None; only
+        those inside pieces mean something)."""
+        at = np.arange(self.n) if at is None else at
+        acc = np.zeros(len(at), np.uint64)
+        for k in range(size):
+            acc = acc * _BASE + self.hash[np.minimum(at + k, self.n - 1)]
+        salt = self.salt if np.isscalar(self.salt) else self.salt[at]
         return mix(acc ^ salt ^ U64(size))
 
+
+class Chunk(Phrases):
+    """Words of some texts."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, salt: np.ndarray):
+        w = self.words = Words(LOWER[data], offsets, _WORD)
+        cuts = np.concatenate([[0], np.cumsum(_CUT[w.data])])
+        linked = np.zeros(len(w), bool)
+        if len(w) > 1:
+            linked[:-1] = (w.doc[1:] == w.doc[:-1]) & (cuts[w.start[1:]] == cuts[w.end[:-1]])
+        super().__init__(w.hashes(), linked, salt[w.doc])
+
     def spans(self, at: np.ndarray, size: np.ndarray) -> list[str]:
         """Texts of phrases, their words joined by one space."""
         w = self.words
@@ -98,15 +101,31 @@ class Chunk:
                 for i, k in zip(at.tolist(), size.tolist())]
 
 
-def _salt(lang: str) -> int:
-    import zlib
+class Sequence(Phrases):
+    """Frequent words of one language, stored: distinct hashes, their numbers in order, links."""
+
+    def __init__(self, lang: str, distinct, numbers, linked):
+        self.lang, self.distinct = lang, np.frombuffer(distinct, "<u8")
+        self.numbers = np.frombuffer(numbers, _number_type(len(self.distinct)))
+        bits = np.unpackbits(np.frombuffer(linked, np.uint8), count=len(self.numbers)).astype(bool)
+        super().__init__(self.distinct[self.numbers], bits, U64(_salt(lang)))
 
+    def having(self, wanted: "Filter") -> np.ndarray:
+        """Which words are in a filter of word keys (each distinct word tested once)."""
+        return wanted(mix(self.distinct ^ self.salt ^ U64(1)))[self.numbers]
+
+
+def _number_type(distinct: int) -> str:
+    return "<u2" if distinct <= 1 << 16 else "<u4"
+
+
+def _salt(lang: str) -> int:
     raw = lang.encode()
     return zlib.crc32(raw) | zlib.crc32(b"#" + raw) << 32
 
 
 def _chunks(batch):
-    """(languages, language number per word, chunk) of a batch."""
+    """(languages, language number per word, chunk) of a batch of texts."""
     langs = batch.column("lang").dictionary_encode()
     names = langs.dictionary.to_pylist()
     number = langs.indices.to_numpy(zero_copy_only=False)
@@ -117,6 +136,13 @@ def _chunks(batch):
         yield names, own[chunk.words.doc], chunk
 
 
+def _sequences(batch):
+    """Stored sequences of a batch, one after another (read in place: a batch holds many of them)."""
+    columns = [batch.column(c) for c in ("distinct", "numbers", "linked")]
+    for i, lang in enumerate(batch.column("lang").to_pylist()):
+        yield Sequence(lang, *(c[i].as_buffer() for c in columns))
+
+
 class Filter:
     """A set of keys as a bit array (false positives possible)."""
 
@@ -186,25 +212,35 @@ class Counter:
         self.parts, self.held = [], 0
 
 
-def _counted(docs: DataFrame, emit) -> DataFrame:
-    """(key, lang, n) over all documents; ``emit(chunk)`` gives (keys, positions) arrays."""
+def _counted(rows: DataFrame, emit) -> DataFrame:
+    """(key, lang, n) over all rows; ``emit(batch)`` gives (keys, language numbers, languages)."""
     def run(batches):
         counter = Counter()
         for batch in batches:
-            for names, lang, chunk in _chunks(batch):
-                for keys, at in emit(chunk):
-                    yield from counter.add(keys, lang[at], names)
+            for keys, langs, names in emit(batch):
+                yield from counter.add(keys, langs, names)
         yield from counter.flush()
 
-    rows = docs.mapInArrow(run, "key bigint, lang string, n bigint")
-    return rows.groupBy("key", "lang").agg(F.sum("n").alias("n"))
+    found = rows.mapInArrow(run, "key bigint, lang string, n bigint")
+    return found.groupBy("key", "lang").agg(F.sum("n").alias("n"))
+
+
+def _in_sequences(rows: DataFrame, emit) -> DataFrame:
+    """(key, lang, n) of the keys that ``emit(sequence)`` gives."""
+    def each(batch):
+        for seq in _sequences(batch):
+            for keys in emit(seq):
+                yield keys, np.zeros(len(keys), np.int64), [seq.lang]
+
+    return _counted(rows, each)
 
 
 # --------------------------------------------------------------------------- passes
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    def emit(chunk):
-        yield chunk.keys(1), np.arange(chunk.n)
+    def emit(batch):
+        for names, lang, chunk in _chunks(batch):
+            yield chunk.keys(1), lang, names
 
     return _counted(docs, emit)
 
@@ -213,107 +249,186 @@ def _shared(spark, **sets):
     return spark.sparkContext.broadcast(sets)
 
 
-def pairs(docs: DataFrame, shared) -> DataFrame:
+SEQUENCES = "lang string, distinct binary, numbers binary, linked binary"
+
+
+def sequences(docs: DataFrame, shared) -> DataFrame:
+    """The frequent words of all texts as numbers, by language and chunk. No phrase reaches over an
+    infrequent word, and no infrequent word can be the same neighbour of all occurrences, so such a
+    word is a break like the end of a piece."""
+    def run(batches):
+        frequent = Filter(shared.value["frequent"])
+        for batch in batches:
+            for names, lang, chunk in _chunks(batch):
+                keep = frequent(chunk.keys(1))
+                linked = chunk.linked & keep
+                linked[:-1] &= keep[1:]
+                out = []
+                for number, name in enumerate(names):
+                    own = np.flatnonzero(keep & (lang == number))
+                    if len(own):
+                        distinct, numbers = np.unique(chunk.hash[own], return_inverse=True)
+                        out.append((name, distinct.astype("<u8").tobytes(), numbers.astype(_number_type(len(distinct))).tobytes(),
+                                    np.packbits(linked[own]).tobytes()))
+                if out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), *[pa.binary()] * 3))],
+                        ["lang", "distinct", "numbers", "linked"])
+
+    return docs.mapInArrow(run, SEQUENCES)
+
+
+def pairs(rows: DataFrame, shared) -> DataFrame:
     """Pairs of frequent words whose first word is opened by this wave."""
-    def emit(chunk):
+    def emit(seq):
         s = shared.value
-        word = chunk.keys(1)
-        frequent, new = Filter(s["frequent"])(word), Filter(s["open"])(word)
+        new = seq.having(Filter(s["open"]))
         if "before" in s:
-            new &= ~Filter(s["before"])(word)
-        at = np.flatnonzero(chunk.linked & frequent & new)
-        at = at[frequent[at + 1]]
-        yield chunk.keys(2, at), at
+            new &= ~seq.having(Filter(s["before"]))
+        yield seq.keys(2, np.flatnonzero(seq.linked & new))
 
-    return _counted(docs, emit)
+    return _in_sequences(rows, emit)
 
 
-def longer(docs: DataFrame, shared) -> DataFrame:
+def longer(rows: DataFrame, shared) -> DataFrame:
     """Phrases of 3 to 5 words grown from frequent pairs; both end words open, not both before."""
-    def emit(chunk):
+    def emit(seq):
         s = shared.value
-        word = chunk.keys(1)
-        frequent, opened = Filter(s["frequent"])(word), Filter(s["open"])(word)
-        before = Filter(s["before"])(word) if "before" in s else np.zeros(chunk.n, bool)
-        at = np.flatnonzero((chunk.room >= 2) & opened)
-        at = at[Filter(s["pairs"])(chunk.keys(2, at))]
+        opened = seq.having(Filter(s["open"]))
+        before = seq.having(Filter(s["before"])) if "before" in s else np.zeros(seq.n, bool)
+        at = np.flatnonzero((seq.room >= 2) & opened)
+        at = at[Filter(s["pairs"])(seq.keys(2, at))]
         for size in range(3, LONGEST + 1):
-            at = at[chunk.room[at] >= size - 1]
-            at = at[frequent[at + size - 1] & frequent[at + size - 2]]
+            at = at[seq.room[at] >= size - 1]
             end = at + size - 1
-            own = at[opened[end] & ~(before[at] & before[end])]
-            yield chunk.keys(size, own), own
+            yield seq.keys(size, at[opened[end] & ~(before[at] & before[end])])
 
-    return _counted(docs, emit)
+    return _in_sequences(rows, emit)
+
+
+PARTS = [f"{side}{k}" for side in ("left", "right") for k in range(1, LONGEST)]  # keys of both parts of cut k
+SIDES = ["before_lo", "before_hi", "after_lo", "after_hi"]
+DETAILS = f"key bigint, lang string, size int, {', '.join(f'{c} bigint' for c in [*PARTS, *SIDES])}"
+
+
+class Details:
+    """What a task knows of the wanted phrases: sizes, keys of parts, the range of their neighbours."""
+
+    def __init__(self):
+        self.parts, self.held, self.names = [], 0, {}
+
+    def add(self, chunk: Sequence, key, at, size):
+        order = np.argsort(key, kind="stable")
+        key, at, size = key[order], at[order], size[order]
+        heads = np.flatnonzero(np.diff(key, prepend=~key[:1]))
+        h = chunk.hash.view(np.int64)
+        left = np.where((at > 0) & chunk.linked[at - 1], h[at - 1], 0)
+        right = np.where(chunk.linked[at + size - 1], h[np.minimum(at + size, chunk.n - 1)], 0)
+        sides = [f.reduceat(x, heads) for x in (left, right) for f in (np.minimum, np.maximum)]
+        key, at, size = key[heads], at[heads], size[heads]
+        by = np.stack([chunk.keys(k).view(np.int64) for k in range(1, LONGEST)])
+        cuts = range(1, LONGEST)
+        lefts = [np.where(size > k, by[k - 1, at], 0) for k in cuts]
+        rights = [np.where(size > k, by[np.maximum(size - k - 1, 0), np.minimum(at + k, chunk.n - 1)], 0) for k in cuts]
+        lang = np.full(len(key), self.names.setdefault(chunk.lang, len(self.names)))
+        self.parts.append(np.stack([key.view(np.int64), lang, size, *lefts, *rights, *sides]))
+        self.held += len(key)
+        if self.held > HELD_DETAILS:
+            self._merge()
+
+    def _merge(self):
+        if not self.parts:
+            return
+        rows = np.concatenate(self.parts, axis=1)
+        rows = rows[:, np.argsort(rows[0], kind="stable")]
+        heads = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]]))
+        out = rows[:, heads]
+        for k, f in enumerate((np.minimum, np.maximum, np.minimum, np.maximum)):
+            out[len(rows) - 4 + k] = f.reduceat(rows[len(rows) - 4 + k], heads)
+        self.parts, self.held = [out], out.shape[1]
+
+    def flush(self):
+        self._merge()
+        names = np.array(list(self.names), object)
+        for rows in self.parts:
+            for lo in range(0, rows.shape[1], 1 << 16):
+                r = rows[:, lo:lo + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(r[0]), pa.array(names[r[1]], pa.string()), pa.array(r[2].astype(np.int32)),
+                     *[pa.array(x) for x in r[3:]]], ["key", "lang", "size", *PARTS, *SIDES])
+        self.parts, self.held = [], 0
 
 
-DETAILS = ("key bigint, lang string, phrase string, size int, lefts array<bigint>, rights array<bigint>, "
-           "before_lo bigint, before_hi bigint, after_lo bigint, after_hi bigint")
+def _wanted(chunk: Phrases, wanted: Filter):
+    """(key, position, size) of all phrases of 2 to 5 words in a filter."""
+    keys, at, size = [], [], []
+    for k in range(2, LONGEST + 1):
+        p = np.flatnonzero(chunk.room >= k - 1)
+        key = chunk.keys(k, p)
+        own = wanted(key)
+        keys.append(key[own])
+        at.append(p[own])
+        size.append(np.full(int(own.sum()), k))
+    return tuple(np.concatenate(x) for x in (keys, at, size))
 
 
-def details(docs: DataFrame, shared) -> DataFrame:
-    """Text, part keys and neighbours of the phrases in the filter ``wanted`` (0: no neighbour)."""
+def details(rows: DataFrame, shared) -> DataFrame:
+    """Size, part keys and neighbours of the phrases in the filter ``wanted`` (0: none)."""
     def run(batches):
-        wanted = Filter(shared.value["wanted"])
+        wanted, held = Filter(shared.value["wanted"]), Details()
+        for batch in batches:
+            for seq in _sequences(batch):
+                key, at, size = _wanted(seq, wanted)
+                if len(key):
+                    held.add(seq, key, at, size)
+                if held.held > HELD_DETAILS:
+                    yield from held.flush()
+        yield from held.flush()
+
+    same = [F.max(c).alias(c) for c in ("size", *PARTS)]  # the same in all rows of a key
+    return rows.mapInArrow(run, DETAILS).groupBy("key", "lang").agg(
+        *same, *[(F.min if c.endswith("lo") else F.max)(c).alias(c) for c in SIDES])
+
+
+def texts(docs: DataFrame, shared) -> DataFrame:
+    """(key, lang, phrase) of the phrases in the filter ``wanted``, each once a task."""
+    def run(batches):
+        wanted, seen = Filter(shared.value["wanted"]), np.zeros(0, np.uint64)
         for batch in batches:
             for names, lang, chunk in _chunks(batch):
-                keys, at, size = [], [], []
-                for k in range(2, LONGEST + 1):
-                    p = np.flatnonzero(chunk.room >= k - 1)
-                    key = chunk.keys(k, p)
-                    own = wanted(key)
-                    keys.append(key[own])
-                    at.append(p[own])
-                    size.append(np.full(int(own.sum()), k))
-                key, at, size = (np.concatenate(x) for x in (keys, at, size))
-                if not len(key):
+                key, at, size = _wanted(chunk, wanted)
+                key, first = np.unique(key, return_index=True)
+                new = ~np.isin(key, seen)
+                if not new.any():
                     continue
-                order = np.argsort(key, kind="stable")
-                key, at, size = key[order], at[order], size[order]
-                heads = np.flatnonzero(np.diff(key, prepend=~key[:1]))
-                h = chunk.hash.view(np.int64)
-                left = np.where((at > 0) & chunk.linked[at - 1], h[at - 1], 0)
-                end = np.minimum(at + size, chunk.n - 1)
-                right = np.where(chunk.linked[at + size - 1], h[end], 0)
-                sides = [f.reduceat(x, heads) for x in (left, right) for f in (np.minimum, np.maximum)]
-                at, size = at[heads], size[heads]
-                by = [chunk.keys(k).view(np.int64) for k in range(1, LONGEST)]
-                lefts = [[by[k - 1][i] for k in range(1, s)] for i, s in zip(at.tolist(), size.tolist())]
-                rights = [[by[s - k - 1][i + k] for k in range(1, s)] for i, s in zip(at.tolist(), size.tolist())]
+                key, at, size = key[new], at[first[new]], size[first[new]]
+                seen = np.concatenate([seen, key]) if len(seen) < HELD_DETAILS else key
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[heads].view(np.int64)), pa.array([names[x] for x in lang[at]], pa.string()),
-                     pa.array(chunk.spans(at, size), pa.string()), pa.array(size, pa.int32()),
-                     pa.array(lefts, pa.list_(pa.int64())), pa.array(rights, pa.list_(pa.int64())),
-                     *[pa.array(x) for x in sides]],
-                    ["key", "lang", "phrase", "size", "lefts", "rights", "before_lo", "before_hi", "after_lo", "after_hi"])
+                    [pa.array(key.view(np.int64)), pa.array([names[x] for x in lang[at].tolist()], pa.string()),
+                     pa.array(chunk.spans(at, size), pa.string())], ["key", "lang", "phrase"])
 
-    rows = docs.mapInArrow(run, DETAILS)
-    any_of = [F.first(c).alias(c) for c in ("phrase", "size", "lefts", "rights")]  # the same in all rows of a key
-    return rows.groupBy("key", "lang").agg(
-        *any_of, *[F.min(c).alias(c) for c in ("before_lo", "after_lo")],
-        *[F.max(c).alias(c) for c in ("before_hi", "after_hi")])
+    return docs.mapInArrow(run, "key bigint, lang string, phrase string").dropDuplicates(["key", "lang"])
 
 
-def parts(docs: DataFrame, shared) -> DataFrame:
+def parts(rows: DataFrame, shared) -> DataFrame:
     """Counts of the phrases of 2 to 4 words in the filter ``parts``."""
-    def emit(chunk):
+    def emit(seq):
         wanted = Filter(shared.value["parts"])
         for k in range(2, LONGEST):
-            at = np.flatnonzero(chunk.room >= k - 1)
-            key = chunk.keys(k, at)
-            own = wanted(key)
-            yield key[own], at[own]
+            key = seq.keys(k, np.flatnonzero(seq.room >= k - 1))
+            yield key[wanted(key)]
 
-    return _counted(docs, emit)
+    return _in_sequences(rows, emit)
 
 
 # --------------------------------------------------------------------------- scores
 
 def scored(candidates: DataFrame, counts: DataFrame, totals: DataFrame) -> DataFrame:
-    """Candidates (key, lang, phrase, a, lefts, rights) with their lowest cut: l, r, n, score."""
-    cuts = candidates.select("key", "lang", "phrase", "a", F.posexplode(F.arrays_zip("lefts", "rights")).alias("k", "cut"))
+    """Candidates (key, lang, size, a, part keys) with their lowest cut: l, r, n, score."""
+    cut = [F.struct(F.lit(k).alias("k"), F.col(f"left{k}").alias("lk"), F.col(f"right{k}").alias("rk")) for k in range(1, LONGEST)]
+    cuts = candidates.select("key", "lang", "size", "a", F.explode(F.array(*cut)).alias("cut")).where("cut.k < size")
     known = counts.select("key", "n")
-    cuts = (cuts.select("key", "lang", "phrase", "a", "k", F.col("cut.lefts").alias("lk"), F.col("cut.rights").alias("rk"))
+    cuts = (cuts.select("key", "lang", "a", "cut.*")
             .join(known.toDF("lk", "l"), "lk").join(known.toDF("rk", "r"), "rk")
             .join(totals, "lang"))
 
@@ -324,8 +439,8 @@ def scored(candidates: DataFrame, counts: DataFrame, totals: DataFrame) -> DataF
     cuts = cuts.withColumns({"top": product, "bottom": wide("l", 16) * wide("r", 16)})
     cuts = cuts.withColumn("score", F.expr("top div bottom"))
     best = F.min(F.struct("score", "k", "l", "r", "n"))
-    return (cuts.groupBy("key", "lang", "phrase", "a").agg(best.alias("cut"))
-            .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.n", "cut.score"))
+    return (cuts.groupBy("key", "lang", "a").agg(best.alias("cut"))
+            .select("key", "lang", "a", "cut.l", "cut.r", "cut.n", "cut.score"))
 
 
 def survives() -> Column:
@@ -337,7 +452,8 @@ def survives() -> Column:
 
 
 def best_rows(rows: DataFrame, top: int) -> DataFrame:
-    """Each language's first ``top`` rows by score, a, phrase, with their rank.
+    """Each language's rows that can be among its first ``top`` by score, a and phrase: all rows that
+    equal the ``top``-th in score and a are in.
 
     Scores are first counted by octave steps, so that only rows that can be among the first are
     gathered per language: the steps down to the one that holds the ``top``-th score."""
@@ -347,6 +463,12 @@ def best_rows(rows: DataFrame, top: int) -> DataFrame:
     above = Window.partitionBy("lang").orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, -1)
     needed = n.withColumn("above", F.coalesce(F.sum("c").over(above), F.lit(0))).where(F.col("above") < top)
     rows = rows.join(needed.select("lang", "step"), ["lang", "step"], "left_semi").drop("step")
+    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())
+    return rows.withColumn("place", F.rank().over(order)).where(F.col("place") <= top).drop("place")
+
+
+def ranked(rows: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` rows of each language, with their rank."""
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
 
@@ -384,7 +506,8 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, sh
     words = saved(word_counts(docs), "phrase-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.where(F.col("n") >= min_count)
-    sets = {"frequent": key_filter(frequent.select("key"))}
+    rows = saved(sequences(docs, _shared(spark, frequent=key_filter(frequent.select("key")))), "phrase-sequences")
+    sets = {}
     grand = {r["lang"]: r["n"] for r in totals.collect()}  # one row a language
     most = {r["lang"]: r["m"] for r in frequent.groupBy("lang").agg(F.max("n").alias("m")).collect()}
     limits = _open_to(frequent, share)
@@ -394,21 +517,21 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, sh
         opened = frequent.join(F.broadcast(_limits(spark, limits)), "lang").where("n <= limit").select("key")
         sets["open"] = key_filter(opened)
         shared = _shared(spark, **sets)
-        new_pairs = saved(pairs(docs, shared).where(F.col("n") >= min_count), "phrase-pairs")
+        new_pairs = saved(pairs(rows, shared).where(F.col("n") >= min_count), "phrase-pairs")
         all_pairs = new_pairs if all_pairs is None else all_pairs.unionByName(new_pairs)
         shared = _shared(spark, **sets, pairs=key_filter(all_pairs.select("key")))
-        new_longer = saved(longer(docs, shared).where(F.col("n") >= min_count), "phrase-longer")
+        new_longer = saved(longer(rows, shared).where(F.col("n") >= min_count), "phrase-longer")
         new = new_pairs.unionByName(new_longer).withColumnRenamed("n", "a")
         wanted = _shared(spark, wanted=key_filter(new.select("key")))
-        new = saved(new.join(details(docs, wanted), ["key", "lang"]), "phrase-details")
+        new = saved(new.join(details(rows, wanted), ["key", "lang"]), "phrase-details")
         grown = new if grown is None else grown.unionByName(new)
         known = known.unionByName(new.select("key", F.col("a").alias("n")))
-        asked = new.select(F.explode(F.concat("lefts", "rights")).alias("key")).distinct()
+        asked = new.select(F.explode(F.array(*PARTS)).alias("key")).where("key <> 0").distinct()
         asked = saved(asked.join(known, "key", "left_anti"), "phrase-parts-asked")
-        found = parts(docs, _shared(spark, parts=key_filter(asked))).join(asked, "key", "left_semi")
+        found = parts(rows, _shared(spark, parts=key_filter(asked))).join(asked, "key", "left_semi")
         known = known.unionByName(saved(found.select("key", "n"), "phrase-parts"))
-        rows = scored(grown.where(survives()), known.dropDuplicates(["key"]), totals)
-        result = saved(best_rows(rows, top), "phrase-best")
+        valued = scored(grown.where(survives()), known.dropDuplicates(["key"]), totals)
+        result = saved(best_rows(valued, top), "phrase-best")
         last = {r["lang"]: (r["c"], r["s"]) for r in result.groupBy("lang").agg(
             F.count(F.lit(1)).alias("c"), F.min("score").alias("s")).collect()}
         wider = {}
@@ -417,6 +540,8 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, sh
             # a closed word with count f matters if floor(1000 * n / f) >= s, i.e. f <= 1000 * n / s
             wider[lang] = min(m, 1000 * grand[lang] // s) if c >= top and s > 0 else m
         if all(wider[x] <= limits.get(x, 0) for x in most):
+            named = texts(docs, _shared(spark, wanted=key_filter(result.select("key"))))
+            result = ranked(result.join(named, ["key", "lang"]), top)
             return result.select("lang", F.col("rank").cast("int").alias("rank"), "phrase", "a", "l", "r", "n", "score")
         limits = {x: max(wider[x], limits.get(x, 0)) for x in most}
         sets["before"] = sets["open"]

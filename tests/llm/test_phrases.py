@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from quizlake.llm import phrases as C
 from tests.llm.helpers import AWKWARD, SF01, awkward, lower
@@ -74,8 +75,9 @@ def test_later_waves_open_only_what_can_matter(spark, monkeypatch):
 
 def test_counts_beyond_64_bits(spark):
     """1000 * a * n passes 64 bits in the cuts; the score does not."""
-    one = spark.createDataFrame([(1, "en", "x y", 3_000_000_000_000, [11], [12])],
-                                "key long, lang string, phrase string, a long, lefts array<long>, rights array<long>")
+    one = spark.createDataFrame([(1, "en", 2, 3_000_000_000_000, 11, 12)],
+                                "key long, lang string, size int, a long, left1 long, right1 long")
+    one = one.withColumns({c: F.lit(0).cast("long") for c in C.PARTS if c not in one.columns})
     counts = spark.createDataFrame([(11, 4_000_000_000_000), (12, 5_000_000_000_000)], "key long, n long")
     totals = spark.createDataFrame([("en", 90_000_000_000_000)], "lang string, n long")
     r = C.scored(one, counts, totals).first()
