@@ -19,8 +19,8 @@ out for all documents alike only shortens the symmetric difference, so it costs
 Equal sets are one entry throughout. Documents under one key are compared with one of them (a
 star, linear in the group): pairs whose whole sketches differ in more bits than the bound are
 out, the others are verified exactly on their full sets, and links are merged. Keys that still
-hold several components are compared inside the tasks on whole sketches, and only pairs of
-different components within the bound are handed on and verified, so the components are those of
+hold several components are compared inside the tasks on whole sketches (a large key in pairs of
+blocks, each pair of blocks a group of its own), and only pairs of different components within the bound are handed on and verified, so the components are those of
 all links. Whole sketches hold two to four bits a shingle; the longer one of a pair is folded
 onto the shorter.
 
@@ -49,8 +49,13 @@ PERCENT = 75
 COMMON_SHARE, COMMON_COUNT, COMMON_MAX = 16, 8, 1 << 18
 #: Linked documents share at least one key in so many of a size band's largest set.
 SHARED = 10
-#: Emitted bands gathered before they are handed on, and bands per reducer bucket.
-FLUSH, BUCKET_BANDS = 1 << 20, 1 << 20
+#: Emitted bands that a task gathers before it hands them on; entries of a bucket that a reducer holds
+#: (four times FLUSH) before it compacts them; bands per reducer bucket.
+EMIT, FLUSH, BUCKET_BANDS = 1 << 18, 1 << 20, 1 << 20
+#: Documents of an open key that are compared as one block.
+GROUP_BLOCK = 2048
+#: Memberships of documents in groups that one bucket (a task's unit) holds, about.
+BUCKET_GROUPS = 1 << 17
 #: Frequency that stands for that of a key with more entries than a task gathers.
 VERY_OFTEN = 1 << 40
 #: Bits of the map that keeps non-candidates out of the second reading of the texts.
@@ -215,7 +220,7 @@ def _emit(buckets: int, common):
                 d, k, c = band_keys(counts[new], h[np.repeat(new, counts)], heavy)
                 parts.append((sid[new][d], k, c))
                 size += len(k)
-                if size >= FLUSH:
+                if size >= EMIT:
                     yield rows(parts)
                     parts, size = [], 0
         if size:
@@ -378,40 +383,67 @@ def _likely(pairs: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def _near_in_groups(batches):
-    """mapInArrow over rows sorted by key: pairs of a key in different components whose sizes and
-    whole sketches allow a link, each pair only at the smallest key that both have."""
-    def pairs(key, rows):
-        rows.sort(key=lambda r: r[2])  # by size
-        sid, label, n = (np.array(x, dtype=np.int64) for x in zip(*(r[:3] for r in rows)))
-        found = []
-        words = min(len(r[3]) for r in rows) // 8  # sizes of one size band: a few lengths
-        sketch = np.stack([_folded(np.frombuffer(r[3], np.uint64), words) for r in rows])
-        smaller = [frozenset(k for k in r[4] if k < key) for r in rows]
-        for i in range(len(rows) - 1):
+    """mapInArrow over rows sorted by bucket: pairs of a key in different components whose sizes and
+    whole sketches allow a link, each pair only at the smallest key that both have.
+
+    A document is one row a bucket, with all its open keys and its groups there: a group (key, lo, hi)
+    holds one block of the key's documents (lo = hi) or two, which are compared with each other."""
+    def pairs(sid, label, n, block, sketches, smaller, cross):
+        order = np.argsort(n, kind="stable")
+        sid, label, n, block = sid[order], label[order], n[order], block[order]
+        words = min(map(len, sketches)) // 8  # sizes of one size band: a few lengths
+        sketch = np.stack([_folded(np.frombuffer(sketches[k], np.uint64), words) for k in order.tolist()])
+        below: dict[int, frozenset] = {}
+
+        def keys(k):
+            if k not in below:
+                below[k] = frozenset(smaller[order[k]].tolist())
+            return below[k]
+
+        for i in range(len(sid) - 1):
             top = int(np.searchsorted(n, 100 * n[i] // PERCENT, side="right"))
-            j = np.arange(i + 1, top)[label[i + 1:top] != label[i]]
+            other = label[i + 1:top] != label[i]
+            if cross:
+                other &= block[i + 1:top] != block[i]
+            j = np.arange(i + 1, top)[other]
             if len(j):
                 far = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1, dtype=np.int64)
                 for x in j[far <= (n[j] + n[i]) // 7].tolist():
-                    if smaller[i].isdisjoint(smaller[x]):
-                        found.append((int(max(sid[i], sid[x])), int(min(sid[i], sid[x]))))
-        return found
-
-    def batch_of(out):
-        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-    key, rows, out = None, [], []
+                    if keys(i).isdisjoint(keys(x)):
+                        yield int(max(sid[i], sid[x])), int(min(sid[i], sid[x]))
+
+    def bucket(rows):
+        """All groups of a bucket, from rows (sid, label, n, sketch, keys, groups of this bucket)."""
+        sid, label, n = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+        at = np.repeat(np.arange(len(rows)), [len(r[5]) for r in rows])
+        member = np.concatenate([r[5] for r in rows])  # key, lo, hi, block
+        order = np.lexsort((member[:, 2], member[:, 1], member[:, 0]))
+        member, at = member[order], at[order]
+        head = np.flatnonzero((member[1:, :3] != member[:-1, :3]).any(axis=1)) + 1
+        found = set()
+        for x, y in zip([0, *head.tolist()], [*head.tolist(), len(member)]):
+            if y - x > 1:
+                own, key = at[x:y], member[x, 0]
+                smaller = [rows[k][4][:np.searchsorted(rows[k][4], key)] for k in own.tolist()]
+                found.update(pairs(sid[own], label[own], n[own], member[x:y, 3], [rows[k][3] for k in own.tolist()],
+                                   smaller, member[x, 1] != member[x, 2]))
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    now, rows = None, []
     for batch in batches:
-        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "sid", "label", "n", "sketch", "keys"))):
-            if k != key:
-                out += pairs(key, rows) if len(rows) > 1 else []
-                key, rows = k, []
-                if len(out) >= 10_000:
-                    yield batch_of(out)
-                    out = []
-            rows.append(row)
-    out += pairs(key, rows) if len(rows) > 1 else []
-    yield batch_of(out)
+        columns = [batch.column(c).to_pylist() for c in ("bucket", "sid", "label", "n", "sketch")]
+        keys, groups = batch.column("keys"), batch.column("groups")
+        at, values = keys.offsets.to_numpy(), keys.values.to_numpy()
+        first = groups.offsets.to_numpy()
+        member = np.stack([groups.values.field(c).to_numpy().astype(np.int64) for c in ("key", "lo", "hi", "block")], axis=1)
+        for k, row in enumerate(zip(*columns)):
+            if row[0] != now:
+                if len(rows) > 1:
+                    yield bucket(rows)
+                now, rows = row[0], []
+            rows.append((*row[1:], values[at[k]:at[k + 1]].copy(), member[first[k]:first[k + 1]].copy()))
+    if len(rows) > 1:
+        yield bucket(rows)
 
 
 class _Sets:
@@ -443,11 +475,20 @@ class _Sets:
 
 
 def _open_keys(shared: DataFrame, label: DataFrame) -> DataFrame:
-    """(key, sid, label) of the keys that hold several components."""
+    """(key, sid, label, blocks) of the keys that hold several components; ``blocks`` of about
+    ``GROUP_BLOCK`` documents make up the key."""
     marked = shared.join(label, shared.sid == label.node, "left").select(
         "key", "sid", F.coalesce("label", "sid").alias("label"))
-    mixed = marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    return marked.join(mixed, "key", "left_semi")
+    mixed = marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("c"))
+    mixed = mixed.where("x <> y").select("key", F.ceil(F.col("c") / GROUP_BLOCK).cast("int").alias("blocks"))
+    return marked.join(mixed, "key")
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Rows of a key dealt to its blocks, and each block to all pairs of blocks it is part of."""
+    block = F.expr("cast(pmod(xxhash64(sid), blocks) as int)")
+    rows = rows.withColumn("block", block).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
+    return rows.withColumns({"lo": F.least("block", "with"), "hi": F.greatest("block", "with")}).drop("with", "blocks")
 
 
 def _local_stars(batches):
@@ -519,10 +560,15 @@ def _grouped(docs: DataFrame) -> DataFrame:
     links = saved(sets.links(saved(_likely(star, info), "star-likely")), "star-links")
     label = saved(components(links), "star-components")
     open_ = saved(_open_keys(shared, label), "open-keys")
-    keys = open_.groupBy("sid").agg(F.collect_list("key").alias("keys"))  # at most a document's bands
-    rest = open_.join(info.select("sid", "n", "sketch"), "sid").join(keys, "sid")
-    rest = (rest.select("key", "sid", "label", "n", "sketch", "keys").repartition(parts, "key")
-            .sortWithinPartitions("key").mapInArrow(_near_in_groups, "a bigint, b bigint"))
+    dealt = _in_blocks(open_)
+    parts = max(parts, -(-dealt.count() // BUCKET_GROUPS))
+    group = F.struct("key", "lo", "hi", "block")
+    dealt = (dealt.withColumn("bucket", F.expr(f"cast(pmod(xxhash64(key, lo, hi), {parts}) as int)"))
+             .groupBy("sid", "bucket").agg(F.first("label").alias("label"), F.collect_list(group).alias("groups")))
+    keys = open_.groupBy("sid").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most a document's bands
+    rest = dealt.join(keys, "sid").join(info.select("sid", "n", "sketch"), "sid")
+    rest = (rest.select("bucket", "sid", "label", "n", "sketch", "keys", "groups").repartition(parts, "bucket")
+            .sortWithinPartitions("bucket").mapInArrow(_near_in_groups, "a bigint, b bigint"))
     rest = saved(rest, "rest-likely")
     if not rest.isEmpty():
         links = links.union(saved(sets.links(rest), "rest-links"))

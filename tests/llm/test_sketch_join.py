@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from quizlake.llm import sketch_join as S
 from tests.llm.helpers import AWKWARD, awkward, shingles
@@ -50,8 +51,11 @@ def corpus(seed, groups=25):
     return [(i * 3 + 1, t) for i, t in enumerate(docs)]
 
 
-def test_components_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(S, "FLUSH", 500)  # several hand-overs and compactions
+@pytest.mark.parametrize("block", [3, S.GROUP_BLOCK])
+def test_components_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(S, "EMIT", 500)  # several hand-overs
+    monkeypatch.setattr(S, "FLUSH", 500)  # and compactions
+    monkeypatch.setattr(S, "GROUP_BLOCK", block)  # keys in one block, or in many pairs of blocks
     docs = corpus(7) + [r[:2] for r in AWKWARD if r[0] != 8]
     docs += [(1000 + i, t) for i, (_, t) in enumerate(docs[:10])]
     got = S.near_copies(spark.createDataFrame(docs, "doc_id long, text string"))
