@@ -16,9 +16,16 @@ ROW_GROUP = 32 << 20
 _SHIPPED: set[str] = set()
 
 
+#: Rows of an Arrow batch at most: texts are long, and each task holds a few batches.
+BATCH_ROWS = 1_000
+
+
 def ship(spark: SparkSession) -> None:
     """Hand this package's modules to the Python workers (once per application)."""
     sc = spark.sparkContext
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
