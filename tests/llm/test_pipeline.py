@@ -10,7 +10,7 @@ def test_registered():
 
     known = entry.queries()
     assert set(QUERIES) <= set(known) and known["pipeline"] is corpus_pipeline.run
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 def test_every_stage_works_on_what_the_one_before_kept(spark):
