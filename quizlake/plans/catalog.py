@@ -470,11 +470,17 @@ def q_bronze_completeness(spark, sf):
 
 def _page_queue(spark, sf):
     """The planned pages asked for until they are answered, from recorded attempts."""
-    run = queue.PageQueue(spark, fresh_dir(spark, "page-queue"), fx.RECORDED_ATTEMPTS)
+    path = fresh_dir(spark, "page-queue")
+    run = queue.PageQueue(spark, path, fx.RECORDED_ATTEMPTS)
     counts = payloads.ingest_counts(fx.category_count_payloads(spark, sf))
     plan = payloads.page_plan(counts, "total_question_count", fx.PAGE_ITEMS).select(
         "category_id", F.col("page").alias("page_no"))
-    run.run(plan, queue.recorded_transport(fx.recorded_attempts(spark, sf)))
+    # every round reads both: they are derived once, not from the tables again for each round
+    saved = []
+    for name, df in (("plan", plan), ("recorded", fx.recorded_attempts(spark, sf))):
+        df.write.parquet(f"{path}/{name}")
+        saved.append(spark.read.schema(df.schema).parquet(f"{path}/{name}"))
+    run.run(saved[0], queue.recorded_transport(saved[1]))
     return run
 
 

@@ -101,7 +101,10 @@ def _bronze_base(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.concat("p_name", F.lit(" &amp; "), "p_brand").alias("correct_answer"))
     pa = part.select(F.col("p_partkey").alias("ka"), F.concat("p_name", F.lit(" &amp; co")).alias("inc1"))
     pb = part.select(F.col("p_partkey").alias("kb"), F.col("p_name").alias("inc2"))
-    j = base.join(pc, "kc", "left").join(pa, "ka", "left").join(pb, "kb", "left")
+    # parts grow with the items: shuffled, as a broadcast goes through the driver each time it is read
+    j = base
+    for side, key in ((pc, "kc"), (pa, "ka"), (pb, "kb")):
+        j = j.join(side.hint("merge"), key, "left")
     return j.select(
         pid.alias("ordinal"),
         F.concat(F.lit("cat_"), (pid % 7).cast("string")).alias("category"),

@@ -90,3 +90,26 @@ def test_empty_plan(spark):
     run = PageQueue(spark, tempfile.mkdtemp(prefix="queue-"))
     assert run.run(_plan(spark, []), recorded_transport(_answers(spark, ROWS))) == 0
     assert run.status().count() == 0 and run.ingest("t", "s").count() == 0
+
+
+def test_queries_derive_pages_and_answers_once_without_broadcasts(spark, monkeypatch):
+    from quizlake.plans import catalog, fixtures
+
+    sf = tempfile.mkdtemp(prefix="queue-sf-")
+    pages = [(i, f"u{i}", f"<p>{i}</p>") for i in range(140)] + [(3, "u3", "again"), (None, "u", "no key")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{sf}/pages.parquet")
+    parts = [(i, f"part {i}", "b") for i in range(20)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string").write.parquet(f"{sf}/part.parquet")
+    plan = fixtures.bronze(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    got = {}
+    real = PageQueue.run
+
+    def run(self, plan, transport):
+        asked = transport(plan.withColumn("attempt", F.lit(0)))
+        got["files"] = [f for df in (plan, asked) for f in df.inputFiles()]
+        return real(self, plan, transport)
+
+    monkeypatch.setattr(PageQueue, "run", run)
+    assert catalog.q_retry_pages(spark, sf).count() == 16  # category 3 has an item more, one page has no category
+    assert got["files"] and not any(sf in f for f in got["files"])
