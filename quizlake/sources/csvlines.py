@@ -24,6 +24,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Lines and bytes of an Arrow batch at most, and bytes of lines joined to records at once (a longer
+#: line is a batch of its own): what a task holds depends on neither the input nor the size of a split.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 WHOLE, HEAD, MIDDLE, TAIL = 0, 1, 2, 3
 RECORDS = "file string, block bigint, line bigint, kind int, text string"
 _SCHEMA = pa.schema([("file", pa.string()), ("block", pa.int64()), ("line", pa.int64()), ("kind", pa.int32()),
@@ -35,6 +38,23 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches; smaller bounds stay."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        conf = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(conf).lower().removesuffix("b")
+        if not (now.isdecimal() and 0 < int(now) <= most):
+            spark.conf.set(conf, most)
+
+
+def slices(values: pa.Array, most: int | None = None):
+    """``values`` in order, cut into arrays of about ``most`` bytes."""
+    most = BATCH_BYTES if most is None else most
+    piece = np.cumsum(pc.binary_length(values).to_numpy(zero_copy_only=False)) // most
+    cuts = [0, *(np.flatnonzero(piece[1:] != piece[:-1]) + 1).tolist(), len(values)]
+    return (values.slice(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:]))
+
+
 def splits(lines: DataFrame) -> DataFrame:
     """(file, block, inside): does the split begin inside a quoted value?"""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
@@ -97,6 +117,7 @@ def records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
     shared_dir(spark)
     ship_modules(spark)
+    _small_batches(spark)
     lines = _lines(spark, path)
     known = splits(lines).checkpoint()
     odd = known.where("inside").select(F.xxhash64("file", "block").alias("h")).toPandas()["h"].to_numpy(np.int64)
@@ -123,7 +144,8 @@ def records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
                         yield from rows(split.rest())
                     i = int(np.searchsorted(begin, h[lo]))
                     split = _Split(file, block, i < len(begin) and begin[i] == h[lo])
-                yield from rows(split.add(batch.column("value").slice(lo, hi - lo)))
+                for values in slices(batch.column("value").slice(lo, hi - lo)):
+                    yield from rows(split.add(values))
         if split is not None:
             yield from rows(split.rest())
 

@@ -5,6 +5,7 @@ import os
 import random
 import tempfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,3 +84,26 @@ def test_files_without_rows_and_empty_lines(spark):
         with open(f"{folder}/{name}", "w") as f:
             f.write(",".join(HEADER) + "\n" + text)
     assert _read(spark, folder) == [("x", "y", "z")]
+
+
+def test_batches_are_bounded_whatever_the_length_of_lines(spark):
+    values = pa.array(["x" * n for n in (10, 5000, 0, 700, 800, 10, 3000, 1)] + ["y" * 10] * 1000)
+    cut = list(csvlines.slices(values, 1000))
+    assert pa.concat_arrays(cut).equals(values)
+    assert len(cut) > 10 and all(sum(map(len, c.to_pylist()[1:])) <= 1000 for c in cut)
+    assert [len(c) for c in csvlines.slices(values)] == [len(values)]
+    assert [len(c) for c in csvlines.slices(values.slice(0, 0))] == [0]
+    for conf in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{conf}")
+    folder, rows = tempfile.mkdtemp(prefix="csv-"), _rows(random.Random(4), 300)
+    _write(folder, "a.csv", rows)
+    assert _read(spark, folder) == rows
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == csvlines.BATCH_ROWS
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == csvlines.BATCH_BYTES
+    # records that run over several slices
+    split, found = csvlines._Split("f", 0, False), []
+    for part in csvlines.slices(pa.array(['a,"b', "c" * 50, 'd"', "e,f", '"g', 'h"']), 20):
+        found += split.add(part)
+    assert found == [(0, csvlines.WHOLE, 'a,"b\n' + "c" * 50 + '\nd"'), (3, csvlines.WHOLE, "e,f"),
+                     (4, csvlines.WHOLE, '"g\nh"')]
+    assert split.rest() == []
