@@ -18,11 +18,12 @@ out for all documents alike only shortens the symmetric difference, so it costs
 
 Equal sets are one entry throughout. Documents under one key are compared with one of them (a
 star, linear in the group): pairs whose whole sketches differ in more bits than the bound are
-out, the others are verified exactly on their full sets, and links are merged. Keys that still
-hold several components are compared inside the tasks on whole sketches (a large key in pairs of
-blocks, each pair of blocks a group of its own), and only pairs of different components within the bound are handed on and verified, so the components are those of
-all links. Whole sketches hold two to four bits a shingle; the longer one of a pair is folded
-onto the shorter.
+out, the others are verified exactly on their full sets, and links are merged. Where the other
+documents of a key still belong to several components, they are compared inside the tasks on whole
+sketches: all keys of one centre together, so that a document is one row a centre and not one a key
+(a large centre in pairs of blocks, each pair of blocks a group of its own). Only pairs of different
+components within the bound are handed on and verified, so the components are those of all links.
+Whole sketches hold two to four bits a shingle; the longer one of a pair is folded onto the shorter.
 
 Cases: null or empty texts and texts of separators have an empty set and are linked with
 nothing (their own component); copies share a component; several rows with one doc_id are rows
@@ -51,11 +52,11 @@ COMMON_SHARE, COMMON_COUNT, COMMON_MAX = 16, 8, 1 << 18
 SHARED = 10
 #: Emitted bands that a task gathers before it hands them on; entries of a bucket that a reducer holds
 #: (four times FLUSH) before it compacts them; bands per reducer bucket.
-EMIT, FLUSH, BUCKET_BANDS = 1 << 18, 1 << 20, 1 << 20
-#: Documents of an open key that are compared as one block.
+EMIT, FLUSH, BUCKET_BANDS = 1 << 18, 1 << 20, 1 << 18
+#: Documents of a centre that are compared as one block.
 GROUP_BLOCK = 2048
-#: Memberships of documents in groups that one bucket (a task's unit) holds, about.
-BUCKET_GROUPS = 1 << 17
+#: Rows of documents in groups that a task gets, about.
+TASK_MEMBERS = 1 << 15
 #: Frequency that stands for that of a key with more entries than a task gathers.
 VERY_OFTEN = 1 << 40
 #: Bits of the map that keeps non-candidates out of the second reading of the texts.
@@ -109,27 +110,50 @@ def _describe(batches):
                                          names=["doc_id", "n", "sid", "sketch"])
 
 
+def _packed(sid: np.ndarray, counts: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+    """(sid, packed shingles) of a chunk's sets."""
+    at = np.concatenate([[0], np.cumsum(counts)]).tolist()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(sid), pa.array([h[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())], names=["sid", "shingles"])
+
+
 def _common_shingles(docs: DataFrame) -> np.ndarray:
     """Shingles frequent in a hashed share of the documents, most of whose documents are mainly
     made of other shingles (so not those of a large group of near copies)."""
+    spark = docs.sparkSession
     share = docs.where(F.expr(f"pmod(xxhash64(doc_id), {COMMON_SHARE}) = 0")).select("text")
 
-    def explode(batches):
+    def pack(batches):
         for batch in batches:
             for _, _, counts, h in _sets(batch.column("text")):
-                sid = _set_ids(counts, h)
+                yield _packed(_set_ids(counts, h), counts, h)
+
+    def explode(batches):
+        for batch in batches:
+            for x in batch.column("shingles"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_buffer(), np.int64))], names=["h"])
+
+    rows = share.mapInArrow(pack, "sid bigint, shingles binary").where("sid <> 0")
+    rows = saved(rows.dropDuplicates(["sid"]), "shared-shingles")  # equal sets count once
+    often = (rows.select("shingles").mapInArrow(explode, "h bigint").groupBy("h").agg(F.count("*").alias("df"))
+             .where(F.col("df") >= COMMON_COUNT).orderBy(F.desc("df"), "h").limit(COMMON_MAX).select("h"))
+    often = np.sort(often.toPandas()["h"].to_numpy(dtype=np.int64).view(np.uint64))
+    if not len(often):
+        return often
+    shared = spark.sparkContext.broadcast(often)
+
+    def flagged(batches):
+        often = shared.value
+        for batch in batches:
+            for x in batch.column("shingles"):
+                h = np.frombuffer(x.as_buffer(), np.uint64)
+                common = h[often[np.minimum(np.searchsorted(often, h), len(often) - 1)] == h]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(sid, counts)), pa.array(h.view(np.int64))], names=["sid", "h"])
+                    [pa.array(common.view(np.int64)), pa.array(np.full(len(common), 2 * len(common) < len(h)))], names=["h", "unlike"])
 
-    rows = saved(share.mapInArrow(explode, "sid bigint, h bigint"), "shared-shingles").distinct()
-    often = rows.groupBy("h").agg(F.count("*").alias("df")).where(F.col("df") >= COMMON_COUNT)
-    flagged = rows.join(often, "h", "left").select("sid", "h", F.col("df").isNotNull().cast("int").alias("common"))
-    share_of = flagged.groupBy("sid").agg(F.avg("common").alias("share"))
-    picked = (flagged.where("common = 1").join(share_of, "sid")
-              .groupBy("h").agg(F.count("*").alias("df"), F.avg((F.col("share") < 0.5).cast("int")).alias("unlike"))
-              .where("unlike >= 0.5").orderBy(F.desc("df"), "h").limit(COMMON_MAX).select("h"))
-    found = picked.toPandas()["h"].to_numpy(dtype=np.int64)
-    return np.sort(found.view(np.uint64))
+    picked = (rows.select("shingles").mapInArrow(flagged, "h bigint, unlike boolean")
+              .groupBy("h").agg(F.avg(F.col("unlike").cast("int")).alias("unlike")).where("unlike >= 0.5").select("h"))
+    return np.sort(picked.toPandas()["h"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
 def shared_keys(cls):
@@ -328,10 +352,7 @@ def _set_rows(bits):
             keep = (b[slot >> 5] >> (slot & 31).astype(np.uint32)) & 1
             batch = batch.filter(pa.array(keep.astype(bool)))
             for _, _, counts, h in _sets(batch.column("text")):
-                at = np.concatenate([[0], np.cumsum(counts)]).tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_set_ids(counts, h)), pa.array([h[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())],
-                    names=["sid", "shingles"])
+                yield _packed(_set_ids(counts, h), counts, h)
     return run
 
 
@@ -382,68 +403,64 @@ def _likely(pairs: DataFrame, info: DataFrame) -> DataFrame:
     return sized.where(fits).mapInArrow(_near_sketches, "a bigint, b bigint")
 
 
-def _near_in_groups(batches):
-    """mapInArrow over rows sorted by bucket: pairs of a key in different components whose sizes and
-    whole sketches allow a link, each pair only at the smallest key that both have.
-
-    A document is one row a bucket, with all its open keys and its groups there: a group (key, lo, hi)
-    holds one block of the key's documents (lo = hi) or two, which are compared with each other."""
-    def pairs(sid, label, n, block, sketches, smaller, cross):
-        order = np.argsort(n, kind="stable")
-        sid, label, n, block = sid[order], label[order], n[order], block[order]
-        words = min(map(len, sketches)) // 8  # sizes of one size band: a few lengths
-        sketch = np.stack([_folded(np.frombuffer(sketches[k], np.uint64), words) for k in order.tolist()])
-        below: dict[int, frozenset] = {}
-
-        def keys(k):
-            if k not in below:
-                below[k] = frozenset(smaller[order[k]].tolist())
-            return below[k]
-
-        for i in range(len(sid) - 1):
-            top = int(np.searchsorted(n, 100 * n[i] // PERCENT, side="right"))
-            other = label[i + 1:top] != label[i]
+def _near_pairs(n, sketches, label, block, cross):
+    """Pairs (positions) of different labels, of different blocks where ``cross``, whose sizes and
+    whole sketches allow a link; the documents come in ascending ``n``."""
+    words = np.array([len(x) // 8 for x in sketches])  # ascends with n
+    top = np.searchsorted(n, 100 * n // PERCENT, side="right")
+    for w in np.unique(words).tolist():
+        first, past = np.searchsorted(words, [w, w + 1]).tolist()
+        last = int(top[past - 1])  # partners of these documents have at most twice as many words
+        folded = np.stack([_folded(np.frombuffer(x, np.uint64), w) for x in sketches[first:last]])
+        for i in range(first, past):
+            other = label[i + 1:top[i]] != label[i]
             if cross:
-                other &= block[i + 1:top] != block[i]
-            j = np.arange(i + 1, top)[other]
+                other &= block[i + 1:top[i]] != block[i]
+            j = np.arange(i + 1, top[i])[other]
             if len(j):
-                far = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+                far = np.bitwise_count(folded[j - first] ^ folded[i - first]).sum(axis=1, dtype=np.int64)
                 for x in j[far <= (n[j] + n[i]) // 7].tolist():
-                    if keys(i).isdisjoint(keys(x)):
-                        yield int(max(sid[i], sid[x])), int(min(sid[i], sid[x]))
-
-    def bucket(rows):
-        """All groups of a bucket, from rows (sid, label, n, sketch, keys, groups of this bucket)."""
-        sid, label, n = (np.array([r[i] for r in rows], np.int64) for i in range(3))
-        at = np.repeat(np.arange(len(rows)), [len(r[5]) for r in rows])
-        member = np.concatenate([r[5] for r in rows])  # key, lo, hi, block
-        order = np.lexsort((member[:, 2], member[:, 1], member[:, 0]))
-        member, at = member[order], at[order]
-        head = np.flatnonzero((member[1:, :3] != member[:-1, :3]).any(axis=1)) + 1
+                    yield i, x
+
+
+def _near_in_groups(batches):
+    """mapInArrow over rows sorted by (hub, lo, hi): pairs of documents that share an open key of the
+    hub, are in different components and whose sizes and whole sketches allow a link.
+
+    A group holds one block of the hub's documents (lo = hi) or two, which are compared with each
+    other: key by key, or all at once where that is less work (pairs without a common key are no
+    links or found elsewhere, so they do no harm)."""
+    def group(rows, cross):
+        rows = sorted(rows, key=lambda r: r[2])
+        sid, label, n, block = (np.array([r[i] for r in rows], np.int64) for i in range(4))
+        owner = np.repeat(np.arange(len(rows)), [len(r[5]) for r in rows])
+        keys = np.concatenate([r[5] for r in rows])
+        order = np.argsort(keys, kind="stable")  # inside a key in ascending n
+        parts = np.split(owner[order], np.flatnonzero(np.diff(keys[order])) + 1)
+        if sum(len(p) ** 2 for p in parts) >= len(rows) ** 2:
+            parts = [np.arange(len(rows))]
         found = set()
-        for x, y in zip([0, *head.tolist()], [*head.tolist(), len(member)]):
-            if y - x > 1:
-                own, key = at[x:y], member[x, 0]
-                smaller = [rows[k][4][:np.searchsorted(rows[k][4], key)] for k in own.tolist()]
-                found.update(pairs(sid[own], label[own], n[own], member[x:y, 3], [rows[k][3] for k in own.tolist()],
-                                   smaller, member[x, 1] != member[x, 2]))
+        for p in parts:
+            if (label[p] != label[p[0]]).any():
+                for i, j in _near_pairs(n[p], [rows[k][4] for k in p.tolist()], label[p], block[p], cross):
+                    a, b = int(sid[p[i]]), int(sid[p[j]])
+                    found.add((max(a, b), min(a, b)))
         return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     now, rows = None, []
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("bucket", "sid", "label", "n", "sketch")]
-        keys, groups = batch.column("keys"), batch.column("groups")
+        heads = zip(*(batch.column(c).to_pylist() for c in ("hub", "lo", "hi")))
+        columns = [batch.column(c).to_pylist() for c in ("sid", "label", "n", "block", "sketch")]
+        keys = batch.column("keys")
         at, values = keys.offsets.to_numpy(), keys.values.to_numpy()
-        first = groups.offsets.to_numpy()
-        member = np.stack([groups.values.field(c).to_numpy().astype(np.int64) for c in ("key", "lo", "hi", "block")], axis=1)
-        for k, row in enumerate(zip(*columns)):
-            if row[0] != now:
+        for k, (head, row) in enumerate(zip(heads, zip(*columns))):
+            if head != now:
                 if len(rows) > 1:
-                    yield bucket(rows)
-                now, rows = row[0], []
-            rows.append((*row[1:], values[at[k]:at[k + 1]].copy(), member[first[k]:first[k + 1]].copy()))
+                    yield group(rows, now[1] != now[2])
+                now, rows = head, []
+            rows.append((*row, values[at[k]:at[k + 1]].copy()))
     if len(rows) > 1:
-        yield bucket(rows)
+        yield group(rows, now[1] != now[2])
 
 
 class _Sets:
@@ -474,18 +491,22 @@ class _Sets:
         return pairs.join(left, "a").join(right, "b").mapInArrow(_linked, "a bigint, b bigint")
 
 
-def _open_keys(shared: DataFrame, label: DataFrame) -> DataFrame:
-    """(key, sid, label, blocks) of the keys that hold several components; ``blocks`` of about
-    ``GROUP_BLOCK`` documents make up the key."""
-    marked = shared.join(label, shared.sid == label.node, "left").select(
-        "key", "sid", F.coalesce("label", "sid").alias("label"))
-    mixed = marked.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("c"))
-    mixed = mixed.where("x <> y").select("key", F.ceil(F.col("c") / GROUP_BLOCK).cast("int").alias("blocks"))
-    return marked.join(mixed, "key")
+def _open_members(shared: DataFrame, label: DataFrame, parts: int) -> DataFrame:
+    """(hub, sid, label, keys): the documents under each hub with the open keys they have there.
+
+    A key's hub is its first document, with which the star has compared all others; a key is open
+    where these others belong to several components."""
+    marked = (shared.join(label, shared.sid == label.node, "left")
+              .select("key", "sid", F.coalesce("label", "sid").alias("label")).repartition(parts, "key"))
+    of_label = marked.groupBy("key", "label").agg(F.min("sid").alias("low"), F.count("*").alias("c"))
+    keys = of_label.groupBy("key").agg(F.min(F.struct("low", "c")).alias("first"), F.count("*").alias("labels"))
+    keys = keys.where("labels - if(first.c = 1, 1, 0) > 1").select("key", F.col("first.low").alias("hub"))
+    return (marked.join(keys, "key").where("sid <> hub")
+            .groupBy("hub", "sid").agg(F.first("label").alias("label"), F.collect_list("key").alias("keys")))
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
-    """Rows of a key dealt to its blocks, and each block to all pairs of blocks it is part of."""
+    """Rows of a hub dealt to its blocks, and each block to all pairs of blocks it is part of."""
     block = F.expr("cast(pmod(xxhash64(sid), blocks) as int)")
     rows = rows.withColumn("block", block).withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
     return rows.withColumns({"lo": F.least("block", "with"), "hi": F.greatest("block", "with")}).drop("with", "blocks")
@@ -559,16 +580,12 @@ def _grouped(docs: DataFrame) -> DataFrame:
             .mapInArrow(_star, "a bigint, b bigint").distinct())
     links = saved(sets.links(saved(_likely(star, info), "star-likely")), "star-links")
     label = saved(components(links), "star-components")
-    open_ = saved(_open_keys(shared, label), "open-keys")
-    dealt = _in_blocks(open_)
-    parts = max(parts, -(-dealt.count() // BUCKET_GROUPS))
-    group = F.struct("key", "lo", "hi", "block")
-    dealt = (dealt.withColumn("bucket", F.expr(f"cast(pmod(xxhash64(key, lo, hi), {parts}) as int)"))
-             .groupBy("sid", "bucket").agg(F.first("label").alias("label"), F.collect_list(group).alias("groups")))
-    keys = open_.groupBy("sid").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most a document's bands
-    rest = dealt.join(keys, "sid").join(info.select("sid", "n", "sketch"), "sid")
-    rest = (rest.select("bucket", "sid", "label", "n", "sketch", "keys", "groups").repartition(parts, "bucket")
-            .sortWithinPartitions("bucket").mapInArrow(_near_in_groups, "a bigint, b bigint"))
+    members = saved(_open_members(shared, label, parts), "open-members")
+    blocks = members.groupBy("hub").agg(F.ceil(F.count("*") / GROUP_BLOCK).cast("int").alias("blocks"))
+    parts = max(parts, -(-members.count() // TASK_MEMBERS))
+    rest = _in_blocks(members.join(blocks, "hub").join(info.select("sid", "n", "sketch"), "sid"))
+    rest = (rest.repartition(parts, "hub", "lo", "hi").sortWithinPartitions("hub", "lo", "hi")
+            .mapInArrow(_near_in_groups, "a bigint, b bigint").distinct())
     rest = saved(rest, "rest-likely")
     if not rest.isEmpty():
         links = links.union(saved(sets.links(rest), "rest-links"))

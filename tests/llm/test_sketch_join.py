@@ -113,3 +113,31 @@ def test_long_chains_meet(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r["node"]: r["label"] for r in S.components(edges).collect()}
     assert {got[i] for i in range(2, 41)} == {1} and got[101] == 100
+
+
+def test_a_document_is_one_row_a_hub_however_many_keys_they_share(spark):
+    keys = [(k << 8, s) for k in range(50) for s in (1, 2, 3, 4)] + [(k << 8, s) for k in range(50, 90) for s in (1, 5)]
+    shared = spark.createDataFrame(keys + [(k << 8, s) for k in range(90, 99) for s in (6, 7, 8)], "key long, sid long")
+    label = spark.createDataFrame([(7, 6), (8, 6)], "node long, label long")
+    got = [(r["hub"], r["sid"], sorted(r["keys"])) for r in S._open_members(shared, label, 4).collect()]
+    # under 1 and 5 only the hub's own pair is left, which the star has compared; 6, 7 and 8 are one component
+    assert sorted(got) == [(1, s, [k << 8 for k in range(50)]) for s in (2, 3, 4)]
+
+
+def test_near_pairs_equal_comparing_all_sketches():
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 63, 600).astype(np.uint64)
+    sets = sorted((np.unique(np.append(base[:int(k)], rng.integers(0, 1 << 63, int(k) // 8 + 1).astype(np.uint64)))
+                   for k in rng.integers(1, 600, 60)), key=len)
+    n, label, block = np.array([len(x) for x in sets]), np.arange(60) % 7, np.arange(60) % 2
+    sketches = [S.parity_sketch(x) for x in sets]
+    for cross in (False, True):
+        want = set()
+        for i in range(60):
+            for j in range(i + 1, 60):
+                a, b = (np.frombuffer(sketches[k], np.uint64) for k in (i, j))
+                far = int(np.bitwise_count(a ^ S._folded(b, len(a))).sum())
+                if (100 * n[i] >= 75 * n[j] and label[i] != label[j] and far <= (n[i] + n[j]) // 7
+                        and not (cross and block[i] == block[j])):
+                    want.add((i, j))
+        assert want and set(S._near_pairs(n, sketches, label, block, cross)) == want
