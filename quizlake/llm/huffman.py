@@ -1,6 +1,6 @@
 """Token ids of documents as canonical length-limited Huffman files.
 
-Writing (``write_ids``): documents are tokenised once into compact frames, the ids are counted over
+Writing (``write_ids``): documents are tokenised once into compact bytes, the ids are counted over
 all documents, and one canonical code of at most ``LIMIT`` bits is built by package-merge. The
 documents are then range-partitioned by (doc_id, content), sorted, and each range becomes one file:
 a run of blocks of ``BLOCK_TOKENS`` ids. A block is one frame (header, bit offsets of every
@@ -14,8 +14,8 @@ in order hold all documents in ascending doc_id (null first; equal ids by conten
 Defined cases: a null text is empty; every document has the end id, so none is without ids; repeated
 rows and repeated ids are kept as documents of their own; an empty table gives no blocks and no
 code. Bounds: the code has one entry per vocabulary id, on the driver and in each task; the manifest
-one row per file, at most ``MAX_FILES``. The provisional code that keeps the temporary table small is
-fitted on the beginnings of ``SAMPLE_DOCS`` documents and changes no result.
+one row per file, at most ``MAX_FILES``. The temporary table holds ranks of ids in one to three bytes;
+the ranks that keep it small are found on the beginnings of ``SAMPLE_DOCS`` documents and change no result.
 """
 
 from __future__ import annotations
@@ -40,7 +40,6 @@ LIMIT = 20  # longest code, bits (more only where the alphabet needs it)
 BLOCK_TOKENS = 1 << 15
 INTERVAL = 128  # ids between two bit-offset checkpoints
 DECODED = 1 << 20  # ids decoded at once from the temporary table
-TEMPORARY_INTERVAL = 64  # the same in the temporary table
 TOKENS_PER_FILE = 1 << 22
 MAX_FILES = 20_000  # beyond this many, files grow instead
 SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 4_000
@@ -198,11 +197,54 @@ def unframe(frames: list[bytes], code: Code) -> list[np.ndarray]:
     return [x for _, x in sorted(out, key=lambda kx: kx[0])]
 
 
+class Ranks:
+    """Ids as bytes, seven bits each, by rank (most frequent first); an id's last byte has the high bit."""
+
+    def __init__(self, counts: np.ndarray):
+        if len(counts) > 1 << 21:
+            raise ValueError("more ids than three bytes hold")
+        self.ids = np.argsort(-counts, kind="stable").astype(np.int32)
+        self.ranks = np.empty(len(counts), np.int32)
+        self.ranks[self.ids] = np.arange(len(counts), dtype=np.int32)
+
+    def pack(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """Bytes of each part of ``sizes`` ids."""
+        rank = self.ranks[ids]
+        two = np.flatnonzero(rank >= 1 << 7)
+        three = two[rank[two] >= 1 << 14]
+        size = np.ones(len(rank), np.int64)
+        size[two] += 1
+        size[three] += 1
+        upto = np.concatenate([[0], np.cumsum(size)])
+        last = upto[1:] - 1
+        out = np.empty(int(upto[-1]), np.uint8)
+        out[last] = (rank & 0x7F) | 0x80
+        out[last[two] - 1] = (rank[two] >> 7) & 0x7F
+        out[last[three] - 2] = rank[three] >> 14
+        raw, edge = out.tobytes(), upto[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        return [raw[a:b] for a, b in zip(edge, edge[1:])]
+
+    def unpack(self, parts: list[bytes]) -> np.ndarray:
+        """Ids of all parts, one after another."""
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        last = np.flatnonzero(data >= 0x80)
+        size = np.diff(last, prepend=-1)
+        rank = (data[last] & 0x7F).astype(np.int32)
+        two = np.flatnonzero(size > 1)
+        rank[two] |= data[last[two] - 1].astype(np.int32) << 7
+        three = two[size[two] > 2]
+        rank[three] |= data[last[three] - 2].astype(np.int32) << 14
+        return self.ids[rank]
+
+
 # --------------------------------------------------------------------------- tokens
 
 class Tokenizer:
     """Ids of texts by the tokenizers library, distinct words once.
 
+    A call's texts are split and their words numbered by Arrow; only a call's distinct words are looked
+    up among those that the task remembers.
+
     With a byte-level pre-tokenizer and no normaliser a piece always starts at a space that a
     non-space character follows, and no later token of that word starts with a space. So a word and
     the space before it are encoded once per task, many words joined to one text, and cut where a
@@ -228,65 +270,81 @@ class Tokenizer:
 
     def _reset(self):
         self.of: dict[str, int] = {}
-        self.flat, self.first = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.flat, self.first = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)  # grown on demand
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _put(self, unit: int, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Ids of the units from number ``unit`` on, behind those of the units before."""
+        at = int(self.first[unit])
+        for name, used, more in (("flat", at, len(ids)), ("first", unit + 1, len(sizes))):
+            old = getattr(self, name)
+            if used + more > len(old):
+                new = np.zeros(max(2 * len(old), used + more), old.dtype)
+                new[:used] = old[:used]
+                setattr(self, name, new)
+        self.flat[at:at + len(ids)] = ids
+        self.first[unit + 1:unit + 1 + len(sizes)] = at + np.cumsum(sizes)
+
     def _learn(self, words: list[str], starts: list[str]) -> None:
         """Remember ``words`` (each after a space) and ``starts`` (at the start of a text, key with a space)."""
         joined = [" " + " ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)]
-        ids = np.array(list(itertools.chain.from_iterable(self._ids(joined))), np.int64)
+        ids = np.fromiter(itertools.chain.from_iterable(self._ids(joined)), np.int64)
         heads = np.flatnonzero(self.spaced[ids])
         if len(heads) != len(words):
             raise AssertionError("a token of a word starts with a space")
         alone = self._ids([w[1:] for w in starts])
         sizes = np.concatenate([np.diff(heads, append=len(ids)), np.array([len(x) for x in alone], np.int64)])
+        self._put(len(self.of), np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(alone), np.int64)]), sizes)
         self.of.update(zip(words + starts, range(len(self.of), len(self.of) + len(sizes))))
-        self.flat = np.concatenate([self.flat, ids, np.array(list(itertools.chain.from_iterable(alone)), np.int64)])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
 
     def encode(self, texts: list[str], end: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each); ``end`` follows each text."""
         if len(self.of) > UNITS_KEPT:
             self._reset()
-        of, parts, plain = self.of, [], []
-        new, starts = set(), set()
-        for i, t in enumerate(texts):
-            parts.append(None)
-            if not self.splits or any(a in t for a in self.added):
-                plain.append(i)
-                continue
-            words = t.split(" ")
-            words[0] = " " + words[0]
-            unknown = set(words[1:]).difference(of, new)
-            if all(w and ("!" <= w[0] <= "~" or w[0].isalnum()) for w in unknown):
-                parts[i] = words
-                new |= unknown
-                if words[0] not in of:
-                    starts.add(words[0])
-            else:
-                plain.append(i)
-        if new or starts:
-            self._learn(list(new), list(starts))
+        of = self.of
+        whole = np.array([not self.splits or any(a in t for a in self.added) for t in texts], bool)
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        numbered = split.flatten().dictionary_encode()
+        word, distinct = numbered.indices.to_numpy(), numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        upto = split.offsets.to_numpy()
+        count, head = np.diff(upto), upto[:-1]
+        owner = np.repeat(np.arange(len(texts)), count)
+        later = np.ones(len(word), bool)  # words after a space
+        later[head] = False
+        number = np.fromiter(map(of.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
+        unfit = np.zeros(len(distinct), bool)
+        unfit[[i for i in np.flatnonzero(number < 0).tolist()
+               if not ((w := distinct[i]) and ("!" <= w[0] <= "~" or w[0].isalnum()))]] = True
+        whole[owner[unfit[word] & later]] = True
+        later &= ~whole[owner]
+        wanted = np.zeros(len(distinct), bool)
+        wanted[word[later]] = True
+        new = np.flatnonzero(wanted & (number < 0))
+        heads = [" " + distinct[i] for i in word[head[~whole]].tolist()]
+        starts = list(set(heads).difference(of))
+        if len(new) or starts:
+            number[new] = np.arange(len(of), len(of) + len(new))
+            self._learn([distinct[i] for i in new.tolist()], starts)
         # texts encoded whole, and the end, are further units, for this call only
-        whole = [*self._ids([texts[i] for i in plain]), list(end)]
-        known = len(self.first) - 1
-        flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(whole), np.int64)])
-        first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(x) for x in whole], dtype=np.int64)])
-        number = {i: known + k for k, i in enumerate(plain)}
-        count = np.array([1 + len(w or "-") for w in parts], np.int64)
-        unit = np.empty(int(count.sum()), np.int64)
+        plain = np.flatnonzero(whole)
+        more = [*self._ids([texts[i] for i in plain.tolist()]), list(end)]
+        self._put(len(of), np.fromiter(itertools.chain.from_iterable(more), np.int64), np.array([len(x) for x in more]))
+        unit_of = number[word]
+        unit_of[head[~whole]] = list(map(of.__getitem__, heads))
+        unit_of[head[whole]] = len(of) + np.arange(len(plain))
+        later[head] = True
+        count = np.where(whole, 1, count) + 1
         upto = np.cumsum(count)
-        unit[upto - 1] = known + len(plain)
+        unit = np.full(int(count.sum()), len(of) + len(plain))
         texted = np.ones(len(unit), bool)
         texted[upto - 1] = False
-        unit[texted] = np.fromiter(itertools.chain.from_iterable(
-            map(of.__getitem__, w) if w is not None else (number[i],) for i, w in enumerate(parts)),
-            np.int64, len(unit) - len(parts))
+        unit[texted] = unit_of[later]
+        first = self.first
         n = first[unit + 1] - first[unit]
         ends = np.cumsum(n)
-        ids = flat[np.repeat(first[unit] - (ends - n), n) + np.arange(int(n.sum()))]
+        ids = self.flat[np.repeat(first[unit] - (ends - n), n) + np.arange(int(n.sum()))]
         return ids, np.diff(ends[upto - 1], prepend=0)
 
 
@@ -324,16 +382,16 @@ def _definition(path: str) -> str:
         return f.read()
 
 
-def tokens(docs: DataFrame, definition: str, end_id: int, lengths: np.ndarray) -> DataFrame:
-    """One row per document (its ids as a frame of the provisional code), and per task one row that
-    holds the task's id counts (``counted``)."""
-    vocabulary = len(lengths)
+def tokens(docs: DataFrame, definition: str, end_id: int, sampled: np.ndarray) -> DataFrame:
+    """One row per document (its ids as bytes of ``Ranks``), and per task one row that holds the
+    task's id counts (``counted``)."""
+    vocabulary = len(sampled)
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((definition, lengths))
+    shared = sc.broadcast((definition, sampled))
 
     def run(batches):
-        definition, lengths = shared.value
-        tok, code = _tokenizer(definition), Code(lengths)
+        definition, sampled = shared.value
+        tok, ranks = _tokenizer(definition), Ranks(sampled)
         seen = np.zeros(vocabulary, np.int64)
         for batch in batches:
             texts = batch.column("text").fill_null("").to_pylist()
@@ -342,7 +400,7 @@ def tokens(docs: DataFrame, definition: str, end_id: int, lengths: np.ndarray) -
                 seen += np.bincount(ids, minlength=vocabulary)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()),
-                     pa.array(frames(ids, n, code, TEMPORARY_INTERVAL), pa.binary()), pa.array([False] * len(n))], schema=_ARROW)
+                     pa.array(ranks.pack(ids, n), pa.binary()), pa.array([False] * len(n))], schema=_ARROW)
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()),
                                           pa.array([seen.astype("<i8").tobytes()], pa.binary()), pa.array([True])],
                                          schema=_ARROW)
@@ -368,30 +426,30 @@ def _id_counts(found: DataFrame, vocabulary: int) -> np.ndarray:
     return counts
 
 
-def _sample_lengths(docs: DataFrame, definition: str, end_id: int, vocabulary: int) -> np.ndarray:
-    """Code lengths for the temporary table: ids of a bounded sample, each id counted once more.
+def _sample_counts(docs: DataFrame, definition: str, end_id: int, vocabulary: int) -> np.ndarray:
+    """Id counts of a bounded sample, for the temporary table's ranks.
 
     The first ``SAMPLE_DOCS`` rows that Spark finds, ``SAMPLE_CHARS`` of each (a read of one or a few
     splits); they decide how small the temporary table is and nothing else."""
     texts = [r[0] or "" for r in docs.select(F.substring(F.col("text").cast("string"), 1, SAMPLE_CHARS)).take(SAMPLE_DOCS)]
-    counts = np.ones(vocabulary, np.int64)
+    counts = np.zeros(vocabulary, np.int64)
     for lo, hi in _slices(texts):
-        counts += 16 * np.bincount(_tokenizer(definition).encode(texts[lo:hi], (end_id,))[0], minlength=vocabulary)
-    return code_lengths(counts)
+        counts += np.bincount(_tokenizer(definition).encode(texts[lo:hi], (end_id,))[0], minlength=vocabulary)
+    return counts
 
 
 BLOCKS = ("file int, first bigint, n bigint, frame binary, doc_ids array<bigint>, doc_starts array<bigint>, "
           "doc_sizes array<bigint>")
 
 
-def _blocks(lengths: np.ndarray, provisional: np.ndarray, sc):
+def _blocks(lengths: np.ndarray, sampled: np.ndarray, sc):
     """Rows of documents in order -> rows of blocks."""
-    shared = sc.broadcast((lengths, provisional))
+    shared = sc.broadcast((lengths, sampled))
 
     def run(batches):
         from pyspark import TaskContext
 
-        final, temporary = (Code(x) for x in shared.value)
+        final, ranks = Code(shared.value[0]), Ranks(shared.value[1])
         part = TaskContext.get().partitionId()
         held, docs, first, end = [], [], 0, 0  # ids not written, documents that overlap them, positions
 
@@ -410,7 +468,9 @@ def _blocks(lengths: np.ndarray, provisional: np.ndarray, sc):
                 for name, size in zip(names[lo:hi], sizes[lo:hi]):
                     docs.append((name, end, size))
                     end += size
-                held.extend(unframe(coded.slice(lo, hi - lo).to_pylist(), temporary))
+                held.append(ranks.unpack(coded.slice(lo, hi - lo).to_pylist()))
+                if len(held[-1]) != sum(sizes[lo:hi]):
+                    raise ValueError("damaged temporary table: ids are missing")
                 if end - first < BLOCK_TOKENS:
                     continue
                 ids, at = np.concatenate(held), 0
@@ -436,8 +496,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID)
     ship(spark)
     definition = _definition(tokenizer)
     vocabulary = max(_tokenizer(definition).model.get_vocab_size(), end_id + 1)
-    provisional = _sample_lengths(docs, definition, end_id, vocabulary)
-    found = saved(tokens(docs, definition, end_id, provisional), "huffman-tokens")
+    sampled = _sample_counts(docs, definition, end_id, vocabulary)
+    found = saved(tokens(docs, definition, end_id, sampled), "huffman-tokens")
     counts = _id_counts(found, vocabulary)
     lengths = code_lengths(counts)
     used = np.flatnonzero(lengths)
@@ -447,7 +507,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID)
     order = ["doc_id", "n", F.xxhash64("frame"), "row"]  # equal ids by content; equal documents in any order
     ordered = (found.where("not counted").withColumn("row", F.monotonically_increasing_id())
                .repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "n", "frame"))
-    (ordered.mapInArrow(_blocks(lengths, provisional, spark.sparkContext), BLOCKS)
+    (ordered.mapInArrow(_blocks(lengths, sampled, spark.sparkContext), BLOCKS)
      .write.option("parquet.block.size", ROW_GROUP).parquet(f"{path}/blocks"))
 
 

@@ -157,3 +157,33 @@ def test_another_tokenizer(spark):
     public = Tokenizer.from_file(name)
     ids, n = H.Tokenizer(H._definition(name)).encode(texts)
     assert [list(g) for g in np.split(ids, np.cumsum(n)[:-1])] == [public.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_call_looks_up_its_distinct_words_only():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+        def __getitem__(self, k):
+            Counted.asked += 1
+            return super().__getitem__(k)
+
+    tok = H.Tokenizer(H._definition(public_tokenizers.path("byte_bpe_50k.json")))
+    tok.of = Counted()
+    texts = ["one two three " * 400 + "end", "two  spaces", "", "one", " lead"]
+    ids, n = tok.encode(texts, (2,))
+    want = [tok.model.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+    assert 0 < Counted.asked < 30
+
+
+def test_ranked_bytes_give_the_ids_back():
+    rng = np.random.default_rng(4)
+    ranks = H.Ranks(np.concatenate([rng.integers(0, 9, 40_000), np.zeros(10_000, np.int64)]))
+    ids, sizes = rng.integers(0, 50_000, 5_000), np.array([0, 1, 4_000, 0, 999, 0])
+    parts = ranks.pack(ids, sizes)
+    assert [len(ranks.unpack([p])) for p in parts] == sizes.tolist()
+    assert ranks.unpack(parts).tolist() == ids.tolist() and ranks.unpack([]).tolist() == []
