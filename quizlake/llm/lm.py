@@ -58,6 +58,8 @@ BUCKET_WORDS = 500_000
 BUCKET_PAIRS, PRIORS = 2_000_000, (100_000.0, 5_000.0, 20.0)
 #: Kinds of pairs (rows of ``_pairs``) counted together; each round's shuffle ends before the next.
 ROUNDS = ((0, 3), (1,), (2,))
+#: Parts of the blocks that are scored one after another; each part's shuffle ends before the next.
+SCORED_IN = 6
 #: Hashes that stand before and after a text.
 START, END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 END_CLASS = 0
@@ -403,7 +405,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", held_out(folds=FOLDS).alias("held_out"), "text")
     blocks = saved(rows.mapInArrow(_blocks, f"block bigint, doc_ids array<{kind}>, held binary, counts binary, "
-                                            "tokens binary, words binary, train binary, endings binary"), "token-blocks")
+                                            "tokens binary, words binary, train binary, endings binary"), "token-blocks", "zstd")
     learning = rows.where("not held_out").count()
 
     def added(function) -> np.ndarray:
@@ -419,7 +421,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (8 * BUCKET_WORDS)))
     asked = (blocks.select("block", "words", "train", "endings")
              .mapInArrow(_ask(buckets), "bucket bigint, block bigint, words binary, train binary, endings binary"))
-    answers = saved(asked.groupBy("bucket").applyInArrow(_answer, "block bigint, bucket bigint, counts binary"), "word-counts")
+    answers = saved(asked.groupBy("bucket").applyInArrow(_answer, "block bigint, bucket bigint, counts binary"),
+                    "word-counts", "zstd")
 
     by_class = np.zeros((2, CLASSES), dtype=np.int64)
     for row in answers.where("block is null").select("counts").toLocalIterator():  # a fixed size each, one bucket at a time
@@ -439,10 +442,17 @@ def score_texts(docs: DataFrame) -> DataFrame:
                         .mapInArrow(_ask_pairs(kinds, buckets), "bucket bigint, block bigint, slots binary, train binary")
                         .groupBy("bucket").applyInArrow(_answer_pairs, "block bigint, bucket bigint, counts binary"), "pair-counts")
         answers = answers.unionByName(counted.withColumn("round", F.lit(r)))
+    schema = (f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+              "base_score double, score double")
+    out = None
+    for part in range(SCORED_IN):
+        _free_shuffles(spark)
+        mine = F.expr(f"pmod(xxhash64(block), {SCORED_IN}) = {part}")
+        scored = saved(blocks.where(mine).groupBy("block").cogroup(answers.where(mine).groupBy("block"))
+                       .applyInArrow(_score(model, kind), schema), "scored-blocks")
+        out = scored if out is None else out.unionByName(scored)
     _free_shuffles(spark)
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _score(model, kind), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-                             "base_score double, score double")
+    return out
 
 
 def op2_maxent_lm(spark, sf_dir: str) -> DataFrame:

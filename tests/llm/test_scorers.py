@@ -237,3 +237,22 @@ def test_lm_word_features_against_counts(spark, monkeypatch):
                 key = {"skip": (a,), "last": (b,), "both": (a, b)}[name]
                 want += math.log10(count[(name, *key, w)] / count[(name, *key)])
             assert got[d] == pytest.approx(want, abs=1e-6)
+
+
+def test_blocks_are_scored_in_parts_of_their_own(spark, monkeypatch):
+    sizes, codecs, whole = [], {}, lm.saved
+
+    def noted(df, name, *codec):
+        out = whole(df, name, *codec)
+        codecs[name] = codec
+        if name == "scored-blocks":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 300)  # many blocks
+    monkeypatch.setattr(lm, "saved", noted)
+    rows = [(i, f"word{i % 7} and word{i % 5} are here " * (i % 9)) for i in range(200)]
+    got = lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(200))
+    assert len(sizes) == lm.SCORED_IN and sum(sizes) == 200 and max(sizes) < 150
+    assert codecs["token-blocks"] == codecs["word-counts"] == ("zstd",)
