@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quizlake.llm.store import saved, table
-from quizlake.llm.tokens import U64, chunks, mix, shingle_hashes, spaced_words
+from quizlake.llm.tokens import SMALL_CHUNK, U64, chunks, mix, shingle_hashes, spaced_words
 
 SHINGLE = 5
 #: Links: 100 * intersection >= PERCENT * union.
@@ -66,7 +66,7 @@ _EMPTY = 0xD6E8FEB86659FD93
 
 def _sets(col, k: int = SHINGLE):
     """(row, sorted distinct shingle hashes) of each text, chunk by chunk: (lo, counts, hashes)."""
-    for lo, hi, data, off in chunks(col):
+    for lo, hi, data, off in chunks(col, SMALL_CHUNK):
         w = spaced_words(data, off)
         doc, h = shingle_hashes(w.hashes(), w, k)
         at = np.searchsorted(doc, np.arange(hi - lo + 1))

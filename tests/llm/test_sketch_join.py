@@ -141,3 +141,19 @@ def test_near_pairs_equal_comparing_all_sketches():
                         and not (cross and block[i] == block[j])):
                     want.add((i, j))
         assert want and set(S._near_pairs(n, sketches, label, block, cross)) == want
+
+
+def test_describing_a_batch_of_texts_holds_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 1 << 20, 500))) for _ in range(700)]  # 2.4 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(700)), pa.array(texts)], names=["doc_id", "text"])
+    list(S._describe([batch.slice(0, 5)]))
+    tracemalloc.start()
+    try:
+        list(S._describe([batch]))
+        assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    finally:
+        tracemalloc.stop()
