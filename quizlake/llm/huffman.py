@@ -24,7 +24,6 @@ import itertools
 import json
 import os
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizlake.llm.store import ROW_GROUP, saved, ship, table
+from quizlake.llm.tokens import U64, chunks, text_buffer
 from quizlake.session import fresh_dir
 
 END_ID = 2
@@ -43,8 +43,10 @@ DECODED = 1 << 20  # ids decoded at once from the temporary table
 TOKENS_PER_FILE = 1 << 22
 MAX_FILES = 20_000  # beyond this many, files grow instead
 SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 4_000
-UNITS_KEPT = 1 << 19  # distinct words a task remembers at most
-JOINED = 256  # new words encoded as one text
+UNITS_KEPT = 5 << 18  # distinct units a task remembers before it forgets the later half
+TABLE_BITS = 22  # of their table's slots; twice the units that it can hold
+JOINED = 256  # new units encoded as one text
+LONGEST = 128  # bytes of a unit that is remembered
 
 MAGIC = b"QHB1"
 _HEAD = np.dtype([("magic", "S4"), ("n", "<u4"), ("interval", "<u4"), ("marks", "<u4")])
@@ -95,15 +97,11 @@ class Code:
         self._table = None
         self._ids, self._span = ids, span
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """(id, length) for every ``longest``-bit window; windows outside the code have length 0."""
+    def table(self) -> np.ndarray:
+        """32 * id + length for every ``longest``-bit window; windows outside the code have 0."""
         if self._table is None:
-            n = 1 << self.longest
-            ids, size = np.zeros(n, np.uint32), np.zeros(n, np.int64)
-            filled = int(self._span.sum())
-            ids[:filled] = np.repeat(self._ids, self._span)
-            size[:filled] = self.lengths[ids[:filled]]
-            self._table = ids, size
+            self._table = np.zeros(1 << self.longest, np.uint32)
+            self._table[:int(self._span.sum())] = np.repeat((self._ids << 5) | self.lengths[self._ids], self._span)
         return self._table
 
 
@@ -173,7 +171,7 @@ def unframe(frames: list[bytes], code: Code) -> list[np.ndarray]:
         heads.append((int(head["n"]), int(head["interval"])))
     data = np.frombuffer(b"".join(bodies) + bytes(8), np.uint8).astype(np.uint32)
     window = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
-    ids, size = code.tables()
+    table = code.table()
     out = []
     shift, mask = 32 - code.longest, (1 << code.longest) - 1
     if shift < 7:
@@ -187,8 +185,9 @@ def unframe(frames: list[bytes], code: Code) -> list[np.ndarray]:
         for step in range(longest):
             byte = np.minimum(pos >> 3, top)
             w = (window[byte] >> (shift - (pos & 7)).astype(np.uint32)) & np.uint32(mask)
-            got[step] = ids[w]
-            pos += size[w]
+            found = table[w]
+            got[step] = found >> 5
+            pos += found & 31
         lane = 0
         for k in chosen:
             n = len(marks[k])
@@ -239,17 +238,106 @@ class Ranks:
 
 # --------------------------------------------------------------------------- tokens
 
+# Classes of bytes by which texts are cut; other characters are of no known class.
+_LETTER, _DIGIT, _MARK, _QUOTE, _BLANK, _SPACE = range(1, 7)
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] = _MARK
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = _LETTER
+_CLASS[0x27] = _QUOTE
+_CLASS[0x09:0x0E] = _BLANK
+_CLASS[0x20] = _SPACE
+
+
+def _cuts() -> np.ndarray:
+    """For two neighbours' classes (8 * first + second): 1 if pieces part between them, 2 before the first."""
+    cuts, words = np.zeros(64, np.uint8), (_LETTER, _DIGIT, _MARK, _QUOTE)
+    for x in words:
+        for y in (_BLANK, _SPACE):
+            cuts[8 * x + y] |= 1  # a piece ends where white space begins
+            cuts[8 * y + x] |= 2  # of white space before a word the last one is apart
+        cuts[8 * _BLANK + x] |= 1  # and only a space belongs to the word
+        for y in words:
+            if x != y and x != _QUOTE and not (x == _MARK and y == _QUOTE):  # a quote may begin a suffix
+                cuts[8 * x + y] |= 1
+    return cuts
+
+
+_CUTS = _cuts()
+
+
+def _classes(data: np.ndarray) -> np.ndarray:
+    kind = _CLASS[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)  # U+00C0 to U+00FF: letters but for the signs of times and division
+    lead = lead[(data[lead + 1] & 0xDF) != 0x97]
+    kind[lead] = kind[lead + 1] = _LETTER
+    return kind
+
+
+class _Known:
+    """Numbers of short units (up to 15 bytes, which two 64-bit words hold with the length), looked up all at once."""
+
+    def __init__(self, bits: int):
+        self.bits = bits
+        self.slots = np.full(1 << bits, -1, np.int32)
+        self.keys = np.zeros((2, 1 << (bits - 1)), np.uint64)
+
+    @staticmethod
+    def words(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Both words of each unit (``size`` bytes from ``at`` on, 15 at most)."""
+        room = np.zeros(len(data) + 16, np.uint8)
+        room[:len(data)] = data
+        every = np.ndarray((len(room) - 7,), "<u8", room, 0, (1,))
+        low = _ONES[np.minimum(size, 8)]
+        return np.stack([every[at] & low, (every[at + 8] & _ONES[np.maximum(size, 8) - 8]) | (size.astype(np.uint64) << U64(56))])
+
+    def _slot(self, words: np.ndarray) -> np.ndarray:
+        mixed = (words[0] * U64(0x9E3779B97F4A7C15)) ^ (words[1] * U64(0xC2B2AE3D27D4EB4F))
+        return ((mixed ^ (mixed >> U64(29))) * U64(0xBF58476D1CE4E5B9) >> U64(64 - self.bits)).astype(np.int64)
+
+    def find(self, words: np.ndarray) -> np.ndarray:
+        """Number of each unit, -1 for unknown ones."""
+        slot, out, todo = self._slot(words), np.full(words.shape[1], -1, np.int64), None
+        while True:
+            unit = self.slots[slot]
+            same = (self.keys[0][unit] == words[0]) & (self.keys[1][unit] == words[1]) & (unit >= 0)
+            if todo is None:
+                out[same] = unit[same]
+                todo = np.flatnonzero(~same & (unit >= 0))
+                more = todo
+            else:
+                out[todo[same]] = unit[same]
+                more = np.flatnonzero(~same & (unit >= 0))
+                todo = todo[more]
+            if not len(more):
+                return out
+            slot, words = (slot[more] + 1) & (len(self.slots) - 1), words[:, more]
+
+    def add(self, words: np.ndarray, number: np.ndarray) -> None:
+        """Units that are not known yet, each once."""
+        self.keys[:, number] = words
+        slot = self._slot(words)
+        while len(number):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = number[free]
+            left = np.flatnonzero(self.slots[slot] != number)  # taken, or another one of these came first
+            slot, number = (slot[left] + 1) & (len(self.slots) - 1), number[left]
+
+
+_ONES = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
+SHORT = 15  # bytes of a unit in the table
+
+
 class Tokenizer:
     """Ids of texts by the tokenizers library, distinct words once.
 
-    A call's texts are split and their words numbered by Arrow; only a call's distinct words are looked
-    up among those that the task remembers.
-
-    With a byte-level pre-tokenizer and no normaliser a piece always starts at a space that a
-    non-space character follows, and no later token of that word starts with a space. So a word and
-    the space before it are encoded once per task, many words joined to one text, and cut where a
-    token starts with a space. Other tokenizers, texts that hold an added token and texts in which a
-    space is followed by white space or ends the text are encoded whole.
+    With a byte-level pre-tokenizer and no normaliser, pieces always part at certain neighbours (a letter
+    and a full stop, a word and the space after it, ...: ``_cuts``), whatever else stands around. Texts are
+    cut there; all units of a call are looked up at once among those that the task remembers. New units go to the library many in one text: those that begin with a space one
+    after another (cut where a token starts with a space), others between line breaks. Units with other
+    white space or of unknown characters at an end are encoded alone. When too many are remembered, the
+    ones learnt first (so the frequent ones) stay. Other tokenizers and texts that hold an added token
+    are not cut.
     """
 
     def __init__(self, definition: str):
@@ -261,17 +349,25 @@ class Tokenizer:
         pre = d.get("pre_tokenizer") or {}
         self.splits = (d.get("normalizer") is None and pre.get("type") == "ByteLevel"
                        and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
-        self.added = [t["content"] for t in d.get("added_tokens", [])]
+        self.added = [t["content"].encode() for t in d.get("added_tokens", [])]
+        self.joins = False
         if self.splits:
             vocabulary = d["model"]["vocab"]
-            self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.spaced, self.broken = np.zeros((2, max(vocabulary.values()) + 1), bool)
             self.spaced[[i for t, i in vocabulary.items() if t[0] == "\u0120"]] = True
+            line = self._ids(["\n"])[0]
+            self.broken[line] = True
+            self.joins = len(line) == 1
         self._reset()
 
     def _reset(self):
-        self.of: dict[str, int] = {}
+        self.of: dict[str, int] = {}  # units that are too long for the table
+        self.known, self.learnt = _Known(TABLE_BITS), 0
         self.flat, self.first = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)  # grown on demand
 
+    def _added(self, text: bytes) -> bool:
+        return any(t in text for t in self.added)
+
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -281,71 +377,119 @@ class Tokenizer:
         for name, used, more in (("flat", at, len(ids)), ("first", unit + 1, len(sizes))):
             old = getattr(self, name)
             if used + more > len(old):
-                new = np.zeros(max(2 * len(old), used + more), old.dtype)
+                new = np.zeros(max(len(old) + len(old) // 2, used + more), old.dtype)
                 new[:used] = old[:used]
                 setattr(self, name, new)
         self.flat[at:at + len(ids)] = ids
         self.first[unit + 1:unit + 1 + len(sizes)] = at + np.cumsum(sizes)
 
-    def _learn(self, words: list[str], starts: list[str]) -> None:
-        """Remember ``words`` (each after a space) and ``starts`` (at the start of a text, key with a space)."""
-        joined = [" " + " ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)]
-        ids = np.fromiter(itertools.chain.from_iterable(self._ids(joined)), np.int64)
-        heads = np.flatnonzero(self.spaced[ids])
-        if len(heads) != len(words):
-            raise AssertionError("a token of a word starts with a space")
-        alone = self._ids([w[1:] for w in starts])
-        sizes = np.concatenate([np.diff(heads, append=len(ids)), np.array([len(x) for x in alone], np.int64)])
-        self._put(len(self.of), np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(alone), np.int64)]), sizes)
-        self.of.update(zip(words + starts, range(len(self.of), len(self.of) + len(sizes))))
+    def _joined(self, units: list[str], lead: str, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of units encoded ``JOINED`` in a text, each behind ``lead``;
+        ``heads``: ids with which a unit begins there."""
+        texts = [lead + lead.join(units[i:i + JOINED]) for i in range(0, len(units), JOINED)]
+        ids = np.fromiter(itertools.chain.from_iterable(self._ids(texts)), np.int64)
+        head = heads[ids]
+        at = np.flatnonzero(head)
+        if len(at) != len(units):
+            raise AssertionError("units do not part where they were joined")
+        sizes = np.diff(at, append=len(ids))
+        return (ids[~head], sizes - 1) if lead else (ids, sizes)
+
+    def _encoded(self, units: list[str], spaced: int, plain: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each): the first ``spaced`` and the next ``plain`` units can be joined."""
+        alone = self._ids(units[spaced + plain:])
+        parts = [self._joined(units[:spaced], "", self.spaced)] if spaced else []
+        parts += [self._joined(units[spaced:spaced + plain], "\n", self.broken)] if plain else []
+        parts.append((np.fromiter(itertools.chain.from_iterable(alone), np.int64), np.array([len(x) for x in alone], np.int64)))
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _learn(self, units: list[str], new: np.ndarray, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Encode the units numbered ``new`` of a call (bytes ``data``, ends ``off``); those of up to ``LONGEST``
+        bytes are remembered, others hold for this call. Returns the order in which they were stored."""
+        if self.joins:
+            kind = _classes(data)
+            blanks = np.concatenate([[0], np.cumsum(kind >= _BLANK)])
+            lo, hi = off[new], off[new + 1]
+            space = (kind[lo] == _SPACE).astype(np.int64)
+            fit = (blanks[hi] - blanks[lo] == space) & (hi - lo > space) & (hi - lo <= LONGEST)
+            fit &= (kind[np.minimum(lo + space, hi - 1)] > 0) & (kind[hi - 1] > 0)
+            if self._added(data.tobytes()):
+                fit &= [not self._added(units[i].encode()) for i in new.tolist()]
+            sort = np.where(fit, 1 - space, 2)
+        else:
+            sort = np.full(len(new), 2)
+        sort[off[new + 1] - off[new] > LONGEST] = 3
+        order = np.argsort(sort, kind="stable")
+        n = np.bincount(sort, minlength=4)
+        names = [units[i] for i in new[order].tolist()]
+        self._put(self.learnt, *self._encoded(names, int(n[0]), int(n[1])))
+        kept = new[order][:min(len(new) - int(n[3]), self.known.keys.shape[1] - self.learnt)]
+        size = off[kept + 1] - off[kept]
+        short = np.flatnonzero(size <= SHORT)
+        self.known.add(_Known.words(data, off[kept[short]], size[short]), self.learnt + short)
+        self.of.update((names[i], self.learnt + i) for i in np.flatnonzero(size > SHORT).tolist())
+        self.learnt += len(kept)
+        return order
+
+    def _forget(self) -> None:
+        """Only the units learnt first stay."""
+        keep, old = UNITS_KEPT // 2, self.known
+        self.of = {name: unit for name, unit in self.of.items() if unit < keep}
+        units = np.sort(old.slots[(old.slots >= 0) & (old.slots < keep)]).astype(np.int64)
+        self.known, self.learnt = _Known(TABLE_BITS), keep
+        self.known.add(old.keys[:, units], units)
 
     def encode(self, texts: list[str], end: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each); ``end`` follows each text."""
-        if len(self.of) > UNITS_KEPT:
-            self._reset()
-        of = self.of
-        whole = np.array([not self.splits or any(a in t for a in self.added) for t in texts], bool)
-        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        numbered = split.flatten().dictionary_encode()
-        word, distinct = numbered.indices.to_numpy(), numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        upto = split.offsets.to_numpy()
-        count, head = np.diff(upto), upto[:-1]
-        owner = np.repeat(np.arange(len(texts)), count)
-        later = np.ones(len(word), bool)  # words after a space
-        later[head] = False
-        number = np.fromiter(map(of.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
-        unfit = np.zeros(len(distinct), bool)
-        unfit[[i for i in np.flatnonzero(number < 0).tolist()
-               if not ((w := distinct[i]) and ("!" <= w[0] <= "~" or w[0].isalnum()))]] = True
-        whole[owner[unfit[word] & later]] = True
-        later &= ~whole[owner]
-        wanted = np.zeros(len(distinct), bool)
-        wanted[word[later]] = True
-        new = np.flatnonzero(wanted & (number < 0))
-        heads = [" " + distinct[i] for i in word[head[~whole]].tolist()]
-        starts = list(set(heads).difference(of))
-        if len(new) or starts:
-            number[new] = np.arange(len(of), len(of) + len(new))
-            self._learn([distinct[i] for i in new.tolist()], starts)
-        # texts encoded whole, and the end, are further units, for this call only
-        plain = np.flatnonzero(whole)
-        more = [*self._ids([texts[i] for i in plain.tolist()]), list(end)]
-        self._put(len(of), np.fromiter(itertools.chain.from_iterable(more), np.int64), np.array([len(x) for x in more]))
-        unit_of = number[word]
-        unit_of[head[~whole]] = list(map(of.__getitem__, heads))
-        unit_of[head[whole]] = len(of) + np.arange(len(plain))
-        later[head] = True
-        count = np.where(whole, 1, count) + 1
-        upto = np.cumsum(count)
-        unit = np.full(int(count.sum()), len(of) + len(plain))
-        texted = np.ones(len(unit), bool)
-        texted[upto - 1] = False
-        unit[texted] = unit_of[later]
+        raw, off = text_buffer(pa.array(texts, pa.large_string()))
+        return self.encode_bytes(raw[off[0]:off[-1]], off - off[0], end)
+
+    def encode_bytes(self, data: np.ndarray, off: np.ndarray, end: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of texts that stand in one run of bytes, text i from ``off[i]`` to ``off[i + 1]``."""
+        if self.learnt > UNITS_KEPT:
+            self._forget()
+        cut = np.zeros(len(data) + 1, bool)
+        if self.splits and len(data):
+            kind = _classes(data)
+            pair = (kind[:-1] << 3) | kind[1:]
+            edge = off[1:-1][(off[1:-1] > 0) & (off[1:-1] < len(data))]
+            pair[edge - 1] = 0
+            part = _CUTS[pair]
+            cut[1:-1] = part & 1
+            cut[:-2] |= part > 1
+            whole = data.tobytes()
+            if self._added(whole):
+                for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
+                    if self._added(whole[a:b]):
+                        cut[a:b] = False
+        cut[off] = True
+        cut[-1] = False
+        at = np.flatnonzero(cut)
+        edge = np.append(at, len(data)).astype(np.int64)
+        size = np.diff(edge)
+        number = self.known.find(_Known.words(data, at, np.minimum(size, SHORT)))
+        number[size > SHORT] = -1
+        miss, known = np.flatnonzero(number < 0), self.learnt
+        ending = known
+        if len(miss):
+            text = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(edge), pa.py_buffer(data))
+            numbered = text.take(pa.array(miss)).dictionary_encode()
+            units = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+            found = np.fromiter(map(self.of.get, units, itertools.repeat(-1)), np.int64, len(units))
+            new = np.flatnonzero(found < 0)
+            if len(new):
+                order = self._learn(units, new, *text_buffer(numbered.dictionary))
+                found[new[order]] = known + np.arange(len(new))
+                ending += len(new)
+            number[miss] = found[numbered.indices.to_numpy()]
+        self._put(ending, np.array(end, np.int64), np.array([len(end)]))
+        upto = np.searchsorted(at, off[1:])
+        unit = np.insert(number, upto, ending)
         first = self.first
         n = first[unit + 1] - first[unit]
         ends = np.cumsum(n)
         ids = self.flat[np.repeat(first[unit] - (ends - n), n) + np.arange(int(n.sum()))]
-        return ids, np.diff(ends[upto - 1], prepend=0)
+        return ids, np.diff(ends[upto + np.arange(len(upto))], prepend=0)
 
 
 _TOKENIZERS: dict[int, Tokenizer] = {}
@@ -359,17 +503,6 @@ def _tokenizer(definition: str) -> Tokenizer:
     return _TOKENIZERS[key]
 
 
-def _slices(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    lo, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield lo, i
-            lo, size = i, 0
-        size += len(t)
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 # --------------------------------------------------------------------------- writing
 
 TOKENS = "doc_id bigint, n bigint, frame binary, counted boolean"
@@ -394,9 +527,8 @@ def tokens(docs: DataFrame, definition: str, end_id: int, sampled: np.ndarray) -
         tok, ranks = _tokenizer(definition), Ranks(sampled)
         seen = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            texts = batch.column("text").fill_null("").to_pylist()
-            for lo, hi in _slices(texts):
-                ids, n = tok.encode(texts[lo:hi], (end_id,))
+            for lo, hi, data, off in chunks(batch.column("text")):
+                ids, n = tok.encode_bytes(data, off, (end_id,))
                 seen += np.bincount(ids, minlength=vocabulary)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), pa.array(n, pa.int64()),
@@ -433,8 +565,8 @@ def _sample_counts(docs: DataFrame, definition: str, end_id: int, vocabulary: in
     splits); they decide how small the temporary table is and nothing else."""
     texts = [r[0] or "" for r in docs.select(F.substring(F.col("text").cast("string"), 1, SAMPLE_CHARS)).take(SAMPLE_DOCS)]
     counts = np.zeros(vocabulary, np.int64)
-    for lo, hi in _slices(texts):
-        counts += np.bincount(_tokenizer(definition).encode(texts[lo:hi], (end_id,))[0], minlength=vocabulary)
+    for _, _, data, off in chunks(pa.array(texts, pa.large_string())):
+        counts += np.bincount(_tokenizer(definition).encode_bytes(data, off, (end_id,))[0], minlength=vocabulary)
     return counts
 
 

@@ -187,3 +187,29 @@ def test_ranked_bytes_give_the_ids_back():
     parts = ranks.pack(ids, sizes)
     assert [len(ranks.unpack([p])) for p in parts] == sizes.tolist()
     assert ranks.unpack(parts).tolist() == ids.tolist() and ranks.unpack([]).tolist() == []
+
+
+def test_a_word_is_encoded_once_whatever_follows_it():
+    tok = H.Tokenizer(H._definition(BPE))
+    given, plain = [], tok._ids
+    tok._ids = lambda texts: given.extend(texts) or plain(texts)
+    words = ["".join(random.Random(i).choices("abcdefghiéß", k=9)) for i in range(50)]
+    texts = ["start " + end.join(words) for end in (" ", ". ", ", ", "! ", "? ", "; ", ": ", ".\n ", "!!! ", ") ")]
+    ids, n = tok.encode(texts, (2,))
+    want = [tok.model.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+    assert sum(map(len, given)) < 3 * sum(map(len, words))
+
+
+@pytest.mark.parametrize("kept,bits", [(40, 12), (300, 10), (10_000, 8)])
+def test_forgotten_and_crowded_out_units(monkeypatch, kept, bits):
+    monkeypatch.setattr(H, "UNITS_KEPT", kept)
+    monkeypatch.setattr(H, "TABLE_BITS", bits)
+    rng, tok = random.Random(8), H.Tokenizer(H._definition(BPE))
+    texts = [" ".join("".join(rng.choices("abé.x\x00", k=rng.choice([1, 2, 3, 8, 14, 15, 16, 17, 200]))) for _ in range(40))
+             for _ in range(60)]
+    for lo in range(0, 60, 6):
+        ids, n = tok.encode(texts[lo:lo + 6], (2,))
+        want = [tok.model.encode(t, add_special_tokens=False).ids + [2] for t in texts[lo:lo + 6]]
+        assert n.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+    assert tok.learnt <= min(1 << (bits - 1), kept + 6 * 40 * 9 + 1)
