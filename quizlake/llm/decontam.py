@@ -180,30 +180,36 @@ def _blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Suf
         yield SuffixAutomaton(items, window)
 
 
-def _scan(automaton, column: str):
-    """mapInArrow function: merge one block's hits into __spans (flat word spans) and __items."""
+def _hits(a: SuffixAutomaton, batch: pa.RecordBatch, column: str) -> pa.RecordBatch:
+    """The batch with one block's hits merged into __spans (flat word spans) and __items."""
+    spans = [np.asarray(x, dtype=np.int32).reshape(-1, 2) for x in batch.column("__spans").to_pylist()]
+    items = [set(x) for x in batch.column("__items").to_pylist()]
+    n_words = np.zeros(batch.num_rows, dtype=np.int64)
+    for lo, hi, data, off in chunks(batch.column(column)):
+        w = alnum_words(data, off)
+        n_words[lo:hi] = w.count
+        at, start, end = a.runs(w.hashes(), w.doc)
+        for s, e in zip(start.tolist(), end.tolist()):
+            got, found = a.hits(at[s:e].tolist())
+            if got:
+                d = int(w.doc[s])
+                spans[lo + d] = np.concatenate([spans[lo + d], np.array(got, np.int32) + (s - w.first[d])])
+                items[lo + d] |= found
+    merged = [_union(x) for x in spans]
+    cols = {n: batch.column(n) for n in batch.schema.names}
+    cols["__spans"] = pa.array([x.ravel() for x in merged], pa.list_(pa.int32()))
+    cols["__items"] = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
+    cols["__n_words"] = pa.array(n_words, pa.int64())
+    return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+
+def _scan(automata, column: str):
+    """mapInArrow function: all blocks' hits, block after block, in one Python worker a task."""
     def run(batches):
-        a = automaton.value
         for batch in batches:
-            spans = [np.asarray(x, dtype=np.int32).reshape(-1, 2) for x in batch.column("__spans").to_pylist()]
-            items = [set(x) for x in batch.column("__items").to_pylist()]
-            n_words = np.zeros(batch.num_rows, dtype=np.int64)
-            for lo, hi, data, off in chunks(batch.column(column)):
-                w = alnum_words(data, off)
-                n_words[lo:hi] = w.count
-                at, start, end = a.runs(w.hashes(), w.doc)
-                for s, e in zip(start.tolist(), end.tolist()):
-                    got, found = a.hits(at[s:e].tolist())
-                    if got:
-                        d = int(w.doc[s])
-                        spans[lo + d] = np.concatenate([spans[lo + d], np.array(got, np.int32) + (s - w.first[d])])
-                        items[lo + d] |= found
-            merged = [_union(x) for x in spans]
-            cols = {n: batch.column(n) for n in batch.schema.names}
-            cols["__spans"] = pa.array([x.ravel() for x in merged], pa.list_(pa.int32()))
-            cols["__items"] = pa.array([sorted(x) for x in items], pa.list_(pa.string()))
-            cols["__n_words"] = pa.array(n_words, pa.int64())
-            yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            for automaton in automata:
+                batch = _hits(automaton.value, batch, column)
+            yield batch
     return run
 
 
@@ -220,18 +226,25 @@ def _union(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[first, 0], reach[last]], axis=1).astype(np.int32)
 
 
+def _unmarked(docs: DataFrame) -> DataFrame:
+    """``docs`` plus __spans, __items and __n_words, with no hits yet."""
+    return docs.select("*", F.expr("cast(array() as array<int>)").alias("__spans"),
+                       F.expr("cast(array() as array<string>)").alias("__items"),
+                       F.lit(0).cast("bigint").alias("__n_words"))
+
+
+def _shared_blocks(benchmark: DataFrame, window: int, block_words: int) -> list:
+    """The broadcast automata of all blocks, one without items for an empty benchmark."""
+    sc = benchmark.sparkSession.sparkContext
+    return ([sc.broadcast(a) for a in _blocks(benchmark, window, block_words)]
+            or [sc.broadcast(SuffixAutomaton([], window))])
+
+
 def find_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW,
                block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` plus __spans (hit word spans, flat pairs, merged), __items and __n_words."""
-    df = docs.select("*", F.expr("cast(array() as array<int>)").alias("__spans"),
-                     F.expr("cast(array() as array<string>)").alias("__items"),
-                     F.lit(0).cast("bigint").alias("__n_words"))
-    sc = docs.sparkSession.sparkContext
-    blocks = _blocks(benchmark, window, block_words)
-    first = next(blocks, None) or SuffixAutomaton([], window)
-    for automaton in (first, *blocks):
-        df = df.mapInArrow(_scan(sc.broadcast(automaton), text), df.schema)
-    return df
+    df = _unmarked(docs)
+    return df.mapInArrow(_scan(_shared_blocks(benchmark, window, block_words), text), df.schema)
 
 
 def match(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -263,15 +276,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     Texts without hits stay byte for byte. ``n_chars``, where present, follows a changed text.
     Cutting repeats until no window is left (the words around a cut can form a new one).
+    Hits are found and cut in one pass: chained passes hold a Python worker each in every task.
     """
     columns = docs.columns
-    sc = docs.sparkSession.sparkContext
-    blocks = list(_blocks(benchmark, window, BLOCK_WORDS)) or [SuffixAutomaton([], window)]
-    found = find_spans(docs, benchmark, window=window)
-    shared = [sc.broadcast(b) for b in blocks]
+    shared = _shared_blocks(benchmark, window, BLOCK_WORDS)
+    scan = _scan(shared, "text")
 
     def run(batches):
-        for batch in batches:
+        for batch in scan(batches):
             texts = batch.column("text").to_pylist()
             keep = np.ones(batch.num_rows, dtype=bool)
             changed = {}
@@ -301,7 +313,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             out = pa.RecordBatch.from_arrays([cols[n] for n in columns], names=columns)
             yield out if keep.all() else out.filter(pa.array(keep))
 
-    return found.mapInArrow(run, docs.schema)
+    return _unmarked(docs).mapInArrow(run, docs.schema)
 
 
 def _spans_of(text: str, automata: list[SuffixAutomaton]) -> list[int]:

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import heapq
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,8 +126,9 @@ def source_targets(sized: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("source", sized.schema["source"].dataType), T.StructField("rank", T.IntegerType()),
                            T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()),
                            T.StructField("quota", T.LongType())])
-    return sized.sparkSession.createDataFrame([(s, i, n, t, q) for i, ((s, n), t, q) in enumerate(
-        zip(rows, goal, quotas(goal, sizes)))], schema)
+    # as an Arrow table: rows of Python objects would start Python workers of their own in every executor
+    found = [[s for s, _ in rows], list(range(len(rows))), sizes, goal, quotas(goal, sizes)]
+    return sized.sparkSession.createDataFrame(pa.table([pa.array(c) for c in found], names=schema.names), schema)
 
 
 def _dealt(sized: DataFrame, n_docs: int) -> DataFrame:

@@ -87,6 +87,23 @@ def test_decontaminate_cuts_spans_and_keeps_clean_texts(spark):
     assert again.where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_all_blocks_in_one_python_worker_a_task(spark, monkeypatch, seed):
+    docs, items = random_case(seed)
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+
+    def rows(block_words):
+        monkeypatch.setattr(D, "BLOCK_WORDS", block_words)
+        out = D.decontaminate(docs, items)
+        found = D.find_spans(docs, items, block_words=block_words)
+        for df in (out, found):  # a second pass in the same task would hold a second worker
+            assert df._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        return sorted(map(repr, out.collect())), sorted(map(repr, found.collect()))
+
+    assert rows(15) == rows(200_000)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     items = spark.createDataFrame([], "item_id long, text string")

@@ -71,6 +71,17 @@ def test_awkward_rows(spark):
     assert {(r["target"], r["taken"]) for r in M.mix_sources(blank).collect()} == {(0.0, 0)}
 
 
+def test_targets_need_no_python_workers(spark):
+    sized = spark.createDataFrame([("b", 5), (None, 7), ("a", 2), ("b", 1)], "source string, size long")
+    plan = M.source_targets(sized)
+    assert [(r["source"], r["rank"], r["source_size"], r["quota"]) for r in plan.orderBy("rank").collect()] == [
+        ("a", 0, 2, 6), ("b", 1, 6, 6), (None, 2, 7, 3)]
+    assert "ExistingRDD" not in plan._jdf.queryExecution().executedPlan().toString()
+    for empty in (M.source_targets(sized.where("false")), M.source_targets(sized.where("source is null"))):
+        assert empty.columns == plan.columns and empty.schema == plan.schema
+        assert empty.where("source is not null").count() == 0
+
+
 def test_rare_source_of_short_documents_reaches_its_target(spark, monkeypatch):
     # about one five-word document of the rare source a shard, claimed three times over
     monkeypatch.setattr(M, "SHARD_DOCS", 20)
